@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as fx
+from checks.rounding import digits
 from reelstat.functions import arrays, jsonx, numeric, timex
 from reelstat.operators import aggregates, filters, joins, ordering, vectors, windows
 from reelstat.operators.merge import merge
@@ -25,16 +26,13 @@ from reelstat.streaming import states, upserts
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-COARSE = {"ds_quality_score": 6}  # about 14,400: fewer digits carry
-
-
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles rounded beyond any real difference, small integers widened, instants without zone."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, COARSE.get(f.name, 10)) + F.lit(0.0)
+            c = F.round(c, digits(f.name)) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.TimestampType):
@@ -919,7 +917,7 @@ def sync_incremental(spark, sf):
     source = _statistics(spark, sf)
     r0 = _stored_relation(spark, sf, True)
     path = shared_path(spark, "serving")
-    serving.append_batch(serving.stamp(metrics.video_statistics(r0, metrics.user_video_metrics(r0)), fx.SPLIT), path)
+    serving.append_batch(metrics.video_statistics(r0, metrics.user_video_metrics(r0)), path, fx.SPLIT)
     serving.sync_incremental(
         source, path, ["video_id"], "last_update_timestamp", serving.OVERLAPS["video_statistics"], fx.AS_OF, on_error="raise"
     )

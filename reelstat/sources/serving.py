@@ -10,7 +10,7 @@ import logging
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions.timex import EPOCH, high_watermark, time_literal
@@ -35,12 +35,15 @@ class BootstrapMissing(RuntimeError):
     """The serving copy was never loaded, or holds no timestamp to continue from."""
 
 
-def stamp(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Add the version time, one value for the whole batch."""
-    as_of = as_of or datetime.now(timezone.utc)
+def _version_literal(as_of: datetime) -> Column:
     if as_of.tzinfo is None:
         as_of = as_of.replace(tzinfo=timezone.utc)
-    return df.withColumn(VERSION, F.lit(as_of.isoformat(sep=" ")).cast("timestamp"))
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+
+
+def stamp(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Add the version time, one value for the whole batch."""
+    return df.withColumn(VERSION, _version_literal(as_of or datetime.now(timezone.utc)))
 
 
 def current_view(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataFrame:
@@ -48,11 +51,16 @@ def current_view(df: DataFrame, keys: Sequence[str], version: str = VERSION) ->
     return latest_per_key(df, keys, [version])
 
 
-def append_batch(df: DataFrame, path: str) -> int:
-    """Append a batch and return its size, counted while it is written. An empty batch adds nothing."""
-    seen = Observation("batch")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return seen.get["rows"]
+def append_batch(df: DataFrame, path: str, as_of: datetime | None = None) -> int:
+    """Stamp and append a batch and return its size. An empty batch adds nothing.
+
+    The size is counted on the written files, where the version time selects the batch, so ``df`` runs only once.
+    """
+    as_of = as_of or datetime.now(timezone.utc)
+    batch = stamp(df, as_of)
+    batch.write.mode("append").parquet(path)
+    written = df.sparkSession.read.schema(batch.schema).parquet(path)
+    return written.where(F.col(VERSION) == _version_literal(as_of)).count()
 
 
 def require_bootstrap(target: DataFrame, keys: Sequence[str], ts: str) -> datetime:
@@ -86,7 +94,7 @@ def sync_incremental(
     """
     try:
         newest = require_bootstrap(source.sparkSession.read.parquet(target_path), keys, ts)
-        return append_batch(stamp(changed_since(source, ts, newest, overlap), as_of), target_path)
+        return append_batch(changed_since(source, ts, newest, overlap), target_path, as_of)
     except Exception:
         if on_error == "raise":
             raise
