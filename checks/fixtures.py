@@ -60,6 +60,18 @@ def user_region(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def located_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with a region and country by user. Nation and region have 25 and 5 rows at every scale."""
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey",
+        F.col("r_name").alias("region"),
+        F.when(F.col("r_regionkey") == 0, F.concat("n_name", F.lit("-BOT"))).otherwise(F.col("n_name")).alias("country"),
+    )
+    events = flat_events(spark, sf).withColumn("n_nationkey", (F.col("user_id").cast("bigint") % 25).cast("int"))
+    return events.join(F.broadcast(places), "n_nationkey").drop("n_nationkey")
+
+
 def engagement_events(spark: SparkSession, sf: str) -> DataFrame:
     """Watches, likes, shares, follows and unfollows."""
     names = {
@@ -94,7 +106,7 @@ def moderation_events(spark: SparkSession, sf: str) -> DataFrame:
         reason.alias("report_reason"),
         "country",
     )
-    joined = flat_events(spark, sf).join(user_region(spark, sf), "user_id", "left")
+    joined = located_events(spark, sf)
     return joined.select(event.alias("event"), F.to_json(params).alias("params"), F.col("ts").alias("timestamp"))
 
 
@@ -110,7 +122,7 @@ def upload_events(spark: SparkSession, sf: str) -> DataFrame:
         "country",
         F.concat(F.lit("user "), "user_id").alias("display_name"),
     )
-    joined = flat_events(spark, sf).join(user_region(spark, sf), "user_id", "left")
+    joined = located_events(spark, sf)
     return joined.select(
         _renamed("event_type", names, "other").alias("event"), F.to_json(params).alias("params"), F.col("ts").alias("timestamp")
     )
@@ -142,7 +154,7 @@ def analytics_events(spark: SparkSession, sf: str) -> DataFrame:
 
     A group holds the events of high value out of eight consecutive ids, so no document grows with the data.
     """
-    joined = flat_events(spark, sf).join(user_region(spark, sf), "user_id", "left")
+    joined = located_events(spark, sf)
     singles = joined.where(F.col("value") <= LONG_WATCH).select(
         F.to_json(_document()).alias("data"), F.col("ts").alias("publish_time")
     )
@@ -167,7 +179,7 @@ def nsfw_agg(spark: SparkSession, sf: str) -> DataFrame:
 
 def uploads_by_video(spark: SparkSession, sf: str) -> DataFrame:
     """Many uploads per video, with the uploader's region."""
-    joined = flat_events(spark, sf).where(F.col("event_type") == "signup").join(user_region(spark, sf), "user_id", "left")
+    joined = located_events(spark, sf).where(F.col("event_type") == "signup")
     return joined.select(
         "video_id",
         F.col("ts").alias("timestamp"),

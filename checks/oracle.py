@@ -43,10 +43,13 @@ PARTS["ur"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS user_id, r_name AS region,
   n_name || CASE WHEN r_regionkey = 0 THEN '-BOT' ELSE '' END AS country
 FROM customer, nation, region WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey"""
+PARTS["place"] = """
+SELECT ev.*, r_name AS region, n_name || CASE WHEN r_regionkey = 0 THEN '-BOT' ELSE '' END AS country
+FROM ev, nation, region WHERE n_nationkey = CAST(user_id AS BIGINT) % 25 AND n_regionkey = r_regionkey"""
 PARTS["up"] = """
 SELECT video_id, ts, event_id, region, country,
   CASE WHEN value > 40 THEN 'ai' WHEN value > 10 THEN 'camera' ELSE 'gallery' END AS upload_type
-FROM ev LEFT JOIN ur USING (user_id) WHERE event_type = 'signup'"""
+FROM place WHERE event_type = 'signup'"""
 PARTS["scores"] = """
 SELECT CAST(doc_id AS VARCHAR) AS video_id, toxic = 1 AS is_nsfw,
   CASE WHEN quality = 1 THEN 'neutral' ELSE 'explicit' END AS nsfw_ec, 'UNKNOWN' AS nsfw_gore,
@@ -101,9 +104,9 @@ ORACLES["json_scalar_fields"] = ORACLES["json_scalar_single"] = _fields
 ORACLES["json_subdocuments"] = """
 SELECT event_id, '{"event_type":"' || event_type || '"}' AS object, 2 AS items, NULL AS no_items FROM events"""
 PARTS["docs"] = """
-SELECT ev.*, region, country, CASE WHEN value <= 30 THEN ts
+SELECT place.*, CASE WHEN value <= 30 THEN ts
   ELSE max(ts) OVER (PARTITION BY value <= 30, event_id // 8) END AS publish_time
-FROM ev LEFT JOIN ur USING (user_id)"""
+FROM place"""
 ORACLES["json_rows_explode"] = _sql(
     "SELECT CASE WHEN value > 30 THEN 'v' || event_id END AS video_id, publish_time FROM docs"
 )

@@ -8,6 +8,6 @@ divided by a deviation are free of such ties and carry more noise.
 def digits(name: str) -> int:
     if name == "ds_quality_score":  # about 14,400
         return 6
-    if name.startswith(("z_", "normalized_")) or name.endswith("_popularity_score"):
+    if name == "sd" or name.startswith(("z_", "normalized_")) or name.endswith("_popularity_score"):
         return 8
     return 10

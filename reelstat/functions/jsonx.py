@@ -8,7 +8,8 @@ a container (a string starting with a brace) is told apart by its variant type;
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +47,10 @@ def _schema_for(paths: list[list[str]]) -> T.StructType:
 
 def _scalar_only(text: Column, json: Column, path: str) -> Column:
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), path, "variant"))
-    container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    looks_like_one = text.startswith("{") | text.startswith("[")
-    return F.when(looks_like_one & container, F.lit(None)).otherwise(text)
+    container = kind.rlike("^(OBJECT|ARRAY)")
+    # nested branches, not AND: the planner would hoist the common variant parse out of an AND and run it on every row
+    checked = F.when(container, F.lit(None)).otherwise(text)
+    return F.when(text.startswith("{") | text.startswith("["), checked).otherwise(text)
 
 
 def json_scalar(json: Column, path: str) -> Column:
@@ -66,18 +68,30 @@ def json_array(json: Column, path: str) -> Column:
     return F.from_json(F.get_json_object(json, path), "array<string>")
 
 
-def extract_json(df: DataFrame, json: str, fields: Mapping[str, str], *keep: str | Column) -> DataFrame:
-    """``keep`` columns plus one text column per entry of ``fields`` (output name to path), parsed in one pass."""
-    steps = {name: path_steps(path) for name, path in fields.items()}
-    parsed = df.withColumn("_doc", F.from_json(json, _schema_for(list(steps.values()))))
+def with_document(df: DataFrame, json: str, paths: Iterable[str], doc: str) -> DataFrame:
+    """``df`` plus a struct column ``doc`` that holds the text at every path, parsed in one pass.
+
+    The parsed document goes through a one-element explode. Conditions on its fields then stay above the parse; the
+    planner would otherwise push them below and parse every document once per condition.
+    """
+    schema = _schema_for([path_steps(path) for path in dict.fromkeys(paths)])
+    return df.select("*", F.explode(F.array(F.from_json(json, schema))).alias(doc))
+
+
+def document_text(doc: str, path: str) -> Column:
+    """Text at ``path`` of a parsed document; objects and arrays as JSON text."""
+    return reduce(lambda col, step: col.getField(step), path_steps(path), F.col(doc))
 
-    def field(name: str) -> Column:
-        col = F.col("_doc")
-        for step in steps[name]:
-            col = col.getField(step)
-        return _scalar_only(col, F.col(json), fields[name]).alias(name)
 
-    return parsed.select(*[field(name) for name in fields], *keep)
+def document_scalar(doc: str, json: str, path: str) -> Column:
+    """Scalar at ``path`` of a parsed document; NULL for objects and arrays."""
+    return _scalar_only(document_text(doc, path), F.col(json), path)
+
+
+def extract_json(df: DataFrame, json: str, fields: Mapping[str, str], *keep: str | Column) -> DataFrame:
+    """``keep`` columns plus one scalar text column per entry of ``fields`` (output name to path)."""
+    parsed = with_document(df, json, fields.values(), "_doc")
+    return parsed.select(*[document_scalar("_doc", json, path).alias(name) for name, path in fields.items()], *keep)
 
 
 def explode_json_outer(df: DataFrame, json: str, path: str, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 64
 SUPPORT = 1 / 64
@@ -25,10 +26,28 @@ def frequent_keys(df: DataFrame, key: str, support: float = SUPPORT) -> list:
     return sorted(found or [])
 
 
+# Values that may differ in the last bit when a lost task is computed again, or that cannot be hashed.
+_NO_SALT = (T.DoubleType, T.FloatType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+
+def row_hash(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
+    """A hash of a row's stable columns. Salts must not come from floating-point results: a recomputed task could then
+    send a row to another partition than before, and it would be lost or doubled."""
+    stable = [f.name for f in df.schema.fields if not isinstance(f.dataType, _NO_SALT)]
+    return F.xxhash64(*([c for c in stable if c not in exclude] or stable or [F.lit(0)]))
+
+
 def _spread(df: DataFrame, exclude: Sequence[str], salts: int) -> Column:
-    """A stable salt from the other columns of a row (a retried task must compute the same one)."""
-    others = [c for c in df.columns if c not in exclude] or list(df.columns)
-    return F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
+    return F.pmod(row_hash(df, exclude), F.lit(salts)).cast("int")
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """``df`` behind a one-element explode, which conditions are not pushed through.
+
+    For a frame used twice in one plan: a condition pushed into only one of the uses would make the shuffles below them
+    differ, and the whole input would be read and shuffled twice instead of the shuffle being reused.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_held")).select("_held.*")
 
 
 def skew_join(

@@ -17,7 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.operators.joins import any_null, single_row
+from reelstat.operators.joins import any_null, row_hash, single_row
+from reelstat.session import materialise
 
 CARDINALITY_MESSAGE = "merge: a target row is matched by more than one source row"
 
@@ -32,7 +33,7 @@ def _expr(value: str | Column) -> Column:
 
 def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """NULL keys match nothing: spread them instead of gathering them in one task."""
-    salt = F.when(any_null([F.col(k) for k in keys]), F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    salt = F.when(any_null([F.col(k) for k in keys]), row_hash(df, keys)).otherwise(F.lit(0))
     return df.withColumn("_salt", salt.cast("bigint"))
 
 
@@ -52,13 +53,18 @@ def merge(
     insert: str | Mapping[str, str | Column] | None = None,
     not_matched_by_source: Mapping[str, object] | None = None,
     source_unique: bool = False,
+    stage: bool = False,
 ) -> DataFrame:
     """Result of merging ``source`` into ``target`` with the target's columns.
 
     ``set`` and ``insert`` are ``"*"`` (same-named columns), a mapping of column to expression over aliases ``t`` and
     ``s``, or None for no such clause. ``on=True`` merges two one-row tables. ``source_unique`` promises that no key
-    occurs twice in ``source``, which saves the check.
+    occurs twice in ``source``, which saves the check. ``stage`` writes the source to the shared folder first: the two
+    joins then read it instead of deriving it twice, and the planner knows from its real size whether to broadcast it and
+    leave the target unshuffled.
     """
+    if stage:
+        source = materialise(source, "batch")
     if on is True:
         return _merge_singleton(target, source, set, insert)
     keys, columns = list(on), target.columns

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions.numeric import standardise
-from reelstat.operators.joins import join_group_stats
+from reelstat.operators.joins import hold, join_group_stats
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
@@ -39,8 +39,8 @@ def zscore(df: DataFrame, cols: Sequence[str], guard: str, by: Sequence[str] = (
     """
     aggs = [f(c).alias(f"_{p}_{c}") for c in cols for p, f in (("mean", F.avg), ("sd", F.stddev_samp))]
     if by:
-        joined = join_group_stats(df, df.groupBy(*by).agg(*aggs), list(by))
+        joined = join_group_stats(hold(df), df.groupBy(*by).agg(*aggs), list(by))
     else:
-        joined = df.crossJoin(F.broadcast(df.agg(*aggs)))  # a global aggregate is exactly one row
+        joined = hold(df).crossJoin(F.broadcast(df.agg(*aggs)))  # a global aggregate is exactly one row
     scored = {f"z_{c}": standardise(F.col(c), F.col(f"_mean_{c}"), F.col(f"_sd_{c}"), guard) for c in cols}
     return joined.withColumns(scored).drop(*[f"_{p}_{c}" for c in cols for p in ("mean", "sd")])

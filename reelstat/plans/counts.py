@@ -28,4 +28,4 @@ def daily_event_counts_update(
 ) -> DataFrame:
     """Upsert the counts of one day."""
     counts = daily_counts(on_day(events, ts, day), ts, name)
-    return merge(target, counts, KEYS, set={"event_count": "s.event_count"}, insert="*", source_unique=True)
+    return merge(target, counts, KEYS, set={"event_count": "s.event_count"}, insert="*", source_unique=True, stage=True)

@@ -34,4 +34,4 @@ def follower_graph(events: DataFrame) -> DataFrame:
 def follower_graph_increment(target: DataFrame, events: DataFrame) -> DataFrame:
     """``target`` with the states of events after its latest one; earlier late arrivals are ignored."""
     batch = follower_graph(since_watermark(events, "timestamp", high_watermark(target, UPDATED)))
-    return merge(target, batch, KEYS, set="*", insert="*", source_unique=True)
+    return merge(target, batch, KEYS, set="*", insert="*", source_unique=True, stage=True)

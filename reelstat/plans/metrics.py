@@ -84,7 +84,7 @@ def user_video_metrics_increment(
         damped = _normalized(avg, sd) if fresh else _normalized(a1, F.col(f"t.user_{m}_stddev"))
         assignments[f"user_{m}_avg"], assignments[f"user_{m}_stddev"] = avg, sd
         assignments[f"user_normalized_{m}_avg"], assignments[f"user_normalized_{m}_stddev"] = damped
-    return merge(target, batch, ["user_id"], set=assignments, insert="*", source_unique=True)
+    return merge(target, batch, ["user_id"], set=assignments, insert="*", source_unique=True, stage=True)
 
 
 VIDEO_MEANS = [f"user_normalized_{m}_perc" for m in METRICS]
@@ -122,7 +122,7 @@ def video_statistics_increment(
     n1, n2 = F.col("t.total_impressions"), F.col("s.total_impressions")
     assignments: dict[str, str | Column] = {c: pooled_mean(F.col(f"t.{c}"), n1, F.col(f"s.{c}"), n2) for c in VIDEO_MEANS}
     assignments.update({"total_impressions": n1 + n2, UPDATED: f"s.{UPDATED}"})
-    return merge(target, batch, ["video_id"], set=assignments, insert="*", source_unique=True)
+    return merge(target, batch, ["video_id"], set=assignments, insert="*", source_unique=True, stage=True)
 
 
 # metric column of video_statistics, name part in the global table, name part in the normalized table
@@ -224,4 +224,4 @@ def video_statistics_normalized_increment(
         *[z_new[m] if fresh else F.col(f"t.normalized_{m}_perc") for m in names]
     )
     inserted = {c: f"s.{c}" for c in NORMALIZED_COLUMNS}
-    return merge(target, batch, ["video_id"], set=assignments, insert=inserted, source_unique=True)
+    return merge(target, batch, ["video_id"], set=assignments, insert=inserted, source_unique=True, stage=True)

@@ -40,7 +40,7 @@ def video_reports(events: DataFrame) -> DataFrame:
 def video_reports_increment(target: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
     """Upsert the reports of the last 35 minutes."""
     batch = video_reports(lookback(events, "timestamp", as_of, REPORT_LOOKBACK))
-    return merge(target, batch, REPORT_KEYS, set="*", insert="*")
+    return merge(target, batch, REPORT_KEYS, set="*", insert="*", stage=True)
 
 
 def _first_seen(events: DataFrame, event: str, reason: str) -> DataFrame:
@@ -68,4 +68,4 @@ def excluded_videos_increment(target: DataFrame, events: DataFrame, nsfw_agg: Da
     chosen = batch.groupBy("video_id").agg(
         F.min_by("excluded_at", "exclusion_reason").alias("excluded_at"), F.min("exclusion_reason").alias("exclusion_reason")
     )
-    return merge(target, chosen, ["video_id"], set="*", insert="*", source_unique=True)
+    return merge(target, chosen, ["video_id"], set="*", insert="*", source_unique=True, stage=True)

@@ -64,4 +64,4 @@ def user_video_relation_increment(target: DataFrame, events: DataFrame, last: da
     batch = user_video_relation(since_watermark(events, "timestamp", last))
     assignments = {c: f"s.{c}" for c in target.columns if c not in KEYS}
     assignments.update(liked="t.liked OR s.liked", shared="t.shared OR s.shared")
-    return merge(target, batch, KEYS, set=assignments, insert="*", source_unique=True)
+    return merge(target, batch, KEYS, set=assignments, insert="*", source_unique=True, stage=True)

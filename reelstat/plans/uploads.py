@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.functions.jsonx import explode_json_outer, extract_json, json_query
+from reelstat.functions.jsonx import document_scalar, document_text, extract_json, json_query, with_document
 from reelstat.functions.timex import high_watermark, lookback, parse_offset_timestamp, since_watermark
 from reelstat.operators.filters import read_events, suffix_filter
 from reelstat.operators.merge import merge
@@ -60,7 +60,7 @@ def video_upload_stats(analytics: DataFrame) -> DataFrame:
 def video_upload_stats_increment(target: DataFrame, analytics: DataFrame) -> DataFrame:
     """``target`` plus the uploads after its latest one that it does not hold yet."""
     batch = since_watermark(video_upload_stats(analytics), "timestamp", high_watermark(target, "timestamp"))
-    return merge(target, batch, ["timestamp", "video_id"], insert="*")
+    return merge(target, batch, ["timestamp", "video_id"], insert="*", stage=True)
 
 
 BOT_FIELDS = ("user_id", "publisher_user_id", "canister_id", "video_id", "post_id", "country", "display_name")
@@ -76,7 +76,7 @@ def bot_uploaded_content(events: DataFrame) -> DataFrame:
 def bot_uploaded_content_increment(target: DataFrame, events: DataFrame) -> DataFrame:
     """``target`` plus the bot uploads after its latest one that it does not hold yet."""
     batch = bot_uploaded_content(since_watermark(events, "timestamp", high_watermark(target, "timestamp")))
-    return merge(target, batch, ["video_id", "timestamp"], insert="*")
+    return merge(target, batch, ["video_id", "timestamp"], insert="*", stage=True)
 
 
 # output name to path inside an analytics document, or inside one of its rows
@@ -109,19 +109,24 @@ AI_COLUMNS = (
 )
 
 
+ROWS = "$.event_data.rows"
+
+
 def unnest_analytics(analytics: DataFrame) -> DataFrame:
     """One row per event of the analytics documents.
 
     A document holds one event, or a list of rows each holding one; a field a row lacks is taken from its document.
+    Each document and each row is parsed once.
     """
-    paths = {f"doc_{name}": path for name, path in AI_FIELDS.items()}
-    rows = explode_json_outer(analytics, "data", "$.event_data.rows", "row")
-    docs = extract_json(rows, "data", paths, "data", "row", "publish_time")
-    both = extract_json(docs, "row", AI_FIELDS, "data", "row", "publish_time", *paths)
-    return both.where(
-        json_query(F.col("data"), "$.event_data.rows").isNotNull() | json_query(F.col("data"), "$.event_data.event").isNotNull()
-    ).select(
-        *[F.coalesce(name, f"doc_{name}").alias(name) for name in AI_FIELDS],
+    docs = with_document(analytics, "data", [*AI_FIELDS.values(), ROWS], "doc")
+    docs = docs.where(document_text("doc", ROWS).isNotNull() | document_text("doc", AI_FIELDS["event"]).isNotNull())
+    rows = docs.select("*", F.explode_outer(F.from_json(document_text("doc", ROWS), "array<string>")).alias("row"))
+    both = with_document(rows, "row", AI_FIELDS.values(), "row_doc")
+    return both.select(
+        *[
+            F.coalesce(document_scalar("row_doc", "row", path), document_scalar("doc", "data", path)).alias(name)
+            for name, path in AI_FIELDS.items()
+        ],
         F.coalesce(json_query(F.col("row"), "$.event_data"), json_query(F.col("data"), "$.event_data")).alias("event_json_data"),
         "publish_time",
     )
@@ -154,4 +159,4 @@ def ai_ugc_increment(
     )
     if keep_latest:
         batch = latest_per_key(batch, ["video_id"], ["upload_timestamp"], tie)
-    return merge(target, batch, ["video_id"], set="*", insert="*", source_unique=keep_latest)
+    return merge(target, batch, ["video_id"], set="*", insert="*", source_unique=keep_latest, stage=True)

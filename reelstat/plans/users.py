@@ -30,7 +30,7 @@ def user_base_facts_increment(
     compared as it is and the condition reaches the file scan."""
     bound = (as_of - USER_LOOKBACK).strftime("%Y%m%d")
     recent = shards.where(F.col(UPDATED) >= F.lit(bound).cast(shards.schema[UPDATED].dataType))
-    return merge(target, user_base_facts(recent, tie, drop), ["user_id"], set="*", insert="*", source_unique=True)
+    return merge(target, user_base_facts(recent, tie, drop), ["user_id"], set="*", insert="*", source_unique=True, stage=True)
 
 
 def daily_active_users(events: DataFrame, user: str, ts: str, day: date | datetime | None = None, approx: bool = False):

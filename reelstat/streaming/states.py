@@ -35,7 +35,7 @@ def upsert_changes(
         table,
         checkpoint,
         lambda batch: batch,
-        lambda current, batch: merge(current, batch, keys, set="*", insert="*", source_unique=True),
+        lambda current, batch: merge(current, batch, keys, set="*", insert="*", source_unique=True, stage=True),
         output_mode="update",
         **options,
     )

@@ -60,7 +60,9 @@ def lookback_upsert(
         table,
         checkpoint,
         lambda batch: recent(batch),
-        lambda current, batch: merge(current, recent(batch, current), keys, set="*", insert="*", source_unique=True),
+        lambda current, batch: merge(
+            current, recent(batch, current), keys, set="*", insert="*", source_unique=True, stage=True
+        ),
         **options,
     )
 
