@@ -30,11 +30,11 @@ def build_session(app_name: str = "reelstat", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach. The cluster names it in ``spark.checkpoint.dir``; only where that is
     unset (tests on one machine) a temporary folder is made and set for the rest of the session."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="reelstat-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    return current.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelstat-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
