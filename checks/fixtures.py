@@ -11,6 +11,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelstat.sources.tables import spread_single_split
+
 AS_OF = datetime(2024, 1, 31)
 SPLIT = datetime(2024, 1, 16)  # first batch: before; second: from here on
 OVERLAP_END = SPLIT + timedelta(days=2)  # end of the first batch where batches overlap
@@ -36,7 +38,7 @@ def _renamed(column: str, names: dict[str, str], other: str) -> Column:
 
 
 def flat_events(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
+    e = spread_single_split(table(spark, sf, "events"))
     return e.select(
         "event_id",
         "ts",

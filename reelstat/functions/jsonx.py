@@ -45,17 +45,20 @@ def _schema_for(paths: list[list[str]]) -> T.StructType:
     return out
 
 
-def _scalar_only(text: Column, json: Column, path: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), path, "variant"))
-    container = kind.rlike("^(OBJECT|ARRAY)")
-    # nested branches, not AND: the planner would hoist the common variant parse out of an AND and run it on every row
+def _looks_like_container(text: Column) -> Column:
+    return text.startswith("{") | text.startswith("[")
+
+
+def _scalar_only(text: Column, native: Column, path: str) -> Column:
+    container = F.schema_of_variant(F.try_variant_get(native, path, "variant")).rlike("^(OBJECT|ARRAY)")
+    # nested branches, not AND: the planner would hoist common parts out of an AND and run them on every row
     checked = F.when(container, F.lit(None)).otherwise(text)
-    return F.when(text.startswith("{") | text.startswith("["), checked).otherwise(text)
+    return F.when(_looks_like_container(text), checked).otherwise(text)
 
 
 def json_scalar(json: Column, path: str) -> Column:
     """One scalar as text; NULL for missing fields, JSON null, objects, arrays and unreadable documents."""
-    return _scalar_only(F.get_json_object(json, path), json, path)
+    return _scalar_only(F.get_json_object(json, path), F.try_parse_json(json), path)
 
 
 def json_query(json: Column, path: str) -> Column:
@@ -72,10 +75,18 @@ def with_document(df: DataFrame, json: str, paths: Iterable[str], doc: str) -> D
     """``df`` plus a struct column ``doc`` that holds the text at every path, parsed in one pass.
 
     The parsed document goes through a one-element explode. Conditions on its fields then stay above the parse; the
-    planner would otherwise push them below and parse every document once per condition.
+    planner would otherwise push them below and parse every document once per condition. A further column holds the
+    document's variant form where some text looks like a container, and NULL elsewhere.
     """
-    schema = _schema_for([path_steps(path) for path in dict.fromkeys(paths)])
-    return df.select("*", F.explode(F.array(F.from_json(json, schema))).alias(doc))
+    paths = list(dict.fromkeys(paths))
+    schema = _schema_for([path_steps(path) for path in paths])
+    parsed = df.select("*", F.explode(F.array(F.from_json(json, schema))).alias(doc))
+    doubtful = reduce(lambda a, b: a | b, [_looks_like_container(document_text(doc, path)) for path in paths])
+    return parsed.withColumn(_native(doc), F.when(doubtful, F.try_parse_json(F.col(json))))
+
+
+def _native(doc: str) -> str:
+    return f"{doc}_native"
 
 
 def document_text(doc: str, path: str) -> Column:
@@ -83,15 +94,15 @@ def document_text(doc: str, path: str) -> Column:
     return reduce(lambda col, step: col.getField(step), path_steps(path), F.col(doc))
 
 
-def document_scalar(doc: str, json: str, path: str) -> Column:
+def document_scalar(doc: str, path: str) -> Column:
     """Scalar at ``path`` of a parsed document; NULL for objects and arrays."""
-    return _scalar_only(document_text(doc, path), F.col(json), path)
+    return _scalar_only(document_text(doc, path), F.col(_native(doc)), path)
 
 
 def extract_json(df: DataFrame, json: str, fields: Mapping[str, str], *keep: str | Column) -> DataFrame:
     """``keep`` columns plus one scalar text column per entry of ``fields`` (output name to path)."""
     parsed = with_document(df, json, fields.values(), "_doc")
-    return parsed.select(*[document_scalar("_doc", json, path).alias(name) for name, path in fields.items()], *keep)
+    return parsed.select(*[document_scalar("_doc", path).alias(name) for name, path in fields.items()], *keep)
 
 
 def explode_json_outer(df: DataFrame, json: str, path: str, name: str) -> DataFrame:

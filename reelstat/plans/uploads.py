@@ -124,7 +124,7 @@ def unnest_analytics(analytics: DataFrame) -> DataFrame:
     both = with_document(rows, "row", AI_FIELDS.values(), "row_doc")
     return both.select(
         *[
-            F.coalesce(document_scalar("row_doc", "row", path), document_scalar("doc", "data", path)).alias(name)
+            F.coalesce(document_scalar("row_doc", path), document_scalar("doc", path)).alias(name)
             for name, path in AI_FIELDS.items()
         ],
         F.coalesce(json_query(F.col("row"), "$.event_data"), json_query(F.col("data"), "$.event_data")).alias("event_json_data"),

@@ -19,6 +19,16 @@ def union_shards(*shards: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
 
 
+def spread_single_split(df: DataFrame) -> DataFrame:
+    """Spread a scan that is one split over all cores, for work that is heavy per row such as parsing.
+
+    Larger inputs come in many splits and are left alone, so this never shuffles more than one split.
+    """
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def object_metadata(spark: SparkSession, path: str, n: int | None = 10, pattern: str | None = None) -> DataFrame:
     """Listing of stored objects (path, modification time, length); their content is not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
