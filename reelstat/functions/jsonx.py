@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,20 +44,12 @@ def _schema_for(paths: list[list[str]]) -> T.StructType:
     return out
 
 
-def _looks_like_container(text: Column) -> Column:
-    return text.startswith("{") | text.startswith("[")
-
-
-def _scalar_only(text: Column, native: Column, path: str) -> Column:
-    container = F.schema_of_variant(F.try_variant_get(native, path, "variant")).rlike("^(OBJECT|ARRAY)")
-    # nested branches, not AND: the planner would hoist common parts out of an AND and run them on every row
-    checked = F.when(container, F.lit(None)).otherwise(text)
-    return F.when(_looks_like_container(text), checked).otherwise(text)
-
-
 def json_scalar(json: Column, path: str) -> Column:
     """One scalar as text; NULL for missing fields, JSON null, objects, arrays and unreadable documents."""
-    return _scalar_only(F.get_json_object(json, path), F.try_parse_json(json), path)
+    text = F.get_json_object(json, path)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), path, "variant"))
+    checked = F.when(kind.rlike("^(OBJECT|ARRAY)"), F.lit(None)).otherwise(text)
+    return F.when(text.startswith("{") | text.startswith("["), checked).otherwise(text)
 
 
 def json_query(json: Column, path: str) -> Column:
@@ -81,22 +72,38 @@ def with_document(df: DataFrame, json: str, paths: Iterable[str], doc: str) -> D
     paths = list(dict.fromkeys(paths))
     schema = _schema_for([path_steps(path) for path in paths])
     parsed = df.select("*", F.explode(F.array(F.from_json(json, schema))).alias(doc))
-    doubtful = reduce(lambda a, b: a | b, [_looks_like_container(document_text(doc, path)) for path in paths])
-    return parsed.withColumn(_native(doc), F.when(doubtful, F.try_parse_json(F.col(json))))
+    doubtful = " OR ".join(_container_like(_text_sql(doc, path)) for path in paths)
+    return parsed.withColumn(_native(doc), F.expr(f"CASE WHEN {doubtful} THEN try_parse_json(`{json}`) END"))
 
 
 def _native(doc: str) -> str:
     return f"{doc}_native"
 
 
+# Expressions over a parsed document are SQL text: one call for each instead of a dozen Column calls for every field,
+# which would take longer than running a small query.
+
+
+def _text_sql(doc: str, path: str) -> str:
+    return ".".join(f"`{step}`" for step in [doc, *path_steps(path)])
+
+
+def _container_like(text: str) -> str:
+    return f"(startswith({text}, '{{') OR startswith({text}, '['))"
+
+
 def document_text(doc: str, path: str) -> Column:
     """Text at ``path`` of a parsed document; objects and arrays as JSON text."""
-    return reduce(lambda col, step: col.getField(step), path_steps(path), F.col(doc))
+    return F.expr(_text_sql(doc, path))
 
 
 def document_scalar(doc: str, path: str) -> Column:
     """Scalar at ``path`` of a parsed document; NULL for objects and arrays."""
-    return _scalar_only(document_text(doc, path), F.col(_native(doc)), path)
+    text, quoted = _text_sql(doc, path), path.replace("'", "\\'")
+    kind = f"schema_of_variant(try_variant_get(`{_native(doc)}`, '{quoted}', 'variant'))"
+    checked = f"CASE WHEN {kind} RLIKE '^(OBJECT|ARRAY)' THEN NULL ELSE {text} END"
+    # nested branches, not AND: the planner would hoist common parts out of an AND and run them on every row
+    return F.expr(f"CASE WHEN {_container_like(text)} THEN {checked} ELSE {text} END")
 
 
 def extract_json(df: DataFrame, json: str, fields: Mapping[str, str], *keep: str | Column) -> DataFrame:

@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # records the Python line of every Column call, which takes longer than planning for wide expressions
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
