@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from checks.rounding import digits
+from checks.rounding import digits, offset
 
 SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
 OVERLAP_END = "TIMESTAMP '2024-01-18 00:00:00'"
@@ -31,7 +31,7 @@ def _sql(text: str) -> str:
 
 def r(expr: str, name: str | None = None) -> str:
     name = name or expr.split(".")[-1]
-    return f"round({expr}, {digits(name)}) + 0.0 AS {name}"
+    return f"round(({expr}) + {offset(name)}, {digits(name)}) + 0.0 AS {name}"
 
 
 # --- test tables as input tables ---------------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as fx
-from checks.rounding import digits
+from checks.rounding import digits, offset
 from reelstat.functions import arrays, jsonx, numeric, timex
 from reelstat.operators import aggregates, filters, joins, ordering, vectors, windows
 from reelstat.operators.merge import merge
@@ -32,7 +32,7 @@ def comparable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits(f.name)) + F.lit(0.0)
+            c = F.round(c + F.lit(offset(f.name)), digits(f.name)) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.TimestampType):
