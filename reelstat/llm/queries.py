@@ -5,6 +5,7 @@ from __future__ import annotations
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,4 +18,15 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"), k=3, threshold=Fraction(9, 10))
 
 
-QUERIES = {f.__name__: f for f in (op6_ngram_jaccard_join,)}
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from reelstat.llm.packing import pack, token_pieces
+    from reelstat.llm.storage import materialise
+
+    pieces = token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "task", "rank")
+    return pack(materialise(digests, "pieces")).withColumn("length", F.col("length").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op5_best_fit_packing, op6_ngram_jaccard_join)}
