@@ -13,12 +13,12 @@ __all__ = ["bitmap", "in_bitmap", "materialise", "repartition_count", "shared_pa
 BITMAP_BITS = 23
 
 
-def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS, hashed: bool = False) -> np.ndarray:
     """A bit set of fixed size (2**bits bits) with one bit for each key: a filter that may let others pass, never loses one.
 
-    It is aggregated by 64-bit words, so at most 2**(bits - 6) rows come to the driver, however many keys there are.
+    A key that is a hash already (``hashed``) takes the slot of its lowest bits, any other that of its ``xxhash64``. The set is aggregated by 64-bit words, so at most 2**(bits - 6) rows come to the driver, however many keys there are.
     """
-    slot = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    slot = F.col(column).bitwiseAND((1 << bits) - 1) if hashed else F.pmod(F.xxhash64(column), F.lit(1 << bits))
     found = (
         keys.select(slot.alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
@@ -31,7 +31,7 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
 
 
 def in_bitmap(held: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Whether each slot (the key's ``xxhash64`` modulo the size) is set."""
+    """Whether each slot is set."""
     slot = slot.astype(np.uint64)
     return (held[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
