@@ -13,6 +13,7 @@ unit of work, and a unit returns a spanning forest of its links, never the pairs
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -21,12 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
 from reelstat.llm.components import components
 from reelstat.llm.storage import bitmap, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import Slice, mix, shingles, slices, words
 
-BLOCK_ROWS = 512
-BLOCK_GRAMS = 1 << 20
 COLUMNS_AT_ONCE = 4096
 
 
@@ -112,25 +112,18 @@ def _scan(k: int, threshold: Fraction, buckets: int):
             if not hashes:
                 continue
             # the digest stands for the set until its representative is known
-            h, owner = np.concatenate(hashes), np.concatenate(owners)
-            order = np.argsort(h, kind="stable")
-            h, node = h[order], digest[0][owner[order]]
-            lead = np.concatenate([[True], h[1:] != h[:-1]])
-            leader = node[np.flatnonzero(lead)[np.cumsum(lead) - 1]]
-            more = ~lead & (node != leader)
-            if more.any():
-                pairs = np.unique(np.stack([node[more], leader[more]]), axis=1)
-                m = pairs.shape[1]
-                yield _batch(np.full(m, 2, np.int32), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pairs[0], pairs[1], pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()))
-            h, node = h[lead], node[lead]
-            # sorted by hash, so a bucket is a range
-            bounds = np.searchsorted(h, (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(np.uint64))
-            bounds = np.concatenate([[0], bounds, [len(h)]])
+            h, node = np.concatenate(hashes), digest[0][np.concatenate(owners)]
+            first, second, kept = stars(h, node)
+            if m := len(first):
+                none = pa.nulls(m, pa.int64())
+                yield _batch(np.full(m, 2, np.int32), none, none, first, second, *(pa.nulls(m, x.type) for x in nothing))
+            h, node = h[kept], node[kept]
+            bounds = buckets_of(h, buckets)
             full = np.flatnonzero(np.diff(bounds))
             m = len(full)
-            null = pa.nulls(m, pa.int64())
+            none = pa.nulls(m, pa.int64())
             blobs = [pa.array([x[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for x in (h, node)]
-            yield _batch(np.full(m, 1, np.int32), null, null, null, null, full.astype(np.int32), *blobs)
+            yield _batch(np.full(m, 1, np.int32), none, none, none, none, full.astype(np.int32), *blobs)
 
     return run
 
@@ -140,32 +133,6 @@ def _batch(*columns):
     return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names)
 
 
-def _meet(batches):
-    """Agreements of one bucket after another (sorted by bucket): (node, first node of the same hash)."""
-
-    def edges(held):
-        h = np.concatenate([np.frombuffer(x, np.uint64) for x, _ in held])
-        node = np.concatenate([np.frombuffer(x, np.int64) for _, x in held])
-        order = np.argsort(h, kind="stable")
-        h, node = h[order], node[order]
-        lead = np.concatenate([[True], h[1:] != h[:-1]])
-        leader = node[np.flatnonzero(lead)[np.cumsum(lead) - 1]]
-        more = ~lead & (node != leader)
-        pairs = np.unique(np.stack([node[more], leader[more]]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-    now, held = None, []
-    for batch in batches:
-        for bucket, h, node in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if bucket != now and held:
-                yield edges(held)
-                held = []
-            now = bucket
-            held.append((h, node))
-    if held:
-        yield edges(held)
-
-
 def _gather(k: int, held: np.ndarray):
     """Digest, size and grams of the documents whose id may be in the bitmap."""
 
@@ -225,52 +192,14 @@ def _links(nodes: np.ndarray, sets: list[np.ndarray], threshold: Fraction) -> tu
 def _multiply(threshold: Fraction):
     """Spanning forests of unit after unit of rows (sorted by unit)."""
 
-    def links(held):
-        a, b = _links(np.array([x for x, _ in held]), [np.frombuffer(g, np.uint64) for _, g in held], threshold)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
     def run(batches):
-        now, held = None, []
-        for batch in batches:
-            for unit, node, grams in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if unit != now and held:
-                    yield links(held)
-                    held = []
-                now = unit
-                held.append((node, grams))
-        if held:
-            yield links(held)
+        for rows in grouped(batches):
+            a, b = _links(np.array([x for _, x, _ in rows]), [np.frombuffer(g, np.uint64) for _, _, g in rows], threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _units(members: DataFrame, threshold: Fraction) -> DataFrame:
-    """Every member once for each unit of work it belongs to: (unit, node, grams).
-
-    A family that fits in one block is one unit. A larger one is cut by size class, a class into row blocks by hash, and
-    each pair of row blocks of equal or adjacent classes is a unit: no other pair can reach the threshold.
-    """
-    members = members.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / threshold)))).cast("int"))
-    need = lambda rows, grams: F.greatest(
-        F.ceil(rows / F.lit(BLOCK_ROWS)), F.ceil(grams / F.lit(BLOCK_GRAMS))
-    ).cast("int")
-    by_class = members.groupBy("family", "c").agg(F.count("*").alias("rows"), F.sum("n").alias("grams"))
-    cuts = by_class.groupBy("family").agg(
-        need(F.sum("rows"), F.sum("grams")).alias("whole"),
-        F.map_from_entries(F.collect_list(F.struct("c", need(F.col("rows"), F.col("grams")).alias("m")))).alias("m"),
-    )
-    own = F.coalesce(F.col("m")[F.col("c")], F.lit(1))
-    at = F.pmod(F.xxhash64("node"), own).cast("int")
-    unit = lambda low, high, i, j: F.concat_ws("/", F.col("family"), low, high, i, j)
-    ones = lambda c: F.sequence(F.lit(0), F.coalesce(F.col("m")[c], F.lit(0)) - 1)
-    across = lambda c: F.when(F.col("m")[c].isNotNull(), ones(c)).otherwise(F.array().cast("array<int>"))
-    inner = F.transform(ones(F.col("c")), lambda j: unit(F.col("c"), F.col("c"), F.least(at, j), F.greatest(at, j)))
-    above = F.transform(across(F.col("c") + 1), lambda j: unit(F.col("c"), F.col("c") + 1, at, j))
-    below = F.transform(across(F.col("c") - 1), lambda j: unit(F.col("c") - 1, F.col("c"), j, at))
-    units = F.when(F.col("whole") <= 1, F.array(F.col("family").cast("string"))).otherwise(F.concat(inner, above, below))
-    return members.join(cuts, "family").select(F.explode(units).alias("unit"), "node", "grams")
-
-
 def jaccard_classes(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -290,7 +219,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(
         .select("bucket", "hashes", "nodes")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_meet, "a long, b long")
+        .mapInArrow(meeting, "a long, b long")
     )
     local = found.where("kind = 2").select(F.col("d1").alias("a"), F.col("d2").alias("b"))
     family = materialise(components(met.union(local)).withColumnsRenamed({"component": "family"}), "family")
@@ -302,8 +231,9 @@ def jaccard_classes(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(len(held) * 64)).alias("slot")
     sets = docs.select("doc_id", "text", slot).mapInArrow(_gather(k, held), "doc_id long, grams binary")
     members = materialise(sets.dropDuplicates(["doc_id"]).join(lender, "doc_id"), "members")
-    units = _units(members, threshold)
-    verified = units.repartition(buckets, "unit").sortWithinPartitions("unit").mapInArrow(_multiply(threshold), "a long, b long")
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(1.001 * math.log(1 / threshold)))
+    work = units(members, size_class, "grams").repartition(buckets, "unit").sortWithinPartitions("unit")
+    verified = work.mapInArrow(_multiply(threshold), "a long, b long")
     component = components(verified).withColumnRenamed("component", "class")
 
     named = sized.join(component, F.col("d1") == F.col("node"), "left")

@@ -18,6 +18,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"), k=3, threshold=Fraction(9, 10))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.lines import repeated_lines
+
+    return repeated_lines(_table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelstat.llm.decontam import benchmark_overlaps
 
@@ -35,4 +41,4 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(materialise(digests, "pieces")).withColumn("length", F.col("length").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op5_best_fit_packing, op6_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_benchmark_decontamination, op5_best_fit_packing, op6_ngram_jaccard_join)}
