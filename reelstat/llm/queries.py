@@ -18,6 +18,13 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"), k=3, threshold=Fraction(9, 10))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.rules import judged
+
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged(_table(spark, sf_dir, "documents")).select("doc_id", *base, "base_failed", "kept", "quality")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelstat.llm.lines import repeated_lines
 
@@ -41,4 +48,4 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(materialise(digests, "pieces")).withColumn("length", F.col("length").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_benchmark_decontamination, op5_best_fit_packing, op6_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op5_best_fit_packing, op6_ngram_jaccard_join)}
