@@ -27,6 +27,9 @@ from reelstat.llm.text import Slice, slices, words
 END = 0
 #: Words remembered by one task at most; the memory starts afresh beyond, which changes no result.
 REMEMBERED = 1 << 20
+#: A control character that is one token, and the number of words encoded as one text.
+MARK = b"\x01"
+TOGETHER = 4096
 
 
 class WordEncoder:
@@ -37,6 +40,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark,) = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
@@ -46,16 +50,41 @@ class WordEncoder:
 
     def _learn(self, part: Slice, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         raw = part.data.tobytes()
-        texts = [raw[s:e].decode("utf-8") for s, e in zip(start.tolist(), end.tolist(), strict=True)]
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        length = np.array([len(x) for x in found], np.int64)
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(length.sum()))
+        spans = list(zip(start.tolist(), end.tolist(), strict=True))
+        ids, length = self._ids([raw[s:e] for s, e in spans])
         first = np.cumsum(length) - length + len(self.ids)
         order = np.argsort(np.concatenate([self.known, hashes]), kind="stable")
         self.known = np.concatenate([self.known, hashes])[order]
         self.first = np.concatenate([self.first, first])[order]
         self.length = np.concatenate([self.length, length])[order]
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words and how many each has. Many words are encoded as one text, with a mark of one id between them;
+        words that hold the mark themselves go one by one."""
+        length = np.zeros(len(texts), np.int64)
+        plain = [i for i, t in enumerate(texts) if MARK not in t]
+        joined = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        between = b" " + MARK + b" "
+        found = self._batch([(between.join([texts[i] for i in group]) + between).decode("utf-8") for group in joined])
+        parts: dict[int, np.ndarray] = {}
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        stops = np.flatnonzero(flat == self.mark)
+        length[plain] = np.diff(np.concatenate([[-1], stops])) - 1
+        flat = flat[flat != self.mark]
+        odd = [i for i, t in enumerate(texts) if MARK in t]
+        if not odd:
+            return flat, length
+        for i, own in zip(odd, self._batch([texts[i].decode("utf-8") for i in odd]), strict=True):
+            parts[i] = own
+        pieces = np.split(flat, np.cumsum(length[plain])[:-1]) if plain else []
+        parts |= dict(zip(plain, pieces, strict=True))
+        for i in odd:
+            length[i] = len(parts[i])
+        return np.concatenate([parts[i] for i in range(len(texts))]), length
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice's rows, each row ended by ``END``, and where each row begins and ends."""
