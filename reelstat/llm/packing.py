@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstat.llm.storage import materialise
-from reelstat.llm.text import Slice, slices, words
+from reelstat.llm.text import LOWER, Slice, mix, slices, span_hash, word_spans
 
 END = 0
 #: Words remembered by one task at most; the memory starts afresh beyond, which changes no result.
@@ -32,9 +32,31 @@ MARK = b"\x01"
 TOGETHER = 4096
 
 
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_TAIL = np.zeros(256, bool)
+_TAIL[33:127] = True
+_TAIL &= ~_ALNUM
+_TAIL[39] = False  # an apostrophe may begin a contraction
+
+
+def _stems_and_tails(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words cut before their closing ASCII punctuation where a letter or digit stands before it, as the tokenizer cuts there too."""
+    if not len(start):
+        return start, end
+    place = np.arange(len(data))
+    stem = np.maximum(np.maximum.accumulate(np.where(_TAIL[data], -1, place))[end - 1] + 1, start)
+    last, lead = data[np.maximum(stem - 1, 0)], data[np.maximum(stem - 2, 0)]
+    # the letters of two bytes from C3 80 to C3 BF are all but the signs of multiplication and division
+    letter = _ALNUM[last] | ((lead == 0xC3) & (last >= 0x80) & (last <= 0xBF) & (last != 0x97) & (last != 0xB7) & (stem - 2 >= start))
+    cut = (stem > start) & (stem < end) & letter
+    return np.sort(np.concatenate([start, stem[cut]])), np.sort(np.concatenate([stem[cut], end]))
+
+
 class WordEncoder:
     """Token ids of texts for a tokenizer that drops white space: a text's ids are those of its words one after another, so
-    each distinct word is encoded once. Words are recognised by a 64-bit hash."""
+    each distinct word is encoded once. The tokenizer also lower-cases, and parts words at closing punctuation, so words that
+    differ in these only are encoded together. Words are recognised by a 64-bit hash."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -88,24 +110,31 @@ class WordEncoder:
 
     def encode(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice's rows, each row ended by ``END``, and where each row begins and ends."""
-        w = words(part, lower=False)
+        if b"<|" in part.data.tobytes():  # may be a special token, which is matched as it is written
+            start, end = word_spans(part.data, part.offsets)
+            hashes = mix(span_hash(part.data, start, end) + np.uint64(1))
+        else:
+            part = Slice(part.columns, LOWER[part.data], part.offsets, part.null)
+            start, end = _stems_and_tails(part.data, *word_spans(part.data, part.offsets))
+            hashes = span_hash(part.data, start, end)
+        first_piece = np.searchsorted(start, part.offsets)
         if len(self.known) > REMEMBERED:
             self._forget()
-        distinct, example, index = np.unique(w.hash, return_index=True, return_inverse=True)
+        distinct, example, index = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, distinct)
         new = at == len(self.known)
         new[~new] = self.known[at[~new]] != distinct[~new]
         if new.any():
             e = example[new]
-            self._learn(part, distinct[new], w.start[e], w.end[e])
+            self._learn(part, distinct[new], start[e], end[e])
             at = np.searchsorted(self.known, distinct)
         # every row's words, then the end as a word of one id behind the others
-        entry = np.insert(at[index], w.first[1:], -1)
+        entry = np.insert(at[index], first_piece[1:], -1)
         first, length = np.append(self.first, len(self.ids)), np.append(self.length, 1)
         count, source = length[entry], first[entry]
         stop = np.cumsum(count)
         ids = np.append(self.ids, np.uint32(END))[np.repeat(source - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)]
-        bounds = np.concatenate([[0], stop])[np.concatenate([[0], w.first[1:] + np.arange(1, len(part) + 1)])]
+        bounds = np.concatenate([[0], stop])[np.concatenate([[0], first_piece[1:] + np.arange(1, len(part) + 1)])]
         return ids, bounds
 
 
@@ -155,7 +184,8 @@ def _cut(path: str, capacity: int):
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame:
     """The token ids of each row's whole text (doc_id, text; null text is empty), ended by id 0 and cut into pieces of at most
     ``capacity``: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), and the rank of the piece among those
-    of its length in its task. ``tokenizer`` is the path of a file that drops white space between words."""
+    of its length in its task. ``tokenizer`` is the path of a file that drops white space between words, lower-cases them, and keeps letters apart from
+    other signs."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_cut(tokenizer, capacity), _PIECE)
 

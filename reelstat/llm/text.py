@@ -16,8 +16,8 @@ SLICE_BYTES = 1 << 21
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = 1 << 20
@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-_BYTE_VALUE_LOWER = _BYTE_VALUE[_LOWER]
+_BYTE_VALUELOWER = _BYTE_VALUE[LOWER]
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -98,7 +98,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             begin = end
 
 
-def _is_word(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and byte after the last of every word; no word reaches over a row's end."""
     inside = ~_SPACE[data]
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -113,7 +114,7 @@ def _is_word(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, np.flatnonzero(inside & ~after) + 1
 
 
-def _span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray) -> np.ndarray:
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = _BYTE_VALUE) -> np.ndarray:
     """Polynomial hash of each span (ascending, apart from each other), modulo 2**64, finished by ``mix``.
 
     The powers are kept for a bounded number of positions, so the bytes are worked off in steps.
@@ -142,10 +143,10 @@ def _span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.
 
 def words(part: Slice, lower: bool = True) -> Words:
     """The words of all rows of a slice, A-Z lower-cased for the hash unless told otherwise."""
-    start, end = _is_word(part.data, part.offsets)
+    start, end = word_spans(part.data, part.offsets)
     first = np.searchsorted(start, part.offsets).astype(np.int64)
     row = np.repeat(np.arange(len(part)), np.diff(first))
-    return Words(_span_hash(part.data, start, end, _BYTE_VALUE_LOWER if lower else _BYTE_VALUE), row, start, end, first)
+    return Words(span_hash(part.data, start, end, _BYTE_VALUE_LOWER if lower else _BYTE_VALUE), row, start, end, first)
 
 
 def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
