@@ -45,6 +45,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_ODD, 2 * _STEP), _powers(_ODD_INVERSE, 2 * _STEP)
 
 
+#: ASCII letters and all bytes of other characters.
+LETTERS = np.zeros(256, bool)
+LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
+
+
 @dataclass
 class Slice:
     """Some rows of a batch: their other columns, and their texts as one byte array with row offsets (null: empty)."""
@@ -61,6 +66,22 @@ class Slice:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
 
+class HashSet:
+    """Places of 64-bit hashes in a sorted list; most hashes that are not in it are told apart by their highest bits."""
+
+    def __init__(self, keys: np.ndarray, bits: int = 20):
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.may = np.zeros(1 << bits, bool)
+        self.may[keys >> self.shift] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are in the list, and where in it each of these is."""
+        maybe = np.flatnonzero(self.may[hashes >> self.shift])
+        at = np.minimum(np.searchsorted(self.keys, hashes[maybe]), max(len(self.keys) - 1, 0))
+        hit = self.keys[at] == hashes[maybe] if len(self.keys) else np.zeros(len(maybe), bool)
+        return maybe[hit], at[hit]
+
+
 @dataclass
 class Words:
     """All words of a slice in order: 64-bit hash, row, first byte, byte after the last; ``first[i]`` is row i's first word."""
@@ -98,9 +119,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             begin = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and byte after the last of every word; no word reaches over a row's end."""
-    inside = ~_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = ~_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and byte after the last of every run of ``member`` bytes; no run reaches over a row's end."""
+    inside = member[data]
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     before = np.empty(len(data), bool)
