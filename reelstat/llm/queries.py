@@ -54,10 +54,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.langid import identified
+
+    return identified(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelstat.llm.ctw import scored
 
     return scored(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op5_best_fit_packing, op6_ngram_jaccard_join, op8_toxicity, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op5_best_fit_packing, op6_ngram_jaccard_join, op8_toxicity, op9_language_id, op10_lm_scoring)}
