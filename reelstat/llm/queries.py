@@ -37,6 +37,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return benchmark_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.quality import scored_quality
+
+    return scored_quality(_table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,4 +72,4 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op5_best_fit_packing, op6_ngram_jaccard_join, op8_toxicity, op9_language_id, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op4_quality_classifier, op5_best_fit_packing, op6_ngram_jaccard_join, op8_toxicity, op9_language_id, op10_lm_scoring)}
