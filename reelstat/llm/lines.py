@@ -36,40 +36,56 @@ def tolerance(length: int | np.ndarray) -> int | np.ndarray:
 MOST = int(tolerance(1 << 30))
 
 
+#: Values and blanks of the code points below 2**16; others are computed.
+_VALUE = mix((np.arange(1 << 16, dtype=np.uint64) + np.uint64(1)) * np.uint64(_ODD))
+_BLANK = np.zeros(1 << 16, bool)
+_BLANK[_SPACES] = True
+_powers = {b: np.ones(1, np.uint64) for b in (_ODD, pow(_ODD, -1, 1 << 64))}
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """The first n powers, kept from one slice to the next."""
+    if len(_powers[base]) < n:
+        factors = np.full(n, base, np.uint64)
+        factors[0] = 1
+        _powers[base] = np.cumprod(factors, dtype=np.uint64)
+    return _powers[base][:n]
+
+
 class Lines:
     """The lines of a slice as code points: begin and end of each, its row and its number in the row (from 0)."""
 
     def __init__(self, part: Slice, least: int):
-        sizes = []
-        texts = [part.text(i).decode("utf-8") for i in range(len(part))]
-        sizes = np.array([len(t) for t in texts], np.int64)
-        self.code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        self.code = np.frombuffer(part.data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        n, rows = len(self.code), np.arange(len(part))
+        if n == len(part.data):
+            offsets = part.offsets
+        else:
+            offsets = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])[part.offsets]
         # a row of n line feeds has n + 1 lines
         feed = np.flatnonzero(self.code == 10)
         feed_row = np.searchsorted(offsets, feed, side="right") - 1
-        rows = np.arange(len(part))
-        begin = np.concatenate([offsets[:-1], feed + 1])
-        row = np.concatenate([rows, feed_row])
-        order = np.lexsort((begin, row))
-        self.begin, self.row = begin[order], row[order]
-        self.end = np.concatenate([self.begin[1:] - 1, [0]])
-        last = np.concatenate([self.row[1:] != self.row[:-1], [True]]) if len(row) else np.zeros(0, bool)
-        self.end = np.where(last, offsets[1:][self.row], self.end) if len(row) else self.begin
+        place = np.sort(np.concatenate([rows * (n + 2) + offsets[:-1], feed_row * (n + 2) + feed + 1]))
+        self.row, self.begin = place // (n + 2), place % (n + 2)
         first = np.searchsorted(self.row, rows)
-        self.number = np.arange(len(self.row)) - first[self.row]
+        self.end = np.append(self.begin[1:] - 1, 0)
+        self.end[np.append(first[1:] - 1, len(place) - 1)] = offsets[1:]
+        self.number = np.arange(len(place)) - first[self.row]
         self.count = np.bincount(self.row, minlength=len(part))
-        black = np.concatenate([[0], np.cumsum(~np.isin(self.code, _SPACES))])
+        high = n and int(self.code.max()) >= 1 << 16
+        low = np.minimum(self.code, 0xFFFF) if high else self.code
+        value = _VALUE[low]
+        if high:
+            beyond = self.code >= 1 << 16
+            value[beyond] = mix((self.code[beyond].astype(np.uint64) + np.uint64(1)) * np.uint64(_ODD))
+        black = np.concatenate([[0], np.cumsum(~_BLANK[low], dtype=np.int32)])
         self.length = self.end - self.begin
         self.eligible = (self.length >= least) & (black[self.end] > black[self.begin])
-        n = len(self.code)
-        value = mix((self.code.astype(np.uint64) + np.uint64(1)) * np.uint64(_ODD))
-        up = np.full(n + 1, _ODD, np.uint64)
-        up[0] = 1
-        down = np.full(n + 1, pow(_ODD, -1, 1 << 64), np.uint64)
-        down[0] = 1
-        self.down = np.cumprod(down, dtype=np.uint64)
-        self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * np.cumprod(up, dtype=np.uint64)[:n], dtype=np.uint64)])
+        self.down = _power(pow(_ODD, -1, 1 << 64), n + 1)
+        value *= _power(_ODD, n + 1)[:n]
+        self.total = np.empty(n + 1, np.uint64)
+        self.total[0] = 0
+        np.cumsum(value, out=self.total[1:])
 
     def span(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.total[end] - self.total[begin]) * self.down[begin]
@@ -78,27 +94,6 @@ class Lines:
         return mix(self.span(self.begin, self.end) + self.length.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
 
-def _numbered(least: int):
-    """Per row: count of lines, and number and node of the eligible ones."""
-
-    def run(batches):
-        for part in slices(batches):
-            x = Lines(part, least)
-            keep = x.eligible
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(x.row[keep], minlength=len(part)))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.columns["doc_id"].cast(pa.int64()),
-                    pa.array(x.count.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.number[keep].astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.nodes()[keep])),
-                ],
-                ["doc_id", "n_lines", "numbers", "nodes"],
-            )
-
-    return run
-
-
 def _key(substring: np.ndarray, length: np.ndarray, segment: int) -> np.ndarray:
     return mix(substring + mix(length.astype(np.uint64) * np.uint64(64) + np.uint64(segment)))
 
@@ -131,17 +126,34 @@ def _entries(x: Lines, keep: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarra
                     yield chosen[fits], _key(x.span(s, s + size[fits]), t[fits], i)
 
 
-_SENT = "kind int, a long, b long, bucket int, hashes binary, nodes binary"
+_FOUND = "kind int, doc_id long, n_lines int, numbers array<int>, nodes array<long>, a long, b long, bucket int, hashes binary, ends binary"
 
 
-def _meeting_points(least: int, buckets: int):
-    """Kind 1: distinct keys of a slice by bucket, with one node each. Kind 2: the slice's further nodes of the same key."""
+def _found(kind: int, rows: int, **columns: pa.Array) -> pa.RecordBatch:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+    fields = [x.split() for x in _FOUND.split(", ")]
+    columns["kind"] = pa.array(np.full(rows, kind, np.int32))
+    return pa.RecordBatch.from_arrays([columns.get(n, pa.nulls(rows, types[t])) for n, t in fields], [n for n, _ in fields])
+
+
+def _scan(least: int, buckets: int):
+    """Kind 0: a row's count of lines, and number and node of the eligible ones. Kind 1: distinct keys of a slice by bucket, with
+    one node each. Kind 2: the slice's further nodes of the same key."""
 
     def run(batches):
         for part in slices(batches):
             x = Lines(part, least)
-            nodes = x.nodes()
-            keep = np.flatnonzero(x.eligible & (tolerance(x.length) > 0))
+            nodes, good = x.nodes(), x.eligible
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(x.row[good], minlength=len(part)))]).astype(np.int32))
+            yield _found(
+                0,
+                len(part),
+                doc_id=part.columns["doc_id"].cast(pa.int64()),
+                n_lines=pa.array(x.count.astype(np.int32)),
+                numbers=pa.ListArray.from_arrays(offsets, pa.array(x.number[good].astype(np.int32))),
+                nodes=pa.ListArray.from_arrays(offsets, pa.array(nodes[good])),
+            )
+            keep = np.flatnonzero(good & (tolerance(x.length) > 0))
             if not len(keep):
                 continue
             keep = keep[np.unique(nodes[keep], return_index=True)[1]]
@@ -149,15 +161,12 @@ def _meeting_points(least: int, buckets: int):
             node = np.concatenate([nodes[keep[c]] for c, _ in found])
             h = np.concatenate([k for _, k in found])
             a, b, lead = stars(h, node)
+            yield _found(2, len(a), a=pa.array(a), b=pa.array(b))
             h, node = h[lead], node[lead]
             bounds = buckets_of(h, buckets)
             full = np.flatnonzero(np.diff(bounds))
-            m, n = len(full), len(a)
-            kind = np.concatenate([np.full(m, 1), np.full(n, 2)]).astype(np.int32)
-            blobs = [pa.array([v[bounds[j] : bounds[j + 1]].tobytes() for j in full] + [None] * n, pa.binary()) for v in (h, node)]
-            ends = [pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(v)]) for v in (a, b)]
-            bucket = pa.concat_arrays([pa.array(full.astype(np.int32)), pa.nulls(n, pa.int32())])
-            yield pa.RecordBatch.from_arrays([pa.array(kind), *ends, bucket, *blobs], [c.split()[0] for c in _SENT.split(", ")])
+            hashes, ends = (pa.array([v[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for v in (h, node))
+            yield _found(1, len(full), bucket=pa.array(full.astype(np.int32)), hashes=hashes, ends=ends)
 
     return run
 
@@ -307,10 +316,10 @@ def line_classes(docs: DataFrame, least: int = 16) -> tuple[DataFrame, DataFrame
     (node, class) of the nodes that an edit link joins to others."""
     buckets = repartition_count(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    numbered = materialise(docs.mapInArrow(_numbered(least), "doc_id long, n_lines int, numbers array<int>, nodes array<long>"), "lines")
-    sent = materialise(docs.select("text").mapInArrow(_meeting_points(least, buckets), _SENT), "segments")
-    met = sent.where("kind = 1").select("bucket", "hashes", "nodes").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    edges = met.mapInArrow(meeting, "a long, b long").union(sent.where("kind = 2").select("a", "b"))
+    found = materialise(docs.mapInArrow(_scan(least, buckets), _FOUND), "lines")
+    numbered = found.where("kind = 0").select("doc_id", "n_lines", "numbers", "nodes")
+    met = found.where("kind = 1").select("bucket", "hashes", "ends").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    edges = met.mapInArrow(meeting, "a long, b long").union(found.where("kind = 2").select("a", "b"))
     family = materialise(components(edges).withColumnRenamed("component", "family"), "family")
     held = bitmap(family, "node", hashed=True)
     lines = docs.select("text").mapInArrow(_texts(least, held), "node long, n int, line string").dropDuplicates(["node"])
