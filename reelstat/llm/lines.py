@@ -335,18 +335,17 @@ def repeated_lines(docs: DataFrame, least: int = 16) -> DataFrame:
 
     Lines end at line feeds. Lines of ``least`` code points or more with a word fall into classes, connected by edit
     distances within ``tolerance`` of the shorter one's length; of each class the first line by doc_id and number stays. Shorter
-    lines always stay. Null and empty texts lose nothing; a repeated row loses the lines that an equal row keeps only if its
-    doc_id is larger, so equal rows have equal results; rows with a null doc_id lose every line found in a document with one,
-    and otherwise keep theirs. Other columns are ignored; an empty table gives an empty result.
+    lines always stay. Null and empty texts lose nothing. Equal rows have equal results, as an id and number name one line; rows
+    with a null doc_id lose nothing and take nothing from others. Other columns are ignored; an empty table gives an empty result.
     """
     numbered, near = line_classes(docs, least)
     line = numbered.select("doc_id", F.explode(F.arrays_zip("numbers", "nodes")).alias("l")).select("doc_id", "l.numbers", "l.nodes")
-    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "numbers"))).alias("first")
-    of_node = line.groupBy("nodes").agg(first, F.count("*").alias("n"))
+    line = line.where("doc_id is not null")
+    of_node = line.groupBy("nodes").agg(F.min(F.struct("doc_id", "numbers")).alias("first"), F.count("*").alias("n"))
     classed = of_node.join(near, F.col("nodes") == F.col("node"), "left").select("nodes", "first", "n", F.coalesce("class", "nodes").alias("class"))
-    kept = classed.groupBy("class").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1 and kept is not null")
+    kept = classed.groupBy("class").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
     repeated = materialise(classed.select("nodes", "class").join(kept, "class").select("nodes", "kept"), "repeated")
-    again = line.join(repeated, "nodes").where("doc_id is null or doc_id <> kept.doc_id or numbers <> kept.numbers")
+    again = line.join(repeated, "nodes").where("doc_id <> kept.doc_id or numbers <> kept.numbers")
     removed = again.groupBy("doc_id").agg(F.sort_array(F.collect_set("numbers")).alias("removed"))
     nothing = F.array().cast("array<int>")
     rows = numbered.select("doc_id", "n_lines").join(removed, "doc_id", "left")

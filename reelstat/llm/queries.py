@@ -54,6 +54,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(materialise(digests, "pieces")).withColumn("length", F.col("length").cast("long"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.warc import archived
+
+    return archived(_table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelstat.llm.toxicity import graded
 
@@ -72,4 +78,4 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op4_quality_classifier, op5_best_fit_packing, op6_ngram_jaccard_join, op8_toxicity, op9_language_id, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op4_quality_classifier, op5_best_fit_packing, op6_ngram_jaccard_join, op7_warc, op8_toxicity, op9_language_id, op10_lm_scoring)}

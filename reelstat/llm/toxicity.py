@@ -179,3 +179,20 @@ def graded(docs: DataFrame, labels: DataFrame, cut: float = 0.5, sample: int = S
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, severity double, grade long, p_toxic double, toxic boolean")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.5, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that ``graded`` does not call toxic, as they are and with all their columns, in the same scan."""
+    keys, model = fit_toxicity(docs, labels, sample)
+
+    def run(batches):
+        chosen = HashSet(keys)
+        for batch in batches:
+            keep = [np.zeros(0, bool)]
+            for part in slices(iter([batch])):
+                row, feature, n = _counts(part, chosen)
+                score = np.bincount(row, model.weights[feature] * model.value(n), len(part)) if len(row) else np.zeros(len(part))
+                keep.append(1 - model.probabilities(score)[:, 0] < cut)
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(run, docs.schema)
