@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-_BYTE_VALUELOWER = _BYTE_VALUE[LOWER]
+_BYTE_VALUE_LOWER = _BYTE_VALUE[LOWER]
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
