@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
 from reelstat.llm.components import components
-from reelstat.llm.storage import bitmap, in_bitmap, materialise, repartition_count
+from reelstat.llm.storage import bitmap, fresh, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import Slice, mix, slices
 
 _ODD = 0x9E3779B97F4A7C15
@@ -357,10 +357,11 @@ def without_repeated_lines(docs: DataFrame, least: int = 16) -> DataFrame:
 
     Other columns stay as they are. See ``repeated_lines``.
     """
-    lost = repeated_lines(docs, least).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
-    lines = F.split("text", "\n", -1)
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_removed", i)), "\n")
-    cut = docs.join(lost.distinct(), docs["doc_id"] == F.col("_id"), "left").withColumn(
-        "text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left)
+    lost = repeated_lines(docs, least).where(F.size("removed") > 0).distinct()
+    number, numbers = fresh("doc_id", docs.columns), fresh("removed", docs.columns)
+    lost = lost.select(F.col("doc_id").alias(number), F.col("removed").alias(numbers))
+    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(numbers, i)), "\n")
+    cut = docs.join(lost, docs["doc_id"].cast("long") == lost[number], "left").withColumn(
+        "text", F.when(F.col(numbers).isNull(), F.col("text")).otherwise(left)
     )
-    return cut.where(F.col("_removed").isNull() | F.col("text").rlike("[^ \t\n\x0b\f\r]")).select(*docs.columns)
+    return cut.where(F.col(numbers).isNull() | F.col("text").rlike("[^ \t\n\x0b\f\r]")).select(*docs.columns)

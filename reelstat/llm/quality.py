@@ -70,8 +70,8 @@ def _votes(part: Slice, w: Words) -> np.ndarray:
     measured = [  # bad, good
         (symbols > 0.25, symbols < 0.05),
         (upper > 0.4, upper < 0.15),
-        (again > 0.3, again < 0.1),
-        (doubled > 0.3, (doubled < 0.1) & (np.diff(line) >= 2)),
+        (again > 0.45, again < 0.1),
+        ((doubled > 0.3) & (np.diff(line) >= 5), (doubled < 0.1) & (np.diff(line) >= 2)),
         (distinct < 0.2, distinct > 0.4),
         ((length < 2.5) | (length > 12), (length >= 3.5) & (length <= 9)),
         ((stops < 0.01) | (stops > 0.5), (stops > 0.03) & (stops < 0.3)),
@@ -150,7 +150,7 @@ def fit_quality(docs: DataFrame, sample: int = SAMPLE) -> tuple[RuleModel, Linea
     counts = text.select("text").mapInArrow(_voted, "votes array<int>, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
     if not counts:
         return None
-    model = RuleModel.fit(sorted((tuple(r["votes"]), r["n"]) for r in counts))
+    model = RuleModel.fit(sorted((tuple(r["votes"]), r["n"]) for r in counts), len(LABELLERS))
     total = sum(r["n"] for r in counts)
     # every document has the same chance, by hash, so a third attempt of a task draws the same ones
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, sample / total))

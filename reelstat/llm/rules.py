@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from reelstat.llm.storage import materialise
 
 SPACES = "[ \t\n\x0b\f\r]+"
-MOST_FALSE, LEAST_FOUND = 0.02, 0.5
+MOST_FALSE, LEAST_FOUND = 0.005, 0.5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_distinct", "n_stops")
 
 
@@ -94,8 +94,8 @@ def default_rules() -> dict[str, Column]:
         "length": vote(F.col("n_words") < 50, F.col("n_words") >= 100),
         "symbols": vote(symbols > 0.25, symbols < 0.05),
         "upper": vote(upper > 0.4, upper < 0.15),
-        "repeats": vote(repeats > 0.3, repeats < 0.1),
-        "doubled_lines": vote(doubled > 0.3, (doubled < 0.1) & (F.col("n_lines") >= 2)),
+        "repeats": vote(repeats > 0.45, repeats < 0.1),
+        "doubled_lines": vote((doubled > 0.3) & (F.col("n_lines") >= 5), (doubled < 0.1) & (F.col("n_lines") >= 2)),
         "variety": vote(distinct < 0.2, distinct > 0.4),
         "word_length": vote((length < 2.5) | (length > 12), (length >= 3.5) & (length <= 9)),
         "stops": vote((stops < 0.01) | (stops > 0.5), (stops > 0.03) & (stops < 0.3)),
@@ -122,15 +122,14 @@ class RuleModel:
         return [x / sum(odds) for x in odds]
 
     @staticmethod
-    def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> RuleModel:
+    def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 50) -> RuleModel:
         """Expectation-maximisation over (votes, count). A rule is taken to be right when it votes bad: at most ``MOST_FALSE``
         of its votes on good documents are bad, and at least ``LEAST_FOUND`` of those on junk of its kind."""
-        rules = len(patterns[0][0]) if patterns else 0
         kinds = range(1, rules + 1)
-        model = RuleModel([0.9] + [0.1 / max(rules, 1)] * rules, [[MOST_FALSE] * rules] + [[0.9 if j + 1 == k else 0.1 for j in range(rules)] for k in kinds])
+        model = RuleModel([0.9] + [0.1 / rules] * rules, [[MOST_FALSE] * rules] + [[0.9 if j + 1 == k else 0.1 for j in range(rules)] for k in kinds])
         for _ in range(rounds):
             total = [1.0] * (rules + 1)
-            votes_of, bad_of = ([[1.0 * w] * rules for _ in total] for w in (2, 1))
+            votes_of, bad_of = ([[w] * rules for _ in total] for w in (1.0, 0.1))  # one vote in ten is bad, worth one vote
             for votes, n in patterns:
                 for c, p in enumerate(model.posterior(votes)):
                     total[c] += p * n
@@ -167,7 +166,7 @@ def judged(docs: DataFrame, rules: dict[str, Column] | None = None, cut: float =
     measured = materialise(measures(docs).select("*", *(v.cast("int").alias(f"vote_{n}") for n, v in rules.items())), "measures")
     votes = [f"vote_{n}" for n in names]
     counts = measured.groupBy(*votes).agg(F.count("*").alias("n")).collect()  # at most 3 ** rules rows
-    model = RuleModel.fit([(tuple(r[v] for v in votes), r["n"]) for r in sorted(counts)])
+    model = RuleModel.fit([(tuple(r[v] for v in votes), r["n"]) for r in sorted(counts)], len(names))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         measured.withColumn("base_failed", failed)

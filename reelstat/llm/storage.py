@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from reelstat.session import materialise, shared_path
 
-__all__ = ["bitmap", "in_bitmap", "materialise", "repartition_count", "shared_path"]
+__all__ = ["bitmap", "fresh", "in_bitmap", "materialise", "repartition_count", "shared_path"]
 
 BITMAP_BITS = 23
 
@@ -38,3 +38,10 @@ def in_bitmap(held: np.ndarray, slot: np.ndarray) -> np.ndarray:
 
 def repartition_count(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name

@@ -147,11 +147,11 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.n
         upto = max(int(np.searchsorted(end, base + 2 * _STEP, side="right")), done + 1)
         s, e = start[done:upto] - base, end[done:upto] - base
         if e[-1] > 2 * _STEP:  # a single span longer than the kept powers
-            value = np.uint64(0)
+            value = np.zeros(1, np.uint64)
             for k in range(0, int(e[-1]), 2 * _STEP):
                 piece = values[data[base + k : base + min(k + 2 * _STEP, int(e[-1]))]]
-                value = mix(np.array([value + np.sum(piece * _UP[: len(piece)], dtype=np.uint64)], np.uint64))[0]
-            out[done] = value
+                value = mix(value + np.sum(piece * _UP[: len(piece)], dtype=np.uint64, keepdims=True))
+            out[done] = value[0]
         else:
             total = np.empty(int(e[-1]) + 1, np.uint64)
             total[0] = 0
