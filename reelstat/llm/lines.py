@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
-from reelstat.llm.components import components
+from reelstat.llm.components import components, forest
 from reelstat.llm.storage import bitmap, fresh, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import Slice, mix, slices
 
@@ -265,20 +265,6 @@ def _possible(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(first or [[]]).astype(int), np.concatenate(second or [[]]).astype(int)
 
 
-def _forest(nodes: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    label = np.arange(len(nodes))
-    while True:
-        least = label.copy()
-        np.minimum.at(least, a, label[b])
-        np.minimum.at(least, b, label[a])
-        least = least[least]
-        if (least == label).all():
-            break
-        label = least
-    moved = label != np.arange(len(nodes))
-    return nodes[moved], nodes[label[moved]]
-
-
 def _verified(batches):
     """Links of unit after unit (sorted by unit); the distances of many units are computed together."""
 
@@ -290,7 +276,7 @@ def _verified(batches):
             length = np.array([len(t) for t in texts])
             near = far[at : at + len(a)] <= tolerance(np.minimum(length[a], length[b]))
             at += len(a)
-            x, y = _forest(nodes, a[near], b[near])
+            x, y = forest(nodes, a[near], b[near])
             first.append(x)
             second.append(y)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.concatenate(second))], ["a", "b"])
