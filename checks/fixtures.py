@@ -11,7 +11,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.sources.tables import spread_single_split
+from reelstat.session import shared_path
+
 
 AS_OF = datetime(2024, 1, 31)
 SPLIT = datetime(2024, 1, 16)  # first batch: before; second: from here on
@@ -20,6 +21,8 @@ SHARD_DAY = date(2000, 1, 3)
 LONG_WATCH = 30.0  # value above which analytics events travel in grouped documents
 AI_VALUE = 20.0
 VECTOR_DIM = 64
+LATE_VALUE = 20.0  # events of higher value arrive last in a stream
+LATENESS = "2 days"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -30,6 +33,11 @@ def before(df: DataFrame, ts: str, moment: datetime) -> DataFrame:
     return df.where(F.col(ts) < F.lit(str(moment)).cast("timestamp_ntz"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The supplied tables are one file each, which is one split: their rows are dealt out before they are parsed."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _renamed(column: str, names: dict[str, str], other: str) -> Column:
     out = None
     for value, name in names.items():
@@ -38,7 +46,7 @@ def _renamed(column: str, names: dict[str, str], other: str) -> Column:
 
 
 def flat_events(spark: SparkSession, sf: str) -> DataFrame:
-    e = spread_single_split(table(spark, sf, "events"))
+    e = spread(table(spark, sf, "events"))
     return e.select(
         "event_id",
         "ts",
@@ -276,7 +284,17 @@ def pair_stats(spark: SparkSession, sf: str, condition: Column) -> DataFrame:
     )
 
 
+def stream_of(spark: SparkSession, *batches: DataFrame) -> DataFrame:
+    """A stream whose micro-batches are the given tables, one file each."""
+    folder = shared_path(spark, "batches")
+    for k, batch in enumerate(batches):
+        batch.coalesce(1).write.parquet(f"{folder}/{k:03d}")
+    reader = spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{folder}/*")
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events file as a stream."""
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
+    """The events in two micro-batches."""
+    events = table(spark, sf, "events")
+    split = F.lit(str(SPLIT)).cast("timestamp_ntz")
+    return stream_of(spark, events.where(F.col("ts") < split), events.where(F.col("ts") >= split))

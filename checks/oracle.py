@@ -315,18 +315,21 @@ s.user_id IS NOT NULL AND t.clicked AS clicked {_left}"""
 _watch = "event_type = 'view' AND value <= 100"
 
 
-def _relation(condition: str) -> str:
+def _joined_relation(condition: str) -> str:
+    """Watches, to which likes and shares of the same pair are joined."""
+    last = lambda kind, c: f"(SELECT user_id, video_id, max(ts) AS {c} FROM ev WHERE event_type = '{kind}' AND {condition} GROUP BY ALL)"
     return f"""
-SELECT user_id, video_id, max(ts) FILTER ({_watch}) AS last_watched_timestamp,
-  avg(value) FILTER ({_watch}) / 100 AS mean_percentage_watched,
-  max(ts) FILTER (event_type = 'click') AS last_liked_timestamp, count(*) FILTER (event_type = 'click') > 0 AS liked,
-  max(ts) FILTER (event_type = 'purchase') AS last_shared_timestamp, count(*) FILTER (event_type = 'purchase') > 0 AS shared
-FROM ev WHERE {condition} GROUP BY user_id, video_id HAVING count(*) FILTER ({_watch}) > 0"""
+SELECT w.user_id, w.video_id, last_watched_timestamp, mean_percentage_watched, last_liked_timestamp, l.user_id IS NOT NULL AS liked,
+  last_shared_timestamp, s.user_id IS NOT NULL AS shared
+FROM (SELECT user_id, video_id, max(ts) AS last_watched_timestamp, avg(value) / 100 AS mean_percentage_watched
+  FROM ev WHERE {_watch} AND {condition} GROUP BY ALL) w
+LEFT JOIN {last('click', 'last_liked_timestamp')} l ON w.user_id = l.user_id AND w.video_id = l.video_id
+LEFT JOIN {last('purchase', 'last_shared_timestamp')} s ON w.user_id = s.user_id AND w.video_id = s.video_id"""
 
 
-PARTS["rel"] = _relation("true")
-PARTS["rel0"] = _relation(f"ts < {SPLIT}")
-PARTS["relb"] = _relation("ts > (SELECT max(last_watched_timestamp) FROM rel0)")
+PARTS["rel"] = _joined_relation("true")
+PARTS["rel0"] = _joined_relation(f"ts < {SPLIT}")
+PARTS["relb"] = _joined_relation("ts > (SELECT max(last_watched_timestamp) FROM rel0)")
 _new = "s.user_id IS NOT NULL"
 PARTS["rel1"] = (
     f"SELECT {_keys}, "
@@ -568,25 +571,36 @@ PARTS["follows"] = """
 SELECT user_id AS follower_id, video_id AS following_id, event_type = 'signup' AS active, ts AS last_updated_timestamp
 FROM ev WHERE event_type IN ('signup', 'error')
 QUALIFY row_number() OVER (PARTITION BY user_id, video_id ORDER BY ts DESC, event_type DESC) = 1"""
-for _name in ("follower_graph", "follower_graph_incr", "create_or_merge", "stream_latest_state", "stream_increment"):
+for _name in ("follower_graph", "stream_latest_state"):
     ORACLES[_name] = _sql("SELECT * FROM follows")
+# states from before the second batch were blanked, and stay so unless the batch has the pair
+for _name in ("follower_graph_incr", "create_or_merge", "stream_increment"):
+    ORACLES[_name] = _sql(
+        f"""SELECT follower_id, following_id, CASE WHEN last_updated_timestamp >= {SPLIT} THEN active END AS active,
+last_updated_timestamp FROM follows"""
+    )
 
 _null_fields = [
     "btc_balance_e8s", "city", "country", "creator_commision_percentage", "custom_device_id", "device", "distinct_id",
     "game_type", "ip", "ip_addr", "is_game_enabled", "is_logged_in", "is_nsfw_enabled", "principal", "user_agent", "visitor_id",
 ]
-for _name in ("video_upload_stats", "video_upload_stats_incr"):
+for _name, _city in (("video_upload_stats", "NULL"), ("video_upload_stats_incr", f"CASE WHEN ts < {SPLIT} THEN 'old' END")):
     ORACLES[_name] = _sql(
         f"""SELECT 'd' || user_id AS device_id, CASE WHEN value > 50 THEN 'android' ELSE 'ios' END AS os,
 CAST(NULL AS VARCHAR) AS user_id, 'video_upload_success' AS event, CAST(value > 40 AS VARCHAR) AS is_creator, region,
 CAST(event_id AS VARCHAR) AS sats_balance, 'v' || event_id AS video_id,
 CASE WHEN value > 10 THEN 'camera' ELSE 'gallery' END AS upload_type, ts AS timestamp,
-{", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in _null_fields)} FROM docs WHERE event_type = 'signup' AND value <= 30"""
+{", ".join(f"CAST({_city if c == 'city' else 'NULL'} AS VARCHAR) AS {c}" for c in _null_fields)} FROM docs WHERE event_type = 'signup' AND value <= 30"""
     )
-for _name in ("bot_uploaded_content", "bot_uploaded_content_incr"):
+_shown = "'user ' || user_id"
+for _name, _display in (
+    ("bot_uploaded_content", _shown),
+    ("chain_second_run", _shown),
+    ("bot_uploaded_content_incr", f"CASE WHEN ts < {SPLIT} THEN 'old' ELSE {_shown} END"),
+):
     ORACLES[_name] = _sql(
-        """SELECT user_id, user_id AS publisher_user_id, 'c' || video_id AS canister_id, 'v' || event_id AS video_id,
-CAST(event_id AS VARCHAR) AS post_id, country, 'user ' || user_id AS display_name, ts AS timestamp
+        f"""SELECT user_id, user_id AS publisher_user_id, 'c' || video_id AS canister_id, 'v' || event_id AS video_id,
+CAST(event_id AS VARCHAR) AS post_id, country, {_display} AS display_name, ts AS timestamp
 FROM docs WHERE event_type = 'signup' AND country LIKE '%-BOT'"""
     )
 
@@ -656,16 +670,28 @@ ORACLES["user_base_facts_incr"] = _sql(
 )
 PARTS["per_day"] = """
 SELECT CAST(ts AS DATE) AS event_date, event_type AS event_name, count(*) AS event_count FROM events GROUP BY ALL"""
-ORACLES["daily_event_counts"] = _sql(
-    """SELECT * FROM per_day WHERE event_date IN
-(SELECT event_date FROM (SELECT DISTINCT event_date FROM per_day) ORDER BY event_date DESC LIMIT 100)"""
-)
+ORACLES["daily_event_counts"] = _sql("SELECT * FROM per_day")
 ORACLES["daily_event_counts_update"] = _sql("SELECT * FROM per_day WHERE event_date <= DATE '2024-01-15'")
-ORACLES["stream_daily_counts"] = _sql("SELECT * FROM per_day")
-ORACLES["stream_lookback_upsert"] = f"""
-SELECT user_id, event_type, ts, {r("value")} FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY
+# late rows count while their day is open: until a batch ends with a row two days after the day's end, and the next one as well
+ORACLES["stream_daily_counts"] = f"""
+SELECT CAST(ts AS DATE) AS event_date, event_type AS event_name, count(*) AS event_count FROM events
+WHERE value <= 20 OR CAST(ts AS DATE) + INTERVAL 1 DAY >
+  (SELECT max(ts) FROM events WHERE value <= 20 AND ts < {SPLIT}) - INTERVAL 2 DAY
+GROUP BY ALL"""
+
+
+def _seen(condition: str) -> str:
+    return f"""
+SELECT user_id, event_type, ts, value FROM events WHERE {condition} AND ts >= (SELECT max(ts) FROM events WHERE {condition}) - INTERVAL 7 DAY
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1"""
 
+
+PARTS["seen1"], PARTS["seen2"] = _seen(f"ts < {SPLIT}"), _seen(f"ts >= {SPLIT}")
+ORACLES["stream_lookback_upsert"] = _sql(
+    f"""SELECT user_id, event_type, ts, {r("value")} FROM (SELECT * FROM seen2 UNION ALL SELECT * FROM seen1 ANTI JOIN seen2
+USING (user_id, event_type))"""
+)
+
 # --- embeddings --------------------------------------------------------------------------------------------------
 
 _letters = ", ".join(
@@ -674,6 +700,13 @@ _letters = ", ".join(
 ORACLES["embed_new_videos"] = f"""
 SELECT 'doc_' || doc_id AS uri, toxic = 1 AS is_nsfw, CASE WHEN quality = 1 THEN 'neutral' ELSE 'explicit' END AS nsfw_ec,
   'UNKNOWN' AS nsfw_gore, {_letters} FROM documents JOIN labels USING (doc_id) WHERE lang <> 'de'"""
+_spans = ", ".join(
+    r(f"CAST(length(part) - length(replace(part, '{c}', '')) AS DOUBLE)", f"count_{c}") for c in "abcdefgh"
+)
+ORACLES["embed_segments"] = f"""
+SELECT uri, {r("CAST(a AS DOUBLE)", "start")}, {r("CAST(least(a + 1000, length(text)) AS DOUBLE)", '"end"')}, {_spans}
+FROM (SELECT 'doc_' || doc_id AS uri, text, a, substr(text, a + 1, 1000) AS part
+  FROM documents, unnest(range(0, length(text), 1000)) AS spans(a))"""
 _fit = "stamp IS NOT NULL AND publisher IS NOT NULL AND len(embedding) = 64"
 _index = """uri, {} AS post_id, stamp AS timestamp, NULL AS canister_id, publisher AS publisher_user_id,
 nsfw_ec, nsfw_gore, is_nsfw"""
@@ -691,6 +724,16 @@ _similar = """SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[],
 for _name in ("vector_search_exact", "vector_search_all_cells"):
     ORACLES[_name] = f"SELECT vec_id, {r('sim', 'similarity')} FROM ({_similar})"
 
+_angle = "list_cosine_similarity({}::DOUBLE[], {}::DOUBLE[])"
+ORACLES["vector_search_ivf"] = f"""
+WITH centers AS (SELECT vec_id AS c, embedding AS center FROM embeddings ORDER BY vec_id LIMIT 8),
+q AS (SELECT embedding AS query FROM embeddings ORDER BY vec_id LIMIT 1),
+near AS (SELECT c FROM centers, q ORDER BY {_angle.format("center", "query")} DESC, c LIMIT 3),
+cells AS (SELECT vec_id, embedding, c FROM embeddings, centers
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY {_angle.format("embedding", "center")} DESC, c) = 1)
+SELECT vec_id, {r("sim", "similarity")} FROM (SELECT vec_id, {_angle.format("embedding", "query")} AS sim
+  FROM cells JOIN near USING (c), q ORDER BY sim DESC, vec_id LIMIT 5)"""
+
 # --- ingestion and serving ---------------------------------------------------------------------------------------
 
 ORACLES["latest_events_copy"] = """
@@ -701,9 +744,17 @@ ORACLES["sync_incremental"] = _sql(
 UNION ALL {_videos_out.replace(" FROM ", f", {SPLIT} AS _updated_at FROM ")} vi0
 WHERE video_id NOT IN (SELECT video_id FROM vi WHERE last_update_timestamp >= {_moved})"""
 )
+ORACLES["sync_after_compaction"] = ORACLES["sync_incremental"]
 _approval = """CAST(doc_id AS VARCHAR) AS video_id, {} AS post_id, source AS canister_id, lang AS user_id,
 lang = 'en' AS is_approved, {} AS _updated_at"""
 ORACLES["sync_full"] = f"""SELECT {_approval.format("'p' || doc_id", AS_OF)} FROM documents"""
 ORACLES["current_view"] = f"""SELECT {_approval.format(
     "CASE WHEN lang = 'en' THEN 'new' ELSE 'p' || doc_id END", f"CASE WHEN lang = 'en' THEN {AS_OF} ELSE {SPLIT} END")}
 FROM documents"""
+
+ORACLES["merge_touched_partitions"] = ORACLES["merge_upsert"]
+ORACLES["merge_appended"] = ORACLES["merge_insert_only"]
+ORACLES["chain_first_run"] = ORACLES["video_statistics_normalized"]
+ORACLES["train_classifier"] = f"""
+SELECT ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 1000 < 200 AS held_out, count(*) AS rows,
+  {r("avg(len(string_split(text, ' ')))", "mean_words")}, true AS fitted FROM documents JOIN labels USING (doc_id) GROUP BY ALL"""

@@ -16,7 +16,7 @@ from checks.rounding import digits, offset
 from reelstat.functions import arrays, jsonx, numeric, timex
 from reelstat.operators import aggregates, filters, joins, ordering, vectors, windows
 from reelstat.operators.merge import merge
-from reelstat.plans import classify, counts, embeddings, graph, ingest, metrics, moderation, popularity, relation, uploads
+from reelstat.plans import chain, classify, counts, embeddings, graph, ingest, metrics, moderation, popularity, relation, uploads
 from reelstat.plans import users as user_plans
 from reelstat.session import materialise, shared_path
 from reelstat.sources import serving, tables
@@ -118,15 +118,34 @@ def create_or_merge(spark, sf):
     first = fx.before(events, "timestamp", fx.SPLIT)
     for source in (first, events):
         table.create_or_merge(
-            lambda: graph.follower_graph(source), lambda current: graph.follower_graph_increment(current, source)
+            lambda: _unmarked(graph.follower_graph(source)), lambda current: graph.follower_graph_increment(current, source)
         )
     return table.read()
 
 
+def _unmarked(follows: DataFrame) -> DataFrame:
+    """Follow states without their state: an increment must leave these rows alone, a rebuild would fill them."""
+    return follows.withColumn("active", F.lit(None).cast("boolean"))
+
+
 @query
-def object_metadata(spark, sf):
-    listing = tables.object_metadata(spark, sf, n=10, pattern="*.parquet")
-    return listing.select(F.element_at(F.split("path", "/"), -1).alias("name"), "modificationTime", "length")
+def merge_touched_partitions(spark, sf):
+    """A table laid out by date: the merge writes only the dates that hold a matched row again."""
+    t, s = _merge_sides(spark, sf)
+    table = SnapshotTable(spark, shared_path(spark, "touched"), partition_ts="last_ts", cluster=PAIR)
+    table.replace(t)
+    table.merge(s, PAIR, set="*", insert="*", source_unique=True)
+    return table.read()
+
+
+@query
+def merge_appended(spark, sf):
+    """A merge that only inserts appends the new rows and writes no file again."""
+    t, s = _merge_sides(spark, sf)
+    table = SnapshotTable(spark, shared_path(spark, "appended"))
+    table.replace(t)
+    table.merge(s, PAIR, insert="*")
+    return table.read()
 
 
 # --- functions ---------------------------------------------------------------------------------------------------
@@ -708,20 +727,24 @@ def follower_graph(spark, sf):
 @query
 def follower_graph_incr(spark, sf):
     events = fx.engagement_events(spark, sf)
-    target = materialise(graph.follower_graph(fx.before(events, "timestamp", fx.SPLIT)), "graph")
+    target = materialise(_unmarked(graph.follower_graph(fx.before(events, "timestamp", fx.SPLIT))), "graph")
     return graph.follower_graph_increment(target, events)
 
 
 @query
 def video_upload_stats(spark, sf):
-    return uploads.video_upload_stats(fx.analytics_events(spark, sf).where(F.col("publish_time").isNotNull()))
+    return uploads.video_upload_stats(fx.analytics_events(spark, sf))
 
 
 @query
 def video_upload_stats_incr(spark, sf):
-    docs = fx.analytics_events(spark, sf)
-    target = materialise(uploads.video_upload_stats(fx.before(docs, "publish_time", fx.SPLIT)), "uploads")
-    return uploads.video_upload_stats_increment(target, docs)
+    """From the ingest table laid out by date, which grows by appends; the statistics before the second batch are marked."""
+    docs, split = fx.analytics_events(spark, sf), F.lit(str(fx.SPLIT)).cast("timestamp_ntz")
+    parsed = SnapshotTable(spark, shared_path(spark, "parsed"), partition_ts="timestamp", cluster=["video_id"])
+    parsed.append(uploads.parsed_uploads(docs.where(F.col("publish_time") < split)))
+    target = materialise(parsed.read().withColumn("city", F.lit("old")), "uploads")
+    parsed.append(uploads.parsed_uploads(docs.where(F.col("publish_time") >= split)))
+    return target.unionByName(uploads.new_upload_stats(target, parsed.read(dates=True)))
 
 
 @query
@@ -732,7 +755,8 @@ def bot_uploaded_content(spark, sf):
 @query
 def bot_uploaded_content_incr(spark, sf):
     events = fx.upload_events(spark, sf)
-    target = materialise(uploads.bot_uploaded_content(fx.before(events, "timestamp", fx.SPLIT)), "bots")
+    first = uploads.bot_uploaded_content(fx.before(events, "timestamp", fx.SPLIT))
+    target = materialise(first.withColumn("display_name", F.lit("old")), "bots")
     return uploads.bot_uploaded_content_increment(target, events)
 
 
@@ -834,11 +858,32 @@ def _document_objects(spark, sf):
 def embed_new_videos(spark, sf):
     objects, scores = _document_objects(spark, sf)
     existing = objects.where("lang = 'de'").select("uri")
-    made = embeddings.embed_new_videos(objects, scores, existing, letter_counts, limit=None, columns=("text",))
+    made = embeddings.embed_new_videos(objects, scores, existing, letter_counts, columns=("text",))
     letters = [F.col(embeddings.VECTOR)[i].alias(f"count_{c}") for i, c in enumerate(LETTERS)]
     return made.select("uri", "is_nsfw", "nsfw_ec", "nsfw_gore", *letters)
 
 
+SPAN = 1000
+
+
+def letter_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    """Stand-in for a model of segments: letter counts of each span of a whole text."""
+    for batch in batches:
+        yield batch["text"].map(
+            lambda t: [
+                (float(a), float(min(a + SPAN, len(t))), [float(t[a : a + SPAN].count(c)) for c in LETTERS]) for a in range(0, len(t), SPAN)
+            ]
+        )
+
+
+@query
+def embed_segments(spark, sf):
+    objects, _ = _document_objects(spark, sf)
+    made = embeddings.embed_segments(objects.select("uri", "text"), letter_spans, ("text",))
+    letters = [F.col(embeddings.VECTOR)[i].alias(f"count_{c}") for i, c in enumerate(LETTERS)]
+    return made.select("uri", "start", "end", *letters)
+
+
 INDEX_TEXT = ["uri", "post_id", "timestamp", "canister_id", "publisher_user_id", "nsfw_ec", "nsfw_gore", "is_nsfw"]
 
 
@@ -887,14 +932,17 @@ def _cells(spark, sf):
 @query
 def vector_search_all_cells(spark, sf):
     index, cells = _cells(spark, sf)
-    found = vectors.probe_cells(index, cells, _first_vector(spark, sf), 5, probes=8, tie=["vec_id"])
+    found = vectors.probe_cells(index, cells, _first_vector(spark, sf), 5, tie=["vec_id"])
     return found.select("vec_id", "similarity")
 
 
 @query
 def vector_search_ivf(spark, sf):
-    index, cells = _cells(spark, sf)
-    found = vectors.probe_cells(index, cells, _first_vector(spark, sf), 5, probes=3, tie=["vec_id"])
+    """Approximate search: the first eight vectors are the centres, and the three cells nearest the query are looked at."""
+    path, vectors_ = shared_path(spark, "cells"), fx.table(spark, sf, "embeddings")
+    centers = [r[0] for r in vectors_.orderBy("vec_id").limit(8).select("embedding").collect()]
+    cells = vectors.assign_cells(vectors_, path, centers)
+    found = vectors.probe_cells(spark.read.parquet(path), cells, centers[0], 5, probes=3, tie=["vec_id"])
     return found.select("vec_id", "similarity")
 
 
@@ -912,16 +960,29 @@ def latest_events_copy(spark, sf):
     return spark.read.schema(copied.schema).parquet(path)
 
 
+def _synced(spark, sf) -> SnapshotTable:
+    source, copy = _statistics(spark, sf), SnapshotTable(spark, shared_path(spark, "serving"))
+    r0 = _stored_relation(spark, sf, True)
+    first = metrics.video_statistics(r0, metrics.user_video_metrics(r0))
+    serving.append_batch(first, copy, fx.SPLIT, "last_update_timestamp")
+    overlap = serving.OVERLAPS["video_statistics"]
+    serving.sync_incremental(source, copy, "last_update_timestamp", overlap, fx.AS_OF, on_error="raise")
+    return copy
+
+
 @query
 def sync_incremental(spark, sf):
-    source = _statistics(spark, sf)
-    r0 = _stored_relation(spark, sf, True)
-    path = shared_path(spark, "serving")
-    serving.append_batch(metrics.video_statistics(r0, metrics.user_video_metrics(r0)), path, fx.SPLIT)
-    serving.sync_incremental(
-        source, path, ["video_id"], "last_update_timestamp", serving.OVERLAPS["video_statistics"], fx.AS_OF, on_error="raise"
-    )
-    return serving.current_view(spark.read.parquet(path), ["video_id"])
+    return serving.current_view(_synced(spark, sf).read(), ["video_id"])
+
+
+@query
+def sync_after_compaction(spark, sf):
+    """The copy is compacted to its current view, and then the same changes are sent again."""
+    copy = _synced(spark, sf)
+    serving.compact(copy, ["video_id"])
+    overlap = serving.OVERLAPS["video_statistics"]
+    serving.sync_incremental(_statistics(spark, sf), copy, "last_update_timestamp", overlap, fx.AS_OF, on_error="raise")
+    return serving.current_view(copy.read(), ["video_id"])
 
 
 @query
@@ -955,13 +1016,17 @@ def _drain(spark, start) -> DataFrame:
 
 @query
 def stream_daily_counts(spark, sf):
-    counted = states.daily_counts(fx.event_stream(spark, sf), "ts", "event_type")
+    """Three micro-batches; the last one brings the events of high value of all days, some too late for their day."""
+    events, late = fx.table(spark, sf, "events"), F.col("value") > fx.LATE_VALUE
+    split = F.lit(str(fx.SPLIT)).cast("timestamp_ntz")
+    stream = fx.stream_of(spark, events.where(~late & (F.col("ts") < split)), events.where(~late & (F.col("ts") >= split)), events.where(late))
+    counted = states.daily_counts(stream, "ts", "event_type", fx.LATENESS)
     return _drain(spark, lambda t, c: states.upsert_changes(counted, t, c, ["event_date", "event_name"]))
 
 
 @query
 def stream_latest_state(spark, sf):
-    stream = fx.event_stream(spark, sf).where(F.col("event_type").isin("signup", "error"))
+    stream = fx.event_stream(spark, sf).where(F.col("event_type").isin("signup", "error"))  # two micro-batches
     flat = stream.select(
         F.col("user_id").cast("string").alias("follower_id"),
         F.get_json_object("props", "$.k").alias("following_id"),
@@ -996,7 +1061,8 @@ def stream_increment(spark, sf):
         ).alias("params"),
         F.col("ts").alias("timestamp"),
     )
-    return _drain(spark, lambda t, c: upserts.incremental(raw, t, c, graph.follower_graph, graph.follower_graph_increment))
+    first = lambda batch: _unmarked(graph.follower_graph(batch))
+    return _drain(spark, lambda t, c: upserts.incremental(raw, t, c, first, graph.follower_graph_increment))
 
 
 # --- model -------------------------------------------------------------------------------------------------------
@@ -1006,10 +1072,53 @@ def stream_increment(spark, sf):
 def train_classifier(spark, sf):
     docs, labels = fx.table(spark, sf, "documents"), fx.table(spark, sf, "labels")
     data = docs.join(labels, "doc_id").select(
+        "doc_id",
         "quality",
         "n_chars",
         F.size(F.split("text", " ")).alias("n_words"),
         F.regexp_count("text", F.lit("[.!?]")).alias("n_stops"),
     )
-    _, accuracy = classify.train_classifier(data, "quality")
-    return spark.createDataFrame([(accuracy,)], "accuracy double")
+    _, accuracy, split = classify.train_classifier(data, "quality", ["doc_id"])
+    sides = split.groupBy("held_out").agg(F.count(F.lit(1)).alias("rows"), F.avg("n_words").alias("mean_words"))
+    return sides.withColumn("fitted", F.lit(0.0 <= accuracy <= 1.0))
+
+
+# --- the whole chain ---------------------------------------------------------------------------------------------
+
+
+def _inputs(spark, sf, first: bool = False) -> chain.Inputs:
+    def part(df, ts):
+        return fx.before(df, ts, fx.SPLIT) if first else df
+
+    moderation_, follows = fx.moderation_events(spark, sf), fx.engagement_events(spark, sf)
+    events = part(follows.unionByName(moderation_.where(F.col("event").isin(moderation.REPORTED, moderation.BANNED))), "timestamp")
+    shards = fx.user_shards(spark, sf)
+    if first:
+        shards = shards.where(F.col("last_updated_date") <= 20000101)
+    uploaded = part(fx.upload_events(spark, sf).where(F.col("event") == uploads.UPLOAD_DONE), "timestamp")
+    analytics = part(fx.analytics_events(spark, sf), "publish_time")
+    approvals = fx.approvals(spark, sf)
+    return chain.Inputs(events.unionByName(uploaded), fx.nsfw_agg(spark, sf), analytics, shards, approvals, ("o_orderkey",))
+
+
+def _chain(spark, sf, second: bool) -> chain.Chain:
+    built = chain.Chain(spark, shared_path(spark, "chain"))
+    built.run(_inputs(spark, sf, first=second), fx.SPLIT)
+    built.sync(_inputs(spark, sf, first=second), fx.SPLIT)
+    if second:
+        built.run(_inputs(spark, sf), fx.AS_OF)
+        built.sync(_inputs(spark, sf), fx.AS_OF)
+    return built
+
+
+@query
+def chain_first_run(spark, sf):
+    """The normalized statistics at the end of the longest path of a first run over all events."""
+    return _chain(spark, sf, second=False).read("video_statistics_normalized")
+
+
+@query
+def chain_second_run(spark, sf):
+    """What readers see of the synced upload table after a run over the first and one over all events."""
+    built = _chain(spark, sf, second=True)
+    return built.view("bot_uploaded_content")

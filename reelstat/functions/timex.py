@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EPOCH = datetime(1970, 1, 1)
+#: Partition column of tables laid out by date: the UTC date of the row's time. Bounds on time bound it as well.
+DATE = "dt"
 
 
 def time_literal(df: DataFrame, column: str, value: datetime) -> Column:
@@ -25,14 +27,25 @@ def time_literal(df: DataFrame, column: str, value: datetime) -> Column:
     return F.lit(text + "+00:00").cast("timestamp")
 
 
+def _from_date(df: DataFrame, start: datetime) -> DataFrame:
+    """``df`` without the date partitions that lie before ``start`` as a whole."""
+    if DATE not in df.columns or not isinstance(df.schema[DATE].dataType, T.DateType):
+        return df
+    if start.tzinfo is not None:
+        start = start.astimezone(timezone.utc)
+    return df.where(F.col(DATE) >= F.lit(start.date().isoformat()).cast("date"))
+
+
 def lookback(df: DataFrame, ts: str, as_of: datetime, interval: timedelta) -> DataFrame:
     """Rows of the last ``interval`` before ``as_of``; the lower bound is included."""
-    return df.where(F.col(ts) >= time_literal(df, ts, as_of - interval))
+    return _from_date(df, as_of - interval).where(F.col(ts) >= time_literal(df, ts, as_of - interval))
 
 
 def on_day(df: DataFrame, ts: str, day: date) -> DataFrame:
     """Rows of one UTC day, as a half-open range rather than a date function over the column."""
     start = datetime(day.year, day.month, day.day)
+    if DATE in df.columns and isinstance(df.schema[DATE].dataType, T.DateType):
+        df = df.where(F.col(DATE) == F.lit(day.isoformat()).cast("date"))
     return df.where(
         (F.col(ts) >= time_literal(df, ts, start)) & (F.col(ts) < time_literal(df, ts, start + timedelta(days=1)))
     )
@@ -55,7 +68,7 @@ def since_watermark(df: DataFrame, ts: str, watermark: datetime | None, default:
     bound = watermark if watermark is not None else default
     if bound is None:
         return df.where(F.lit(False))
-    return df.where(F.col(ts) > time_literal(df, ts, bound))
+    return _from_date(df, bound).where(F.col(ts) > time_literal(df, ts, bound))
 
 
 def parse_offset_timestamp(col: Column) -> Column:

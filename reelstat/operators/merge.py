@@ -37,6 +37,13 @@ def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_salt", salt.cast("bigint"))
 
 
+def _both_salted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    if any(target.schema[k].nullable and source.schema[k].nullable for k in keys):
+        return _salted(target, keys), _salted(source, keys)
+    zero = F.lit(0).cast("bigint")
+    return target.withColumn("_salt", zero), source.withColumn("_salt", zero)
+
+
 def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key with the number of rows behind it (pre-combined map-side)."""
     rest = [c for c in source.columns if c not in keys and c != "_salt"]
@@ -68,9 +75,7 @@ def merge(
     if on is True:
         return _merge_singleton(target, source, set, insert)
     keys, columns = list(on), target.columns
-    null_possible = any(target.schema[k].nullable and source.schema[k].nullable for k in keys)
-    t = _salted(target, keys) if null_possible else target.withColumn("_salt", F.lit(0).cast("bigint"))
-    s = _salted(source, keys) if null_possible else source.withColumn("_salt", F.lit(0).cast("bigint"))
+    t, s = _both_salted(target, source, keys)
     join_keys = [*keys, "_salt"]
 
     updates = target
@@ -84,8 +89,36 @@ def merge(
 
     if insert is None:
         return updates
-    new = s.join(t.select(*join_keys), join_keys, "left_anti").drop("_salt")
-    return updates.unionByName(_inserted(target, new, insert))
+    return updates.unionByName(new_rows(target, source, on, insert))
+
+
+def new_rows(target: DataFrame, source: DataFrame, on: Sequence[str], insert: str | Mapping[str, str | Column] | None) -> DataFrame:
+    """The rows a merge inserts: those of ``source`` without a match in ``target``, with the target's columns."""
+    keys = list(on)
+    t, s = _both_salted(target, source, keys)
+    new = s.join(t.select(*keys, "_salt"), [*keys, "_salt"], "left_anti").drop("_salt")
+    return _inserted(target, new, "*" if insert is None else insert)
+
+
+def merge_into(source, table: str, on: Sequence[str], set=None, insert=None, not_matched_by_source=None) -> None:
+    """The same merge on a catalog table whose format supports row-level changes, by its own ``MERGE``.
+
+    Expressions use the aliases ``t`` and ``s`` as in ``merge``; the table's format decides what is written again.
+    """
+    matched = reduce(lambda a, b: a & b, [F.expr(f"t.{k} = s.{k}") for k in on])
+    writer = source.alias("s").mergeInto(f"{table} t", matched)
+    if set == "*":
+        writer = writer.whenMatched().updateAll()
+    elif set:
+        writer = writer.whenMatched().update({c: _expr(v) for c, v in set.items()})
+    if insert == "*":
+        writer = writer.whenNotMatched().insertAll()
+    elif insert:
+        writer = writer.whenNotMatched().insert({c: _expr(v) for c, v in insert.items()})
+    if not_matched_by_source:
+        values = {c: v if isinstance(v, Column) else F.lit(v) for c, v in not_matched_by_source.items()}
+        writer = writer.whenNotMatchedBySource().update(values)
+    writer.merge()
 
 
 def _updated(columns, assignments, defaults, source_unique) -> list[Column]:

@@ -61,23 +61,50 @@ def build_cells(
 ) -> CellIndex:
     """Quantise all vectors into ``cells`` cosine k-means cells and write them partitioned by cell.
 
-    Only the centres reach the driver. A crowded cell is split over several files by the rebalancing exchange.
+    The centres are fitted on the vectors of the commonest length that are not zero; the others, which no search of that length
+    can find, lie in cell -1. Only the centres reach the driver. A crowded cell is split over several files by the rebalancing
+    exchange.
     """
-    features = index.withColumn("_features", array_to_vector(F.col(vec).cast("array<double>")))
+    values = F.col(vec).cast("array<double>")
+    squares = F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)
+    lengths = index.where(squares > 0).groupBy(F.size(vec).alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    usual = lengths.orderBy(F.col("rows").desc(), "n").first()
+    fit = F.coalesce((squares > 0) & (F.size(vec) == (usual["n"] if usual else -1)), F.lit(False))
+    features = index.where(fit).withColumn("_features", array_to_vector(values))
+    if usual is None:
+        return _write_cells(index.withColumn("cell", F.lit(-1)), path, [], vec)
     model = KMeans(k=cells, distanceMeasure="cosine", seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cell").fit(
         features
     )
-    assigned = model.transform(features).drop("_features")
+    assigned = model.transform(features).drop("_features").unionByName(index.where(~fit).withColumn("cell", F.lit(-1)))
+    return _write_cells(assigned, path, [[float(x) for x in c] for c in model.clusterCenters()], vec)
+
+
+def _write_cells(assigned: DataFrame, path: str, centers: list[list[float]], vec: str) -> CellIndex:
     assigned.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(path)
-    return CellIndex(path, [[float(x) for x in c] for c in model.clusterCenters()], vec)
+    return CellIndex(path, centers, vec)
+
 
+def assign_cells(index: DataFrame, path: str, centers: Sequence[Sequence[float]], vec: str = "embedding") -> CellIndex:
+    """Write vectors partitioned by the given centre of largest cosine (ties: the first); zero and odd vectors lie in cell -1."""
+    scores = [cosine_to(F.col(vec), c) for c in centers]
+    scored = index.withColumns({f"_cosine_{i}": s for i, s in enumerate(scores)})
+    names = [f"_cosine_{i}" for i in range(len(centers))]
+    top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+    best = F.coalesce(*[F.when(F.col(n) == top, i) for i, n in enumerate(names)], F.lit(-1))
+    return _write_cells(scored.withColumn("cell", best).drop(*names), path, [list(map(float, c)) for c in centers], vec)
 
-def probe_cells(index: DataFrame, cells: CellIndex, query: Sequence[float], k: int, probes: int, tie: Sequence[str] = ()) -> DataFrame:
-    """Search only the ``probes`` cells whose centres are closest to the query (read by partition pruning).
 
-    ``index`` is the table read back from ``cells.path``. Probing all cells gives the exact answer.
+def probe_cells(
+    index: DataFrame, cells: CellIndex, query: Sequence[float], k: int, probes: int | None = None, tie: Sequence[str] = ()
+) -> DataFrame:
+    """The ``k`` most similar rows of the ``probes`` cells whose centres are closest to the query (read by partition pruning).
+
+    ``index`` is the table read back from ``cells.path``. By default all cells are searched, which gives the exact answer; fewer
+    give an approximate one, as rows of other cells are not looked at.
     """
-    centers, q = np.asarray(cells.centers), np.asarray(query, dtype="float64")
-    similarity = centers @ q / (np.linalg.norm(centers, axis=1) * np.linalg.norm(q))
-    wanted = [int(i) for i in np.argsort(-similarity)[:probes]]
-    return vector_search(index.where(F.col("cell").isin(wanted)).drop("cell"), query, k, cells.vec, tie)
+    if probes is not None:
+        centers, q = np.asarray(cells.centers), np.asarray(query, dtype="float64")
+        similarity = centers @ q / (np.linalg.norm(centers, axis=1) * np.linalg.norm(q))
+        index = index.where(F.col("cell").isin([int(i) for i in np.argsort(-similarity, kind="stable")[:probes]]))
+    return vector_search(index.drop("cell"), query, k, cells.vec, tie)

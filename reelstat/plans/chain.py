@@ -1,70 +1,192 @@
-"""The core tables in dependency order, each created or merged as a snapshot."""
+"""All tables in dependency order, each kept as a snapshot, and their serving copies."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.plans import graph, metrics, moderation, relation, uploads
+from reelstat.plans import counts, graph, metrics, moderation, popularity, relation, uploads, users
+from reelstat.schemas import TABLE_KEYS
+from reelstat.sources import serving
 from reelstat.sources.snapshots import SnapshotTable
 
-TABLES = (
-    "user_video_relation",
-    "user_video_metrics",
-    "video_statistics",
-    "global_video_stats",
-    "video_statistics_normalized",
-    "follower_graph",
-    "bot_uploaded_content",
-    "video_reports",
-    "excluded_videos",
-)
-
-
-def run_core(spark: SparkSession, root: str, events: DataFrame, nsfw_agg: DataFrame, as_of: datetime) -> dict[str, str]:
-    """Bring every core table below ``root`` up to date with ``events``; returns what was done to each.
-
-    The first run builds the tables, later ones merge what is new by the rules of each table.
-    """
-    tables = {name: SnapshotTable(spark, f"{root}/{name}") for name in TABLES}
-
-    def read(name: str) -> DataFrame:
-        return tables[name].read()
-
-    steps = {
-        "user_video_relation": (
-            lambda: relation.user_video_relation(events),
-            lambda t: relation.user_video_relation_increment(t, events),
-        ),
-        "user_video_metrics": (
-            lambda: metrics.user_video_metrics(read("user_video_relation")),
-            lambda t: metrics.user_video_metrics_increment(t, read("user_video_relation")),
-        ),
-        "video_statistics": (
-            lambda: metrics.video_statistics(read("user_video_relation"), read("user_video_metrics")),
-            lambda t: metrics.video_statistics_increment(t, read("user_video_relation"), read("user_video_metrics")),
-        ),
-        "global_video_stats": (
-            lambda: metrics.global_video_stats(read("video_statistics")),
-            lambda t: metrics.global_video_stats_increment(t, read("video_statistics")),
-        ),
-        "video_statistics_normalized": (
-            lambda: metrics.video_statistics_normalized(read("video_statistics"), read("global_video_stats")),
-            lambda t: metrics.video_statistics_normalized_increment(t, read("video_statistics"), read("global_video_stats")),
-        ),
-        "follower_graph": (lambda: graph.follower_graph(events), lambda t: graph.follower_graph_increment(t, events)),
-        "bot_uploaded_content": (
+#: Time column and clustering keys of the tables laid out by date.
+LAYOUT = {
+    "user_video_relation": ("last_watched_timestamp", ("user_id",)),
+    "follower_graph": ("last_updated_timestamp", ("follower_id", "following_id")),
+    "parsed_uploads": ("timestamp", ("video_id",)),
+    "video_upload_stats": ("timestamp", ("video_id",)),
+    "ai_ugc": ("upload_timestamp", ("video_id",)),
+    "bot_uploaded_content": ("timestamp", ("video_id",)),
+    "video_reports": ("report_timestamp", ("video_id",)),
+    "excluded_videos": ("excluded_at", ("video_id",)),
+}
+#: Serving copies kept by overlapping increments, by their time column; the others are reloaded.
+SYNCED = {
+    "user_video_relation": "last_watched_timestamp",
+    "video_statistics": "last_update_timestamp",
+    "follower_graph": "last_updated_timestamp",
+    "bot_uploaded_content": "timestamp",
+    "ai_ugc": "upload_timestamp",
+    "excluded_videos": "excluded_at",
+}
+RELOADED = ("global_popular_videos_l7d", "ugc_content_approval", "video_nsfw_agg")
+
+
+@dataclass
+class Inputs:
+    """The tables the chain starts from; a table whose inputs are not given is left out."""
+
+    events: DataFrame
+    nsfw_agg: DataFrame
+    analytics: DataFrame | None = None
+    shards: DataFrame | None = None
+    approvals: DataFrame | None = None
+    shard_tie: tuple[str, ...] = ()
+
+
+class Chain:
+    """The tables below a folder. ``run`` brings them up to date: its first run builds them, later ones merge what is new."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def table(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root}/{name}", *LAYOUT.get(name, ()))
+
+    def read(self, name: str, dates: bool = False) -> DataFrame:
+        return self.table(name).read(dates=dates)
+
+    def _kept(self, name: str, build: Callable, increment: Callable, added_only: bool = False) -> str:
+        return self.table(name).create_or_merge(build, increment, added_only=added_only)
+
+    def run(self, inputs: Inputs, as_of: datetime) -> dict[str, str]:
+        """Bring every table up to date; returns what was done to each."""
+        done: dict[str, str] = {}
+        events = inputs.events
+        for name, (build, increment) in self._core(inputs, as_of).items():
+            done[name] = self._kept(name, build, increment)
+        done["bot_uploaded_content"] = self._kept(
+            "bot_uploaded_content",
             lambda: uploads.bot_uploaded_content(events),
-            lambda t: uploads.bot_uploaded_content_increment(t, events),
-        ),
-        "video_reports": (
-            lambda: moderation.video_reports(events),
-            lambda t: moderation.video_reports_increment(t, events, as_of),
-        ),
-        "excluded_videos": (
-            lambda: moderation.excluded_videos(events, nsfw_agg),
-            lambda t: moderation.excluded_videos_increment(t, events, nsfw_agg, as_of),
-        ),
-    }
-    return {name: tables[name].create_or_merge(*steps[name]) for name in TABLES}
+            lambda t: uploads.new_bot_content(t, events),
+            added_only=True,
+        )
+        if inputs.analytics is not None:
+            done |= self._uploads(inputs, as_of)
+        if inputs.shards is not None:
+            tie, shards = list(inputs.shard_tie), inputs.shards
+            done["user_base_facts"] = self._kept(
+                "user_base_facts",
+                lambda: users.user_base_facts(shards, tie, tie),
+                lambda t: users.user_base_facts_increment(t, shards, as_of.date(), tie, tie),
+            )
+        day = as_of.date() - timedelta(days=1)
+        done["daily_event_counts"] = self._kept(
+            "daily_event_counts",
+            lambda: counts.daily_event_counts(events),
+            lambda t: counts.daily_event_counts_update(t, events, day),
+        )
+        for name, built in self._rankings(inputs, as_of).items():
+            self.table(name).replace(built)
+            done[name] = "replaced"
+        return done
+
+    def _core(self, inputs: Inputs, as_of: datetime) -> dict[str, tuple[Callable, Callable]]:
+        events, read = inputs.events, self.read
+        return {
+            "user_video_relation": (
+                lambda: relation.user_video_relation(events),
+                lambda t: relation.user_video_relation_increment(t, events),
+            ),
+            "user_video_metrics": (
+                lambda: metrics.user_video_metrics(read("user_video_relation")),
+                lambda t: metrics.user_video_metrics_increment(t, read("user_video_relation")),
+            ),
+            "video_statistics": (
+                lambda: metrics.video_statistics(read("user_video_relation"), read("user_video_metrics")),
+                lambda t: metrics.video_statistics_increment(t, read("user_video_relation"), read("user_video_metrics")),
+            ),
+            "global_video_stats": (
+                lambda: metrics.global_video_stats(read("video_statistics")),
+                lambda t: metrics.global_video_stats_increment(t, read("video_statistics")),
+            ),
+            "video_statistics_normalized": (
+                lambda: metrics.video_statistics_normalized(read("video_statistics"), read("global_video_stats")),
+                lambda t: metrics.video_statistics_normalized_increment(t, read("video_statistics"), read("global_video_stats")),
+            ),
+            "follower_graph": (lambda: graph.follower_graph(events), lambda t: graph.follower_graph_increment(t, events)),
+            "video_reports": (
+                lambda: moderation.video_reports(events),
+                lambda t: moderation.video_reports_increment(t, events, as_of),
+            ),
+            "excluded_videos": (
+                lambda: moderation.excluded_videos(events, inputs.nsfw_agg),
+                lambda t: moderation.excluded_videos_increment(t, events, inputs.nsfw_agg, as_of),
+            ),
+        }
+
+    def _uploads(self, inputs: Inputs, as_of: datetime) -> dict[str, str]:
+        parsed = uploads.parsed_uploads(inputs.analytics)
+        done = {
+            "parsed_uploads": self._kept(
+                "parsed_uploads", lambda: parsed, lambda t: uploads.new_upload_stats(t, parsed), added_only=True
+            )
+        }
+        stored = self.read("parsed_uploads", dates=True)
+        done["video_upload_stats"] = self._kept(
+            "video_upload_stats",
+            lambda: self.read("parsed_uploads"),
+            lambda t: uploads.new_upload_stats(t, stored),
+            added_only=True,
+        )
+        done["ai_ugc"] = self._kept(
+            "ai_ugc",
+            lambda: uploads.ai_ugc(inputs.analytics, inputs.events),
+            lambda t: uploads.ai_ugc_increment(t, inputs.analytics, inputs.events, as_of),
+        )
+        return done
+
+    def _rankings(self, inputs: Inputs, as_of: datetime) -> dict[str, DataFrame]:
+        pairs = self.read("user_video_relation", dates=True)
+        out = {"global_popular_videos_l90d": popularity.popular_videos(pairs, as_of, 90)}
+        if inputs.analytics is not None:
+            ups = self.read("video_upload_stats").select("video_id", "region", "upload_type", "timestamp")
+            out["region_popular_videos_l7d"] = popularity.region_popular_videos(pairs, ups, as_of, 7)
+            if inputs.approvals is not None:
+                bots = self.read("bot_uploaded_content")
+                out["global_popular_videos_l7d"] = popularity.popular_videos_enriched(
+                    pairs, inputs.nsfw_agg, ups, bots, inputs.approvals, as_of, 7
+                )
+        if inputs.shards is not None:
+            known = self.read("user_base_facts")
+            for days in (7, 90):
+                out[f"local_popular_videos_l{days}d"] = popularity.local_popular_videos(pairs, known, as_of, days)
+        return out
+
+    def serving_copy(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root}/serving/{name}")
+
+    def sync(self, inputs: Inputs, as_of: datetime) -> dict[str, int | None]:
+        """Bring the serving copies up to date; returns the rows sent to each."""
+        sent = {}
+        for name, ts in SYNCED.items():
+            if self.table(name).exists():
+                copy, source = self.serving_copy(name), self.read(name)
+                if copy.exists():
+                    sent[name] = serving.sync_incremental(source, copy, ts, serving.OVERLAPS[name], as_of)
+                else:
+                    sent[name] = serving.append_batch(source, copy, as_of, ts)
+        whole = {"ugc_content_approval": inputs.approvals, "video_nsfw_agg": inputs.nsfw_agg}
+        for name in RELOADED:
+            source = whole.get(name) if name in whole else (self.read(name) if self.table(name).exists() else None)
+            if source is not None:
+                sent[name] = serving.sync_full(source, self.serving_copy(name), as_of)
+        return sent
+
+    def view(self, name: str) -> DataFrame:
+        """What readers of an incrementally synced copy see."""
+        return serving.current_view(self.serving_copy(name).read(), TABLE_KEYS[name]).drop(serving.VERSION)

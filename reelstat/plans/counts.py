@@ -15,10 +15,12 @@ from reelstat.operators.ordering import recent_dates
 KEYS = ("event_date", "event_name")
 
 
-def daily_event_counts(events: DataFrame, ts: str = "timestamp", name: str = "event", n_dates: int = 100) -> DataFrame:
-    """Counts over the ``n_dates`` latest dates that occur. Counting comes first, so the list of dates and the
+def daily_event_counts(events: DataFrame, ts: str = "timestamp", name: str = "event", n_dates: int | None = None) -> DataFrame:
+    """Counts of all dates, or of the ``n_dates`` latest that occur. Counting comes first, so the list of dates and the
     restriction to it work on the small result."""
     counts = daily_counts(events, ts, name)
+    if n_dates is None:
+        return counts
     dates = recent_dates(counts, "event_date", n_dates)
     return counts.join(F.broadcast(dates), "event_date", "left_semi")  # at most n_dates rows
 

@@ -16,9 +16,8 @@ from reelstat.operators.merge import merge
 from reelstat.operators.ordering import cap
 from reelstat.operators.windows import first_per_key
 
-# Vector length, batch size and metadata names of the published pipeline.
+# Vector length and metadata names of the published pipeline.
 EMBEDDING_DIM = 1408
-BATCH_LIMIT = 10_000
 VECTOR = "ml_generate_embedding_result"
 REQUIRED_METADATA = ("timestamp", "post_id", "publisher_user_id")
 INDEX_METADATA = ("post_id", "timestamp", "canister_id", "publisher_user_id")
@@ -41,16 +40,35 @@ def embed(objects: DataFrame, model_fn: ModelFn, columns: Sequence[str] = ("uri"
     return objects.withColumn(VECTOR, infer(F.struct(*columns)))
 
 
+SEGMENT = "struct<start:double,end:double,vector:array<double>>"
+
+
+def embed_segments(objects: DataFrame, model_fn: ModelFn, columns: Sequence[str] = ("uri",)) -> DataFrame:
+    """One row for each segment the model finds in an object: start, end and the vector.
+
+    ``model_fn`` yields, for each batch of ``columns``, one series of lists of (start, end, vector), as many as the object has
+    segments. An object without segments gives no row.
+    """
+
+    @F.pandas_udf(f"array<{SEGMENT}>")
+    def infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for found in model_fn(batches):
+            yield found.map(lambda own: [{"start": s, "end": e, "vector": v} for s, e, v in own or []])
+
+    segments = objects.withColumn("_segment", F.explode(infer(F.struct(*columns))))
+    return segments.select(*objects.columns, "_segment.start", "_segment.end", F.col("_segment.vector").alias(VECTOR))
+
+
 def embed_new_videos(
     objects: DataFrame,
     nsfw: DataFrame,
     existing: DataFrame,
     model_fn: ModelFn,
-    limit: int | None = BATCH_LIMIT,
+    limit: int | None = None,
     columns: Sequence[str] = ("uri",),
     tasks: int | None = None,
 ) -> DataFrame:
-    """Embeddings of moderated objects that have none yet, at most ``limit`` per run, to be appended to ``existing``."""
+    """Embeddings of moderated objects that have none yet, all of them or at most ``limit`` per run, to be appended to ``existing``."""
     new = drop_known(keep_known(objects, nsfw, "uri", "gcs_video_id"), existing, "uri")
     if limit is not None:
         # a limited result is one partition; inference has to be spread again

@@ -11,7 +11,6 @@ from reelstat.functions.jsonx import extract_json
 from reelstat.functions.timex import lookback
 from reelstat.operators.filters import read_events, require_keys
 from reelstat.operators.merge import merge
-from reelstat.operators.ordering import union_distinct
 
 # Event names, reasons, thresholds.
 REPORTED, BANNED = "mp_video_reported", "video_report_banned"
@@ -43,22 +42,22 @@ def video_reports_increment(target: DataFrame, events: DataFrame, as_of: datetim
     return merge(target, batch, REPORT_KEYS, set="*", insert="*", stage=True)
 
 
-def _first_seen(events: DataFrame, event: str, reason: str) -> DataFrame:
-    flat = extract_json(read_events(events, (event,)), "params", {"video_id": "$.video_id"}, "timestamp")
-    return (
-        require_keys(flat, "video_id")
-        .groupBy("video_id")
-        .agg(F.min("timestamp").alias("excluded_at"))
-        .withColumn("exclusion_reason", F.lit(reason))
-    )
-
-
 def excluded_videos(events: DataFrame, nsfw_agg: DataFrame) -> DataFrame:
-    """Videos reported and not clean, and videos banned; a video that is both has two rows."""
+    """Videos reported and not clean, and videos banned; a video that is both has two rows.
+
+    Both kinds of events are read and aggregated in one pass, to a row a video.
+    """
     unclean = nsfw_agg.where((F.col("probability") >= F.lit(NSFW_PROBABILITY)) | (F.col("nsfw_ec") != CLEAN_CLASS))
-    # several scores of one video give equal rows, which the union drops: a semi join is enough
-    reported = _first_seen(events, REPORTED, REASON_REPORTED).join(unclean.select("video_id"), "video_id", "left_semi")
-    return union_distinct(reported, _first_seen(events, BANNED, REASON_BANNED))
+    flat = extract_json(read_events(events, (REPORTED, BANNED)), "params", {"video_id": "$.video_id"}, "event", "timestamp")
+    first = {kind: F.min(F.when(F.col("event") == kind, F.col("timestamp"))).alias(kind) for kind in (REPORTED, BANNED)}
+    seen = require_keys(flat, "video_id").groupBy("video_id").agg(*first.values())
+    # several scores of one video count once
+    scored = seen.join(unclean.groupBy("video_id").agg(F.lit(True).alias("unclean")), "video_id", "left")
+    rows = F.array(
+        F.when(F.col("unclean"), F.struct(F.col(REPORTED).alias("excluded_at"), F.lit(REASON_REPORTED).alias("exclusion_reason"))),
+        F.struct(F.col(BANNED).alias("excluded_at"), F.lit(REASON_BANNED).alias("exclusion_reason")),
+    )
+    return scored.select("video_id", F.explode(rows).alias("row")).where("row.excluded_at is not null").select("video_id", "row.*")
 
 
 def excluded_videos_increment(target: DataFrame, events: DataFrame, nsfw_agg: DataFrame, as_of: datetime) -> DataFrame:

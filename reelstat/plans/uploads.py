@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions.jsonx import document_scalar, document_text, extract_json, json_query, with_document
-from reelstat.functions.timex import high_watermark, lookback, parse_offset_timestamp, since_watermark
+from reelstat.functions.timex import DATE, high_watermark, lookback, parse_offset_timestamp, since_watermark
 from reelstat.operators.filters import read_events, suffix_filter
-from reelstat.operators.merge import merge
+from reelstat.operators.merge import merge, new_rows
 from reelstat.operators.windows import latest_per_key
+from reelstat.session import materialise
 
 # Event names, types and field names.
 UPLOAD_SUCCESS = "video_upload_success"
@@ -57,10 +58,21 @@ def video_upload_stats(analytics: DataFrame) -> DataFrame:
     )
 
 
+def parsed_uploads(analytics: DataFrame) -> DataFrame:
+    """The ingest step of upload documents: read once as they arrive and kept as a table laid out by the date of ``timestamp``
+    (``SnapshotTable(..., partition_ts="timestamp")``, appended to). The statistics then read only the dates they need."""
+    return video_upload_stats(analytics)
+
+
+def new_upload_stats(target: DataFrame, parsed: DataFrame) -> DataFrame:
+    """The uploads of the ingest table after the latest of ``target`` that it does not hold yet."""
+    batch = since_watermark(parsed, "timestamp", high_watermark(target, "timestamp")).drop(DATE)
+    return new_rows(target, materialise(batch, "batch"), ["timestamp", "video_id"], "*")
+
+
 def video_upload_stats_increment(target: DataFrame, analytics: DataFrame) -> DataFrame:
-    """``target`` plus the uploads after its latest one that it does not hold yet."""
-    batch = since_watermark(video_upload_stats(analytics), "timestamp", high_watermark(target, "timestamp"))
-    return merge(target, batch, ["timestamp", "video_id"], insert="*", stage=True)
+    """``target`` plus the uploads in raw documents after its latest one that it does not hold yet."""
+    return target.unionByName(new_upload_stats(target, video_upload_stats(analytics)))
 
 
 BOT_FIELDS = ("user_id", "publisher_user_id", "canister_id", "video_id", "post_id", "country", "display_name")
@@ -73,10 +85,15 @@ def bot_uploaded_content(events: DataFrame) -> DataFrame:
     return suffix_filter(flat, "country", BOT_SUFFIX)
 
 
+def new_bot_content(target: DataFrame, events: DataFrame) -> DataFrame:
+    """The bot uploads after the latest of ``target`` that it does not hold yet."""
+    batch = bot_uploaded_content(since_watermark(events, "timestamp", high_watermark(target, "timestamp")))
+    return new_rows(target, materialise(batch, "batch"), ["video_id", "timestamp"], "*")
+
+
 def bot_uploaded_content_increment(target: DataFrame, events: DataFrame) -> DataFrame:
     """``target`` plus the bot uploads after its latest one that it does not hold yet."""
-    batch = bot_uploaded_content(since_watermark(events, "timestamp", high_watermark(target, "timestamp")))
-    return merge(target, batch, ["video_id", "timestamp"], insert="*", stage=True)
+    return target.unionByName(new_bot_content(target, events))
 
 
 # output name to path inside an analytics document, or inside one of its rows

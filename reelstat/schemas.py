@@ -1,38 +1,7 @@
-"""Declared schemas of the input tables and the keys of the derived ones."""
+"""Keys of the derived tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_STR, _BOOL, _LONG, _DBL, _TS = T.StringType(), T.BooleanType(), T.LongType(), T.DoubleType(), T.TimestampType()
-
-
-def _schema(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
-
-
-METADATA = T.ArrayType(_schema(name=_STR, value=_STR))
-
-RAW_EVENTS = _schema(event=_STR, params=_STR, timestamp=_TS)
-ANALYTICS_EVENTS = _schema(data=_STR, publish_time=_TS)
-VIDEO_NSFW = _schema(gcs_video_id=_STR, nsfw_ec=_STR, nsfw_gore=_STR, is_nsfw=_BOOL)
-VIDEO_NSFW_AGG = _schema(video_id=_STR, is_nsfw=_BOOL, nsfw_ec=_STR, nsfw_gore=_STR, probability=_DBL)
-VIDEO_OBJECTS = _schema(uri=_STR, metadata=METADATA)
-CONTENT_APPROVAL = _schema(
-    video_id=_STR, post_id=_STR, canister_id=_STR, user_id=_STR, is_approved=_BOOL, created_at=_TS
-)
-VIDEO_UNIQUE = _schema(video_id=_STR, videohash=_STR, created_at=_TS)
-USER_VIDEO_RELATION = _schema(
-    user_id=_STR,
-    video_id=_STR,
-    last_watched_timestamp=_TS,
-    mean_percentage_watched=_DBL,
-    last_liked_timestamp=_TS,
-    liked=_BOOL,
-    last_shared_timestamp=_TS,
-    shared=_BOOL,
-)
-
 # Keys that identify a row of each derived table; serving copies are collapsed on the same keys.
 TABLE_KEYS = {
     "user_video_relation": ("user_id", "video_id"),
@@ -47,7 +16,7 @@ TABLE_KEYS = {
     "bot_uploaded_content": ("video_id", "timestamp"),
     "ai_ugc": ("video_id",),
     "video_reports": ("video_id", "reporter_user_id", "report_timestamp"),
-    "excluded_videos": ("video_id",),
+    "excluded_videos": ("video_id", "exclusion_reason"),
     "user_base_facts": ("user_id",),
     "daily_event_counts": ("event_date", "event_name"),
     "video_index": ("uri",),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,9 +32,11 @@ def build_session(app_name: str = "reelstat", master: str | None = None, **conf:
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach. The cluster names it in ``spark.checkpoint.dir``; only where that is
-    unset (tests on one machine) a temporary folder is made and set for the rest of the session."""
+    unset on one machine (``local`` master, as in tests) a temporary folder is made and set for the rest of the session."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelstat-"))
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")

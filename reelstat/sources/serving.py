@@ -1,7 +1,7 @@
 """Keeping a serving copy of a derived table up to date.
 
-The copy is append-only: each sync adds a batch of rows stamped with one version time, and a reader takes the newest
-version of each key.
+The copy grows by appends: each sync adds a batch of rows stamped with one version time, and a reader takes the newest
+version of each key. ``compact`` drops the superseded versions now and then.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.functions.timex import EPOCH, high_watermark, time_literal
+from reelstat.functions.timex import EPOCH, time_literal
 from reelstat.operators.windows import latest_per_key
 from reelstat.sources.snapshots import SnapshotTable
 
@@ -46,31 +46,41 @@ def stamp(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return df.withColumn(VERSION, _version_literal(as_of or datetime.now(timezone.utc)))
 
 
-def current_view(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataFrame:
-    """Newest version of each key."""
-    return latest_per_key(df, keys, [version])
+def current_view(df: DataFrame, keys: Sequence[str], version: str = VERSION, tie: Sequence[str] = ()) -> DataFrame:
+    """Newest version of each key; among equal versions the row with the largest ``tie`` columns."""
+    return latest_per_key(df, keys, [version], tie)
 
 
-def append_batch(df: DataFrame, path: str, as_of: datetime | None = None) -> int:
-    """Stamp and append a batch and return its size. An empty batch adds nothing.
+def append_batch(df: DataFrame, target: SnapshotTable, as_of: datetime | None = None, ts: str | None = None) -> int:
+    """Stamp and append a batch and return its size.
 
-    The size is counted on the written files, where the version time selects the batch, so ``df`` runs only once.
+    Size and newest ``ts`` are taken from the batch's own files. The marker keeps the newest of all batches, so no later run has to
+    look for it in the ever-growing copy.
     """
-    as_of = as_of or datetime.now(timezone.utc)
-    batch = stamp(df, as_of)
-    batch.write.mode("append").parquet(path)
-    written = df.sparkSession.read.schema(batch.schema).parquet(path)
-    return written.where(F.col(VERSION) == _version_literal(as_of)).count()
+    newest = F.unix_micros(F.max(F.col(ts)).cast("timestamp")) if ts else F.lit(None).cast("bigint")
+    before = target.commit_info().get("newest")
 
+    def mark(written: DataFrame) -> dict:
+        rows, last = written.agg(F.count(F.lit(1)), newest).first()
+        return {"newest": max([x for x in (before, last) if x is not None], default=None), "rows": rows}
 
-def require_bootstrap(target: DataFrame, keys: Sequence[str], ts: str) -> datetime:
-    """Largest timestamp over the current rows of the copy; an error if there is none."""
-    if target.isEmpty():
+    target.append(stamp(df, as_of), info=mark)
+    return target.commit_info()["rows"]
+
+
+def require_bootstrap(target: SnapshotTable) -> datetime:
+    """Newest timestamp that was copied, from the marker; an error if the copy is missing or holds none."""
+    if not target.exists() or not target.commit_info()["paths"]:
         raise BootstrapMissing("the serving copy is empty; load it in full first")
-    newest = high_watermark(current_view(target.select(*keys, *{ts, VERSION} - {*keys}), keys), ts)
+    newest = target.commit_info().get("newest")
     if newest is None:
         raise BootstrapMissing("the serving copy has no timestamp to continue from")
-    return newest
+    return EPOCH + timedelta(microseconds=newest)
+
+
+def compact(target: SnapshotTable, keys: Sequence[str], tie: Sequence[str] = ()) -> int:
+    """Replace the copy by its current view: what readers see stays the same, superseded versions go. Returns the version."""
+    return target.replace(current_view(target.read(), keys, tie=tie))
 
 
 def changed_since(source: DataFrame, ts: str, newest: datetime, overlap: timedelta) -> DataFrame:
@@ -81,8 +91,7 @@ def changed_since(source: DataFrame, ts: str, newest: datetime, overlap: timedel
 
 def sync_incremental(
     source: DataFrame,
-    target_path: str,
-    keys: Sequence[str],
+    target: SnapshotTable,
     ts: str,
     overlap: timedelta,
     as_of: datetime | None = None,
@@ -93,21 +102,22 @@ def sync_incremental(
     ``on_error="log"`` reports a failure and returns None (the next run's overlap catches up); ``"raise"`` re-raises.
     """
     try:
-        newest = require_bootstrap(source.sparkSession.read.parquet(target_path), keys, ts)
-        return append_batch(changed_since(source, ts, newest, overlap), target_path, as_of)
+        return append_batch(changed_since(source, ts, require_bootstrap(target), overlap), target, as_of, ts)
     except Exception:
         if on_error == "raise":
             raise
-        logger.exception("sync to %s failed; a later run has to catch up", target_path)
+        logger.exception("sync to %s failed; a later run has to catch up", target.path)
         return None
 
 
 def sync_full(
     source: DataFrame, target: SnapshotTable, as_of: datetime | None = None, stamped: bool = True, on_error: str = "raise"
 ) -> int | None:
-    """Replace the whole serving copy; an empty source leaves it empty. Readers never see it half loaded."""
+    """Replace the whole serving copy and return its number of rows; an empty source leaves it empty. Readers never see it half
+    loaded."""
     try:
-        return target.replace(stamp(source, as_of) if stamped else source)
+        target.replace(stamp(source, as_of) if stamped else source)
+        return target.read().count()
     except Exception:
         if on_error == "raise":
             raise

@@ -1,20 +1,33 @@
-"""Versioned Parquet tables: every write is a new folder, a small marker file makes it current.
+"""Parquet tables whose current content a small marker file names.
 
-Readers see the previous version until the marker is in place, so a rebuild is never half visible, and a query may read
-the table it is about to replace. The marker also records the stream batch that produced the version, which makes a
-retried micro-batch harmless.
+Every write goes to folders of its own (``_w=<id>``), so writers never touch each other's files. The marker of the next version
+then lists the folders that count: a replacement lists only the new ones, an append adds them, and an overwrite of dates takes
+the old folders of these dates out. A marker is created without overwriting, so of two writers of one version one fails,
+without harm to the other's rows. Readers see the previous version until the marker is in place, and a query may read the
+table it is about to replace.
+
+A marker also records the last batch taken from each stream, which makes a retried micro-batch harmless.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.operators.merge import CARDINALITY_MESSAGE, MergeCardinalityError
+from reelstat.functions.timex import DATE
+from reelstat.operators.merge import CARDINALITY_MESSAGE, MergeCardinalityError, merge, new_rows
+
+WRITER = "_w"
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed the same version first."""
 
 
 class SnapshotTable:
@@ -22,91 +35,180 @@ class SnapshotTable:
         self.spark, self.path = spark, path.rstrip("/")
         self.partition_ts, self.cluster = partition_ts, tuple(cluster)
 
-    def _fs(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+    def _fs(self, name: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
+    def _names(self, folder: str) -> list[str]:
+        fs, path = self._fs(folder)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
     def versions(self) -> list[int]:
-        fs, path = self._fs(f"{self.path}/_commits")
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(int(n) for n in names if n.isdigit())
+        return sorted(int(n) for n in self._names("_commits") if n.isdigit())
 
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def commit_info(self) -> dict:
+    def commit_info(self, version: int | None = None) -> dict:
+        """What the marker of a version (default: the newest) says; empty without one."""
         versions = self.versions()
         if not versions:
             return {}
-        fs, path = self._fs(f"{self.path}/_commits/{versions[-1]:08d}")
+        fs, path = self._fs(f"_commits/{versions[-1] if version is None else version:08d}")
         stream = fs.open(path)
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def read(self, version: int | None = None) -> DataFrame:
-        versions = self.versions()
-        if not versions:
+    def read(self, version: int | None = None, dates: bool = False) -> DataFrame:
+        """The rows of a version. ``dates`` keeps the partition column ``dt`` of a table laid out by date: the time bounds of
+        ``functions.timex`` then also bound the folders that are read."""
+        info = self.commit_info(version)
+        if not info:
             raise FileNotFoundError(f"no committed version below {self.path}")
-        df = self.spark.read.parquet(f"{self.path}/v{versions[-1] if version is None else version:08d}")
-        return df.drop("dt") if self.partition_ts else df
-
-    def replace(self, df: DataFrame, batch_id: int | None = None) -> int:
-        """Write ``df`` (which may read this table) as the next version and make it current."""
-        version = max(self.versions(), default=-1) + 1
-        data = f"{self.path}/v{version:08d}"
+        return self._rows(info["paths"], info["schema"], dates)
+
+    def _rows(self, paths: Sequence[str], schema: str, dates: bool = False) -> DataFrame:
+        reader = self.spark.read.schema(schema).option("basePath", self.path)
+        df = reader.parquet(*(f"{self.path}/{p}" for p in paths)) if paths else self.spark.createDataFrame([], schema)
+        hidden = [WRITER, *([DATE] if self.partition_ts and not dates else [])]
+        return df.drop(*hidden)
+
+    def _write(self, df: DataFrame) -> tuple[list[str], str]:
+        """Write ``df`` to folders of its own; returns them and the stored schema."""
+        writer = uuid.uuid4().hex
+        columns = [WRITER]
+        if self.partition_ts:
+            df = df.withColumn(DATE, F.to_date(self.partition_ts)).hint("rebalance", DATE)
+            df = df.sortWithinPartitions(DATE, *self.cluster)
+            columns = [DATE, WRITER]
+        stored = df.withColumn(WRITER, F.lit(writer))
         try:
-            if self.partition_ts:
-                laid_out = df.withColumn("dt", F.to_date(self.partition_ts)).hint("rebalance", "dt")
-                laid_out = laid_out.sortWithinPartitions("dt", *self.cluster)
-                laid_out.write.mode("overwrite").partitionBy("dt").parquet(data)
-            else:
-                df.write.mode("overwrite").parquet(data)
+            stored.write.mode("append").partitionBy(*columns).parquet(self.path)
         except PySparkException as error:
             if CARDINALITY_MESSAGE in str(error):
                 raise MergeCardinalityError(CARDINALITY_MESSAGE) from error
             raise
-        self._commit(version, {"batch_id": batch_id})
-        return version
-
-    def _commit(self, version: int, info: dict) -> None:
-        fs, tmp = self._fs(f"{self.path}/_commits/{version:08d}.tmp")
-        _, final = self._fs(f"{self.path}/_commits/{version:08d}")
-        stream = fs.create(tmp, True)
+        own = f"{WRITER}={writer}"
+        if not self.partition_ts:
+            return [own] if own in self._names("") else [], _ddl(stored)
+        folders = [d for d in self._names("") if d.startswith(f"{DATE}=")]
+        return [f"{d}/{own}" for d in folders if own in self._names(d)], _ddl(stored)
+
+    def _commit(self, version: int, paths: list[str], schema: str, info: dict) -> int:
+        fs, path = self._fs(f"_commits/{version:08d}")
+        content = json.dumps({**info, "paths": sorted(paths), "schema": schema, "at": time.time()}).encode()
+        try:
+            stream = fs.create(path, False)
+        except Exception as error:
+            raise CommitConflict(f"version {version} of {self.path} was committed by another writer") from error
         try:
-            stream.write(bytearray(json.dumps(info).encode()))
+            stream.write(bytearray(content))
         finally:
             stream.close()
-        if fs.exists(final) or not fs.rename(tmp, final):
-            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
+        return version
+
+    def _next(self) -> tuple[int, dict]:
+        version = max(self.versions(), default=-1)
+        return version + 1, self.commit_info(version) if version >= 0 else {}
+
+    @staticmethod
+    def _carried(before: dict, stream: tuple[str, int] | None, info: dict | None = None) -> dict:
+        streams = dict(before.get("streams", {}))
+        if stream is not None:
+            streams[stream[0]] = stream[1]
+        kept = {k: v for k, v in before.items() if k not in ("paths", "schema", "at", "streams")}
+        return {**kept, **(info or {}), "streams": streams}
+
+    def replace(self, df: DataFrame, stream: tuple[str, int] | None = None) -> int:
+        """Write ``df`` (which may read this table) as the next version and make it current."""
+        version, before = self._next()
+        return self._commit(version, *self._write(df), self._carried(before, stream))
+
+    def append(self, df: DataFrame, stream: tuple[str, int] | None = None, info: Callable[[DataFrame], dict] | None = None) -> int:
+        """Add rows; no file of the table is written again. What ``info`` makes of the rows as written goes to the marker, and
+        stays in later ones."""
+        version, before = self._next()
+        paths, schema = self._write(df)
+        found = info(self._rows(paths, schema)) if info else None
+        return self._commit(version, [*before.get("paths", []), *paths], schema, self._carried(before, stream, found))
+
+    def overwrite_dates(self, df: DataFrame, dates: Sequence[str], stream: tuple[str, int] | None = None) -> int:
+        """Replace the rows of ``dates`` (texts as in the folder names) by those of ``df``, and add its rows of other dates. Files of
+        all other dates stay as they are."""
+        version, before = self._next()
+        paths, schema = self._write(df)
+        gone = {f"{DATE}={d}" for d in dates}
+        kept = [p for p in before.get("paths", []) if p.split("/")[0] not in gone]
+        return self._commit(version, [*kept, *paths], schema, self._carried(before, stream))
+
+    def taken(self, stream: tuple[str, int] | None) -> bool:
+        """Whether this batch of the stream is in the table already."""
+        if stream is None:
+            return False
+        done = self.commit_info().get("streams", {}).get(stream[0])
+        return done is not None and stream[1] <= done
 
     def create_or_merge(
         self,
         build_initial: Callable[[], DataFrame],
         build_increment: Callable[[DataFrame], DataFrame],
-        batch_id: int | None = None,
+        stream: tuple[str, int] | None = None,
+        added_only: bool = False,
     ) -> str:
         """Initial build when the table is absent or empty, else the increment from its current content.
 
-        A batch id not above the recorded one has been applied already and is skipped.
+        With ``added_only`` the increment gives only the rows to add, and nothing is written again. A batch of a stream that was
+        taken already is skipped.
         """
+        if self.taken(stream):
+            return "skipped"
         if self.exists():
-            done = self.commit_info().get("batch_id")
-            if batch_id is not None and done is not None and batch_id <= done:
-                return "skipped"
             current = self.read()
             if not current.isEmpty():
-                self.replace(build_increment(current), batch_id)
+                (self.append if added_only else self.replace)(build_increment(current), stream)
                 return "merged"
-        self.replace(build_initial(), batch_id)
+        self.replace(build_initial(), stream)
         return "created"
 
-    def vacuum(self, keep: int = 2) -> None:
-        """Drop all but the newest ``keep`` versions."""
-        for version in self.versions()[:-keep]:
-            for name in (f"_commits/{version:08d}", f"v{version:08d}"):
-                fs, path = self._fs(f"{self.path}/{name}")
-                fs.delete(path, True)
+    def merge(self, source: DataFrame, on: Sequence[str], set=None, insert=None, stream: tuple[str, int] | None = None, **options) -> int:
+        """Merge ``source``, writing as little as the layout allows.
+
+        A merge that only inserts appends. In a table laid out by date only the dates that hold a matched row are written again;
+        finding them reads the keys alone. Otherwise the table is replaced.
+        """
+        source = _staged(source)
+        if set is None and not options.get("not_matched_by_source"):
+            return self.append(new_rows(self.read(), source, on, insert), stream)
+        if not self.partition_ts or options.get("not_matched_by_source"):
+            return self.replace(merge(self.read(), source, on, set=set, insert=insert, **options), stream)
+        current = self.read(dates=True)
+        matched = current.join(source.select(*on).distinct(), list(on), "left_semi").select(F.col(DATE).cast("string").alias(DATE)).distinct()
+        dates = [r[DATE] for r in matched.collect()]  # as many rows as the table has dates at most
+        touched = current.where(F.coalesce(F.col(DATE).cast("string").isin([d for d in dates if d]), F.lit(None in dates))).drop(DATE)
+        # rows of the source that match nothing here match nothing elsewhere either
+        merged = merge(touched, source, on, set=set, insert=insert, **options)
+        return self.overwrite_dates(merged, [d or "__HIVE_DEFAULT_PARTITION__" for d in dates], stream)
+
+    def vacuum(self, keep: int = 2, older_than: float = 3600.0) -> None:
+        """Drop the folders that none of the newest ``keep`` versions needs, and the markers before them, if the version that
+        last needed them was superseded ``older_than`` seconds ago: readers of it may still be at work."""
+        versions = self.versions()
+        infos = {v: self.commit_info(v) for v in versions}
+        limit = time.time() - older_than
+        old = [v for v, after in zip(versions[:-1], versions[1:], strict=True) if v in versions[:-keep] and infos[after]["at"] <= limit]
+        needed = {p for v in versions if v not in old for p in infos[v]["paths"]}
+        for name in {p for v in old for p in infos[v]["paths"]} - needed | {f"_commits/{v:08d}" for v in old}:
+            fs, path = self._fs(name)
+            fs.delete(path, True)
+
+
+def _ddl(df: DataFrame) -> str:
+    return df._jdf.schema().toDDL()
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    from reelstat.session import materialise
+
+    return materialise(df, "batch")

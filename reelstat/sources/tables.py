@@ -7,10 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def read_shards(spark: SparkSession, *paths: str) -> DataFrame:
-    """Union by name of all files matching the globs; columns a shard lacks are NULL."""
+def read_shards(spark: SparkSession, *paths: str, schema: StructType | str | None = None) -> DataFrame:
+    """Union by name of all files matching the globs; columns a shard lacks are NULL. With the ``schema`` given no footer has
+    to be read beforehand; without it every file's is, to merge them."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(*paths)
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
@@ -19,25 +23,6 @@ def union_shards(*shards: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
 
 
-def spread_single_split(df: DataFrame) -> DataFrame:
-    """Spread a scan that is one split over all cores, for work that is heavy per row such as parsing.
-
-    Larger inputs come in many splits and are left alone, so this never shuffles more than one split.
-    """
-    if df.rdd.getNumPartitions() > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
-def object_metadata(spark: SparkSession, path: str, n: int | None = 10, pattern: str | None = None) -> DataFrame:
-    """Listing of stored objects (path, modification time, length); their content is not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    listing = reader.load(path).select("path", "modificationTime", "length")
-    return listing if n is None else listing.orderBy("path").limit(n)
-
-
 def append_or_create(df: DataFrame, table: str, **options: str) -> str:
     """Append to a catalog table, or create it if absent; returns the mode used."""
     mode = "append" if df.sparkSession.catalog.tableExists(table) else "overwrite"

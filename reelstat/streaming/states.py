@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reelstat.operators.merge import merge
 from reelstat.sources.snapshots import SnapshotTable
 from reelstat.streaming.upserts import event_time, start_merge
 
 
-def daily_counts(stream: DataFrame, ts: str, name: str, lateness: str = "2 days") -> DataFrame:
-    """Running counts per UTC day and event name; days older than the lateness are dropped from the state."""
+def daily_counts(stream: DataFrame, ts: str, name: str, lateness: str) -> DataFrame:
+    """Running counts per UTC day and event name; days that end more than ``lateness`` before the newest
+    row of a batch are closed after the next batch, and rows that arrive for them later do not count."""
     timed = event_time(stream, ts).withWatermark(ts, lateness)
     counted = timed.groupBy(F.window(ts, "1 day"), F.col(name).alias("event_name")).agg(F.count(F.lit(1)).alias("event_count"))
     return counted.select(F.to_date("window.start").alias("event_date"), "event_name", "event_count")
@@ -35,7 +35,8 @@ def upsert_changes(
         table,
         checkpoint,
         lambda batch: batch,
-        lambda current, batch: merge(current, batch, keys, set="*", insert="*", source_unique=True, stage=True),
+        upsert=lambda batch: batch,
+        keys=keys,
         output_mode="update",
         **options,
     )

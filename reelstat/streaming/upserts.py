@@ -1,12 +1,13 @@
 """Streams that keep snapshot tables up to date.
 
-Every micro-batch is merged into the table by the same operators as a batch run. The table records the last batch it took,
-so a batch replayed after a failure is skipped. ``available_now`` drains what is there and stops, which is how a
+Every micro-batch is merged into the table by the same operators as a batch run. The table records the last batch it took of each
+stream, so a batch replayed after a failure is skipped. ``available_now`` drains what is there and stops, which is how a
 scheduled incremental run works.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelstat.functions.timex import high_watermark, lookback
-from reelstat.operators.merge import merge
 from reelstat.operators.windows import latest_per_key
+from reelstat.session import materialise
 from reelstat.sources.snapshots import SnapshotTable
 
 
@@ -25,16 +26,23 @@ def start_merge(
     table: SnapshotTable,
     checkpoint: str,
     build_initial: Callable[[DataFrame], DataFrame],
-    build_increment: Callable[[DataFrame, DataFrame], DataFrame],
+    build_increment: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    upsert: Callable[[DataFrame], DataFrame] | None = None,
+    keys: Sequence[str] = (),
     available_now: bool = True,
     processing_time: str = "5 minutes",
     output_mode: str = "append",
     keep: int = 3,
 ) -> StreamingQuery:
-    """Merge each micro-batch into ``table``: ``build_initial(batch)`` at first, then ``build_increment(table, batch)``."""
+    """Merge each micro-batch into ``table``: ``build_initial(batch)`` at first, then either ``build_increment(table, batch)`` as
+    its new content, or ``upsert(batch)``, one row a key, merged by ``SnapshotTable.merge``, which writes only what it touches."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.create_or_merge(lambda: build_initial(batch), lambda current: build_increment(current, batch), batch_id)
+        mark = (stream_id(batch, checkpoint), batch_id)
+        if upsert is not None and table.exists() and not table.taken(mark):
+            table.merge(upsert(batch), keys, set="*", insert="*", stream=mark, source_unique=True)
+        else:
+            table.create_or_merge(lambda: build_initial(batch), lambda current: build_increment(current, batch), mark)
         table.vacuum(keep)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
@@ -42,6 +50,17 @@ def start_merge(
     return writer.trigger(**trigger).foreachBatch(apply).start()
 
 
+def stream_id(batch: DataFrame, checkpoint: str) -> str:
+    """The id a stream keeps with its checkpoint; a fresh checkpoint has a new one, and its batches count from 0 again."""
+    spark = batch.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())["id"]
+    finally:
+        stream.close()
+
+
 def lookback_upsert(
     stream: DataFrame, table: SnapshotTable, checkpoint: str, keys: Sequence[str], ts: str, window: timedelta, **options
 ) -> StreamingQuery:
@@ -51,20 +70,13 @@ def lookback_upsert(
     not do this: without a stateful operator it filters nothing.
     """
 
-    def recent(rows: DataFrame, *seen: DataFrame) -> DataFrame:
-        marks = [m for m in (high_watermark(df, ts) for df in (rows, *seen)) if m is not None]
+    def recent(batch: DataFrame) -> DataFrame:
+        rows = materialise(batch, "batch")  # read twice below
+        seen = [rows, table.read()] if table.exists() else [rows]
+        marks = [m for m in (high_watermark(df, ts) for df in seen) if m is not None]
         return latest_per_key(lookback(rows, ts, max(marks), window) if marks else rows, keys, [ts])
 
-    return start_merge(
-        stream,
-        table,
-        checkpoint,
-        lambda batch: recent(batch),
-        lambda current, batch: merge(
-            current, recent(batch, current), keys, set="*", insert="*", source_unique=True, stage=True
-        ),
-        **options,
-    )
+    return start_merge(stream, table, checkpoint, recent, upsert=recent, keys=keys, **options)
 
 
 def incremental(

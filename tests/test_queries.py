@@ -6,25 +6,23 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import actual, expected
+from checks.oracle import ORACLES
+from checks.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
-ROWS_ONLY = {"object_metadata", "vector_search_ivf", "train_classifier"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
 
-def test_only_queries_without_a_sql_form_lack_one():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY and set(ORACLES) <= set(QUERIES)
+def test_every_query_is_registered_with_its_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, name):
     got = actual(QUERIES[name](spark, SF))
-    if name in ORACLES:
-        assert got == expected(SF, ORACLES[name])
-    else:
-        assert got[1]
+    assert got == expected(SF, ORACLES[name])
 
 
 def test_entry(spark):

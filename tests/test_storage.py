@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from reelstat.functions.timex import lookback
 from reelstat.operators.filters import read_events
-from reelstat.operators.merge import MergeCardinalityError, merge
+from reelstat.operators.merge import MergeCardinalityError, merge, merge_into
 from reelstat.plans import chain, graph
 from reelstat.session import materialise, shared_dir
 from reelstat.sources import serving, tables
-from reelstat.sources.snapshots import SnapshotTable
+from reelstat.sources.snapshots import CommitConflict, SnapshotTable
 from reelstat.streaming import states, upserts
 from tests.conftest import at, rows
 
@@ -35,13 +35,17 @@ def test_snapshot_versions_and_reading_while_replacing(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         table.read()
     table.replace(spark.range(3))
-    table.replace(table.read().withColumn("id", F.col("id") + 10), batch_id=4)
+    table.replace(table.read().withColumn("id", F.col("id") + 10), stream=("s", 4))
     assert [r["id"] for r in rows(table.read(), "id")] == [10, 11, 12]
     assert [r["id"] for r in rows(table.read(0), "id")] == [0, 1, 2]
-    assert table.commit_info() == {"batch_id": 4}
+    assert table.commit_info()["streams"] == {"s": 4}
     table.replace(spark.range(1))
+    assert table.commit_info()["streams"] == {"s": 4}  # a batch run in between does not forget the stream
+    before = table.read(1)
     table.vacuum(keep=1)
-    assert table.versions() == [2] and table.read().count() == 1
+    assert before.count() == 3  # superseded a moment ago: a reader may still need it
+    table.vacuum(keep=1, older_than=0)
+    assert table.versions() == [2] and table.read().count() == 1 and len([p for p in (tmp_path / "t").iterdir() if "=" in p.name]) == 1
 
 
 def test_snapshot_with_date_partitions(spark, tmp_path):
@@ -49,7 +53,7 @@ def test_snapshot_with_date_partitions(spark, tmp_path):
     df = frame(spark, "k string, t timestamp_ntz", ("b", at("01 10:00")), ("a", at("01 11:00")), ("c", at("02 10:00")), ("d", None))
     table.replace(df)
     assert rows(table.read(), "k") == rows(df, "k")
-    names = {p.name for p in (tmp_path / "t" / "v00000000").iterdir() if p.name.startswith("dt=")}
+    names = {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("dt=")}
     assert names == {"dt=2024-01-01", "dt=2024-01-02", "dt=__HIVE_DEFAULT_PARTITION__"}
 
 
@@ -66,7 +70,7 @@ def test_create_or_merge_dispatch_and_replayed_batches(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
 
     def run(n, batch_id=None):
-        return table.create_or_merge(lambda: spark.range(n), lambda current: current.union(spark.range(n)), batch_id)
+        return table.create_or_merge(lambda: spark.range(n), lambda current: current.union(spark.range(n)), None if batch_id is None else ("s", batch_id))
 
     assert [run(0), run(2, 0), run(3, 1), run(3, 1), run(3, 0)] == ["created", "created", "merged", "skipped", "skipped"]
     assert table.read().count() == 5
@@ -98,15 +102,24 @@ def test_core_chain_runs_twice(spark, raw, tmp_path):
     ]
     second = [("video_duration_watched", act("w", "a", percentage_watched=90), "02 10:00"), ("video_report_banned", act("u", "b"), "02 09:59")]
     scores = frame(spark, "video_id string, probability double, nsfw_ec string", ("a", 0.9, "x"))
-    done = chain.run_core(spark, str(tmp_path), raw(*first), scores, at("02 10:00"))
-    assert set(done.values()) == {"created"} and tuple(done) == chain.TABLES
-    done = chain.run_core(spark, str(tmp_path), raw(*first, *second), scores, at("02 10:05"))
-    assert set(done.values()) == {"merged"}
-    counts = {name: SnapshotTable(spark, f"{tmp_path}/{name}").read().count() for name in chain.TABLES}
+    built = chain.Chain(spark, str(tmp_path))
+    done = built.run(chain.Inputs(raw(*first), scores), at("02 10:00"))
+    assert set(done.values()) == {"created", "replaced"}
+    assert built.sync(chain.Inputs(raw(*first), scores), at("02 10:00"))["excluded_videos"] == 1
+    later = chain.Inputs(raw(*first, *second), scores)
+    done = built.run(later, at("02 10:05"))
+    assert set(done.values()) == {"merged", "replaced"}
+    counts = {name: built.read(name).count() for name in done}
     assert counts == {
         "user_video_relation": 4, "user_video_metrics": 3, "video_statistics": 2, "global_video_stats": 1,
         "video_statistics_normalized": 2, "follower_graph": 1, "bot_uploaded_content": 1, "video_reports": 1, "excluded_videos": 2,
+        "daily_event_counts": 5, "global_popular_videos_l90d": 2,
     }
+    sent = built.sync(later, at("02 10:05"))
+    assert sent["excluded_videos"] == 2 and sent["video_nsfw_agg"] == 1 and "ai_ugc" not in sent
+    assert built.view("excluded_videos").count() == 2 and built.view("user_video_relation").count() == 4
+    plan = built._rankings(later, at("02 10:05"))["global_popular_videos_l90d"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
 
 
 # --- tables ------------------------------------------------------------------------------------------------------
@@ -119,14 +132,6 @@ def test_shards_of_different_columns(spark, tmp_path):
     assert [(r["id"], r["extra"]) for r in rows(out, "id")] == [(0, None), (1, None), (2, "x")]
 
 
-def test_object_listing_reads_no_content(spark, tmp_path):
-    for i in range(12):
-        (tmp_path / f"o{i:02}.bin").write_bytes(b"x" * (i + 1))
-    out = tables.object_metadata(spark, str(tmp_path), n=10)
-    assert [r["length"] for r in out.collect()] == list(range(1, 11))
-    assert tables.object_metadata(spark, str(tmp_path), n=None).count() == 12
-
-
 def test_event_scan_is_pushed_to_the_files(spark, tmp_path):
     path = str(tmp_path / "events")
     frame(spark, "event string, params string, timestamp timestamp_ntz", ("a", "{}", at("01 10:00"))).write.parquet(path)
@@ -144,40 +149,50 @@ ROW = "k string, v int, t timestamp_ntz"
 
 
 def test_incremental_sync(spark, tmp_path):
-    path = str(tmp_path / "serving")
+    copy = SnapshotTable(spark, str(tmp_path / "serving"))
     old = frame(spark, ROW, ("a", 1, at("01 10:00")), ("b", 1, at("02 10:00")))
-    assert serving.append_batch(old, path, datetime(2024, 1, 3)) == 2
+    assert serving.append_batch(old, copy, datetime(2024, 1, 3), "t") == 2
     source = frame(spark, ROW, ("a", 2, at("01 10:00")), ("b", 2, at("02 09:30")), ("c", 2, at("05 10:00")))
-    sent = serving.sync_incremental(source, path, ["k"], "t", timedelta(hours=1), datetime(2024, 1, 6))
+    sent = serving.sync_incremental(source, copy, "t", timedelta(hours=1), datetime(2024, 1, 6))
     assert sent == 2  # b lies within the overlap, a does not
-    view = serving.current_view(spark.read.parquet(path), ["k"])
+    view = serving.current_view(copy.read(), ["k"])
     assert [(r["k"], r["v"]) for r in rows(view, "k")] == [("a", 1), ("b", 2), ("c", 2)]
-    again = serving.sync_incremental(source, path, ["k"], "t", timedelta(hours=1), datetime(2024, 1, 7))
-    assert again == 1 and rows(serving.current_view(spark.read.parquet(path), ["k"]).drop("_updated_at"), "k") == rows(view.drop("_updated_at"), "k")
+    again = serving.sync_incremental(source, copy, "t", timedelta(hours=1), datetime(2024, 1, 7))
+    plain = lambda df: rows(df.drop("_updated_at"), "k")
+    assert again == 1 and plain(serving.current_view(copy.read(), ["k"])) == plain(view)
+    assert serving.append_batch(old.limit(1), copy, datetime(2024, 1, 7), "t") == 1  # the same version time again
+    kept = rows(serving.current_view(copy.read(), ["k"], tie=["v"]), "k")
+    serving.compact(copy, ["k"], tie=["v"])
+    assert rows(copy.read(), "k") == kept and serving.require_bootstrap(copy) == at("05 10:00")
+
+
+def test_equal_versions_are_decided_by_the_tie(spark):
+    both = frame(spark, "k string, why string, _updated_at timestamp", ("a", "banned", at("02 00:00")), ("a", "reported", at("02 00:00")))
+    assert [r["why"] for r in serving.current_view(both, ["k"], tie=["why"]).collect()] == ["reported"]
+    assert serving.current_view(both, ["k", "why"]).count() == 2
 
 
 def test_sync_of_nothing_returns_zero(spark, tmp_path):
-    path = str(tmp_path / "serving")
-    serving.append_batch(frame(spark, ROW, ("a", 1, at("01 10:00"))), path, datetime(2024, 1, 3))
-    assert serving.sync_incremental(frame(spark, ROW), path, ["k"], "t", timedelta(0), datetime(2024, 1, 4)) == 0
+    copy = SnapshotTable(spark, str(tmp_path / "serving"))
+    serving.append_batch(frame(spark, ROW, ("a", 1, at("01 10:00"))), copy, datetime(2024, 1, 3), "t")
+    assert serving.sync_incremental(frame(spark, ROW), copy, "t", timedelta(0), datetime(2024, 1, 4)) == 0
 
 
 def test_sync_needs_a_bootstrap(spark, tmp_path):
-    empty, nulls = str(tmp_path / "empty"), str(tmp_path / "nulls")
-    serving.append_batch(frame(spark, ROW), empty)
-    serving.append_batch(frame(spark, ROW, ("a", 1, None)), nulls)
+    missing, empty, nulls = (SnapshotTable(spark, str(tmp_path / n)) for n in ("missing", "empty", "nulls"))
+    serving.append_batch(frame(spark, ROW), empty, ts="t")
+    serving.append_batch(frame(spark, ROW, ("a", 1, None)), nulls, ts="t")
     source = frame(spark, ROW, ("a", 1, at("01 10:00")))
-    for path in (empty, nulls):
+    for copy in (missing, empty, nulls):
         with pytest.raises(serving.BootstrapMissing):
-            serving.sync_incremental(source, path, ["k"], "t", timedelta(0), on_error="raise")
-        assert serving.sync_incremental(source, path, ["k"], "t", timedelta(0)) is None
+            serving.sync_incremental(source, copy, "t", timedelta(0), on_error="raise")
+        assert serving.sync_incremental(source, copy, "t", timedelta(0)) is None
 
 
 def test_full_sync_replaces_even_with_nothing(spark, tmp_path):
     target = SnapshotTable(spark, str(tmp_path / "bridge"))
-    serving.sync_full(frame(spark, ROW, ("a", 1, None)), target, at("01 00:00"))
-    assert target.read().count() == 1
-    serving.sync_full(frame(spark, ROW), target, at("02 00:00"))
+    assert serving.sync_full(frame(spark, ROW, ("a", 1, None), ("b", 1, None)), target, at("01 00:00")) == 2
+    assert serving.sync_full(frame(spark, ROW), target, at("02 00:00")) == 0
     assert target.read().count() == 0 and "_updated_at" in target.read().columns
 
 
@@ -199,7 +214,7 @@ def test_streamed_counts_equal_the_batch_over_several_batches(spark, tmp_path):
     folder, table = str(tmp_path / "in"), SnapshotTable(spark, str(tmp_path / "t"))
 
     def run():
-        counted = states.daily_counts(stream(spark, folder), "t", "k")
+        counted = states.daily_counts(stream(spark, folder), "t", "k", "2 days")
         states.upsert_changes(counted, table, str(tmp_path / "cp"), ["event_date", "event_name"]).awaitTermination()
         return {(r["event_date"].day, r["event_name"]): r["event_count"] for r in table.read().collect()}
 
@@ -250,3 +265,100 @@ def test_streamed_increments_equal_the_batch(spark, raw, tmp_path):
         ).awaitTermination()
     whole = graph.follower_graph(batches[0].union(batches[1]).union(batches[2]))
     assert rows(table.read(), "follower_id") == rows(whole, "follower_id")
+
+
+# --- commits -----------------------------------------------------------------------------------------------------
+
+
+def files(path):
+    return {str(p) for p in path.rglob("part-*.parquet")}
+
+
+def test_a_losing_writer_harms_nothing(spark, tmp_path):
+    first, second = (SnapshotTable(spark, str(tmp_path / "t")) for _ in range(2))
+    first.replace(spark.range(2))
+    late = second._next()  # both writers see version 0
+    first.append(spark.range(5))
+    second._next = lambda: late
+    with pytest.raises(CommitConflict):
+        second.replace(spark.range(100))
+    assert first.read().count() == 7
+
+
+def test_merges_write_only_what_they_touch(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), partition_ts="t", cluster=["k"])
+    row = "k string, t timestamp_ntz, v int"
+    table.replace(frame(spark, row, ("a", at("01 10:00"), 1), ("b", at("01 11:00"), 1), ("c", at("02 10:00"), 1), ("d", at("03 10:00"), 1), ("n", None, 1)))
+    before = files(tmp_path)
+    source = frame(spark, row, ("a", at("02 12:00"), 2), ("e", at("03 12:00"), 2), ("n", None, 2))
+    table.merge(source, ["k"], set="*", insert="*")
+    found = {r["k"]: (r["t"], r["v"]) for r in table.read().collect()}
+    assert {k: v for k, (_, v) in found.items()} == {"a": 2, "b": 1, "c": 1, "d": 1, "e": 2, "n": 2}
+    assert found["a"][0] == at("02 12:00") and table.read().count() == 6
+    current = {f"/{f.removeprefix('file:').lstrip('/')}" for f in table.read().inputFiles()}
+    untouched = {f for f in before if "dt=2024-01-02" in f or "dt=2024-01-03" in f}
+    assert untouched <= current and not {f for f in before - untouched} & current
+    pruned = lookback(table.read(dates=True), "t", at("03 20:00"), timedelta(hours=12))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "dt#" in plan[plan.index("PartitionFilters") :].split("]")[0] and {r["k"] for r in pruned.collect()} == {"d", "e"}
+
+
+def test_insert_only_merges_append(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.replace(frame(spark, "k string, v int", ("a", 1), ("b", 1)))
+    before = files(tmp_path)
+    table.merge(frame(spark, "k string, v int", ("b", 2), ("c", 2)), ["k"], insert="*")
+    assert [(r["k"], r["v"]) for r in rows(table.read(), "k")] == [("a", 1), ("b", 1), ("c", 2)] and before <= files(tmp_path)
+
+
+def test_merge_clauses_of_a_catalog_table():
+    class Recorder:
+        def __init__(self):
+            self.calls = []
+
+        def __getattr__(self, name):
+            return lambda *a: self.calls.append((name, *a)) or self
+
+    source = Recorder()
+    merge_into(source, "cat.db.t", ["k"], set="*", insert="*")
+    names = [c[0] for c in source.calls]
+    assert names == ["alias", "mergeInto", "whenMatched", "updateAll", "whenNotMatched", "insertAll", "merge"]
+    assert source.calls[1][1] == "cat.db.t t"
+    other = Recorder()
+    merge_into(other, "t", ["k", "d"], set={"v": "t.v + s.v"}, not_matched_by_source={"v": 0})
+    assert [c[0] for c in other.calls] == ["alias", "mergeInto", "whenMatched", "update", "whenNotMatchedBySource", "update", "merge"]
+    assert set(other.calls[3][1]) == set(other.calls[5][1]) == {"v"}
+
+
+def test_fresh_and_second_streams_lose_nothing(spark, tmp_path):
+    folder, table = str(tmp_path / "in"), SnapshotTable(spark, str(tmp_path / "t"))
+
+    def run(checkpoint, source=folder):
+        newest = stream(spark, source).select("k", "t", "v")
+        upserts.lookback_upsert(newest, table, str(tmp_path / checkpoint), ["k"], "t", timedelta(days=9)).awaitTermination()
+        return {r["k"]: r["v"] for r in table.read().collect()}
+
+    feed(spark, folder, [("a", at("01 10:00"), 1)], [("b", at("01 11:00"), 1)])
+    assert run("cp1") == {"a": 1, "b": 1}
+    table.replace(table.read().where("k <> 'b'"))  # a batch run between two micro-batches
+    feed(spark, folder, [("c", at("01 12:00"), 1)])
+    assert run("cp1") == {"a": 1, "c": 1}  # batches taken before are not taken again
+    other = str(tmp_path / "other")
+    feed(spark, other, [("d", at("01 13:00"), 1)])
+    assert run("cp2", other) == {"a": 1, "c": 1, "d": 1}  # its batch 0 is another stream's
+    assert run("cp3") == {"a": 1, "b": 1, "c": 1, "d": 1}  # a fresh checkpoint reads everything again
+
+
+def test_a_cluster_has_to_name_its_shared_folder(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": lambda self, key, default: default})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
