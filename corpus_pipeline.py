@@ -14,7 +14,7 @@ from reelstat.llm.decontam import benchmark_overlaps
 from reelstat.llm.jaccard import jaccard_classes
 from reelstat.llm.lines import without_repeated_lines
 from reelstat.llm.packing import pack, token_pieces
-from reelstat.llm.storage import materialise
+from reelstat.llm.storage import Scratch, materialise
 from reelstat.llm.toxicity import without_toxic
 
 TOKENIZER = "word_bpe_49k.json"
@@ -47,7 +47,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     import public_tokenizers
 
     pieces = token_pieces(docs, public_tokenizers.path(TOKENIZER))
-    return pack(materialise(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "task", "rank"), "pieces"))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "task", "rank")
+    with Scratch(spark) as scratch:
+        return pack(scratch.keep(digests, "pieces"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -67,6 +69,8 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of ``documents``; the rows of the last one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with Scratch(spark) as scratch:
+        for name, stage in STAGES[:-1]:
+            docs = scratch.keep(stage(spark, docs, sf_dir), name)
+            scratch.drop(keep=1)
+        return materialise(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0])

@@ -64,9 +64,12 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, hashes, nodes) sorted by bucket: an edge (a, b) from every node to the first node of the same hash."""
+    """(bucket, hashes, nodes) sorted by bucket: an edge (a, b) from every node to the first node of the same hash.
+
+    Within a bucket, which fixes the highest bits, the lowest 32 are sent: rows that meet by chance are verified like all others.
+    """
     for rows in grouped(batches):
-        h = np.concatenate([np.frombuffer(x, np.uint64) for _, x, _ in rows])
+        h = np.concatenate([np.frombuffer(x, np.uint32) for _, x, _ in rows])
         node = np.concatenate([np.frombuffer(x, np.int64) for _, _, x in rows])
         a, b, _ = stars(h, node)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])

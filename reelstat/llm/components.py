@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.storage import materialise
+from reelstat.llm.storage import Scratch
 
 EDGES = "a long, b long"
 #: Edges that a task contracts at once.
@@ -72,16 +72,18 @@ def _is_star(edges: DataFrame) -> bool:
     return seen.where("low <> high or (low is not null and root)").limit(1).count() == 0
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node with an edge; the component is its smallest node.
+def components(edges: DataFrame, into: Scratch, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component) for every node with an edge; the component is its smallest node. The table is kept in ``into``.
 
     Tasks contract their own edges first. Hubs are aggregated map-side, and the joins back are plain equi-joins, which the
     adaptive planner splits where a hub holds many edges. Every round is written to the shared folder; rounds grow with the
     logarithm of the longest way. Null ends and loops are ignored; an empty table gives an empty one.
     """
     given = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
-    now = materialise(given.mapInArrow(_contract, EDGES).distinct(), "edges")
-    while not _is_star(now):
-        now = materialise(_small_star(_large_star(now)).mapInArrow(_contract, EDGES).distinct(), "star")
-    star = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return star.union(star.select(F.col("component").alias("node"), "component").distinct())
+    with Scratch(edges.sparkSession) as scratch:
+        now = scratch.keep(given.mapInArrow(_contract, EDGES).distinct(), "edges")
+        while not _is_star(now):
+            now = scratch.keep(_small_star(_large_star(now)).mapInArrow(_contract, EDGES).distinct(), "star")
+            scratch.drop(keep=1)
+        star = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return into.keep(star.union(star.select(F.col("component").alias("node"), "component").distinct()), "components")

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.storage import bitmap, in_bitmap, materialise
+from reelstat.llm.storage import Scratch, bitmap, in_bitmap, materialise
 from reelstat.llm.text import Words, mix, slices, words
 
 #: Windows of at most 11 words, 7 of which must agree.
@@ -137,25 +137,31 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, shortest: int = 13
     items and texts with fewer words than a mask spans, nulls and empty texts have none. Equal rows count once; rows
     without an id are reported under a null id. Other columns are ignored; an empty table on either side gives no rows.
     """
+    with Scratch(docs.sparkSession) as scratch:
+        return _overlaps(docs, benchmark, shortest, identity, scratch)
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, shortest: int, identity: float, scratch: Scratch) -> DataFrame:
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
         .distinct()
         .withColumn("item", F.xxhash64("item_id", "text"))
     )
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seeds = materialise(items.select("item", "text").mapInArrow(_seeds, "hash long, item long, item_at long"), "seeds")
+    seeds = scratch.keep(items.select("item", "text").mapInArrow(_seeds, "hash long, item long, item_at long"), "seeds")
     held = bitmap(seeds, "hash", BITS, hashed=True)
-    groups = materialise(docs.mapInArrow(_neighbourhoods(held, BITS), _GROUP), "hits")
+    groups = scratch.keep(docs.mapInArrow(_neighbourhoods(held, BITS), _GROUP), "hits")
     hits = groups.select("group", F.explode(F.arrays_zip("hashes", "at")).alias("hit")).select("group", "hit.hashes", "hit.at")
-    found = (
+    candidates = (
         hits.join(seeds, F.col("hashes") == F.col("hash"))
         .select("group", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
         .distinct()
     )
     texts = items.mapInArrow(_item_words, "item long, item_id long, item_words binary")
-    pairs = found.join(groups.select("group", "doc_id", "begin", "words"), "group").join(texts, "item")
+    pairs = candidates.join(groups.select("group", "doc_id", "begin", "words"), "group").join(texts, "item")
     checked = pairs.select("doc_id", "begin", "words", "item_id", "item_words", "diagonal").mapInArrow(_verify(shortest, identity), _OVERLAP)
     best = F.max(F.struct("length", "matched", (-F.col("start")).alias("s"), (-F.col("item_start")).alias("i"))).alias("best")
-    return checked.groupBy("doc_id", "item_id").agg(best).select(
+    found = checked.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.s")).alias("start"), (-F.col("best.i")).alias("item_start"), "best.length", "best.matched"
     )
+    return materialise(found, "overlaps")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
 from reelstat.llm.components import components
-from reelstat.llm.storage import bitmap, in_bitmap, materialise, repartition_count
+from reelstat.llm.storage import Scratch, bitmap, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import Slice, mix, shingles, slices, words
 
 COLUMNS_AT_ONCE = 4096
@@ -122,7 +122,8 @@ def _scan(k: int, threshold: Fraction, buckets: int):
             full = np.flatnonzero(np.diff(bounds))
             m = len(full)
             none = pa.nulls(m, pa.int64())
-            blobs = [pa.array([x[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for x in (h, node)]
+            sent = (h.astype(np.uint32), node)
+            blobs = [pa.array([x[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for x in sent]
             yield _batch(np.full(m, 1, np.int32), none, none, none, none, full.astype(np.int32), *blobs)
 
     return run
@@ -210,8 +211,13 @@ def jaccard_classes(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(
     gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    with Scratch(docs.sparkSession) as scratch:
+        return _classes(docs, k, threshold, scratch)
+
+
+def _classes(docs: DataFrame, k: int, threshold: Fraction, scratch: Scratch) -> DataFrame:
     buckets = repartition_count(docs)
-    found = materialise(docs.mapInArrow(_scan(k, threshold, buckets), _FOUND), "incidence")
+    found = scratch.keep(docs.mapInArrow(_scan(k, threshold, buckets), _FOUND), "incidence")
     sized = found.where("kind = 0").select("doc_id", "n", "d1", "d2")
     # equal sets are one node, named by the first half of the digest
     met = (
@@ -222,25 +228,26 @@ def jaccard_classes(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(
         .mapInArrow(meeting, "a long, b long")
     )
     local = found.where("kind = 2").select(F.col("d1").alias("a"), F.col("d2").alias("b"))
-    family = materialise(components(met.union(local)).withColumnsRenamed({"component": "family"}), "family")
+    family = components(met.union(local), scratch).withColumnRenamed("component", "family")
 
     # one document of each set in a family lends its text; equal digests in full make equal sets
     lender = sized.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("doc_id"))
-    lender = materialise(lender.join(family, F.col("d1") == F.col("node")).select("doc_id", "n", "node", "family"), "lender")
+    lender = scratch.keep(lender.join(family, F.col("d1") == F.col("node")).select("doc_id", "n", "node", "family"), "lender")
     held = bitmap(lender, "doc_id")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(len(held) * 64)).alias("slot")
     sets = docs.select("doc_id", "text", slot).mapInArrow(_gather(k, held), "doc_id long, grams binary")
-    members = materialise(sets.dropDuplicates(["doc_id"]).join(lender, "doc_id"), "members")
+    members = scratch.keep(sets.dropDuplicates(["doc_id"]).join(lender, "doc_id"), "members")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(1.001 * math.log(1 / threshold)))
     work = units(members, size_class, "grams").repartition(buckets, "unit").sortWithinPartitions("unit")
     verified = work.mapInArrow(_multiply(threshold), "a long, b long")
-    component = components(verified).withColumnRenamed("component", "class")
+    component = components(verified, scratch).withColumnRenamed("component", "class")
 
     named = sized.join(component, F.col("d1") == F.col("node"), "left")
     key = F.when(F.col("n") > 0, F.coalesce("class", "d1"))
-    named = materialise(named.select("doc_id", "n", key.alias("class")), "named")
+    named = scratch.keep(named.select("doc_id", "n", key.alias("class")), "named")
     least = named.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
     least = least.where("rows > 1").drop("rows")
-    return named.join(least, "class", "left").select(
+    result = named.join(least, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+    return materialise(result, "jaccard")

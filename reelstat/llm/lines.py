@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
 from reelstat.llm.components import components, forest
-from reelstat.llm.storage import bitmap, fresh, in_bitmap, materialise, repartition_count
+from reelstat.llm.storage import Scratch, bitmap, fresh, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import Slice, mix, slices
 
 _ODD = 0x9E3779B97F4A7C15
@@ -165,7 +165,8 @@ def _scan(least: int, buckets: int):
             h, node = h[lead], node[lead]
             bounds = buckets_of(h, buckets)
             full = np.flatnonzero(np.diff(bounds))
-            hashes, ends = (pa.array([v[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for v in (h, node))
+            sent = (h.astype(np.uint32), node)
+            hashes, ends = (pa.array([v[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for v in sent)
             yield _found(1, len(full), bucket=pa.array(full.astype(np.int32)), hashes=hashes, ends=ends)
 
     return run
@@ -297,22 +298,22 @@ def _verified(batches):
         yield flush(held)
 
 
-def line_classes(docs: DataFrame, least: int = 16) -> tuple[DataFrame, DataFrame]:
+def line_classes(docs: DataFrame, scratch: Scratch, least: int = 16) -> tuple[DataFrame, DataFrame]:
     """The lines of each document (doc_id, n_lines, numbers, nodes of the lines with ``least`` code points or more and a word), and
-    (node, class) of the nodes that an edit link joins to others."""
+    (node, class) of the nodes that an edit link joins to others; both kept in ``scratch``."""
     buckets = repartition_count(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = materialise(docs.mapInArrow(_scan(least, buckets), _FOUND), "lines")
+    found = scratch.keep(docs.mapInArrow(_scan(least, buckets), _FOUND), "lines")
     numbered = found.where("kind = 0").select("doc_id", "n_lines", "numbers", "nodes")
     met = found.where("kind = 1").select("bucket", "hashes", "ends").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     edges = met.mapInArrow(meeting, "a long, b long").union(found.where("kind = 2").select("a", "b"))
-    family = materialise(components(edges).withColumnRenamed("component", "family"), "family")
+    family = components(edges, scratch).withColumnRenamed("component", "family")
     held = bitmap(family, "node", hashed=True)
     lines = docs.select("text").mapInArrow(_texts(least, held), "node long, n int, line string").dropDuplicates(["node"])
-    members = materialise(lines.join(family, "node"), "members")
+    members = scratch.keep(lines.join(family, "node"), "members")
     work = units(members, F.floor(F.col("n") / (MOST + 1)), "line").repartition(buckets, "unit").sortWithinPartitions("unit")
     links = work.mapInArrow(_verified, "a long, b long")
-    return numbered, components(links).withColumnRenamed("component", "class")
+    return numbered, components(links, scratch).withColumnRenamed("component", "class")
 
 
 def repeated_lines(docs: DataFrame, least: int = 16) -> DataFrame:
@@ -324,18 +325,24 @@ def repeated_lines(docs: DataFrame, least: int = 16) -> DataFrame:
     lines always stay. Null and empty texts lose nothing. Equal rows have equal results, as an id and number name one line; rows
     with a null doc_id lose nothing and take nothing from others. Other columns are ignored; an empty table gives an empty result.
     """
-    numbered, near = line_classes(docs, least)
+    with Scratch(docs.sparkSession) as scratch:
+        return _repeated(docs, least, scratch)
+
+
+def _repeated(docs: DataFrame, least: int, scratch: Scratch) -> DataFrame:
+    numbered, near = line_classes(docs, scratch, least)
     line = numbered.select("doc_id", F.explode(F.arrays_zip("numbers", "nodes")).alias("l")).select("doc_id", "l.numbers", "l.nodes")
     line = line.where("doc_id is not null")
     of_node = line.groupBy("nodes").agg(F.min(F.struct("doc_id", "numbers")).alias("first"), F.count("*").alias("n"))
     classed = of_node.join(near, F.col("nodes") == F.col("node"), "left").select("nodes", "first", "n", F.coalesce("class", "nodes").alias("class"))
     kept = classed.groupBy("class").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
-    repeated = materialise(classed.select("nodes", "class").join(kept, "class").select("nodes", "kept"), "repeated")
+    repeated = scratch.keep(classed.select("nodes", "class").join(kept, "class").select("nodes", "kept"), "repeated")
     again = line.join(repeated, "nodes").where("doc_id <> kept.doc_id or numbers <> kept.numbers")
     removed = again.groupBy("doc_id").agg(F.sort_array(F.collect_set("numbers")).alias("removed"))
     nothing = F.array().cast("array<int>")
     rows = numbered.select("doc_id", "n_lines").join(removed, "doc_id", "left")
-    return rows.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.coalesce("removed", nothing).alias("removed"))
+    found = rows.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.coalesce("removed", nothing).alias("removed"))
+    return materialise(found, "repeated_lines")
 
 
 def without_repeated_lines(docs: DataFrame, least: int = 16) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.storage import materialise
+from reelstat.llm.storage import Scratch, materialise
 from reelstat.llm.text import LOWER, Slice, mix, slices, span_hash, word_spans
 
 END = 0
@@ -260,9 +260,14 @@ def pack(pieces: DataFrame, capacity: int = 2048, **options) -> DataFrame:
     Every piece is placed once; offsets of a sequence are gapless from 0. Equal rows are separate items. An empty table stays
     empty. ``options`` go to ``plan_bins``. ``pieces`` must be a stored table, as it is read twice.
     """
+    with Scratch(pieces.sparkSession) as scratch:
+        return _placed(pieces, capacity, scratch, options)
+
+
+def _placed(pieces: DataFrame, capacity: int, scratch: Scratch, options: dict) -> DataFrame:
     spark = pieces.sparkSession
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("count"))
-    counts = materialise(counts, "lengths")
+    counts = scratch.keep(counts, "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     plan = plan_bins(histogram, capacity, **options)
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -272,8 +277,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, **options) -> DataFrame:
     ranked = pieces.join(base, ["task", "length"]).withColumn("r", F.col("rank") + F.col("base"))
     placed = ranked.join(F.broadcast(rows), (ranked["length"] == rows["length"]) & F.col("r").between(F.col("low"), F.col("high") - 1))
     step = F.col("r") - F.col("low")
-    return placed.select(
+    result = placed.select(
         *(pieces[c] for c in pieces.columns if c not in ("task", "rank")),
         (F.col("first") + F.floor(step / F.col("per"))).alias("sequence_id"),
         (F.col("at") + F.pmod(step, F.col("per")) * pieces["length"]).alias("offset"),
     )
+    return materialise(result, "packed")

@@ -47,11 +47,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     from reelstat.llm.packing import pack, token_pieces
-    from reelstat.llm.storage import materialise
+    from reelstat.llm.storage import Scratch
 
     pieces = token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "task", "rank")
-    return pack(materialise(digests, "pieces")).withColumn("length", F.col("length").cast("long"))
+    with Scratch(spark) as scratch:
+        return pack(scratch.keep(digests, "pieces")).withColumn("length", F.col("length").cast("long"))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,16 +3,45 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.session import materialise, shared_path
 
-__all__ = ["bitmap", "fresh", "in_bitmap", "materialise", "repartition_count", "shared_path"]
+__all__ = ["Scratch", "bitmap", "fresh", "in_bitmap", "materialise", "repartition_count", "shared_path"]
 
 BITMAP_BITS = 23
 
 
+class Scratch:
+    """Tables written to the shared folder for the time of one computation, and deleted at its end, also if it fails.
+
+    What an operator returns is written as a table of its own before (``result``): it reads none of the others.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: int = 0) -> None:
+        """Delete all tables, but the newest ``keep``."""
+        gone, self.paths = self.paths[: len(self.paths) - keep], self.paths[len(self.paths) - keep :]
+        for name in gone:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS, hashed: bool = False) -> np.ndarray:
     """A bit set of fixed size (2**bits bits) with one bit for each key: a filter that may let others pass, never loses one.
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.storage import materialise
+from reelstat.llm.storage import Scratch
 from reelstat.llm.text import LETTERS, LOWER, HashSet, Slice, mix, slices, span_hash, word_spans
 
 #: Labelled rows of either class that the model learns from at most, and features it may use.
@@ -117,15 +117,20 @@ class OrdinalModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, OrdinalModel]:
     """Feature hashes (ascending) and the model, from at most ``sample`` labelled documents of either class."""
+    with Scratch(docs.sparkSession) as scratch:
+        return _fit(docs, labels, sample, scratch)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, sample: int, scratch: Scratch) -> tuple[np.ndarray, OrdinalModel]:
     labels = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    labels = materialise(labels.agg(F.max(F.col("toxic").cast("int")).alias("toxic")), "labels")
+    labels = scratch.keep(labels.agg(F.max(F.col("toxic").cast("int")).alias("toxic")), "labels")
     of = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     by_hash = [labels.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
     chosen = by_hash[0].union(by_hash[1])  # at most 2 * sample rows
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(chosen), "doc_id").where("text is not null")
     # copies teach nothing new, and would make every word of theirs stand out
-    rows = materialise(rows.groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")), "labelled")
+    rows = scratch.keep(rows.groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")), "labelled")
 
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = n.get(0, 0), n.get(1, 0)

@@ -11,6 +11,7 @@ from reelstat.llm.components import components
 from reelstat.llm.decontam import benchmark_overlaps
 from reelstat.llm.jaccard import jaccard_classes
 from reelstat.llm.lines import edit_distances, repeated_lines, tolerance, without_repeated_lines
+from reelstat.llm.storage import Scratch
 
 from .conftest import sentence, text_of
 
@@ -97,9 +98,11 @@ def test_components(spark):
     for a, b in edges:
         if a is not None and a != b:
             union.link(a, b)
-    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert found == {x: union.root(x) for x in list(union)}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    with Scratch(spark) as scratch:
+        found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), scratch).collect()}
+        assert found == {x: union.root(x) for x in list(union)}
+        assert components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
+        assert len(scratch.paths) == 2
 
 
 def distance(a, b):
