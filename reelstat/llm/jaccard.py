@@ -1,10 +1,11 @@
 """N-gram Jaccard join: a blocked sparse matrix product of the document by n-gram incidence.
 
 Documents are rows, word n-grams are columns. The columns are cut into blocks by hash, as many as the size bound asks for: two
-sets of Jaccard similarity t differ in at most ``|smaller| * (1 - t) / t`` grams, so with more blocks than that they agree
-wholly in one of them. Rows that agree in a block are candidates; they are gathered in families, and within blocks of rows of a
-family the product accumulates overlap counts column block by column block, dropping pairs whose sizes or counts so far
-cannot reach the bound. The result is exact but for collisions of 64-bit hashes.
+sets of Jaccard similarity t differ in at most ``|smaller| * (1 - t) / t`` grams, so a set that fills more blocks than that agrees
+wholly with each partner in a block that is not empty. Empty blocks are never sent; the rare sets that fill too few blocks send
+their smallest grams as well, enough for two of them to have one in common. Rows that agree are candidates; they are gathered in
+families, and within blocks of rows of a family the product accumulates overlap counts column block by column block, dropping
+pairs whose sizes or counts so far cannot reach the bound. The result is exact but for collisions of 64-bit hashes.
 
 Scale: equal sets are one row of the matrix. Each task sends a block's agreement once, whatever number of its rows share it, so
 a hot group arrives as one entry per slice of text. Large families are cut into row blocks, each pair of row blocks is one
@@ -28,11 +29,26 @@ from reelstat.llm.storage import Scratch, bitmap, in_bitmap, materialise, repart
 from reelstat.llm.text import Slice, mix, shingles, slices, words
 
 COLUMNS_AT_ONCE = 4096
+#: Aimed-at share of sets that fill too few blocks.
+SPARSE = 1e-3
+
+
+def _block_count(low: int, differ: int) -> int:
+    """Column blocks for sets of ``low`` grams or more, so that few of them fill only ``differ`` blocks or fewer."""
+    best = (math.inf, differ + 1)
+    for n in range(differ + 1, 2 * differ + 2):
+        empty, most = n * (1 - 1 / n) ** low, n - differ
+        # Chernoff's bound on the chance of ``most`` empty blocks
+        chance = 0.0 if empty == 0 else 1.0 if empty >= most else math.exp(most - empty + most * math.log(empty / most))
+        best = min(best, (chance, n))
+        if chance <= SPARSE:
+            return n
+    return best[1]
 
 
 class SizeClasses:
-    """Classes of set sizes: partners of a set lie in its own class or the next one. ``blocks[c]`` column blocks serve all
-    pairs whose smaller set is of class c."""
+    """Classes of set sizes: partners of a set lie in its own class or the next one. ``blocks[c]`` (number of column blocks, most
+    grams that differ) serves all pairs whose smaller set is of class c."""
 
     def __init__(self, threshold: Fraction, most: int):
         self.threshold = threshold
@@ -41,9 +57,7 @@ class SizeClasses:
             low = lows[-1]
             high = int(low / threshold)
             differ = int(high * (1 - threshold) / threshold)
-            # with spare blocks, a pair agrees in more than one, and each set may leave out its two smallest ones
-            spare = 2 if differ >= 6 else 0
-            blocks.append((differ + 1 + 2 * spare, spare))
+            blocks.append((_block_count(low, differ), differ))
             lows.append(high + 1)
         self.lows, self.blocks = np.array(lows), blocks
 
@@ -52,22 +66,28 @@ class SizeClasses:
 
 
 def _agreements(grams: np.ndarray, classes: SizeClasses) -> list[np.ndarray]:
-    """One hash for each column block kept of a sorted set, under its own class and the one below."""
-    out = []
+    """One hash for each column block that a sorted set fills, under its own class and the one below.
+
+    A pair is lost only if neither set fills more blocks than grams may differ; such sets add a prefix of their sorted grams,
+    which two sets of this similarity share a gram of.
+    """
+    out, sparse = [], False
     own = classes.of(len(grams))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams ^ np.uint64(0x5BD1E995)), dtype=np.uint64)])
     for c in (own - 1, own):
         if c < 0:
             continue
-        n, spare = classes.blocks[c]
+        n, differ = classes.blocks[c]
         cuts = np.searchsorted(grams, (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64))
         bounds = np.concatenate([[0], cuts, [len(grams)]])
         size = np.diff(bounds)
         tag = np.uint64((c * 1_000_003 + 17) * 0x9E3779B97F4A7C15 % (1 << 64))
         value = mix((total[bounds[1:]] - total[bounds[:-1]]) + mix(np.arange(n, dtype=np.uint64) + tag) + size.astype(np.uint64))
-        if spare:
-            value = np.delete(value, np.argpartition(size, spare)[:spare])
-        out.append(value)
+        out.append(value[size > 0])
+        sparse |= len(out[-1]) <= differ
+    if sparse:
+        prefix = len(grams) - math.ceil(classes.threshold * len(grams)) + 1
+        out.append(mix(grams[:prefix] ^ np.uint64(0x94D049BB133111EB)))
     return out
 
 

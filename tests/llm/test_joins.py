@@ -91,6 +91,26 @@ def test_every_linked_pair_agrees_in_a_block():
                     assert keys[0] & keys[1]
 
 
+def test_unrelated_sets_share_no_key():
+    rng = np.random.default_rng(2)
+    for t in (Fraction(9, 10), Fraction(4, 5)):
+        classes = jaccard.SizeClasses(t, 2000)
+        for n in (60, 245, 470, 870):
+            keys = [np.unique(np.concatenate(jaccard._agreements(np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64) * 2), classes))) for _ in range(60)]
+            assert np.unique(np.concatenate(keys), return_counts=True)[1].max() == 1
+
+
+def test_sets_that_fill_few_blocks_still_agree():
+    rng = np.random.default_rng(3)
+    classes = jaccard.SizeClasses(Fraction(4, 5), 2000)
+    for n in (5, 20, 100, 400):
+        crowded = np.unique(rng.integers(0, 1 << 40, n, dtype=np.uint64))  # all in the first block
+        for _ in range(20):
+            y = rng.choice(crowded, len(crowded) - len(crowded) // 5, replace=False)
+            keys = [set(np.concatenate(jaccard._agreements(np.sort(s), classes)).tolist()) for s in (crowded, y)]
+            assert keys[0] & keys[1]
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5, 5), (None, 3)]
