@@ -2,11 +2,12 @@ import random
 import re
 from collections import defaultdict
 from fractions import Fraction
+from itertools import combinations
 
 import numpy as np
 import pytest
 
-from reelstat.llm import blocks, jaccard
+from reelstat.llm import blocks, decontam, jaccard
 from reelstat.llm.components import components
 from reelstat.llm.decontam import benchmark_overlaps
 from reelstat.llm.jaccard import jaccard_classes
@@ -220,6 +221,43 @@ def test_benchmark_overlaps(spark, awkward):
     assert found[900, 2].matched == found[900, 2].length == 32 and found[900, 2].item_start == 0
 
 
+def test_longest_stretch_equals_brute_force():
+    rng = np.random.default_rng(4)
+    for t in (Fraction(4, 5), Fraction(9, 10), Fraction(1, 2)):
+        for n in (1, 2, 7, 13, 30):
+            for _ in range(60):
+                same = rng.random(n) < rng.random()
+                spans = [(e - s, int(same[s:e].sum()), -s) for s in range(n) for e in range(s, n + 1) if same[s:e].sum() >= t * (e - s)]
+                s, e = decontam._longest_stretch(same, t)
+                assert (e - s, int(same[s:e].sum())) == max(spans)[:2]
+
+
+def test_overlaps_at_all_places_of_substitutions(spark):
+    items, rows = [], []
+    for k, (n, changes) in enumerate([(13, 2), (15, 3), (16, 3), (12, 2), (9, 1), (5, 1), (3, 0)]):
+        item = [f"w{k}x{j}" for j in range(n)]
+        items.append((k, " ".join(item)))
+        for places in combinations(range(n), changes):
+            i = len(rows)
+            own = [f"other{i}" if j in places else w for j, w in enumerate(item)]
+            rows.append((i, " ".join([f"before{i}", f"a{i}", *own, f"b{i}", f"after{i}"]), k, n, changes))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = benchmark_overlaps(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.start, r.item_start, r.length, r.matched) for r in found} == {(i, k, 2, 0, n, n - c) for i, _, k, n, c in rows}
+
+
+def test_a_mask_hits_at_all_places_of_substitutions():
+    for n in range(13, 26):
+        changes = n - -(-4 * n // 5)
+        places = np.array(list(combinations(range(n), changes)))
+        changed = (1 << places).sum(axis=1)
+        hit = np.zeros(len(changed), bool)
+        for mask in decontam.MASKS:
+            for at in range(n - len(mask) + 1):
+                hit |= changed & sum(1 << (at + j) for j, c in enumerate(mask) if c == "1") == 0
+        assert hit.all()
+
+
 def test_empty_tables(spark, nothing, awkward):
     assert jaccard_classes(nothing).count() == 0
     assert repeated_lines(nothing).count() == 0 and without_repeated_lines(nothing).columns == nothing.columns
