@@ -2,7 +2,8 @@
 
 Each language is a distribution over byte trigrams within words. A document is a mixture of languages: every word is drawn
 from one of them, and expectation-maximisation estimates the proportions from the words' n-gram likelihoods. Among the nested
-sets of the most likely languages the one with the best likelihood, less a penalty for each language, is selected.
+sets of the most likely languages, up to all of them, the one with the best likelihood, less a penalty for each language, is
+selected. A row is done once the likelihood of the full mixture, which bounds that of any set, cannot pay for one more language.
 
 Scale: training is one aggregate of trigram counts over all training documents, combined in the task; the model has 2**16 cells
 for each language. Prediction is a scan without a shuffle.
@@ -20,10 +21,10 @@ from reelstat.llm.text import LETTERS, LOWER, SLICE_BYTES, Slice, slices, word_s
 
 CELLS = 1 << 16
 SMOOTHING = 0.1
-LARGEST_SET = 3
 #: Log-likelihood, in units of log(words) / 2, that a further language must add.
 PENALTY = 4.0
-ROUNDS = 6
+#: Expectation-maximisation ends for a row once no proportion moves by more.
+TOLERANCE = 1e-5
 UNKNOWN = "und"
 
 
@@ -84,16 +85,22 @@ class LanguageModel:
         total += SMOOTHING
         return LanguageModel(names, np.log(total / total.sum(axis=0)))
 
-    def _mixture(self, likely: np.ndarray, row: np.ndarray, first: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        """Proportions by row, and the log-likelihood of the words beyond their largest term."""
-        count = np.diff(np.append(first, len(row)))[:, None]
-        share = allowed / allowed.sum(axis=1, keepdims=True)
-        for _ in range(rounds):
-            joint = likely * share[row]
+    @staticmethod
+    def _mixture(likely: np.ndarray, count: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions by row from the given ones on, and the log-likelihood of the words beyond their largest term; ``count``
+        has the words of each row."""
+        share = share / share.sum(axis=1, keepdims=True)
+        words, sizes, now, at = likely, count, share.copy(), np.arange(len(count))
+        while len(at):
+            joint = words * np.repeat(now, sizes, axis=0)
             joint /= np.maximum(joint.sum(axis=1, keepdims=True), 1e-30)
-            share = np.add.reduceat(joint, first, axis=0) / count
-        total = np.log(np.maximum((likely * share[row]).sum(axis=1), 1e-30))
-        return share, np.add.reduceat(total, first)
+            share[at] = np.add.reduceat(joint, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+            moves = np.abs(share[at] - now).max(axis=1) > TOLERANCE
+            # rows end one by one, whatever other rows are in the slice
+            words, sizes, at = words[np.repeat(moves, sizes)], sizes[moves], at[moves]
+            now = share[at]
+        total = np.log(np.maximum((likely * np.repeat(share, count, axis=0)).sum(axis=1), 1e-30))
+        return share, np.add.reduceat(total, np.cumsum(count) - count)
 
     def predict(self, part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By row: the language (-1: none), its share in the mixture of all languages, and the shares of the selected set."""
@@ -107,25 +114,30 @@ class LanguageModel:
         likely = np.exp(words - top)
         first = np.flatnonzero(np.concatenate([[True], word_row[1:] != word_row[:-1]]))
         there = word_row[first]  # rows with letters
-        row = np.cumsum(np.concatenate([[0], word_row[1:] != word_row[:-1]]))
-        count = np.diff(np.append(first, len(row)))
-        full, _ = self._mixture(likely, row, first, np.ones((len(first), languages)), ROUNDS)
+        count = np.diff(np.append(first, len(word_row)))
+        full, bound = self._mixture(likely, count, np.ones((len(first), languages)))
         single = np.add.reduceat(words - top, first, axis=0)
         leader = single.argmax(axis=1)
         at = np.arange(len(first))
         chosen = np.zeros((len(first), languages))
         chosen[at, leader] = 1
-        value = single[at, leader] - PENALTY * np.log(count + 1) / 2
+        cost = PENALTY * np.log(count + 1) / 2
+        value = single[at, leader] - cost
         ranked = full.copy()
         ranked[at, leader] = 2  # the sets are nested: the best single language, then by proportion
         order = np.argsort(-ranked, axis=1, kind="stable")
-        for size in range(2, min(LARGEST_SET, languages) + 1):
-            allowed = np.zeros((len(first), languages))
-            np.put_along_axis(allowed, order[:, :size], 1, axis=1)
-            share, total = self._mixture(likely, row, first, allowed, ROUNDS // 2)
-            total = total - size * PENALTY * np.log(count + 1) / 2
-            better = total > value
-            chosen[better], value[better] = share[better], total[better]
+        for size in range(2, languages + 1):
+            # half a language's cost of slack for what the full mixture lacks at the tolerance
+            left = np.flatnonzero(bound - (size - 0.5) * cost > value)
+            if not len(left):
+                break
+            inside = np.zeros((len(first), languages), bool)
+            np.put_along_axis(inside, order[:, :size], True, axis=1)
+            own = np.repeat(np.isin(at, left), count)
+            share, total = self._mixture(likely[own], count[left], (inside * (full + 1e-3))[left])
+            total = total - size * cost[left]
+            better = total > value[left]
+            chosen[left[better]], value[left[better]] = share[better], total[better]
         best[there] = chosen.argmax(axis=1)
         score[there] = full[at, chosen.argmax(axis=1)]
         shares[there] = chosen

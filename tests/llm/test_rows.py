@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm import ctw
 from reelstat.llm.ctw import ContextTree, scored
-from reelstat.llm.langid import identified
+from reelstat.llm.langid import LanguageModel, identified
 from reelstat.llm.quality import scored_quality
 from reelstat.llm.rules import RuleModel, default_rules, judged
 from reelstat.llm.text import slices
@@ -142,6 +142,29 @@ def test_languages_and_mixtures(spark):
     assert {r.lang_pred for r in identified(docs.withColumn("lang", F.lit(None).cast("string")), held).collect()} == {"und"}
 
 
+def test_documents_in_four_and_five_languages(spark):
+    rng = random.Random(7)
+    vocabulary = {"aa": "bana kolo tami suri", "bb": "xerq zwik qrup vyx", "cc": "ñoñé çaé öüß éàç", "dd": "hjlm fgdw cpth", "ee": "uoi aiue oueia"}
+    draw = lambda lang, n: " ".join(rng.choice(vocabulary[lang].split()) for _ in range(n))
+    rows = [(i, draw(lang := rng.choice("abcde") * 2, 30), lang) for i in range(150)]
+    sizes = {900: [160, 60, 40, 25, 0], 901: [50, 0, 50, 50, 50], 902: [200, 90, 60, 40, 20], 903: [40, 0, 0, 0, 0]}
+    mixed = [(i, " ".join(draw(lang, n) for lang, n in zip(vocabulary, own, strict=True) if n), None) for i, own in sizes.items()]
+    found = by_id(identified(spark.createDataFrame([*rows, *mixed], "doc_id long, text string, lang string"), F.lit(False)).collect())
+    for i, own in sizes.items():
+        assert sorted(found[i].languages) == [lang for lang, n in zip(vocabulary, own, strict=True) if n]
+    assert found[902].languages == ["aa", "bb", "cc", "dd", "ee"] and found[902].score == pytest.approx(200 / 410, abs=0.02)
+
+
+def test_mixtures_end_where_no_proportion_moves():
+    rng = np.random.default_rng(6)
+    likely, count = rng.random((90, 4)), np.array([20, 1, 69])
+    share, total = LanguageModel._mixture(likely, count, np.ones((3, 4)))
+    again, same = LanguageModel._mixture(likely, count, share.copy())
+    assert np.allclose(again.sum(axis=1), 1) and (same >= total - 1e-9).all() and (same < total + 1e-3).all()
+    alone, _ = LanguageModel._mixture(likely[21:], count[2:], np.ones((1, 4)))
+    assert (alone[0] == share[2]).all()
+
+
 # --- language model
 
 
