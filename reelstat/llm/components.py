@@ -81,7 +81,10 @@ def components(edges: DataFrame, into: Scratch, a: str = "a", b: str = "b") -> D
     """
     given = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     with Scratch(edges.sparkSession) as scratch:
+        # kept, so that no task holds the Python workers of two steps at once
+        given = scratch.keep(given, "given")
         now = scratch.keep(given.mapInArrow(_contract, EDGES).distinct(), "edges")
+        scratch.drop(keep=1)
         while not _is_star(now):
             now = scratch.keep(_small_star(_large_star(now)).mapInArrow(_contract, EDGES).distinct(), "star")
             scratch.drop(keep=1)
