@@ -79,4 +79,30 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op4_quality_classifier, op5_best_fit_packing, op6_ngram_jaccard_join, op7_warc, op8_toxicity, op9_language_id, op10_lm_scoring)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.codes import compressed
+
+    codes, books = compressed(_table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.merkle import manifest, without_breaks
+
+    docs = _table(spark, sf_dir, "documents")
+    found = manifest(docs, without_breaks(docs))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelstat.llm.sharding import sharded
+
+    text = F.coalesce("text", F.lit(""))
+    digests = {"size": F.octet_length(text).cast("long") + 1, "text_crc32": F.crc32(text)}
+    docs = _table(spark, sf_dir, "documents").withColumns(digests)
+    found = sharded(docs, 8, keep=["doc_id", "size", "text_crc32"])
+    law = {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    return found.withColumns(law)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_benchmark_decontamination, op4_quality_classifier, op5_best_fit_packing, op6_ngram_jaccard_join, op7_warc, op8_toxicity, op9_language_id, op10_lm_scoring, op11_vector_codes, op12_merkle_manifest, op13_sharding)}
