@@ -146,7 +146,7 @@ def _fit(cells: DataFrame, id_column: str, parts: int, entries: int, rounds: int
     width = (cells.agg(F.max(F.octet_length("cells"))).first()[0] or 0) // 4
     size = -(-width // parts)
     first = cells.orderBy(F.col(id_column).asc_nulls_last(), "cells").limit(entries).select("cells").toArrow()
-    start = _matrix(first.column(0).combine_chunks(), parts * size).reshape(-1, parts, size)
+    start = _matrix(first.column(0).combine_chunks(), parts * size).reshape(len(first), parts, size)
     books = Codebooks(np.ascontiguousarray(start.transpose(1, 0, 2)), width)
     for _ in range(rounds if len(start) else 0):
         count, total = _sums(cells, books)
