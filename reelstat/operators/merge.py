@@ -12,6 +12,7 @@ is an update clause.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -92,6 +93,21 @@ def merge(
     return updates.unionByName(new_rows(target, source, on, insert))
 
 
+@dataclass
+class Change:
+    """What an increment wants to merge into a table; ``onto`` gives the merged table, ``SnapshotTable.apply`` writes only what it touches."""
+
+    source: DataFrame
+    on: Sequence[str] | bool
+    set: str | Mapping[str, str | Column] | None = None
+    insert: str | Mapping[str, str | Column] | None = "*"
+    source_unique: bool = True
+
+    def onto(self, target: DataFrame) -> DataFrame:
+        stage = self.on is not True
+        return merge(target, self.source, self.on, self.set, self.insert, source_unique=self.source_unique, stage=stage)
+
+
 def new_rows(target: DataFrame, source: DataFrame, on: Sequence[str], insert: str | Mapping[str, str | Column] | None) -> DataFrame:
     """The rows a merge inserts: those of ``source`` without a match in ``target``, with the target's columns."""
     keys = list(on)

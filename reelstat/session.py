@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +55,16 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``df`` as written to the shared folder for the time of the block, and deleted after it. What is made from it has to be
+    written or collected within the block."""
+    path = shared_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)

@@ -53,7 +53,7 @@ def test_snapshot_with_date_partitions(spark, tmp_path):
     df = frame(spark, "k string, t timestamp_ntz", ("b", at("01 10:00")), ("a", at("01 11:00")), ("c", at("02 10:00")), ("d", None))
     table.replace(df)
     assert rows(table.read(), "k") == rows(df, "k")
-    names = {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("dt=")}
+    names = {p.name for p in (tmp_path / "t").glob("_w=*/*") if p.name.startswith("dt=")}
     assert names == {"dt=2024-01-01", "dt=2024-01-02", "dt=__HIVE_DEFAULT_PARTITION__"}
 
 
