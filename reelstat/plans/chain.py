@@ -1,4 +1,8 @@
-"""All tables in dependency order, each kept as a snapshot, and their serving copies."""
+"""All tables in dependency order, each kept as a snapshot, and their serving copies.
+
+Raw events are parsed once, into a typed table by date that all plans read. Every later run merges what is new: a table laid out by date
+writes the dates it touches again, one laid out by key the hash buckets it touches. Watermarks come from the tables' markers.
+"""
 
 from __future__ import annotations
 
@@ -8,21 +12,33 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.plans import counts, graph, metrics, moderation, popularity, relation, uploads, users
+from reelstat.functions.timex import high_watermark, lookback, since_watermark
+from reelstat.operators.merge import Change
+from reelstat.plans import counts, graph, ingest, metrics, moderation, popularity, relation, uploads, users
 from reelstat.schemas import TABLE_KEYS
+from reelstat.session import staged
 from reelstat.sources import serving
 from reelstat.sources.snapshots import SnapshotTable
 
-#: Time column and clustering keys of the tables laid out by date.
-LAYOUT = {
-    "user_video_relation": ("last_watched_timestamp", ("user_id",)),
-    "follower_graph": ("last_updated_timestamp", ("follower_id", "following_id")),
-    "parsed_uploads": ("timestamp", ("video_id",)),
-    "video_upload_stats": ("timestamp", ("video_id",)),
-    "ai_ugc": ("upload_timestamp", ("video_id",)),
-    "bot_uploaded_content": ("timestamp", ("video_id",)),
-    "video_reports": ("report_timestamp", ("video_id",)),
-    "excluded_videos": ("excluded_at", ("video_id",)),
+#: Hash buckets of the tables laid out by key.
+BUCKETS = 64
+UPDATED = metrics.UPDATED
+#: Layout of the tables: by the date of a time column, with the order of rows, or by key; and the time column kept in the marker.
+LAYOUT: dict[str, dict] = {
+    "events": {"partition_ts": "timestamp", "cluster": ("event",)},
+    "user_video_relation": {"partition_ts": "last_watched_timestamp", "cluster": ("user_id",)},
+    "user_video_metrics": {"keys": ("user_id",), "time": UPDATED},
+    "video_statistics": {"keys": ("video_id",), "time": UPDATED},
+    "global_video_stats": {"time": UPDATED},
+    "video_statistics_normalized": {"keys": ("video_id",), "time": UPDATED},
+    "follower_graph": {"partition_ts": "last_updated_timestamp", "cluster": ("follower_id", "following_id")},
+    "video_upload_stats": {"partition_ts": "timestamp", "cluster": ("video_id",)},
+    "ai_ugc": {"partition_ts": "upload_timestamp", "cluster": ("video_id",)},
+    "bot_uploaded_content": {"partition_ts": "timestamp", "cluster": ("video_id",)},
+    "video_reports": {"partition_ts": "report_timestamp", "cluster": ("video_id",)},
+    "excluded_videos": {"partition_ts": "excluded_at", "cluster": ("video_id",)},
+    "user_base_facts": {"keys": ("user_id",)},
+    "daily_event_counts": {"partition_ts": "event_date", "cluster": ("event_name",)},
 }
 #: Serving copies kept by overlapping increments, by their time column; the others are reloaded.
 SYNCED = {
@@ -33,6 +49,8 @@ SYNCED = {
     "ai_ugc": "upload_timestamp",
     "excluded_videos": "excluded_at",
 }
+#: When an upload document was received.
+RECEIVED = "publish_time"
 RELOADED = ("global_popular_videos_l7d", "ugc_content_approval", "video_nsfw_agg")
 
 
@@ -51,105 +69,133 @@ class Inputs:
 class Chain:
     """The tables below a folder. ``run`` brings them up to date: its first run builds them, later ones merge what is new."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def table(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{name}", *LAYOUT.get(name, ()))
-
-    def read(self, name: str, dates: bool = False) -> DataFrame:
-        return self.table(name).read(dates=dates)
-
-    def _kept(self, name: str, build: Callable, increment: Callable, added_only: bool = False) -> str:
-        return self.table(name).create_or_merge(build, increment, added_only=added_only)
+        layout = LAYOUT.get(name, {})
+        return SnapshotTable(self.spark, f"{self.root}/{name}", buckets=self.buckets if "keys" in layout else 0, **layout)
+
+    def read(self, name: str, dates: bool = False, since: datetime | None = None) -> DataFrame:
+        return self.table(name).read(dates=dates, since=since)
+
+    def _kept(self, name: str, build: Callable[[], DataFrame], change: Callable[[datetime | None], Change], timed: bool = True) -> str:
+        """Initial build of a table that is absent or empty, else the change since its newest time. A ``timed`` table without any
+        time is built anew as well."""
+        table = self.table(name)
+        if not table.exists() or table.read().isEmpty() or (timed and table.newest() is None):
+            table.replace(build())
+            return "created"
+        table.apply(change(table.newest() if table.time else None))
+        return "merged"
 
     def run(self, inputs: Inputs, as_of: datetime) -> dict[str, str]:
-        """Bring every table up to date; returns what was done to each."""
-        done: dict[str, str] = {}
-        events = inputs.events
-        for name, (build, increment) in self._core(inputs, as_of).items():
-            done[name] = self._kept(name, build, increment)
-        done["bot_uploaded_content"] = self._kept(
-            "bot_uploaded_content",
-            lambda: uploads.bot_uploaded_content(events),
-            lambda t: uploads.new_bot_content(t, events),
-            added_only=True,
-        )
+        """Bring every table up to date; returns what was done to each derived table."""
+        self._ingest(inputs.events)
+        events = self.read("events", dates=True)
+        done = {name: self._kept(name, *steps) for name, steps in self._core(events, inputs, as_of).items()}
         if inputs.analytics is not None:
-            done |= self._uploads(inputs, as_of)
+            done |= self._uploads(inputs, events, as_of)
         if inputs.shards is not None:
             tie, shards = list(inputs.shard_tie), inputs.shards
             done["user_base_facts"] = self._kept(
                 "user_base_facts",
                 lambda: users.user_base_facts(shards, tie, tie),
-                lambda t: users.user_base_facts_increment(t, shards, as_of.date(), tie, tie),
+                lambda _: users.user_base_facts_change(shards, as_of.date(), tie, tie),
+                timed=False,
             )
-        day = as_of.date() - timedelta(days=1)
-        done["daily_event_counts"] = self._kept(
-            "daily_event_counts",
-            lambda: counts.daily_event_counts(events),
-            lambda t: counts.daily_event_counts_update(t, events, day),
-        )
         for name, built in self._rankings(inputs, as_of).items():
             self.table(name).replace(built)
             done[name] = "replaced"
         return done
 
-    def _core(self, inputs: Inputs, as_of: datetime) -> dict[str, tuple[Callable, Callable]]:
-        events, read = inputs.events, self.read
+    def _ingest(self, events: DataFrame) -> None:
+        """Parse the events that the typed table does not hold yet."""
+        table = self.table("events")
+        if table.exists() and (newest := table.newest()) is not None:
+            table.append(ingest.typed_events(ingest.new_events(table.read(dates=True, since=newest - ingest.LATENESS), events, newest)))
+        else:
+            table.replace(ingest.typed_events(events))
+
+    def _core(self, events: DataFrame, inputs: Inputs, as_of: datetime) -> dict[str, tuple]:
+        read, day = self.read, as_of.date() - timedelta(days=1)
+
+        def pairs(last: datetime) -> DataFrame:
+            return read("user_video_relation", dates=True, since=last)
+
         return {
             "user_video_relation": (
                 lambda: relation.user_video_relation(events),
-                lambda t: relation.user_video_relation_increment(t, events),
+                lambda last: relation.user_video_relation_change(events, last),
             ),
             "user_video_metrics": (
                 lambda: metrics.user_video_metrics(read("user_video_relation")),
-                lambda t: metrics.user_video_metrics_increment(t, read("user_video_relation")),
+                lambda last: metrics.user_video_metrics_change(pairs(last), last),
             ),
             "video_statistics": (
                 lambda: metrics.video_statistics(read("user_video_relation"), read("user_video_metrics")),
-                lambda t: metrics.video_statistics_increment(t, read("user_video_relation"), read("user_video_metrics")),
+                lambda last: metrics.video_statistics_change(pairs(last), read("user_video_metrics"), last),
             ),
             "global_video_stats": (
                 lambda: metrics.global_video_stats(read("video_statistics")),
-                lambda t: metrics.global_video_stats_increment(t, read("video_statistics")),
+                lambda last: metrics.global_video_stats_change(read("video_statistics", since=last), last),
             ),
             "video_statistics_normalized": (
                 lambda: metrics.video_statistics_normalized(read("video_statistics"), read("global_video_stats")),
-                lambda t: metrics.video_statistics_normalized_increment(t, read("video_statistics"), read("global_video_stats")),
+                lambda last: metrics.video_statistics_normalized_change(
+                    read("video_statistics", since=last), read("global_video_stats"), last
+                ),
             ),
-            "follower_graph": (lambda: graph.follower_graph(events), lambda t: graph.follower_graph_increment(t, events)),
+            "follower_graph": (lambda: graph.follower_graph(events), lambda last: graph.follower_graph_change(events, last)),
             "video_reports": (
                 lambda: moderation.video_reports(events),
-                lambda t: moderation.video_reports_increment(t, events, as_of),
+                lambda _: moderation.video_reports_change(events, as_of),
             ),
             "excluded_videos": (
                 lambda: moderation.excluded_videos(events, inputs.nsfw_agg),
-                lambda t: moderation.excluded_videos_increment(t, events, inputs.nsfw_agg, as_of),
+                lambda _: moderation.excluded_videos_change(events, inputs.nsfw_agg, as_of),
+            ),
+            "bot_uploaded_content": (
+                lambda: uploads.bot_uploaded_content(events),
+                lambda last: uploads.bot_content_change(events, last),
+            ),
+            "daily_event_counts": (
+                lambda: counts.daily_event_counts(events),
+                lambda _: counts.daily_event_counts_change(events, day),
             ),
         }
 
-    def _uploads(self, inputs: Inputs, as_of: datetime) -> dict[str, str]:
-        parsed = uploads.parsed_uploads(inputs.analytics)
+    def _uploads(self, inputs: Inputs, events: DataFrame, as_of: datetime) -> dict[str, str]:
         done = {
-            "parsed_uploads": self._kept(
-                "parsed_uploads", lambda: parsed, lambda t: uploads.new_upload_stats(t, parsed), added_only=True
-            )
+            "video_upload_stats": self._ingest_uploads(inputs.analytics),
+            "ai_ugc": self._kept(
+                "ai_ugc",
+                lambda: uploads.ai_ugc(inputs.analytics, events),
+                lambda _: uploads.ai_ugc_change(inputs.analytics, events, as_of),
+                timed=False,
+            ),
         }
-        stored = self.read("parsed_uploads", dates=True)
-        done["video_upload_stats"] = self._kept(
-            "video_upload_stats",
-            lambda: self.read("parsed_uploads"),
-            lambda t: uploads.new_upload_stats(t, stored),
-            added_only=True,
-        )
-        done["ai_ugc"] = self._kept(
-            "ai_ugc",
-            lambda: uploads.ai_ugc(inputs.analytics, inputs.events),
-            lambda t: uploads.ai_ugc_increment(t, inputs.analytics, inputs.events, as_of),
-        )
         return done
 
+    def _ingest_uploads(self, documents: DataFrame) -> str:
+        """Take the documents received since the last run, by the position kept in the marker; no other one is parsed again.
+
+        Documents of the very time of the position are read once more: some may have arrived after the last run.
+        """
+        table = self.table("video_upload_stats")
+        position = table.commit_info().get("position")
+        at = None if position is None else datetime.fromisoformat(position)
+        new = documents if at is None else lookback(documents, RECEIVED, at, timedelta(0))
+        reached = high_watermark(new, RECEIVED) or at  # before the documents are read: what arrives in between is read again
+        info = {"position": None if reached is None else reached.isoformat(sep=" ")}
+        if at is None:
+            table.replace(uploads.video_upload_stats(new), info=info)
+            return "created"
+        with staged(since_watermark(uploads.video_upload_stats(new), "timestamp", table.newest()), "uploads") as batch:
+            # later than all rows of the table, so the table holds none of them
+            table.append(batch, info=info)
+        return "merged"
+
     def _rankings(self, inputs: Inputs, as_of: datetime) -> dict[str, DataFrame]:
         pairs = self.read("user_video_relation", dates=True)
         out = {"global_popular_videos_l90d": popularity.popular_videos(pairs, as_of, 90)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelstat.functions.timex import on_day
 from reelstat.operators.aggregates import daily_counts
-from reelstat.operators.merge import merge
+from reelstat.operators.merge import Change
 from reelstat.operators.ordering import recent_dates
 
 KEYS = ("event_date", "event_name")
@@ -25,9 +25,13 @@ def daily_event_counts(events: DataFrame, ts: str = "timestamp", name: str = "ev
     return counts.join(F.broadcast(dates), "event_date", "left_semi")  # at most n_dates rows
 
 
+def daily_event_counts_change(events: DataFrame, day: date, ts: str = "timestamp", name: str = "event") -> Change:
+    """The counts of one day, to be upserted."""
+    return Change(daily_counts(on_day(events, ts, day), ts, name), KEYS, {"event_count": "s.event_count"})
+
+
 def daily_event_counts_update(
     target: DataFrame, events: DataFrame, day: date, ts: str = "timestamp", name: str = "event"
 ) -> DataFrame:
     """Upsert the counts of one day."""
-    counts = daily_counts(on_day(events, ts, day), ts, name)
-    return merge(target, counts, KEYS, set={"event_count": "s.event_count"}, insert="*", source_unique=True, stage=True)
+    return daily_event_counts_change(events, day, ts, name).onto(target)

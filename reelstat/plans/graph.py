@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.functions.jsonx import extract_json
 from reelstat.functions.timex import high_watermark, since_watermark
 from reelstat.operators.filters import read_events, require_keys
-from reelstat.operators.merge import merge
+from reelstat.operators.merge import Change
 from reelstat.operators.windows import latest_per_key
+from reelstat.plans.ingest import event_fields
 
 KEYS = ("follower_id", "following_id")
 UPDATED = "last_updated_timestamp"
@@ -20,7 +22,7 @@ FOLLOWED, UNFOLLOWED = "mp_user_followed", "mp_user_unfollowed"
 def follow_states(events: DataFrame) -> DataFrame:
     """Follow and unfollow events of known pairs as (pair, active, time)."""
     fields = {"follower_id": "$.user_id", "following_id": "$.publisher_user_id"}
-    flat = extract_json(read_events(events, (FOLLOWED, UNFOLLOWED)), "params", fields, "event", "timestamp")
+    flat = event_fields(read_events(events, (FOLLOWED, UNFOLLOWED)), fields, "event", "timestamp")
     return require_keys(flat, *KEYS).select(
         *KEYS, (F.col("event") == FOLLOWED).alias("active"), F.col("timestamp").alias(UPDATED)
     )
@@ -31,7 +33,11 @@ def follower_graph(events: DataFrame) -> DataFrame:
     return latest_per_key(follow_states(events), KEYS, [UPDATED], tie=["active"])
 
 
+def follower_graph_change(events: DataFrame, last: datetime | None) -> Change:
+    """The states of events after ``last``; earlier late arrivals are ignored."""
+    return Change(follower_graph(since_watermark(events, "timestamp", last)), KEYS, "*")
+
+
 def follower_graph_increment(target: DataFrame, events: DataFrame) -> DataFrame:
-    """``target`` with the states of events after its latest one; earlier late arrivals are ignored."""
-    batch = follower_graph(since_watermark(events, "timestamp", high_watermark(target, UPDATED)))
-    return merge(target, batch, KEYS, set="*", insert="*", source_unique=True, stage=True)
+    """``target`` with the states of events after its latest one merged in."""
+    return follower_graph_change(events, high_watermark(target, UPDATED)).onto(target)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from reelstat.functions.numeric import STDDEV_FLOOR, floor_at, pooled_mean, pool
 from reelstat.functions.timex import high_watermark, since_watermark
 from reelstat.operators.aggregates import flag_share, moments
 from reelstat.operators.joins import join_default, single_row
-from reelstat.operators.merge import merge
+from reelstat.operators.merge import Change
 
 METRICS = ("like", "share", "watch_percentage")
 UPDATED = "last_update_timestamp"
@@ -56,17 +57,12 @@ def user_video_metrics(relation: DataFrame) -> DataFrame:
     return base.withColumns(damped).select(*USER_COLUMNS)
 
 
-def user_video_metrics_increment(
-    target: DataFrame, relation: DataFrame, fresh: bool = False, single_as_zero: bool = False
-) -> DataFrame:
-    """Pool the pairs watched since the last run into the user statistics.
+def user_video_metrics_change(relation: DataFrame, last: datetime, fresh: bool = False, single_as_zero: bool = False) -> Change:
+    """The pairs watched after ``last``, to be pooled into the user statistics.
 
     As published, the damped columns are computed from the averages before the merge (``fresh`` uses those after it),
     and a batch of one pair has no deviation and makes the pooled one NULL (``single_as_zero`` counts it as 0).
     """
-    last = high_watermark(target, UPDATED)
-    if last is None:
-        return user_video_metrics(relation)
     batch = user_video_metrics(since_watermark(relation, WATCHED, last, None))
     n1, n2 = F.col("t.total_watches"), F.col("s.total_watches")
 
@@ -84,7 +80,15 @@ def user_video_metrics_increment(
         damped = _normalized(avg, sd) if fresh else _normalized(a1, F.col(f"t.user_{m}_stddev"))
         assignments[f"user_{m}_avg"], assignments[f"user_{m}_stddev"] = avg, sd
         assignments[f"user_normalized_{m}_avg"], assignments[f"user_normalized_{m}_stddev"] = damped
-    return merge(target, batch, ["user_id"], set=assignments, insert="*", source_unique=True, stage=True)
+    return Change(batch, ["user_id"], assignments)
+
+
+def user_video_metrics_increment(
+    target: DataFrame, relation: DataFrame, fresh: bool = False, single_as_zero: bool = False
+) -> DataFrame:
+    """Pool the pairs watched since the last run into the user statistics."""
+    last = high_watermark(target, UPDATED)
+    return user_video_metrics(relation) if last is None else user_video_metrics_change(relation, last, fresh, single_as_zero).onto(target)
 
 
 VIDEO_MEANS = [f"user_normalized_{m}_perc" for m in METRICS]
@@ -111,18 +115,21 @@ def video_statistics(relation: DataFrame, metrics: DataFrame, hot: Sequence | No
     )
 
 
+def video_statistics_change(relation: DataFrame, metrics: DataFrame, last: datetime, hot: Sequence | None = None) -> Change:
+    """The pairs watched after ``last``, to be weighted into the video statistics by impressions."""
+    batch = video_statistics(since_watermark(relation, WATCHED, last, None), metrics, hot)
+    n1, n2 = F.col("t.total_impressions"), F.col("s.total_impressions")
+    assignments: dict[str, str | Column] = {c: pooled_mean(F.col(f"t.{c}"), n1, F.col(f"s.{c}"), n2) for c in VIDEO_MEANS}
+    assignments.update({"total_impressions": n1 + n2, UPDATED: f"s.{UPDATED}"})
+    return Change(batch, ["video_id"], assignments)
+
+
 def video_statistics_increment(
     target: DataFrame, relation: DataFrame, metrics: DataFrame, hot: Sequence | None = None
 ) -> DataFrame:
     """Weight the pairs watched since the last run into the video statistics by impressions."""
     last = high_watermark(target, UPDATED)
-    if last is None:
-        return video_statistics(relation, metrics, hot)
-    batch = video_statistics(since_watermark(relation, WATCHED, last, None), metrics, hot)
-    n1, n2 = F.col("t.total_impressions"), F.col("s.total_impressions")
-    assignments: dict[str, str | Column] = {c: pooled_mean(F.col(f"t.{c}"), n1, F.col(f"s.{c}"), n2) for c in VIDEO_MEANS}
-    assignments.update({"total_impressions": n1 + n2, UPDATED: f"s.{UPDATED}"})
-    return merge(target, batch, ["video_id"], set=assignments, insert="*", source_unique=True, stage=True)
+    return video_statistics(relation, metrics, hot) if last is None else video_statistics_change(relation, metrics, last, hot).onto(target)
 
 
 # metric column of video_statistics, name part in the global table, name part in the normalized table
@@ -146,11 +153,8 @@ def global_video_stats(statistics: DataFrame) -> DataFrame:
     )
 
 
-def global_video_stats_increment(target: DataFrame, statistics: DataFrame) -> DataFrame:
-    """Pool the videos updated since the last run into the global row; without new videos it stays as it is."""
-    last = high_watermark(target, UPDATED)
-    if last is None:
-        return global_video_stats(statistics)
+def global_video_stats_change(statistics: DataFrame, last: datetime) -> Change:
+    """The videos updated after ``last``, to be pooled into the global row; without new videos it stays as it is."""
     recent = since_watermark(statistics, UPDATED, last, None).where(F.col("total_impressions").isNotNull())
     batch = global_video_stats(recent)
     n1, n2 = F.col("t.total_impressions"), F.col("s.total_impressions")
@@ -162,7 +166,13 @@ def global_video_stats_increment(target: DataFrame, statistics: DataFrame) -> Da
         assignments[sd] = F.coalesce(pooled_stddev(m1, F.col(f"t.{sd}"), n1, m2, F.col(f"s.{sd}"), n2), F.col(f"t.{sd}"))
     assignments["total_impressions"] = F.coalesce(n1, F.lit(0)) + F.coalesce(n2, F.lit(0))
     assignments[UPDATED] = F.coalesce(F.col(f"s.{UPDATED}"), F.col(f"t.{UPDATED}"))
-    return merge(target, batch, True, set=assignments, insert="*")
+    return Change(batch, True, assignments)
+
+
+def global_video_stats_increment(target: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Pool the videos updated since the last run into the global row."""
+    last = high_watermark(target, UPDATED)
+    return global_video_stats(statistics) if last is None else global_video_stats_change(statistics, last).onto(target)
 
 
 NORMALIZED_COLUMNS = [
@@ -196,17 +206,12 @@ def video_statistics_normalized(statistics: DataFrame, global_stats: DataFrame)
     return _with_global(statistics, global_stats).select(*NORMALIZED_COLUMNS)
 
 
-def video_statistics_normalized_increment(
-    target: DataFrame, statistics: DataFrame, global_stats: DataFrame, fresh: bool = False
-) -> DataFrame:
-    """Weight newly updated videos into the normalized table.
+def video_statistics_normalized_change(statistics: DataFrame, global_stats: DataFrame, last: datetime, fresh: bool = False) -> Change:
+    """The videos updated after ``last``, to be weighted into the normalized table.
 
     As published, the z-scores use the percentages before the merge and the quality score uses the z-scores before it;
     ``fresh`` uses the merged values throughout.
     """
-    last = high_watermark(target, UPDATED)
-    if last is None:
-        return video_statistics_normalized(statistics, global_stats)
     batch = _with_global(since_watermark(statistics, UPDATED, last, None), global_stats)
     names = [m for _, _, m in GLOBAL_NAMES]
     # a missing z-score is stored as 0, the quality of a new video is computed before that
@@ -223,5 +228,14 @@ def video_statistics_normalized_increment(
     assignments["ds_quality_score"] = quality_score(
         *[z_new[m] if fresh else F.col(f"t.normalized_{m}_perc") for m in names]
     )
-    inserted = {c: f"s.{c}" for c in NORMALIZED_COLUMNS}
-    return merge(target, batch, ["video_id"], set=assignments, insert=inserted, source_unique=True, stage=True)
+    return Change(batch, ["video_id"], assignments, {c: f"s.{c}" for c in NORMALIZED_COLUMNS})
+
+
+def video_statistics_normalized_increment(
+    target: DataFrame, statistics: DataFrame, global_stats: DataFrame, fresh: bool = False
+) -> DataFrame:
+    """Weight newly updated videos into the normalized table."""
+    last = high_watermark(target, UPDATED)
+    if last is None:
+        return video_statistics_normalized(statistics, global_stats)
+    return video_statistics_normalized_change(statistics, global_stats, last, fresh).onto(target)

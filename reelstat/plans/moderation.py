@@ -7,10 +7,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.functions.jsonx import extract_json
 from reelstat.functions.timex import lookback
 from reelstat.operators.filters import read_events, require_keys
-from reelstat.operators.merge import merge
+from reelstat.operators.merge import Change
+from reelstat.plans.ingest import event_fields
 
 # Event names, reasons, thresholds.
 REPORTED, BANNED = "mp_video_reported", "video_report_banned"
@@ -33,13 +33,17 @@ def video_reports(events: DataFrame) -> DataFrame:
         "reporter_user_id": "$.user_id",
         "reporter_country": "$.country",
     }
-    return extract_json(read_events(events, (REPORTED,)), "params", fields, F.col("timestamp").alias("report_timestamp"))
+    return event_fields(read_events(events, (REPORTED,)), fields, F.col("timestamp").alias("report_timestamp"))
+
+
+def video_reports_change(events: DataFrame, as_of: datetime) -> Change:
+    """The reports of the last 35 minutes, to be upserted."""
+    return Change(video_reports(lookback(events, "timestamp", as_of, REPORT_LOOKBACK)), REPORT_KEYS, "*", source_unique=False)
 
 
 def video_reports_increment(target: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
     """Upsert the reports of the last 35 minutes."""
-    batch = video_reports(lookback(events, "timestamp", as_of, REPORT_LOOKBACK))
-    return merge(target, batch, REPORT_KEYS, set="*", insert="*", stage=True)
+    return video_reports_change(events, as_of).onto(target)
 
 
 def excluded_videos(events: DataFrame, nsfw_agg: DataFrame) -> DataFrame:
@@ -48,7 +52,7 @@ def excluded_videos(events: DataFrame, nsfw_agg: DataFrame) -> DataFrame:
     Both kinds of events are read and aggregated in one pass, to a row a video.
     """
     unclean = nsfw_agg.where((F.col("probability") >= F.lit(NSFW_PROBABILITY)) | (F.col("nsfw_ec") != CLEAN_CLASS))
-    flat = extract_json(read_events(events, (REPORTED, BANNED)), "params", {"video_id": "$.video_id"}, "event", "timestamp")
+    flat = event_fields(read_events(events, (REPORTED, BANNED)), {"video_id": "$.video_id"}, "event", "timestamp")
     first = {kind: F.min(F.when(F.col("event") == kind, F.col("timestamp"))).alias(kind) for kind in (REPORTED, BANNED)}
     seen = require_keys(flat, "video_id").groupBy("video_id").agg(*first.values())
     # several scores of one video count once
@@ -60,11 +64,16 @@ def excluded_videos(events: DataFrame, nsfw_agg: DataFrame) -> DataFrame:
     return scored.select("video_id", F.explode(rows).alias("row")).where("row.excluded_at is not null").select("video_id", "row.*")
 
 
-def excluded_videos_increment(target: DataFrame, events: DataFrame, nsfw_agg: DataFrame, as_of: datetime) -> DataFrame:
-    """Upsert the exclusions of the last 10 minutes; of a video both reported and banned, the ban counts."""
+def excluded_videos_change(events: DataFrame, nsfw_agg: DataFrame, as_of: datetime) -> Change:
+    """The exclusions of the last 10 minutes, to be upserted; of a video both reported and banned, the ban counts."""
     batch = excluded_videos(lookback(events, "timestamp", as_of, EXCLUSION_LOOKBACK), nsfw_agg)
     # 'banned' sorts before 'reported_nsfw'
     chosen = batch.groupBy("video_id").agg(
         F.min_by("excluded_at", "exclusion_reason").alias("excluded_at"), F.min("exclusion_reason").alias("exclusion_reason")
     )
-    return merge(target, chosen, ["video_id"], set="*", insert="*", source_unique=True, stage=True)
+    return Change(chosen, ["video_id"], "*")
+
+
+def excluded_videos_increment(target: DataFrame, events: DataFrame, nsfw_agg: DataFrame, as_of: datetime) -> DataFrame:
+    """Upsert the exclusions of the last 10 minutes."""
+    return excluded_videos_change(events, nsfw_agg, as_of).onto(target)

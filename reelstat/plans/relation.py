@@ -7,11 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.functions.jsonx import extract_json
 from reelstat.functions.numeric import to_double
 from reelstat.functions.timex import high_watermark, since_watermark
 from reelstat.operators.filters import read_events
-from reelstat.operators.merge import merge
+from reelstat.operators.merge import Change
+from reelstat.plans.ingest import event_fields
 
 KEYS = ("user_id", "video_id")
 # Event names.
@@ -27,7 +27,7 @@ def user_video_relation(events: DataFrame) -> DataFrame:
     its likes and shares are blanked.
     """
     fields = {"user_id": "$.user_id", "video_id": "$.video_id", "pct": "$.percentage_watched"}
-    flat = extract_json(read_events(events, (WATCH, LIKE, SHARE)), "params", fields, "event", "timestamp")
+    flat = event_fields(read_events(events, (WATCH, LIKE, SHARE)), fields, "event", "timestamp")
     flat = flat.withColumn("pct", to_double(F.col("pct")))
     ts = F.col("timestamp")
     watched = (F.col("event") == WATCH) & (F.col("pct") <= MAX_PERCENTAGE)
@@ -53,15 +53,18 @@ def user_video_relation(events: DataFrame) -> DataFrame:
     )
 
 
-def user_video_relation_increment(target: DataFrame, events: DataFrame, last: datetime | None = None) -> DataFrame:
-    """``target`` with the events after its last watch merged in.
+def user_video_relation_change(events: DataFrame, last: datetime) -> Change:
+    """The events after ``last``, to be merged into the relation.
 
     Likes and shares stay set once set; their timestamps and the watch percentage are those of the new batch.
     """
-    last = last or high_watermark(target, "last_watched_timestamp")
-    if last is None:
-        return user_video_relation(events)
     batch = user_video_relation(since_watermark(events, "timestamp", last))
-    assignments = {c: f"s.{c}" for c in target.columns if c not in KEYS}
+    assignments = {c: f"s.{c}" for c in batch.columns if c not in KEYS}
     assignments.update(liked="t.liked OR s.liked", shared="t.shared OR s.shared")
-    return merge(target, batch, KEYS, set=assignments, insert="*", source_unique=True, stage=True)
+    return Change(batch, KEYS, assignments)
+
+
+def user_video_relation_increment(target: DataFrame, events: DataFrame, last: datetime | None = None) -> DataFrame:
+    """``target`` with the events after its last watch merged in."""
+    last = last or high_watermark(target, "last_watched_timestamp")
+    return user_video_relation(events) if last is None else user_video_relation_change(events, last).onto(target)

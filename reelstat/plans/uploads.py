@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from reelstat.functions.jsonx import document_scalar, document_text, extract_json, json_query, with_document
 from reelstat.functions.timex import DATE, high_watermark, lookback, parse_offset_timestamp, since_watermark
 from reelstat.operators.filters import read_events, suffix_filter
-from reelstat.operators.merge import merge, new_rows
+from reelstat.operators.merge import Change, new_rows
 from reelstat.operators.windows import latest_per_key
+from reelstat.plans.ingest import event_fields
 from reelstat.session import materialise
 
 # Event names, types and field names.
@@ -81,19 +82,18 @@ BOT_FIELDS = ("user_id", "publisher_user_id", "canister_id", "video_id", "post_i
 def bot_uploaded_content(events: DataFrame) -> DataFrame:
     """Uploads whose country carries the bot suffix."""
     fields = {name: f"$.{name}" for name in BOT_FIELDS}
-    flat = extract_json(read_events(events, (UPLOAD_DONE,)), "params", fields, "timestamp")
+    flat = event_fields(read_events(events, (UPLOAD_DONE,)), fields, "timestamp")
     return suffix_filter(flat, "country", BOT_SUFFIX)
 
 
-def new_bot_content(target: DataFrame, events: DataFrame) -> DataFrame:
-    """The bot uploads after the latest of ``target`` that it does not hold yet."""
-    batch = bot_uploaded_content(since_watermark(events, "timestamp", high_watermark(target, "timestamp")))
-    return new_rows(target, materialise(batch, "batch"), ["video_id", "timestamp"], "*")
+def bot_content_change(events: DataFrame, last: datetime | None) -> Change:
+    """The bot uploads after ``last``; those that the table does not hold yet are added."""
+    return Change(bot_uploaded_content(since_watermark(events, "timestamp", last)), ["video_id", "timestamp"])
 
 
 def bot_uploaded_content_increment(target: DataFrame, events: DataFrame) -> DataFrame:
     """``target`` plus the bot uploads after its latest one that it does not hold yet."""
-    return target.unionByName(new_bot_content(target, events))
+    return bot_content_change(events, high_watermark(target, "timestamp")).onto(target)
 
 
 # output name to path inside an analytics document, or inside one of its rows
@@ -156,18 +156,16 @@ def ai_ugc(analytics: DataFrame, events: DataFrame) -> DataFrame:
         {"video_id": F.replace(F.col("video_id"), F.lit('"'), F.lit("")), "received_timestamp": F.col("publish_time")}
     )
     fields = {name: f"$.{name}" for name in ("video_id", "post_id", "country", "display_name")}
-    done = extract_json(
-        read_events(events, (UPLOAD_DONE,)), "params", {**fields, "upload_canister_id": "$.canister_id"},
-        F.col("timestamp").alias("upload_timestamp"),
+    done = event_fields(
+        read_events(events, (UPLOAD_DONE,)), {**fields, "upload_canister_id": "$.canister_id"}, F.col("timestamp").alias("upload_timestamp")
     )
     return uploads.drop("event").join(done, "video_id").select(*AI_COLUMNS)
 
 
-def ai_ugc_increment(
-    target: DataFrame, analytics: DataFrame, events: DataFrame, as_of: datetime, keep_latest: bool = False,
-    tie: Sequence[str] = (),
-) -> DataFrame:
-    """Upsert the uploads whose document and event both lie in the last 35 minutes.
+def ai_ugc_change(
+    analytics: DataFrame, events: DataFrame, as_of: datetime, keep_latest: bool = False, tie: Sequence[str] = ()
+) -> Change:
+    """The uploads whose document and event both lie in the last 35 minutes, to be upserted.
 
     Several rows of one video are an error; ``keep_latest`` keeps the one with the latest upload time instead.
     """
@@ -176,4 +174,12 @@ def ai_ugc_increment(
     )
     if keep_latest:
         batch = latest_per_key(batch, ["video_id"], ["upload_timestamp"], tie)
-    return merge(target, batch, ["video_id"], set="*", insert="*", source_unique=keep_latest, stage=True)
+    return Change(batch, ["video_id"], "*", source_unique=keep_latest)
+
+
+def ai_ugc_increment(
+    target: DataFrame, analytics: DataFrame, events: DataFrame, as_of: datetime, keep_latest: bool = False,
+    tie: Sequence[str] = (),
+) -> DataFrame:
+    """Upsert the uploads of the last 35 minutes."""
+    return ai_ugc_change(analytics, events, as_of, keep_latest, tie).onto(target)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reelstat.functions.timex import on_day, parse_compact_date
 from reelstat.operators.aggregates import distinct_users
-from reelstat.operators.merge import merge
+from reelstat.operators.merge import Change
 from reelstat.operators.windows import latest_per_key
 
 UPDATED = "last_updated_date"
@@ -23,14 +23,19 @@ def user_base_facts(shards: DataFrame, tie: Sequence[str] = (), drop: Sequence[s
     return latest.drop(*drop).withColumn(UPDATED, parse_compact_date(F.col(UPDATED)))
 
 
-def user_base_facts_increment(
-    target: DataFrame, shards: DataFrame, as_of: date, tie: Sequence[str] = (), drop: Sequence[str] = ()
-) -> DataFrame:
-    """Upsert the users updated in the last two days. The compact date compares like a date, so the stored column is
+def user_base_facts_change(shards: DataFrame, as_of: date, tie: Sequence[str] = (), drop: Sequence[str] = ()) -> Change:
+    """The users updated in the last two days, to be upserted. The compact date compares like a date, so the stored column is
     compared as it is and the condition reaches the file scan."""
     bound = (as_of - USER_LOOKBACK).strftime("%Y%m%d")
     recent = shards.where(F.col(UPDATED) >= F.lit(bound).cast(shards.schema[UPDATED].dataType))
-    return merge(target, user_base_facts(recent, tie, drop), ["user_id"], set="*", insert="*", source_unique=True, stage=True)
+    return Change(user_base_facts(recent, tie, drop), ["user_id"], "*")
+
+
+def user_base_facts_increment(
+    target: DataFrame, shards: DataFrame, as_of: date, tie: Sequence[str] = (), drop: Sequence[str] = ()
+) -> DataFrame:
+    """Upsert the users updated in the last two days."""
+    return user_base_facts_change(shards, as_of, tie, drop).onto(target)
 
 
 def daily_active_users(events: DataFrame, user: str, ts: str, day: date | datetime | None = None, approx: bool = False):
