@@ -595,7 +595,6 @@ CASE WHEN value > 10 THEN 'camera' ELSE 'gallery' END AS upload_type, ts AS time
 _shown = "'user ' || user_id"
 for _name, _display in (
     ("bot_uploaded_content", _shown),
-    ("chain_second_run", _shown),
     ("bot_uploaded_content_incr", f"CASE WHEN ts < {SPLIT} THEN 'old' ELSE {_shown} END"),
 ):
     ORACLES[_name] = _sql(
@@ -754,7 +753,83 @@ FROM documents"""
 
 ORACLES["merge_touched_partitions"] = ORACLES["merge_upsert"]
 ORACLES["merge_appended"] = ORACLES["merge_insert_only"]
-ORACLES["chain_first_run"] = ORACLES["video_statistics_normalized"]
+
+
+def _summary(parts: dict[str, tuple[str, str, str]]) -> str:
+    """One row (name, rows, total, old) for each relation, from its SQL, total and condition on rows from before."""
+    return _sql(
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS name, count(*) AS rows, CAST(coalesce({total}, 0) AS BIGINT) AS total, count(*) FILTER ({old}) AS old FROM ({sql})"
+            for name, (sql, total, old) in parts.items()
+        )
+    )
+
+
+def _chain(second: bool) -> str:
+    k = "1" if second else ""
+
+    def since(expr: str) -> str:
+        """The first batch, or what of the second one lies within a lookback of its time."""
+        return f"(ts < {SPLIT} OR ts >= {AS_OF} - INTERVAL {expr})" if second else "true"
+
+    def unless(keys: str, batch: str) -> str:
+        return f"({keys}) NOT IN (SELECT ({keys}) FROM {batch})" if second else "false"
+
+    old = f"ts < {SPLIT}" if second else "false"
+    excluded = (
+        f"""SELECT coalesce(t.video_id, s.video_id) AS video_id, coalesce(s.exclusion_reason, t.exclusion_reason) AS exclusion_reason
+FROM ({_excluded(f"ts < {SPLIT}")}) t FULL JOIN (SELECT * FROM ({_excluded(f"ts >= {AS_OF} - INTERVAL 10 MINUTE")})
+QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY exclusion_reason) = 1) s ON t.video_id = s.video_id"""
+        if second
+        else _excluded("true")
+    )
+    # every event of the tests is an engagement event; some are reported, banned or uploaded as well
+    named = f"""SELECT CAST(ts AS DATE) AS day, name, count(*) AS n FROM ev, unnest(
+[CASE event_type WHEN 'view' THEN 'w' WHEN 'click' THEN 'l' WHEN 'purchase' THEN 's' WHEN 'signup' THEN 'f' ELSE 'u' END,
+ CASE WHEN event_type = 'error' THEN 'r' END, CASE WHEN event_type = 'signup' AND value > 100 THEN 'b' END,
+ CASE WHEN event_type = 'signup' THEN 'd' END]) AS names(name)
+WHERE name IS NOT NULL AND {f"(ts < {SPLIT} OR CAST(ts AS DATE) = CAST({AS_OF} AS DATE) - 1)" if second else "true"} GROUP BY ALL"""
+    ai = f"(ts < {SPLIT} AND publish_time < {SPLIT}) OR (least(ts, publish_time) >= {AS_OF} - INTERVAL 35 MINUTE)" if second else "true"
+    facts = ORACLES["user_base_facts"] if not second else _sql("SELECT * FROM facts0")
+    parts = {
+        "user_video_relation": (f"SELECT * FROM rel{k}", "count(*) FILTER (liked) + 2 * count(*) FILTER (shared)", unless("user_id, video_id", "relb")),
+        "user_video_metrics": (f"SELECT * FROM us{k}", "sum(total_watches)", unless("user_id", "usb")),
+        "video_statistics": (f"SELECT * FROM vi{k}", "sum(total_impressions)", unless("video_id", "vib")),
+        "global_video_stats": (f"SELECT * FROM gl{k}", "sum(total_impressions)", "false"),
+        "video_statistics_normalized": (f"SELECT * FROM no{k}", "sum(total_impressions)", unless("video_id", "nob")),
+        "follower_graph": (
+            "SELECT * FROM follows", "count(DISTINCT follower_id)", f"last_updated_timestamp < {SPLIT}" if second else "false"
+        ),
+        "video_reports": (f"SELECT * FROM docs WHERE event_type = 'error' AND {since('35 MINUTE')}", "count(DISTINCT video_id)", old),
+        "excluded_videos": (excluded, "count(*) FILTER (exclusion_reason = 'banned')", "false"),
+        "bot_uploaded_content": ("SELECT * FROM docs WHERE event_type = 'signup' AND country LIKE '%-BOT'", "sum(event_id)", old),
+        "video_upload_stats": ("SELECT * FROM docs WHERE event_type = 'signup' AND value <= 30", "sum(event_id)", old),
+        "ai_ugc": (f"SELECT * FROM docs WHERE event_type = 'signup' AND value > 20 AND ({ai})", "sum(event_id)", old),
+        "user_base_facts": (facts, "count(DISTINCT region)", "true" if second else "false"),
+        "daily_event_counts": (named, f"sum(n) FILTER (day >= CAST({SPLIT} AS DATE))" if second else "sum(n)", f"day < {SPLIT}" if second else "false"),
+    }
+    served = ("user_video_relation", "video_statistics", "follower_graph", "bot_uploaded_content", "ai_ugc", "excluded_videos")
+    parts |= {f"{n} served": (*parts[n][:2], "false") for n in served}
+    # the chain's uploads are videos of their own, which nobody watched
+    ranked = {
+        "global_popular_videos_l90d": "SELECT * FROM pop90",
+        "global_popular_videos_l7d": "SELECT * FROM pop7 JOIN scores USING (video_id)",
+        "region_popular_videos_l7d": "SELECT 1 WHERE false",
+        **{
+            f"local_popular_videos_l{d}d": f"SELECT DISTINCT video_id, region FROM rel LEFT JOIN ({facts}) f USING (user_id) WHERE {_recent(d)}"
+            for d in (7, 90)
+        },
+    }
+    parts |= {n: (sql, "0", "false") for n, sql in ranked.items()}
+    parts |= {
+        "global_popular_videos_l7d served": (ranked["global_popular_videos_l7d"], "0", "false"),
+        "ugc_content_approval served": ("SELECT * FROM documents", "0", "false"),
+        "video_nsfw_agg served": ("SELECT * FROM labels", "0", "false"),
+    }
+    return _summary(parts)
+
+
+ORACLES["chain_first_run"], ORACLES["chain_second_run"] = _chain(False), _chain(True)
 ORACLES["train_classifier"] = f"""
 SELECT ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 1000 < 200 AS held_out, count(*) AS rows,
   {r("avg(len(string_split(text, ' ')))", "mean_words")}, true AS fitted FROM documents JOIN labels USING (doc_id) GROUP BY ALL"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -1101,24 +1102,62 @@ def _inputs(spark, sf, first: bool = False) -> chain.Inputs:
     return chain.Inputs(events.unionByName(uploaded), fx.nsfw_agg(spark, sf), analytics, shards, approvals, ("o_orderkey",))
 
 
-def _chain(spark, sf, second: bool) -> chain.Chain:
-    built = chain.Chain(spark, shared_path(spark, "chain"))
-    built.run(_inputs(spark, sf, first=second), fx.SPLIT)
-    built.sync(_inputs(spark, sf, first=second), fx.SPLIT)
+#: A whole-number total for each table of the chain; what marks a row as from before the second run, and how such a row is told.
+TOTALS = {
+    "user_video_relation": ("count_if(liked) + 2 * count_if(shared)", {"mean_percentage_watched": -1.0}, "mean_percentage_watched = -1"),
+    "user_video_metrics": ("sum(total_watches)", {"user_share_stddev": -7.0}, "user_share_stddev = -7"),
+    "video_statistics": ("sum(total_impressions)", {"user_normalized_share_perc": -7.0}, "user_normalized_share_perc = -7"),
+    "global_video_stats": ("sum(total_impressions)", {}, "false"),
+    "video_statistics_normalized": ("sum(total_impressions)", {"share_percentage_un": -7.0}, "share_percentage_un = -7"),
+    "follower_graph": ("count(distinct follower_id)", {"active": None}, "active is null"),
+    "video_reports": ("count(distinct video_id)", {"report_reason": "old"}, "report_reason = 'old'"),
+    "excluded_videos": ("count_if(exclusion_reason = 'banned')", {}, "false"),
+    "bot_uploaded_content": ("sum(cast(post_id as bigint))", {"display_name": "old"}, "display_name = 'old'"),
+    "video_upload_stats": ("sum(cast(sats_balance as bigint))", {"city": "old"}, "city = 'old'"),
+    "ai_ugc": ("sum(cast(post_id as bigint))", {"display_name": "old"}, "display_name = 'old'"),
+    "user_base_facts": ("count(distinct geo.region)", {"occurrence_date": -1}, "occurrence_date = -1"),
+    "daily_event_counts": ("sum(greatest(event_count, 0))", {"event_count": -1}, "event_count = -1"),
+}
+
+
+def _marked(table: SnapshotTable, values: dict) -> None:
+    """Overwrite some columns of all rows: a run that rebuilds the table, or updates rows it should leave alone, shows."""
+    if values:
+        kinds = {f.name: f.dataType for f in table.read().schema.fields}
+        table.replace(table.read().withColumns({c: F.lit(v).cast(kinds[c]) for c, v in values.items()}))
+
+
+def _chain(spark, sf, second: bool) -> DataFrame:
+    """Rows, total and rows from before of every table and of what readers see of every serving copy, after one or two runs."""
+    built = chain.Chain(spark, shared_path(spark, "chain"), buckets=8)
+    first = fx.SPLIT if second else fx.AS_OF
+    built.run(_inputs(spark, sf, first=second), first)
+    built.sync(_inputs(spark, sf, first=second), first)
     if second:
+        for name, (_, values, _) in TOTALS.items():
+            _marked(built.table(name), values)
         built.run(_inputs(spark, sf), fx.AS_OF)
         built.sync(_inputs(spark, sf), fx.AS_OF)
-    return built
+
+    def summary(name: str, df: DataFrame, total: str = "0", old: str = "false") -> DataFrame:
+        counted = {"rows": "count(*)", "total": f"cast(coalesce({total}, 0) as bigint)", "old": f"count_if({old})"}
+        return df.agg(*[F.expr(e).alias(n) for n, e in counted.items()]).select(F.lit(name).alias("name"), *counted)
+
+    found = [summary(name, built.read(name), total, old) for name, (total, _, old) in TOTALS.items()]
+    found += [summary(f"{name} served", built.view(name), TOTALS[name][0]) for name in chain.SYNCED]
+    rankings = ("global_popular_videos_l90d", "global_popular_videos_l7d", "region_popular_videos_l7d", "local_popular_videos_l7d", "local_popular_videos_l90d")
+    found += [summary(name, built.read(name)) for name in rankings]
+    found += [summary(f"{name} served", built.serving_copy(name).read()) for name in chain.RELOADED]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
 def chain_first_run(spark, sf):
-    """The normalized statistics at the end of the longest path of a first run over all events."""
-    return _chain(spark, sf, second=False).read("video_statistics_normalized")
+    """Every table and serving view of the chain after a run over all events."""
+    return _chain(spark, sf, second=False)
 
 
 @query
 def chain_second_run(spark, sf):
-    """What readers see of the synced upload table after a run over the first and one over all events."""
-    built = _chain(spark, sf, second=True)
-    return built.view("bot_uploaded_content")
+    """The same after a run over the first half of the events and one over all, with the rows of the first run marked in between."""
+    return _chain(spark, sf, second=True)
