@@ -751,6 +751,7 @@ ORACLES["current_view"] = f"""SELECT {_approval.format(
     "CASE WHEN lang = 'en' THEN 'new' ELSE 'p' || doc_id END", f"CASE WHEN lang = 'en' THEN {AS_OF} ELSE {SPLIT} END")}
 FROM documents"""
 
+ORACLES["bucketed_statistics"] = ORACLES["video_statistics"]
 ORACLES["merge_touched_partitions"] = ORACLES["merge_upsert"]
 ORACLES["merge_appended"] = ORACLES["merge_insert_only"]
 

@@ -21,6 +21,7 @@ from reelstat.plans import chain, classify, counts, embeddings, graph, ingest, m
 from reelstat.plans import users as user_plans
 from reelstat.session import materialise, shared_path
 from reelstat.sources import serving, tables
+from reelstat.sources.bucketed import BucketedTable
 from reelstat.sources.snapshots import SnapshotTable
 from reelstat.streaming import states, upserts
 
@@ -665,6 +666,16 @@ def video_statistics(spark, sf):
     return _statistics(spark, sf)
 
 
+@query
+def bucketed_statistics(spark, sf):
+    """Metrics and statistics from a relation bucketed by user: grouping and join by user read the buckets as they lie."""
+    def kept(df, name):
+        return BucketedTable(spark, shared_path(spark, name), ["user_id"], 8).write(df).read()
+
+    pairs = kept(_relation(spark, sf), "relation")
+    return metrics.video_statistics(pairs, kept(metrics.user_video_metrics(pairs), "metrics"), colocated=True)
+
+
 @query
 def video_statistics_incr(spark, sf):
     return _Chain(spark, sf).videos()
