@@ -733,6 +733,12 @@ cells AS (SELECT vec_id, embedding, c FROM embeddings, centers
 SELECT vec_id, {r("sim", "similarity")} FROM (SELECT vec_id, {_angle.format("embedding", "query")} AS sim
   FROM cells JOIN near USING (c), q ORDER BY sim DESC, vec_id LIMIT 5)"""
 
+ORACLES["vector_index_search"] = f"""
+SELECT query_id, vec_id, {r("sim", "similarity")}, rank FROM (
+  SELECT q.vec_id AS query_id, e.vec_id, round({_angle.format("q.embedding", "e.embedding")}, 12) AS sim,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY round({_angle.format("q.embedding", "e.embedding")}, 12) DESC, e.vec_id) AS rank
+  FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0) WHERE rank <= 5"""
+
 # --- ingestion and serving ---------------------------------------------------------------------------------------
 
 ORACLES["latest_events_copy"] = """

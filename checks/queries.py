@@ -17,6 +17,7 @@ from checks.rounding import digits, offset
 from reelstat.functions import arrays, jsonx, numeric, timex
 from reelstat.operators import aggregates, filters, joins, ordering, vectors, windows
 from reelstat.operators.merge import merge
+from reelstat.operators.vector_index import VectorIndex
 from reelstat.plans import chain, classify, counts, embeddings, graph, ingest, metrics, moderation, popularity, relation, uploads
 from reelstat.plans import users as user_plans
 from reelstat.session import materialise, shared_path
@@ -958,6 +959,17 @@ def vector_search_ivf(spark, sf):
     return found.select("vec_id", "similarity")
 
 
+@query
+def vector_index_search(spark, sf):
+    """The five nearest of every vector whose id is divisible by 50, by the cell index: built from some labels, the others added."""
+    vecs = fx.table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    index = VectorIndex(spark, shared_path(spark, "index"), "vec_id")
+    index.build(vecs.where("label < 5"), 10)
+    index.add(index.missing(vecs))
+    asked = vecs.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return index.search(asked, 5, "query_id")[0]
+
+
 # --- ingestion and serving ---------------------------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from reelstat.operators.filters import index_eligible
 from reelstat.operators.joins import drop_known, keep_known
 from reelstat.operators.merge import merge
 from reelstat.operators.ordering import cap
+from reelstat.operators.vector_index import VectorIndex
 from reelstat.operators.windows import first_per_key
 
 # Vector length and metadata names of the published pipeline.
@@ -90,6 +91,11 @@ def update_video_index(index: DataFrame, embeddings: DataFrame, dim: int = EMBED
     return merge(index, index_rows(embeddings, dim, vec), ["uri"], insert="*")
 
 
+def update_cell_index(index: VectorIndex, embeddings: DataFrame, dim: int = EMBEDDING_DIM, vec: str = VECTOR) -> None:
+    """Add the eligible embeddings that a cell index does not hold yet; its cells stay, and no file is written again."""
+    index.add(index.missing(index_rows(embeddings, dim, vec)))
+
+
 def backfill_nsfw(target: DataFrame, nsfw: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Set the moderation columns of every row from the first score of its object, or to ``defaults``."""
     scores = first_per_key(nsfw, ["gcs_video_id"], ["nsfw_ec"], tie=["nsfw_gore", "is_nsfw"])

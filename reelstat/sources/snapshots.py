@@ -39,8 +39,9 @@ class CommitConflict(RuntimeError):
 
 
 class SnapshotTable:
-    """A table below ``path``. ``partition_ts`` lays rows out by the date of that column, ``buckets`` by a hash of ``keys``; ``cluster`` orders
-    rows within a folder (default: the keys). The markers keep the bounds of ``time`` (default: ``partition_ts``)."""
+    """A table below ``path``. ``partition_ts`` lays rows out by the date of that column, ``buckets`` by a hash of ``keys``, ``by`` by the values of
+    a column; ``cluster`` orders rows within a folder (default: the keys). The markers keep the bounds of ``time`` (default:
+    ``partition_ts``), which may be any ordered column."""
 
     def __init__(
         self,
@@ -51,13 +52,14 @@ class SnapshotTable:
         keys: Sequence[str] = (),
         buckets: int = 0,
         time: str | None = None,
+        by: str | None = None,
     ):
-        if partition_ts and buckets:
-            raise ValueError("a table is laid out by date or by key, not both")
+        if sum(map(bool, (partition_ts, buckets, by))) > 1:
+            raise ValueError("a table is laid out by date, by key or by a column, not by several")
         self.spark, self.path = spark, path.rstrip("/")
         self.partition_ts, self.buckets, self.keys = partition_ts, buckets, tuple(keys)
         self.cluster, self.time = tuple(cluster) or self.keys, time or partition_ts
-        self._folder = DATE if partition_ts else BUCKET if buckets else None
+        self._folder = DATE if partition_ts else BUCKET if buckets else by
 
     def _fs(self, name: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
@@ -111,6 +113,10 @@ class SnapshotTable:
         reader = self.spark.read.schema(schema).option("basePath", self.path)
         return reader.parquet(*(f"{self.path}/{p}" for p in paths)) if paths else self.spark.createDataFrame([], schema)
 
+    def bounds(self) -> dict[str, list]:
+        """Least and largest ``time``, as text, and number of rows of each folder that counts, by its path."""
+        return self.commit_info().get("bounds", {})
+
     def newest(self) -> datetime | None:
         """The largest ``time`` of the table (naive UTC), from the marker; None without any."""
         info = self.commit_info()
@@ -130,10 +136,10 @@ class SnapshotTable:
     def _write(self, df: DataFrame) -> tuple[list[str], str, dict]:
         """Write ``df`` to a folder of its own; returns the paths in it, the stored schema and the bounds of each path."""
         own = f"{WRITER}={uuid.uuid4().hex}"
+        if self.partition_ts or self.buckets:
+            df = df.withColumn(self._folder, F.to_date(self.partition_ts) if self.partition_ts else self.bucket(df))
         if self._folder:
-            value = F.to_date(self.partition_ts) if self.partition_ts else self.bucket(df)
-            df = df.withColumn(self._folder, value).hint("rebalance", self._folder)
-            df = df.sortWithinPartitions(self._folder, *self.cluster)
+            df = df.hint("rebalance", self._folder).sortWithinPartitions(self._folder, *self.cluster)
         writer = df.write.partitionBy(self._folder) if self._folder else df.write
         try:
             writer.parquet(f"{self.path}/{own}")
@@ -270,7 +276,7 @@ class SnapshotTable:
         from a key. Otherwise the table is replaced. Rows with a NULL key match nothing and are added beside what is there.
         """
         with staged(source, "batch") as batch:
-            if on is True or options.get("not_matched_by_source") or not self._folder:
+            if on is True or options.get("not_matched_by_source") or not (self.partition_ts or self.buckets):
                 if on is not True and set is None and not options.get("not_matched_by_source"):
                     return self.append(new_rows(self.read(), batch, on, insert), stream)
                 return self.replace(merge(self.read(), batch, on, set=set, insert=insert, **options), stream)

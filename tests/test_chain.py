@@ -226,7 +226,7 @@ def test_merges_into_buckets_equal_merges_into_the_whole(spark, tmp_path):
 
 
 def test_a_layout_is_by_date_or_by_key(spark):
-    with pytest.raises(ValueError, match="not both"):
+    with pytest.raises(ValueError, match="not by several"):
         SnapshotTable(spark, "t", partition_ts="t", keys=("k",), buckets=4)
 
 
