@@ -113,8 +113,7 @@ def _scan(k: int, threshold: Fraction, buckets: int):
             seen: dict[tuple[int, int], int] = {}
             for i, grams in enumerate(_sets(part, k)):
                 n.append(len(grams))
-                a = int(np.sum(mix(grams), dtype=np.uint64)) if len(grams) else 0
-                b = int(np.sum(mix(grams + np.uint64(0xABCD)), dtype=np.uint64)) if len(grams) else 0
+                a, b = _digest(grams)
                 d1.append(a)
                 d2.append(b)
                 if len(grams) < 2 or (a, b) in seen:
@@ -126,7 +125,7 @@ def _scan(k: int, threshold: Fraction, buckets: int):
                     hashes.append(h)
                     owners.append(np.full(len(h), i))
             count = len(n)
-            digest = [np.array(x, np.uint64).view(np.int64) for x in (d1, d2)]
+            digest = [_signed(x) for x in (d1, d2)]
             nothing = pa.nulls(count, pa.int32()), pa.nulls(count, pa.binary()), pa.nulls(count, pa.binary())
             yield _batch(np.zeros(count, np.int32), ids, pa.array(n, pa.int64()), *digest, *nothing)
             if not hashes:
@@ -154,8 +153,19 @@ def _batch(*columns):
     return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names)
 
 
+def _digest(grams: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit digests of a set, which tell sets apart; 0 for the empty one."""
+    if not len(grams):
+        return 0, 0
+    return int(np.sum(mix(grams), dtype=np.uint64)), int(np.sum(mix(grams + np.uint64(0xABCD)), dtype=np.uint64))
+
+
+def _signed(values: list[int]) -> np.ndarray:
+    return np.array(values, np.uint64).view(np.int64)
+
+
 def _gather(k: int, held: np.ndarray):
-    """Digest, size and grams of the documents whose id may be in the bitmap."""
+    """Digest and grams of the documents whose id may be in the bitmap."""
 
     def run(batches):
         for batch in batches:
@@ -163,8 +173,10 @@ def _gather(k: int, held: np.ndarray):
             if not keep.any():
                 continue
             for part in slices(iter([batch.filter(pa.array(keep))])):
-                sets = [g.tobytes() for g in _sets(part, k)]
-                yield pa.RecordBatch.from_arrays([part.columns["doc_id"].cast(pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "grams"])
+                sets = list(_sets(part, k))
+                digests = [pa.array(_signed(list(d))) for d in zip(*map(_digest, sets), strict=True)]
+                grams = pa.array([g.tobytes() for g in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.columns["doc_id"].cast(pa.int64()), *digests, grams], ["doc_id", "d1", "d2", "grams"])
 
     return run
 
@@ -252,11 +264,14 @@ def _classes(docs: DataFrame, k: int, threshold: Fraction, scratch: Scratch) ->
 
     # one document of each set in a family lends its text; equal digests in full make equal sets
     lender = sized.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("doc_id"))
-    lender = scratch.keep(lender.join(family, F.col("d1") == F.col("node")).select("doc_id", "n", "node", "family"), "lender")
+    lender = lender.join(family, F.col("d1") == F.col("node")).select("doc_id", "d1", "d2", "n", "node", "family")
+    lender = scratch.keep(lender, "lender")
     held = bitmap(lender, "doc_id")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(len(held) * 64)).alias("slot")
-    sets = docs.select("doc_id", "text", slot).mapInArrow(_gather(k, held), "doc_id long, grams binary")
-    members = scratch.keep(sets.dropDuplicates(["doc_id"]).join(lender, "doc_id"), "members")
+    sets = docs.select("doc_id", "text", slot).mapInArrow(_gather(k, held), "doc_id long, d1 long, d2 long, grams binary")
+    # rows of one id may have different texts: the digests name the one that is lent
+    named_set = ["doc_id", "d1", "d2"]
+    members = scratch.keep(sets.dropDuplicates(named_set).join(lender, named_set).drop("d1", "d2"), "members")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(1.001 * math.log(1 / threshold)))
     work = units(members, size_class, "grams").repartition(buckets, "unit").sortWithinPartitions("unit")
     verified = work.mapInArrow(_multiply(threshold), "a long, b long")

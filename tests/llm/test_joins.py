@@ -263,3 +263,13 @@ def test_empty_tables(spark, nothing, awkward):
     assert repeated_lines(nothing).count() == 0 and without_repeated_lines(nothing).columns == nothing.columns
     bench = spark.createDataFrame([(1, "x")], "item_id int, text string")
     assert benchmark_overlaps(nothing, bench).count() == 0 and benchmark_overlaps(awkward, bench.where("false")).count() == 0
+
+
+def test_rows_of_one_id_with_different_texts_keep_their_links(spark):
+    rng = random.Random(31)
+    a, b = (" ".join(text_of(rng, 8).split()) for _ in range(2))
+    for rows in ([(1, a), (1, b), (2, a + " more"), (3, b + " more")], [(7, b), (7, a), (2, a + " more"), (3, b + " more"), (7, a)]):
+        found = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, Fraction(9, 10)).collect()
+        got = {(r.doc_id, r.component_id) for r in found}
+        assert len(found) == len(rows)
+        assert got == ({(1, 1), (2, 1), (3, 1)} if rows[0][0] == 1 else {(7, 2), (7, 3), (2, 2), (3, 3)})
