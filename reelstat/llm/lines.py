@@ -126,7 +126,7 @@ def _entries(x: Lines, keep: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarra
                     yield chosen[fits], _key(x.span(s, s + size[fits]), t[fits], i)
 
 
-_FOUND = "kind int, doc_id long, n_lines int, numbers array<int>, nodes array<long>, a long, b long, bucket int, hashes binary, ends binary"
+_FOUND = "kind int, doc_id long, digest long, n_lines int, numbers array<int>, nodes array<long>, a long, b long, bucket int, hashes binary, ends binary"
 
 
 def _found(kind: int, rows: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -149,6 +149,7 @@ def _scan(least: int, buckets: int):
                 0,
                 len(part),
                 doc_id=part.columns["doc_id"].cast(pa.int64()),
+                digest=part.columns["digest"],
                 n_lines=pa.array(x.count.astype(np.int32)),
                 numbers=pa.ListArray.from_arrays(offsets, pa.array(x.number[good].astype(np.int32))),
                 nodes=pa.ListArray.from_arrays(offsets, pa.array(nodes[good])),
@@ -299,12 +300,13 @@ def _verified(batches):
 
 
 def line_classes(docs: DataFrame, scratch: Scratch, least: int = 16) -> tuple[DataFrame, DataFrame]:
-    """The lines of each document (doc_id, n_lines, numbers, nodes of the lines with ``least`` code points or more and a word), and
-    (node, class) of the nodes that an edit link joins to others; both kept in ``scratch``."""
+    """The lines of each document (doc_id, digest of the text, n_lines, numbers, nodes of the lines with ``least`` code points or more and
+    a word), and (node, class) of the nodes that an edit link joins to others; both kept in ``scratch``."""
     buckets = repartition_count(docs)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     found = scratch.keep(docs.mapInArrow(_scan(least, buckets), _FOUND), "lines")
-    numbered = found.where("kind = 0").select("doc_id", "n_lines", "numbers", "nodes")
+    numbered = found.where("kind = 0").select("doc_id", "digest", "n_lines", "numbers", "nodes")
     met = found.where("kind = 1").select("bucket", "hashes", "ends").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     edges = met.mapInArrow(meeting, "a long, b long").union(found.where("kind = 2").select("a", "b"))
     family = components(edges, scratch).withColumnRenamed("component", "family")
@@ -322,39 +324,48 @@ def repeated_lines(docs: DataFrame, least: int = 16) -> DataFrame:
 
     Lines end at line feeds. Lines of ``least`` code points or more with a word fall into classes, connected by edit
     distances within ``tolerance`` of the shorter one's length; of each class the first line by doc_id and number stays. Shorter
-    lines always stay. Null and empty texts lose nothing. Equal rows have equal results, as an id and number name one line; rows
+    lines always stay. Null and empty texts lose nothing. Equal rows have equal results, as an id, text and number name one line; rows of one
+    id with different texts are documents of their own, in the order of a hash of the text; rows
     with a null doc_id lose nothing and take nothing from others. Other columns are ignored; an empty table gives an empty result.
     """
     with Scratch(docs.sparkSession) as scratch:
-        return _repeated(docs, least, scratch)
+        return _repeated(docs, least, scratch).drop("digest")
 
 
 def _repeated(docs: DataFrame, least: int, scratch: Scratch) -> DataFrame:
+    """``repeated_lines`` with the digest of each row's text."""
     numbered, near = line_classes(docs, scratch, least)
-    line = numbered.select("doc_id", F.explode(F.arrays_zip("numbers", "nodes")).alias("l")).select("doc_id", "l.numbers", "l.nodes")
-    line = line.where("doc_id is not null")
-    of_node = line.groupBy("nodes").agg(F.min(F.struct("doc_id", "numbers")).alias("first"), F.count("*").alias("n"))
+    line = numbered.select("doc_id", "digest", F.explode(F.arrays_zip("numbers", "nodes")).alias("l"))
+    line = line.select(F.struct("doc_id", "digest", "l.numbers").alias("line"), "l.nodes").where("line.doc_id is not null")
+    of_node = line.groupBy("nodes").agg(F.min("line").alias("first"), F.count("*").alias("n"))
     classed = of_node.join(near, F.col("nodes") == F.col("node"), "left").select("nodes", "first", "n", F.coalesce("class", "nodes").alias("class"))
     kept = classed.groupBy("class").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
     repeated = scratch.keep(classed.select("nodes", "class").join(kept, "class").select("nodes", "kept"), "repeated")
-    again = line.join(repeated, "nodes").where("doc_id <> kept.doc_id or numbers <> kept.numbers")
-    removed = again.groupBy("doc_id").agg(F.sort_array(F.collect_set("numbers")).alias("removed"))
+    again = line.join(repeated, "nodes").where("line <> kept")
+    removed = again.groupBy("line.doc_id", "line.digest").agg(F.sort_array(F.collect_set("line.numbers")).alias("removed"))
     nothing = F.array().cast("array<int>")
-    rows = numbered.select("doc_id", "n_lines").join(removed, "doc_id", "left")
-    found = rows.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.coalesce("removed", nothing).alias("removed"))
+    rows = numbered.select("doc_id", "digest", "n_lines").join(removed, ["doc_id", "digest"], "left")
+    found = rows.select("doc_id", "digest", F.col("n_lines").cast("long").alias("n_lines"), F.coalesce("removed", nothing).alias("removed"))
     return materialise(found, "repeated_lines")
 
 
 def without_repeated_lines(docs: DataFrame, least: int = 16) -> DataFrame:
     """``docs`` with the repeated lines cut from its texts; a document all of whose words were in them is dropped.
 
-    Other columns stay as they are. See ``repeated_lines``.
+    Other columns stay as they are. See ``repeated_lines``. A text of any number of lines is cut in one walk over them.
     """
-    lost = repeated_lines(docs, least).where(F.size("removed") > 0).distinct()
-    number, numbers = fresh("doc_id", docs.columns), fresh("removed", docs.columns)
-    lost = lost.select(F.col("doc_id").alias(number), F.col("removed").alias(numbers))
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(numbers, i)), "\n")
-    cut = docs.join(lost, docs["doc_id"].cast("long") == lost[number], "left").withColumn(
-        "text", F.when(F.col(numbers).isNull(), F.col("text")).otherwise(left)
-    )
-    return cut.where(F.col(numbers).isNull() | F.col("text").rlike("[^ \t\n\x0b\f\r]")).select(*docs.columns)
+    with Scratch(docs.sparkSession) as scratch:
+        lost = _repeated(docs, least, scratch).where(F.size("removed") > 0).distinct()
+    taken = list(docs.columns)
+    names = []
+    for name in ("doc_id", "digest", "kept", "lines"):
+        names.append(fresh(f"_{name}", [*taken, *names]))
+    number, digest, kept, lines = names
+    stay = F.array_except(F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1), "removed")
+    lost = lost.select(F.col("doc_id").alias(number), F.col("digest").alias(digest), stay.alias(kept))
+    cut = docs.join(lost, (docs["doc_id"].cast("long") == lost[number]) & (F.xxhash64(docs["text"].cast("string")) == lost[digest]), "left")
+    # behind a one-element explode the text is split once, not once for each line
+    cut = cut.select("*", F.explode(F.array(F.when(F.col(kept).isNotNull(), F.split("text", "\n", -1)))).alias(lines))
+    left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    cut = cut.withColumn("text", F.when(F.col(kept).isNull(), F.col("text")).otherwise(left))
+    return cut.where(F.col(kept).isNull() | F.col("text").rlike("[^ \t\n\x0b\f\r]")).select(*docs.columns)

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import defaultdict
 from fractions import Fraction
 from itertools import combinations
@@ -273,3 +274,21 @@ def test_rows_of_one_id_with_different_texts_keep_their_links(spark):
         got = {(r.doc_id, r.component_id) for r in found}
         assert len(found) == len(rows)
         assert got == ({(1, 1), (2, 1), (3, 1)} if rows[0][0] == 1 else {(7, 2), (7, 3), (2, 2), (3, 3)})
+
+
+def test_rows_of_one_id_with_different_texts_keep_their_own_lines(spark):
+    same, other = "this very line is here and in another document too", "a line that occurs nowhere else at all, and is kept"
+    rows = [(1, f"{same}\nsomething of the first text alone"), (1, f"{other}\n{same}"), (0, same), (1, f"{other}\n{same}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.text for r in without_repeated_lines(docs).collect()) == sorted([same, "something of the first text alone", other, other])
+    assert sorted((r.doc_id, r.removed) for r in repeated_lines(docs).collect()) == [(0, []), (1, [0]), (1, [1]), (1, [1])]
+
+
+def test_a_text_of_many_repeated_lines_is_cut_in_one_walk(spark):
+    lines = [f"line {k:05d} of one that stands twice" for k in range(40_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines, "and one more line of its own"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = without_repeated_lines(docs)
+    start = time.time()
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: rows[0][1], 2: "and one more line of its own"}
+    assert time.time() - start < 10
