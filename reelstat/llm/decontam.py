@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.storage import Scratch, bitmap, in_bitmap, materialise
-from reelstat.llm.text import Words, mix, slices, words
+from reelstat.llm.text import Words, mix, released, slices, words
 
 #: One of these hits in every stretch of 13 words or more of which four fifths agree (tested over all places of substitutions).
 MASKS = ("11101011", "11001000111", "1101011001", "111111")
@@ -70,7 +70,7 @@ def _seeds(by_length: dict[int, tuple[str, ...]], masks: tuple[str, ...]):
             columns = pa.array(h.view(np.int64)), part.columns["item"].take(pa.array(row)), pa.array(at - w.first[row]), pa.array(length[row])
             yield pa.RecordBatch.from_arrays([*columns], ["hash", "item", "item_at", "n"])
 
-    return run
+    return released(run)
 
 
 def _item_words(batches):
@@ -118,7 +118,7 @@ def _neighbourhoods(held: np.ndarray, bits: int, masks: tuple[str, ...], reach:
             )
             number += len(first)
 
-    return run
+    return released(run)
 
 
 def _longest_stretch(same: np.ndarray, identity: Fraction) -> tuple[int, int]:
@@ -153,7 +153,7 @@ def _verify(shortest: int, identity: Fraction):
             names = [x.split()[0] for x in _OVERLAP.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    return run
+    return released(run)
 
 
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, shortest: int = 13, identity: float = 0.8) -> DataFrame:
@@ -176,7 +176,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, shortest: int, identity: fl
     )
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     identity = Fraction(str(identity))
-    texts = scratch.keep(items.mapInArrow(_item_words, "item long, item_id long, item_words binary"), "items")
+    texts = scratch.keep(items.mapInArrow(released(_item_words), "item long, item_id long, item_words binary"), "items")
     lengths = [r.n for r in texts.select((F.length("item_words") / 8).cast("int").alias("n")).distinct().collect()]
     by_length = {n: _masks(n, shortest, identity) for n in lengths}
     masks = tuple(sorted({m for x in by_length.values() for m in x}))

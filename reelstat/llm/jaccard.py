@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
 from reelstat.llm.components import components
 from reelstat.llm.storage import Scratch, bitmap, in_bitmap, materialise, repartition_count
-from reelstat.llm.text import Slice, mix, shingles, slices, words
+from reelstat.llm.text import Slice, mix, shingles, released, slices, words
 
 COLUMNS_AT_ONCE = 4096
 #: Aimed-at share of sets that fill too few blocks.
@@ -145,7 +145,7 @@ def _scan(k: int, threshold: Fraction, buckets: int):
             blobs = [pa.array([x[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for x in sent]
             yield _batch(np.full(m, 1, np.int32), none, none, none, none, full.astype(np.int32), *blobs)
 
-    return run
+    return released(run)
 
 
 def _batch(*columns):
@@ -178,7 +178,7 @@ def _gather(k: int, held: np.ndarray):
                 grams = pa.array([g.tobytes() for g in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.columns["doc_id"].cast(pa.int64()), *digests, grams], ["doc_id", "d1", "d2", "grams"])
 
-    return run
+    return released(run)
 
 
 def _links(nodes: np.ndarray, sets: list[np.ndarray], threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +230,7 @@ def _multiply(threshold: Fraction):
             a, b = _links(np.array([x for _, x, _ in rows]), [np.frombuffer(g, np.uint64) for _, _, g in rows], threshold)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return run
+    return released(run)
 
 
 def jaccard_classes(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
@@ -257,7 +257,7 @@ def _classes(docs: DataFrame, k: int, threshold: Fraction, scratch: Scratch) ->
         .select("bucket", "hashes", "nodes")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(meeting, "a long, b long")
+        .mapInArrow(released(meeting), "a long, b long")
     )
     local = found.where("kind = 2").select(F.col("d1").alias("a"), F.col("d2").alias("b"))
     family = components(met.union(local), scratch).withColumnRenamed("component", "family")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
 from reelstat.llm.components import components, forest
 from reelstat.llm.storage import Scratch, bitmap, fresh, in_bitmap, materialise, repartition_count
-from reelstat.llm.text import Slice, mix, slices
+from reelstat.llm.text import FORGET, Slice, mix, released, slices
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -52,6 +52,14 @@ def _power(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
+def _forget() -> None:
+    for base in _powers:
+        _powers[base] = np.ones(1, np.uint64)
+
+
+FORGET.append(_forget)
+
+
 class Lines:
     """The lines of a slice as code points: begin and end of each, its row and its number in the row (from 0)."""
 
@@ -170,7 +178,7 @@ def _scan(least: int, buckets: int):
             hashes, ends = (pa.array([v[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for v in sent)
             yield _found(1, len(full), bucket=pa.array(full.astype(np.int32)), hashes=hashes, ends=ends)
 
-    return run
+    return released(run)
 
 
 def _texts(least: int, held: np.ndarray):
@@ -188,7 +196,7 @@ def _texts(least: int, held: np.ndarray):
             texts = [x.code[b:e].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") for b, e in zip(x.begin[keep], x.end[keep], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(x.length[keep].astype(np.int32)), pa.array(texts, pa.string())], ["node", "n", "line"])
 
-    return run
+    return released(run)
 
 
 def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: int) -> np.ndarray:
@@ -308,13 +316,13 @@ def line_classes(docs: DataFrame, scratch: Scratch, least: int = 16) -> tuple[Da
     found = scratch.keep(docs.mapInArrow(_scan(least, buckets), _FOUND), "lines")
     numbered = found.where("kind = 0").select("doc_id", "digest", "n_lines", "numbers", "nodes")
     met = found.where("kind = 1").select("bucket", "hashes", "ends").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    edges = met.mapInArrow(meeting, "a long, b long").union(found.where("kind = 2").select("a", "b"))
+    edges = met.mapInArrow(released(meeting), "a long, b long").union(found.where("kind = 2").select("a", "b"))
     family = components(edges, scratch).withColumnRenamed("component", "family")
     held = bitmap(family, "node", hashed=True)
     lines = docs.select("text").mapInArrow(_texts(least, held), "node long, n int, line string").dropDuplicates(["node"])
     members = scratch.keep(lines.join(family, "node"), "members")
     work = units(members, F.floor(F.col("n") / (MOST + 1)), "line").repartition(buckets, "unit").sortWithinPartitions("unit")
-    links = work.mapInArrow(_verified, "a long, b long")
+    links = work.mapInArrow(released(_verified), "a long, b long")
     return numbered, components(links, scratch).withColumnRenamed("component", "class")
 
 

@@ -21,8 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.storage import Scratch, materialise
-from reelstat.llm.text import LOWER, Slice, mix, slices, span_hash, word_spans
+from reelstat.llm.storage import Scratch, bounded_batches, materialise
+from reelstat.llm.text import LOWER, Slice, mix, released, slices, span_hash, word_spans
 
 END = 0
 #: Words remembered by one task at most; the memory starts afresh beyond, which changes no result.
@@ -178,7 +178,7 @@ def _cut(path: str, capacity: int):
                 [x.split()[0] for x in _PIECE.split(", ")],
             )
 
-    return run
+    return released(run)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame:
@@ -186,6 +186,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataF
     ``capacity``: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), and the rank of the piece among those
     of its length in its task. ``tokenizer`` is the path of a file that drops white space between words, lower-cases them, and keeps letters apart from
     other signs."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_cut(tokenizer, capacity), _PIECE)
 

@@ -6,7 +6,8 @@ characters. Every helper keeps texts whole: a slice ends between two rows, never
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_STEP = 1 << 20
+_STEP = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,6 +46,32 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_ODD, 2 * _STEP), _powers(_ODD_INVERSE, 2 * _STEP)
 
 
+#: What modules keep between slices and drop at the end of a task.
+FORGET: list[Callable[[], None]] = []
+
+
+def _release() -> None:
+    """Drop what modules keep and give freed memory back to the machine, where the C library can."""
+    for forget in FORGET:
+        forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A step over batches after which its worker, which waits for the next task, keeps nothing."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return task
+
+
 #: ASCII letters and all bytes of other characters.
 LETTERS = np.zeros(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.storage import Scratch
-from reelstat.llm.text import LETTERS, LOWER, HashSet, Slice, mix, slices, span_hash, word_spans
+from reelstat.llm.text import LETTERS, LOWER, HashSet, Slice, mix, released, slices, span_hash, word_spans
 
 #: Labelled rows of either class that the model learns from at most, and features it may use.
 SAMPLE = 10_000
@@ -63,7 +63,7 @@ def _occurrences(keys: np.ndarray):
             ids = part.columns["doc_id"].take(pa.array(row))
             yield pa.RecordBatch.from_arrays([ids, pa.array(feature.astype(np.int32)), pa.array(n)], ["doc_id", "feature", "n"])
 
-    return run
+    return released(run)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -137,7 +137,7 @@ def _fit(docs: DataFrame, labels: DataFrame, sample: int, scratch: Scratch) -> t
     none = np.zeros(0, np.uint64), OrdinalModel(np.zeros(0), np.array([30.0, 31.0, 32.0]))
     if not toxic:
         return none
-    frequency = rows.select("text", "toxic").mapInArrow(_frequencies, "key long, clean long, toxic long")
+    frequency = rows.select("text", "toxic").mapInArrow(released(_frequencies), "key long, clean long, toxic long")
     frequency = frequency.groupBy("key").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= max(3, 0.002 * toxic))
     share = (F.col("clean") + F.col("toxic")) / (clean + toxic)
     gap = F.col("toxic") / toxic - F.col("clean") / max(clean, 1)
@@ -183,7 +183,7 @@ def graded(docs: DataFrame, labels: DataFrame, cut: float = 0.5, sample: int = S
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, severity double, grade long, p_toxic double, toxic boolean")
+    return rows.mapInArrow(released(run), "doc_id long, severity double, grade long, p_toxic double, toxic boolean")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.5, sample: int = SAMPLE) -> DataFrame:
@@ -200,4 +200,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.5, sample:
                 keep.append(1 - model.probabilities(score)[:, 0] < cut)
             yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
