@@ -836,7 +836,13 @@ WHERE name IS NOT NULL AND {f"(ts < {SPLIT} OR CAST(ts AS DATE) = CAST({AS_OF} A
     return _summary(parts)
 
 
+ORACLES["users_over_days"] = "\nUNION ALL ".join(
+    f"""SELECT d.day AS event_date, {days} AS days, count(DISTINCT user_id) AS exact, true AS near
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d JOIN events e
+ON CAST(e.ts AS DATE) BETWEEN d.day - {days - 1} AND d.day GROUP BY d.day"""
+    for days in (1, 7, 28)
+)
 ORACLES["chain_first_run"], ORACLES["chain_second_run"] = _chain(False), _chain(True)
 ORACLES["train_classifier"] = f"""
-SELECT ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 1000 < 200 AS held_out, count(*) AS rows,
+SELECT ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 1000 < 200 AS held_out, CAST(quality AS BIGINT) AS label, count(*) AS rows,
   {r("avg(len(string_split(text, ' ')))", "mean_words")}, true AS fitted FROM documents JOIN labels USING (doc_id) GROUP BY ALL"""

@@ -53,14 +53,14 @@ def hold(df: DataFrame) -> DataFrame:
 def skew_join(
     left: DataFrame, right: DataFrame, on: str, how: str = "left", hot: Sequence | None = None, salts: int = SALTS
 ) -> DataFrame:
-    """Left or inner equi-join in which ``left`` may hold most of its rows under a few keys, or under NULL.
+    """Left, inner, semi or anti equi-join in which ``left`` may hold most of its rows under a few keys, or under NULL.
 
     Rows of frequent keys are spread over ``salts`` sub-keys and only the right-hand rows of those keys are copied
     to each sub-key. NULL keys match nothing and are spread as well. ``hot`` names the frequent keys; None looks
-    them up in ``left`` (one pass over the key column).
+    them up in ``left`` (one pass over the key column), so ``left`` should be stored, or cheap to read twice.
     """
-    if how not in ("left", "inner"):
-        raise ValueError("skew_join supports left and inner joins")
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError("skew_join supports left, inner, left_semi and left_anti joins")
     hot = frequent_keys(left, on) if hot is None else list(hot)
     key = F.col(on)
     spread_rows = key.isNull() | key.isin(*hot) if hot else key.isNull()
@@ -99,27 +99,31 @@ def join_default(
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def existence_flag(df: DataFrame, keys_df: DataFrame, on: str, name: str) -> DataFrame:
-    """Boolean column telling whether the key occurs in ``keys_df``; rows of ``df`` are never multiplied."""
+def existence_flag(df: DataFrame, keys_df: DataFrame, on: str, name: str, hot: Sequence | None = None) -> DataFrame:
+    """Boolean column telling whether the key occurs in ``keys_df``; rows of ``df`` are never multiplied. ``hot`` as in ``skew_join``, here and
+    below."""
     hits = keys_df.select(on).where(F.col(on).isNotNull()).distinct().withColumn(name, F.lit(True))
-    return df.join(hits, on, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    return skew_join(df, hits, on, "left", hot).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def attach_latest(
-    df: DataFrame, right: DataFrame, on: str, order_by: Sequence[str], columns: Sequence[str]
+    df: DataFrame, right: DataFrame, on: str, order_by: Sequence[str], columns: Sequence[str], hot: Sequence | None = None
 ) -> DataFrame:
     """Left join to the latest right-hand row of each key."""
     from reelstat.operators.windows import latest_per_key
 
-    return df.join(latest_per_key(right.select(on, *{*columns, *order_by}), [on], order_by).select(on, *columns), on, "left")
+    latest = latest_per_key(right.select(on, *{*columns, *order_by}), [on], order_by).select(on, *columns)
+    return skew_join(df, latest, on, "left", hot)
 
 
-def keep_known(df: DataFrame, keys_df: DataFrame, on: str, key: str | None = None) -> DataFrame:
+def keep_known(df: DataFrame, keys_df: DataFrame, on: str, key: str | None = None, hot: Sequence | None = None) -> DataFrame:
     """``on IN (SELECT key ...)``."""
-    return df.join(keys_df.select(F.col(key or on).alias(on)), on, "left_semi")
+    return skew_join(df, keys_df.select(F.col(key or on).alias(on)), on, "left_semi", hot)
 
 
-def drop_known(df: DataFrame, keys_df: DataFrame, on: str, key: str | None = None, null_aware: bool = True) -> DataFrame:
+def drop_known(
+    df: DataFrame, keys_df: DataFrame, on: str, key: str | None = None, null_aware: bool = True, hot: Sequence | None = None
+) -> DataFrame:
     """``on NOT IN (SELECT key ...)``.
 
     Null-aware: one NULL key on the right leaves no rows, a NULL on the left qualifies only against an empty right
@@ -127,7 +131,7 @@ def drop_known(df: DataFrame, keys_df: DataFrame, on: str, key: str | None = Non
     plus one row of facts about the right side.
     """
     keys = keys_df.select(F.col(key or on).alias(on))
-    rest = df.join(keys, on, "left_anti")
+    rest = skew_join(df, keys, on, "left_anti", hot)
     if not null_aware:
         return rest
     facts = keys.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(on).isNull()).alias("_nulls"))

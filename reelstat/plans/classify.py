@@ -21,6 +21,11 @@ def split_by_key(df: DataFrame, keys: Sequence[str], test_share: float = 0.2) ->
     return df.withColumn("held_out", F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 1000 < round(1000 * test_share))
 
 
+def held_out_counts(model: PipelineModel, data: DataFrame) -> DataFrame:
+    """Held-out rows by label and prediction."""
+    return model.transform(data.where("held_out")).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def train_classifier(
     df: DataFrame,
     target: str,

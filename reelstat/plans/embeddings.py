@@ -70,7 +70,7 @@ def embed_new_videos(
     tasks: int | None = None,
 ) -> DataFrame:
     """Embeddings of moderated objects that have none yet, all of them or at most ``limit`` per run, to be appended to ``existing``."""
-    new = drop_known(keep_known(objects, nsfw, "uri", "gcs_video_id"), existing, "uri")
+    new = drop_known(keep_known(objects, nsfw, "uri", "gcs_video_id", hot=()), existing, "uri", hot=())  # objects have a row a uri
     if limit is not None:
         # a limited result is one partition; inference has to be spread again
         tasks = tasks or objects.sparkSession.sparkContext.defaultParallelism

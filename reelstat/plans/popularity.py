@@ -67,8 +67,8 @@ def popular_videos_enriched(
     columns = list(dict.fromkeys(["video_id", "upload_type", "timestamp", *tie]))
     uploaded = latest_per_key(uploads.select(*columns), ["video_id"], ["timestamp"], tie)
     out = ranked.join(moderation, "video_id").join(uploaded.select("video_id", "upload_type"), "video_id", "left")
-    out = existence_flag(out, bots, "video_id", "is_bot_uploaded")
-    return existence_flag(out, approvals.where(F.col("is_approved")), "video_id", "user_uploaded_ai_content")
+    out = existence_flag(out, bots, "video_id", "is_bot_uploaded", hot=())  # a row a video: none is hot
+    return existence_flag(out, approvals.where(F.col("is_approved")), "video_id", "user_uploaded_ai_content", hot=())
 
 
 def local_popular_videos(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reelstat.functions.jsonx import document_scalar, document_text, extract_json, json_query, with_document
 from reelstat.functions.timex import DATE, high_watermark, lookback, parse_offset_timestamp, since_watermark
 from reelstat.operators.filters import read_events, suffix_filter
+from reelstat.operators.joins import skew_join
 from reelstat.operators.merge import Change, new_rows
 from reelstat.operators.windows import latest_per_key
 from reelstat.plans.ingest import event_fields
@@ -150,7 +151,10 @@ def unnest_analytics(analytics: DataFrame) -> DataFrame:
 
 
 def ai_ugc(analytics: DataFrame, events: DataFrame) -> DataFrame:
-    """AI-generated uploads joined to the events that report the upload done."""
+    """AI-generated uploads joined to the events that report the upload done.
+
+    The uploads are stored first: looking up hot videos then reads one column of them and parses no document again.
+    """
     uploads = unnest_analytics(analytics).where((F.col("event") == UPLOAD_SUCCESS) & (F.col("type_ext") == AI_VIDEO))
     uploads = uploads.withColumns(
         {"video_id": F.replace(F.col("video_id"), F.lit('"'), F.lit("")), "received_timestamp": F.col("publish_time")}
@@ -159,7 +163,8 @@ def ai_ugc(analytics: DataFrame, events: DataFrame) -> DataFrame:
     done = event_fields(
         read_events(events, (UPLOAD_DONE,)), {**fields, "upload_canister_id": "$.canister_id"}, F.col("timestamp").alias("upload_timestamp")
     )
-    return uploads.drop("event").join(done, "video_id").select(*AI_COLUMNS)
+    uploads = materialise(uploads.drop("event"), "ai_uploads")
+    return skew_join(uploads, done, "video_id", "inner").select(*AI_COLUMNS)
 
 
 def ai_ugc_change(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from reelstat.operators.windows import latest_per_key
 from reelstat.sources.snapshots import SnapshotTable
 from reelstat.streaming.upserts import event_time, start_merge
 
@@ -20,10 +21,22 @@ def daily_counts(stream: DataFrame, ts: str, name: str, lateness: str) -> DataFr
     return counted.select(F.to_date("window.start").alias("event_date"), "event_name", "event_count")
 
 
-def latest_state(stream: DataFrame, keys: Sequence[str], ts: str, state: str) -> DataFrame:
-    """Running latest value of ``state`` per key."""
-    newest = F.max(F.struct(F.col(ts), F.col(state))).alias("_newest")
-    return stream.groupBy(*keys).agg(newest).select(*keys, f"_newest.{state}", f"_newest.{ts}")
+def latest_state(
+    stream: DataFrame, table: SnapshotTable, checkpoint: str, keys: Sequence[str], ts: str, tie: Sequence[str] = (), **options
+) -> StreamingQuery:
+    """Keep the latest row per key of a stream in ``table``, ties to the largest ``tie`` columns; an older row that arrives late changes nothing.
+
+    The stream has no state: each micro-batch is reduced to its latest rows, and merged where they are newer than those of the
+    table. Rows are kept by the table alone, whose layout by key lets a merge touch few of them.
+    """
+    order = [ts, *tie]
+    newer = F.struct(*[f"s.{c}" for c in order]) > F.struct(*[f"t.{c}" for c in order])
+    values = {c: F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in stream.columns if c not in keys}
+
+    def latest(batch: DataFrame) -> DataFrame:
+        return latest_per_key(batch, keys, [ts], tie)
+
+    return start_merge(stream, table, checkpoint, latest, upsert=latest, keys=keys, set=values, **options)
 
 
 def upsert_changes(

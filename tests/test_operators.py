@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -255,3 +255,57 @@ def test_probing_all_cells_is_exact_and_few_cells_find_most(spark, vector_table,
     probed = vectors.probe_cells(index, cells, q, 10, probes=3, tie=["i"])
     assert len({r["i"] for r in probed.collect()} & set(exact)) >= 5
     assert "PartitionFilters: [cell" in probed._jdf.queryExecution().executedPlan().toString().replace("isnotnull(", "")
+
+
+# --- hot and missing keys ----------------------------------------------------------------------------------------
+
+
+def test_joins_spread_hot_and_missing_keys(spark):
+    """Half of the rows under one key, a quarter under NULL: results as without, and no task gets more than a fraction of them."""
+    data = [("hot" if k % 2 else None if k % 4 else f"k{k % 97}", k) for k in range(8000)]
+    df = spark.createDataFrame(data, "k string, v int").repartition(8)
+    right = spark.createDataFrame([("hot", 1), ("k0", 2), ("k4", 3), ("k4", 4), ("gone", 5)], "k string, w int")
+    known = {"hot", "k0", "k4", "gone"}
+
+    def seen(out, *columns):
+        return sorted((tuple(r[c] for c in columns) for r in out.collect()), key=str)
+
+    def want(rows_):
+        return sorted(rows_, key=str)
+
+    assert seen(joins.existence_flag(df, right, "k", "f"), "k", "v", "f") == want([(k, v, k in known) for k, v in data])
+    assert seen(joins.keep_known(df, right, "k"), "k", "v") == want([(k, v) for k, v in data if k in known])
+    assert seen(joins.drop_known(df, right, "k"), "k", "v") == want([(k, v) for k, v in data if k is not None and k not in known])
+    assert seen(joins.drop_known(df, right, "k", null_aware=False), "k", "v") == want([(k, v) for k, v in data if k not in known])
+    latest = {"hot": 1, "k0": 2, "k4": 4}
+    assert seen(joins.attach_latest(df, right, "k", ["w"], ["w"]), "k", "v", "w") == want([(k, v, latest.get(k)) for k, v in data])
+
+    hot = joins.frequent_keys(df, "k")
+    assert "hot" in hot and len(hot) <= 64
+    for how in ("left", "left_semi", "left_anti", "inner"):
+        plain = right.dropDuplicates(["k"])
+        spread = joins.skew_join(df, plain.hint("shuffle_hash"), "k", how, hot)
+        assert seen(spread, *spread.columns) == seen(df.join(plain, "k", how), *spread.columns)
+    with pytest.raises(ValueError, match="skew_join supports"):
+        joins.skew_join(df, right, "k", "outer")
+
+
+def test_salts_spread_the_rows_of_a_hot_key_evenly(spark):
+    df = spark.createDataFrame([("hot" if k % 2 else None, k) for k in range(8000)], "k string, v int")
+    salted = df.withColumn("s", joins._spread(df, ["k"], joins.SALTS))
+    held = [r["count"] for r in salted.groupBy("k", "s").count().collect()]
+    assert len(held) == 2 * joins.SALTS and max(held) < 3 * 8000 / len(held)
+
+
+def test_sketched_users_over_days(spark):
+    rows_ = [(u, datetime(2024, 1, 1) + timedelta(days=d, hours=u % 24)) for d in range(40) for u in range(d * 50, d * 50 + 400)]
+    events = spark.createDataFrame(rows_, "user long, ts timestamp_ntz")
+    kept = aggregates.daily_sketches(events, "user", "ts")
+    for days in (1, 7, 28):
+        exact = {}
+        for u, t in rows_:
+            for n in range(days):
+                exact.setdefault((t + timedelta(days=n)).date(), set()).add(u)
+        got = {r["event_date"]: r["users"] for r in aggregates.users_over_days(kept, days).collect()}
+        assert set(got) == {t.date() for _, t in rows_}
+        assert all(abs(n - len(exact[d])) <= 4 * 1.04 / 64 * len(exact[d]) for d, n in got.items())

@@ -227,11 +227,48 @@ def test_streamed_counts_equal_the_batch_over_several_batches(spark, tmp_path):
 def test_streamed_latest_state(spark, tmp_path):
     folder, table = str(tmp_path / "in"), SnapshotTable(spark, str(tmp_path / "t"))
     feed(spark, folder, [("a", at("01 10:00"), 1), ("b", at("01 11:00"), 1)], [("a", at("01 09:00"), 2)], [("b", at("02 10:00"), 3)])
-    newest = states.latest_state(stream(spark, folder), ["k"], "t", "v")
-    states.upsert_changes(newest, table, str(tmp_path / "cp"), ["k"]).awaitTermination()
+    states.latest_state(stream(spark, folder), table, str(tmp_path / "cp"), ["k"], "t").awaitTermination()
     assert [(r["k"], r["v"]) for r in rows(table.read(), "k")] == [("a", 1), ("b", 3)]
 
 
+def test_latest_state_is_kept_by_the_table_alone(spark, tmp_path):
+    """Many micro-batches: no state in the stream, older late rows change nothing, ties go to the larger column, and a merge writes few files."""
+    folder, table = str(tmp_path / "in"), SnapshotTable(spark, str(tmp_path / "t"), keys=("k",), buckets=32)
+    feed(spark, folder, [(f"k{n}", at("02 10:00"), n) for n in range(200)])
+
+    def run():
+        query = states.latest_state(stream(spark, folder), table, str(tmp_path / "cp"), ["k"], "t", ["v"])
+        query.awaitTermination()
+        assert all(not p.stateOperators for p in query.recentProgress)
+        return {r["k"]: r["v"] for r in table.read().collect()}
+
+    assert run() == {f"k{n}": n for n in range(200)}
+    before = files(tmp_path / "t")
+    for late in ([("k1", at("01 10:00"), -1)], [("k2", at("02 10:00"), 1)], [("k3", at("02 10:00"), 9)], [("k4", at("03 10:00"), -4), ("k4", at("03 09:00"), -5)]):
+        feed(spark, folder, late)
+    expected = {f"k{n}": n for n in range(200)} | {"k3": 9, "k4": -4}
+    assert run() == expected and not (tmp_path / "cp" / "state").exists()
+    assert len(files(tmp_path / "t") - before) <= 4
+
+
+def test_streamed_changes_take_the_watermark_from_the_marker(spark, raw, tmp_path, monkeypatch):
+    def follow(event, a, t):
+        return (event, {"user_id": a, "publisher_user_id": "p"}, t)
+
+    folder = str(tmp_path / "in")
+    table = SnapshotTable(spark, str(tmp_path / "t"), partition_ts="last_updated_timestamp")
+    batches = [
+        raw(follow(graph.FOLLOWED, "a", "01 10:00"), follow(graph.FOLLOWED, "b", "02 10:00")),
+        raw(follow(graph.UNFOLLOWED, "a", "03 10:00"), follow(graph.UNFOLLOWED, "b", "01 09:00")),
+    ]
+    monkeypatch.setattr("reelstat.sources.snapshots.high_watermark", None)  # no scan of the table for its maximum
+    for batch in batches:
+        batch.coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(batch.schema).parquet(folder)
+        upserts.changes(source, table, str(tmp_path / "cp"), graph.follower_graph, graph.follower_graph_change).awaitTermination()
+    assert [(r["follower_id"], r["active"]) for r in rows(table.read(), "follower_id")] == [("a", False), ("b", True)]
+
+
 def test_lookback_upsert_takes_late_rows_within_the_window_only(spark, tmp_path):
     folder, table = str(tmp_path / "in"), SnapshotTable(spark, str(tmp_path / "t"))
 
