@@ -509,6 +509,15 @@ _normalized_out = (
 ORACLES["video_statistics_normalized"] = _sql(_normalized_out + "no")
 ORACLES["video_statistics_normalized_incr"] = _sql(_normalized_out + "no1")
 
+PARTS["usr"] = _users("rel1")
+PARTS["vir"] = _videos("rel1", "usr")
+PARTS["glr"] = _all("vir")
+PARTS["nor"] = _normalized("vir", "glr")
+ORACLES["retracted_statistics"] = _sql(
+    _normalized_out.replace(" FROM ", ", pairs, mean_deviation FROM ")
+    + f"""nor, (SELECT CAST(sum(total_watches) AS BIGINT) AS pairs, {r("avg(user_watch_percentage_stddev)", "mean_deviation")} FROM usr)"""
+)
+
 # --- popularity --------------------------------------------------------------------------------------------------
 
 

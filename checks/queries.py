@@ -18,7 +18,7 @@ from reelstat.functions import arrays, jsonx, numeric, timex
 from reelstat.operators import aggregates, filters, joins, ordering, vectors, windows
 from reelstat.operators.merge import merge
 from reelstat.operators.vector_index import VectorIndex
-from reelstat.plans import chain, classify, counts, embeddings, graph, ingest, metrics, moderation, popularity, relation, uploads
+from reelstat.plans import chain, classify, counts, embeddings, graph, ingest, metrics, moderation, popularity, relation, retraction, uploads
 from reelstat.plans import users as user_plans
 from reelstat.session import materialise, shared_path
 from reelstat.sources import serving, tables
@@ -719,6 +719,23 @@ def video_statistics_normalized_incr(spark, sf):
     return _Chain(spark, sf).normalized()
 
 
+@query
+def retracted_statistics(spark, sf):
+    """Metrics, statistics and z-scores after two batches that repeat pairs, each pair counted once: equal to a rebuild from the relation."""
+    r0 = _stored_relation(spark, sf, True)
+    r1 = materialise(relation.user_video_relation_increment(r0, fx.engagement_events(spark, sf)), "relation")
+    u0 = materialise(metrics.user_video_metrics(r0), "metrics")
+    v0 = materialise(metrics.video_statistics(r0, u0), "statistics")
+    changed = timex.since_watermark(r1, metrics.WATCHED, timex.high_watermark(r0, metrics.WATCHED))
+    u1 = retraction.user_video_metrics_change(retraction.pairs_before(r0, changed), changed).onto(u0)
+    u1 = materialise(u1, "metrics")
+    sides = retraction.rows_of_users(r0, changed), u0, retraction.rows_of_users(r1, changed), u1
+    v1 = materialise(retraction.video_statistics_change(*sides).onto(v0), "statistics")
+    scored = metrics.video_statistics_normalized(v1, metrics.global_video_stats(v1))
+    users = u1.agg(F.sum("total_watches").alias("pairs"), F.avg("user_watch_percentage_stddev").alias("mean_deviation"))
+    return joins.with_constants(scored, users)
+
+
 @query
 def global_popular_l90d(spark, sf):
     return popularity.popular_videos(_relation(spark, sf), fx.AS_OF, 90)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,14 @@ class Scratch:
         for name in gone:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        if gone:
+            self._unreferenced()
+
+    def _unreferenced(self) -> None:
+        """Let the driver find that the shuffles behind the deleted tables are of no more use: their files go from the executors' disks only
+        when the driver's memory is cleaned, which a large heap may not need for a long time."""
+        gc.collect()
+        self.spark._jvm.System.gc()
 
 
 def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS, hashed: bool = False) -> np.ndarray:

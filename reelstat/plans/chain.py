@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.functions.timex import high_watermark, lookback, since_watermark
 from reelstat.operators.merge import Change
-from reelstat.plans import counts, graph, ingest, metrics, moderation, popularity, relation, uploads, users
+from reelstat.plans import counts, graph, ingest, metrics, moderation, popularity, relation, retraction, uploads, users
 from reelstat.schemas import TABLE_KEYS
 from reelstat.session import staged
 from reelstat.sources import serving
@@ -67,10 +67,14 @@ class Inputs:
 
 
 class Chain:
-    """The tables below a folder. ``run`` brings them up to date: its first run builds them, later ones merge what is new."""
+    """The tables below a folder. ``run`` brings them up to date: its first run builds them, later ones merge what is new.
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    With ``retract`` a pair that is watched again counts once (``plans.retraction``): statistics of users and videos equal those built anew from
+    the relation, and the global ones and z-scores are built from them in each run.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, retract: bool = False):
+        self.spark, self.root, self.buckets, self.retract = spark, root.rstrip("/"), buckets, retract
 
     def table(self, name: str) -> SnapshotTable:
         layout = LAYOUT.get(name, {})
@@ -93,7 +97,13 @@ class Chain:
         """Bring every table up to date; returns what was done to each derived table."""
         self._ingest(inputs.events)
         events = self.read("events", dates=True)
-        done = {name: self._kept(name, *steps) for name, steps in self._core(events, inputs, as_of).items()}
+        done = {}
+        for name, (build, change) in self._core(events, inputs, as_of).items():
+            if self.retract and name in ("global_video_stats", "video_statistics_normalized"):
+                self.table(name).replace(build())
+                done[name] = "replaced"
+            else:
+                done[name] = self._kept(name, build, change)
         if inputs.analytics is not None:
             done |= self._uploads(inputs, events, as_of)
         if inputs.shards is not None:
@@ -123,6 +133,12 @@ class Chain:
         def pairs(last: datetime) -> DataFrame:
             return read("user_video_relation", dates=True, since=last)
 
+        changes = {
+            "user_video_metrics": lambda last: metrics.user_video_metrics_change(pairs(last), last),
+            "video_statistics": lambda last: metrics.video_statistics_change(pairs(last), read("user_video_metrics"), last),
+        }
+        if self.retract:
+            changes |= self._retracting()
         return {
             "user_video_relation": (
                 lambda: relation.user_video_relation(events),
@@ -130,11 +146,11 @@ class Chain:
             ),
             "user_video_metrics": (
                 lambda: metrics.user_video_metrics(read("user_video_relation")),
-                lambda last: metrics.user_video_metrics_change(pairs(last), last),
+                changes["user_video_metrics"],
             ),
             "video_statistics": (
                 lambda: metrics.video_statistics(read("user_video_relation"), read("user_video_metrics")),
-                lambda last: metrics.video_statistics_change(pairs(last), read("user_video_metrics"), last),
+                changes["video_statistics"],
             ),
             "global_video_stats": (
                 lambda: metrics.global_video_stats(read("video_statistics")),
@@ -165,6 +181,27 @@ class Chain:
             ),
         }
 
+    def _retracting(self) -> dict[str, Callable]:
+        """The changes of the user and video tables that take back what their pairs gave before, from the tables as they are now."""
+        version = {n: max(self.table(n).versions(), default=None) for n in ("user_video_relation", "user_video_metrics")}
+
+        def sides(last: datetime) -> tuple[DataFrame, DataFrame, DataFrame]:
+            now = self.read("user_video_relation", dates=True)
+            changed = since_watermark(self.read("user_video_relation", dates=True, since=last), metrics.WATCHED, last, None)
+            return self.table("user_video_relation").read(version["user_video_relation"], dates=True), now, changed
+
+        def users(last: datetime) -> Change:
+            before, _, changed = sides(last)
+            return retraction.user_video_metrics_change(retraction.pairs_before(before, changed), changed)
+
+        def videos(last: datetime) -> Change:
+            before, now, changed = sides(last)
+            known = self.table("user_video_metrics").read(version["user_video_metrics"])
+            rows = [retraction.rows_of_users(df, changed) for df in (before, now)]
+            return retraction.video_statistics_change(rows[0], known, rows[1], self.read("user_video_metrics"))
+
+        return {"user_video_metrics": users, "video_statistics": videos}
+
     def _uploads(self, inputs: Inputs, events: DataFrame, as_of: datetime) -> dict[str, str]:
         done = {
             "video_upload_stats": self._ingest_uploads(inputs.analytics),

@@ -94,12 +94,8 @@ def user_video_metrics_increment(
 VIDEO_MEANS = [f"user_normalized_{m}_perc" for m in METRICS]
 
 
-def video_statistics(relation: DataFrame, metrics: DataFrame, hot: Sequence | None = None, colocated: bool = False) -> DataFrame:
-    """Reaction to each video, each user weighted down by how often they react anyway.
-
-    A user without metrics contributes 0. ``hot`` names users who own much of ``relation`` (None: look them up). ``colocated`` joins
-    tables bucketed by user as they lie, without a shuffle; a user's rows are then in one bucket.
-    """
+def weighted_reactions(relation: DataFrame, metrics: DataFrame, hot: Sequence | None = None, colocated: bool = False) -> DataFrame:
+    """Each pair with its user's reactions, weighted down by how often the user reacts anyway; see ``video_statistics``."""
     averages = [f"user_{m}_avg" for m in METRICS]
     pairs = relation.select("user_id", "video_id", "liked", "shared", "mean_percentage_watched", WATCHED)
     known, defaults = metrics.select("user_id", *averages), {a: 1.0 for a in averages}
@@ -108,8 +104,18 @@ def video_statistics(relation: DataFrame, metrics: DataFrame, hot: Sequence | No
     else:
         joined = join_default(pairs, known, "user_id", defaults, hot=hot)
     reactions = (F.col("liked").cast("int"), F.col("shared").cast("int"), F.col("mean_percentage_watched"))
-    return joined.groupBy("video_id").agg(
-        *[F.avg((1 - F.col(a)) * x).alias(out) for a, x, out in zip(averages, reactions, VIDEO_MEANS)],
+    weighted = [((1 - F.col(a)) * x).alias(out) for a, x, out in zip(averages, reactions, VIDEO_MEANS, strict=True)]
+    return joined.select("user_id", "video_id", WATCHED, *weighted)
+
+
+def video_statistics(relation: DataFrame, metrics: DataFrame, hot: Sequence | None = None, colocated: bool = False) -> DataFrame:
+    """Reaction to each video, each user weighted down by how often they react anyway.
+
+    A user without metrics contributes 0. ``hot`` names users who own much of ``relation`` (None: look them up). ``colocated`` joins
+    tables bucketed by user as they lie, without a shuffle; a user's rows are then in one bucket.
+    """
+    return weighted_reactions(relation, metrics, hot, colocated).groupBy("video_id").agg(
+        *[F.avg(c).alias(c) for c in VIDEO_MEANS],
         F.count("user_id").alias("total_impressions"),
         F.max(WATCHED).alias(UPDATED),
     )
