@@ -97,4 +97,47 @@ select f.doc_id, f.h as leaf, s.h as subroot, root, sha256(t.below || o.proof) a
 from leaves f join subroots s on f.tree = s.source join tops t on f.k = t.k join over_end o on f.k = o.k cross join root
 """
 
-ORACLES: dict[str, str] = {"op11_vector_codes": VECTOR_CODES, "op12_merkle_manifest": MERKLE}
+WARC = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest, coalesce(html, '') as html from pages),
+first as (select html, max(page_id) as response from p where payload_bytes >= 1000 group by html)
+select page_id, payload_bytes, payload_digest, case when page_id < response then 'revisit' else 'response' end as record_type,
+  case when page_id < response then response end as refers_to
+from p left join first using (html)
+"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+JACCARD = rf"""
+with recursive worded as (
+  select row_number() over () as k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as materialized (
+  select k, doc_id, list_sort(list_distinct(case
+    when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as s
+  from worded),
+named as materialized (
+  select doc_id, len(s) as n, min(k) over (partition by md5(array_to_string(s, ' | '))) as node, k from sets),
+grams as materialized (
+  select k as node, len(s) as n, unnest(s) as gram from sets where k in (select node from named)),
+links as materialized (
+  select a.node as a, b.node as b
+  from grams a join grams b on a.gram = b.gram and a.node <> b.node and 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached(a, b) as (
+  select distinct a, a from links
+  union
+  select r.a, l.b from reached r join links l on r.b = l.a),
+least as materialized (select node, min(doc_id) as doc_id from named where n > 0 group by node),
+class as (select r.a as node, min(l.doc_id) as doc_id from reached r join least l on r.b = l.node group by r.a)
+select d.doc_id, d.n as n_shingles, case when d.n = 0 then d.doc_id else coalesce(c.doc_id, l.doc_id) end as component_id
+from named d left join least l using (node) left join class c on d.node = c.node
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_ngram_jaccard_join": JACCARD,
+    "op7_warc": WARC,
+    "op11_vector_codes": VECTOR_CODES,
+    "op12_merkle_manifest": MERKLE,
+}
