@@ -196,14 +196,15 @@ def plan_bins(
     capacity: int = 2048,
     documents: int | None = None,
     attention: int | None = None,
-    weights: Sequence[float] = (1.0, 0.0, 0.0),
+    weights: Sequence[float] = (1.0, 1.0, 1.0),
     rule: str = "norm",
 ) -> list[tuple[int, int, int, int, int, int]]:
     """Best fit, decreasing, of ``histogram`` (pieces of each length). Rows (length, first rank, end rank, first bin, pieces per bin,
     offset of the first): rank r of a length lies in bin ``first + (r - first rank) // per bin``.
 
-    ``rule`` "norm" prefers the bin whose residual capacities, as shares weighted by ``weights``, are least after placing; "dot"
-    the one whose residuals have the largest weighted product with the piece's sizes.
+    A piece takes its tokens, one document and its attention cost, the square of its tokens; the capacities for these default to ``capacity``,
+    ``capacity`` and its square, which the tokens' capacity implies, but all three weigh in the choice. ``rule`` "norm" prefers the bin whose
+    residual capacities, as shares weighted by ``weights``, are least after placing; "dot" the one whose residuals have the largest weighted product with the piece's sizes.
     """
     limits = np.array([capacity, documents or capacity, attention or capacity**2], float)
     weight = np.asarray(weights, float)

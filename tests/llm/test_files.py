@@ -71,6 +71,14 @@ def test_plans_keep_every_capacity(rule, documents, attention):
         assert len(bins) <= 1.02 * sum(n * c for n, c in histogram.items()) / 100 + 1
 
 
+def test_all_sizes_weigh_in_the_choice_of_a_bin():
+    rng = random.Random(3)
+    histogram = {n: rng.randint(1, 40) for n in range(2, 101)}
+    plans = [plan_bins(histogram, 100), plan_bins(histogram, 100, weights=(1.0, 0.0, 0.0)), plan_bins(histogram, 100, 4), plan_bins(histogram, 100, rule="dot")]
+    assert all(a != b for k, a in enumerate(plans) for b in plans[:k])
+    assert len(fill(plans[0])) <= 1.01 * len(fill(plans[1])) + 1
+
+
 def test_plans_of_few_lengths():
     assert plan_bins({}) == [] and len(fill(plan_bins({2048: 3}))) == 3 and len(fill(plan_bins({1024: 5}))) == 3
     assert len(plan_bins({1: 10**12})) <= 2
