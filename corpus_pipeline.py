@@ -18,6 +18,8 @@ from reelstat.llm.storage import Scratch, materialise
 from reelstat.llm.toxicity import without_toxic
 
 TOKENIZER = "word_bpe_49k.json"
+#: Documents of a sequence at most; more of them attend to little beside themselves.
+DOCUMENTS = 32
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +45,13 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of at most 2048 tokens."""
+    """The place of every piece of every document in sequences of at most 2048 tokens and ``DOCUMENTS`` documents."""
     import public_tokenizers
 
     pieces = token_pieces(docs, public_tokenizers.path(TOKENIZER))
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "task", "rank")
     with Scratch(spark) as scratch:
-        return pack(scratch.keep(digests, "pieces"))
+        return pack(scratch.keep(digests, "pieces"), documents=DOCUMENTS)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
