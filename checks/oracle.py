@@ -679,6 +679,9 @@ ORACLES["user_base_facts_incr"] = _sql(
 PARTS["per_day"] = """
 SELECT CAST(ts AS DATE) AS event_date, event_type AS event_name, count(*) AS event_count FROM events GROUP BY ALL"""
 ORACLES["daily_event_counts"] = _sql("SELECT * FROM per_day")
+ORACLES["daily_event_counts_recent"] = """
+SELECT CAST(o_orderdate AS DATE) AS event_date, o_orderstatus AS event_name, count(*) AS event_count FROM orders
+WHERE CAST(o_orderdate AS DATE) IN (SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders ORDER BY 1 DESC LIMIT 100) GROUP BY ALL"""
 ORACLES["daily_event_counts_update"] = _sql("SELECT * FROM per_day WHERE event_date <= DATE '2024-01-15'")
 # late rows count while their day is open: until a batch ends with a row two days after the day's end, and the next one as well
 ORACLES["stream_daily_counts"] = f"""

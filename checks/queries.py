@@ -869,6 +869,13 @@ def daily_event_counts(spark, sf):
     return counts.daily_event_counts(fx.table(spark, sf, "events"), "ts", "event_type")
 
 
+@query
+def daily_event_counts_recent(spark, sf):
+    """The counts of the 100 latest dates that occur among the days on which orders were placed."""
+    orders = fx.table(spark, sf, "orders")
+    return counts.daily_event_counts(orders, "o_orderdate", "o_orderstatus", n_dates=100)
+
+
 @query
 def daily_event_counts_update(spark, sf):
     events = fx.table(spark, sf, "events")

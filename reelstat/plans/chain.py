@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.functions.timex import high_watermark, lookback, since_watermark
 from reelstat.operators.merge import Change
-from reelstat.plans import counts, graph, ingest, metrics, moderation, popularity, relation, retraction, uploads, users
+from reelstat.plans import counts, embeddings, graph, ingest, metrics, moderation, popularity, relation, retraction, uploads, users
 from reelstat.schemas import TABLE_KEYS
 from reelstat.session import staged
 from reelstat.sources import serving
@@ -38,6 +38,8 @@ LAYOUT: dict[str, dict] = {
     "video_reports": {"partition_ts": "report_timestamp", "cluster": ("video_id",)},
     "excluded_videos": {"partition_ts": "excluded_at", "cluster": ("video_id",)},
     "user_base_facts": {"keys": ("user_id",)},
+    "video_embeddings": {"keys": ("uri",)},
+    "video_index": {"keys": ("uri",)},
     "daily_event_counts": {"partition_ts": "event_date", "cluster": ("event_name",)},
 }
 #: Serving copies kept by overlapping increments, by their time column; the others are reloaded.
@@ -64,6 +66,19 @@ class Inputs:
     shards: DataFrame | None = None
     approvals: DataFrame | None = None
     shard_tie: tuple[str, ...] = ()
+    objects: Objects | None = None
+
+
+@dataclass
+class Objects:
+    """Stored video objects (uri, metadata and whatever ``model_fn`` reads) with their moderation scores, and the model that embeds them."""
+
+    listed: DataFrame
+    nsfw: DataFrame
+    model_fn: embeddings.ModelFn
+    columns: tuple[str, ...] = ("uri",)
+    dim: int = embeddings.EMBEDDING_DIM
+    limit: int | None = None
 
 
 class Chain:
@@ -114,11 +129,30 @@ class Chain:
                 lambda _: users.user_base_facts_change(shards, as_of.date(), tie, tie),
                 timed=False,
             )
+        if inputs.objects is not None:
+            done |= self._embeddings(inputs.objects)
         for name, built in self._rankings(inputs, as_of).items():
             self.table(name).replace(built)
             done[name] = "replaced"
         return done
 
+    def _embeddings(self, objects: Objects) -> dict[str, str]:
+        """Embed the moderated objects that have no vector yet, and add the vectors fit for it to the searchable index; both only grow. The
+        model runs once for each object: what it made is stored before anything reads it."""
+        done = {}
+        stored, index = self.table("video_embeddings"), self.table("video_index")
+        known = stored.read().select("uri") if stored.exists() else objects.listed.select("uri").limit(0)
+        new = embeddings.embed_new_videos(objects.listed, objects.nsfw, known, objects.model_fn, objects.limit, objects.columns)
+        done["video_embeddings"] = "merged" if stored.exists() else "created"
+        stored.append(new)
+        fit = embeddings.index_rows(stored.read(), objects.dim)
+        done["video_index"] = "merged" if index.exists() else "created"
+        if index.exists():
+            index.merge(fit, ["uri"], insert="*")
+        else:
+            index.replace(fit)
+        return done
+
     def _ingest(self, events: DataFrame) -> None:
         """Parse the events that the typed table does not hold yet."""
         table = self.table("events")

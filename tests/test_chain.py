@@ -185,6 +185,33 @@ def test_retracting_runs_equal_a_rebuild(spark, tmp_path):
     assert pairs.count() == built.read("user_video_metrics").agg(F.sum("total_watches")).first()[0] < twice
 
 
+def test_objects_are_embedded_once_and_indexed(spark, tmp_path):
+    names = "array<struct<name:string,value:string>>"
+    whole = [{"name": n, "value": "1"} for n in ("post_id", "timestamp", "publisher_user_id")]
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def model(batches):
+        for batch in batches:
+            for uri in batch["uri"]:
+                (calls / uri).touch(exist_ok=False)  # a second call for an object fails
+            yield batch["uri"].map(lambda uri: [float(len(uri)), 1.0])
+
+    def inputs(n):
+        listed = frame(spark, f"uri string, metadata {names}", *[(f"o{k}", whole if k % 3 else whole[:1]) for k in range(n)])
+        nsfw = frame(spark, "gcs_video_id string, is_nsfw boolean, nsfw_ec string, nsfw_gore string", *[(f"o{k}", False, "a", "b") for k in range(0, n, 2)])
+        scores = frame(spark, "video_id string, probability double, nsfw_ec string", ("v1", 0.9, "x"))
+        events = frame(spark, RAW, event(relation.WATCH, day(0), user_id="u", video_id="v", percentage_watched=5))
+        return chain.Inputs(events, scores, objects=chain.Objects(listed, nsfw, model, dim=2))
+
+    built = chain.Chain(spark, str(tmp_path / "tables"), buckets=4)
+    assert built.run(inputs(10), day(1))["video_index"] == "created"
+    done = built.run(inputs(16), day(2))
+    assert done["video_embeddings"] == done["video_index"] == "merged"
+    assert {r["uri"] for r in built.read("video_embeddings").collect()} == {f"o{k}" for k in range(0, 16, 2)} == {p.name for p in calls.iterdir()}
+    assert sorted(r["uri"] for r in built.read("video_index").collect()) == sorted(f"o{k}" for k in range(0, 16, 2) if k % 3)
+
+
 # --- typed events ------------------------------------------------------------------------------------------------
 
 ODD = [
