@@ -1,12 +1,14 @@
 """Language-model scoring by context-tree weighting over bytes.
 
-A text's bytes (A-Z lower-cased, one end byte behind) are decomposed into binary decisions, eight a byte. For each context of up
-to three bytes and each decision, Krichevsky-Trofimov estimates come from counts over the training documents, and the
-weighting mixes the estimates of all depths by how well they code the training text. Since such block probabilities
-depend on counts alone, the tree is trained by counting in any order and is exact.
+A text's bytes (A-Z lower-cased, one end byte behind) are decomposed into binary decisions, eight a byte. For every context of up
+to ``DEPTH`` bytes that occurs in the training documents, and each decision in it, Krichevsky-Trofimov estimates come from counts, and
+the weighting mixes the estimates of all depths by how well they code the training text. Since such block probabilities
+depend on counts alone, the tree is trained by counting in any order and is exact. No context is left out: the tree grows with the input.
 
-Contexts that hold less than one 2**14-th of the training bytes get no node of their own, but share their parent's leaf of all such
-contexts: so the tree has at most 2**15 + 257 nodes at any size of corpus, and can be sent to every task.
+The tree is a table, cut by the last ``SPLIT`` bytes of a context. All contexts longer than that lie below one of these cuts, in one bucket, and are
+weighted there from the deepest up; what their roots pass on meets in the few shorter contexts (at most 2**16 of two bytes, with 255 decisions
+each), which the driver weighs and sends to all tasks. A text's bytes are scored by a shuffle: each chunk of text asks the buckets for
+its distinct (context, byte) pairs, and the answers meet the chunk's text again, slice by slice.
 
 Beside it stands a unigram baseline over words with exact counts. Words with at least one 2**20-th of the tokens (at most 2**20
 words) are sent to every task; the other words of each slice of text go to the counts by hash, and their sums come back by
@@ -26,24 +28,33 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.blocks import buckets_of, grouped
 from reelstat.llm.storage import Scratch, materialise, repartition_count
-from reelstat.llm.text import LOWER, Slice, mix, slices, words
+from reelstat.llm.text import LOWER, Slice, mix, released, slices, words
 
-DEPTH = 3
-NODE_SHARE = 1 << 14
+DEPTH, SPLIT = 5, 3
 HOT_SHARE = 1 << 20
 END = 0xFF  # no byte of UTF-8
-#: Distinct keys that a task counts before it sends them on.
-HELD = 1 << 20
+#: Distinct keys that a task counts before it sends them on, and bytes of a chunk at most (a longer text is a chunk of its own).
+HELD, CHUNK_BYTES = 1 << 20, 1 << 25
+#: Buckets of contexts for each of the session's shuffle partitions.
+FINER = 8
 
 
-def _symbols(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts (three bytes) and bytes of all rows, each row ended by ``END`` and begun after three of them; row offsets."""
-    padded = np.insert(LOWER[part.data], np.repeat(part.offsets, 3), np.uint8(END)).astype(np.uint32)
+def _mask(depth: int) -> np.uint64:
+    return np.uint64((1 << (8 * depth)) - 1)
+
+
+def _symbols(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of all rows, each row ended by ``END`` and begun after ``DEPTH`` of them, context << 8 | byte; and row offsets."""
+    padded = np.insert(LOWER[part.data], np.repeat(part.offsets, DEPTH), np.uint8(END)).astype(np.uint64)
     lengths = np.diff(part.offsets)
-    begin = part.offsets[:-1] + 3 * np.arange(1, len(part) + 1)
+    begin = part.offsets[:-1] + DEPTH * np.arange(1, len(part) + 1)
     offsets = np.concatenate([[0], np.cumsum(lengths + 1)])
     at = np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], lengths + 1)
-    return (padded[at - 3] << 16) | (padded[at - 2] << 8) | padded[at - 1], padded[at], offsets
+    padded = np.append(padded, np.uint64(END))
+    keys = np.zeros(len(at), np.uint64)
+    for back in range(DEPTH, -1, -1):
+        keys = (keys << np.uint64(8)) | padded[at - back]
+    return keys, offsets
 
 
 class _Counter:
@@ -76,42 +87,43 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 _COUNTS = "bucket int, keys binary, counts binary"
-WORDS, GRAMS = 0, 1 << 20  # buckets of n-grams are numbered behind those of words
+GRAMS = 1 << 20  # buckets of contexts are numbered behind those of words
+
 
+def _cut(bucket_hash: np.ndarray, buckets: int, *values: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """The buckets that some values fall into by hash, and the values of each as bytes."""
+    order = np.argsort(bucket_hash, kind="stable")
+    bounds = buckets_of(bucket_hash[order], buckets)
+    full = np.flatnonzero(np.diff(bounds))
+    held = [v[order] for v in values]
+    return full, [[v[bounds[j] : bounds[j + 1]].tobytes() for j in full] for v in held]
 
-def _ngrams(keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """From counts of (three-byte context, byte): those of every depth, as depth << 32 | context << 8 | byte."""
-    for depth in range(DEPTH + 1):
-        yield _summed((keys & np.uint64((1 << (8 * depth + 8)) - 1)) | np.uint64(depth << 32), counts)
+
+def _place(keys: np.ndarray) -> np.ndarray:
+    """The hash that deals (context, byte) keys out: of the last bytes of the context, so a subtree stays together."""
+    return mix((keys >> np.uint64(8)) & _mask(SPLIT))
 
 
 def _count(buckets: int):
-    """Word counts and n-gram counts of the training rows, by bucket."""
+    """Word counts and (context, byte) counts of the training rows, by bucket."""
 
-    def sent(base: int, bucket_hash: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(bucket_hash, kind="stable")
-        bounds = buckets_of(bucket_hash[order], buckets)
-        keys, counts = keys[order], counts[order]
-        full = np.flatnonzero(np.diff(bounds))
-        blobs = [pa.array([x[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for x in (keys, counts)]
-        return pa.RecordBatch.from_arrays([pa.array((full + base).astype(np.int32)), *blobs], ["bucket", "keys", "counts"])
+    def sent(base: int, buckets: int, bucket_hash: np.ndarray, c: _Counter) -> pa.RecordBatch:
+        full, blobs = _cut(bucket_hash, buckets, c.keys, c.counts)
+        return pa.RecordBatch.from_arrays([pa.array((full + base).astype(np.int32)), *(pa.array(x, pa.binary()) for x in blobs)], ["bucket", "keys", "counts"])
 
     def word_batch(c: _Counter) -> pa.RecordBatch:
         c.settle()
-        return sent(WORDS, c.keys, c.keys, c.counts)
+        return sent(0, buckets, c.keys, c)
 
     def gram_batch(c: _Counter) -> pa.RecordBatch:
         c.settle()
-        found = list(_ngrams(c.keys, c.counts))
-        keys, counts = (np.concatenate(x) for x in zip(*found, strict=True))
-        return sent(GRAMS, mix(keys >> np.uint64(8)), keys, counts)  # a context's bytes stay together
+        return sent(GRAMS, buckets * FINER, _place(c.keys), c)
 
     def run(batches):
         word, gram = _Counter(), _Counter()
         for part in slices(batches):
             word.add(words(part).hash)
-            context, byte, _ = _symbols(part)
-            gram.add((context << np.uint32(8)) | byte)
+            gram.add(_symbols(part)[0])
             if word.full:
                 yield word_batch(word)
                 word = _Counter()
@@ -121,7 +133,7 @@ def _count(buckets: int):
         yield word_batch(word)
         yield gram_batch(gram)
 
-    return run
+    return released(run)
 
 
 def _merge(batches):
@@ -146,20 +158,6 @@ def _frequent(least: float):
     return run
 
 
-def _nodes(least: float):
-    """N-gram counts of the contexts that occur so often, and of those of depth 0."""
-
-    def run(batches):
-        for batch in batches:
-            for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
-                _, index = np.unique(keys >> np.uint64(8), return_inverse=True)
-                held = (np.bincount(index, counts)[index] >= least) | (keys >> np.uint64(32) == 0)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[held].view(np.int64)), pa.array(counts[held])], ["key", "n"])
-
-    return run
-
-
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series after eight steps up, for x of one half or more."""
     shift = np.zeros_like(x)
@@ -174,87 +172,174 @@ def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
-class ContextTree:
-    """log10 probabilities of a byte after each node's context, and the deepest node of every three-byte context."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        """From (depth << 32 | context << 8 | byte) and their counts; a context's parent must be among them."""
-        names, index = np.unique(np.concatenate([keys >> np.uint64(8), np.zeros(1, np.uint64)]), return_inverse=True)
-        index = index[:-1]
-        n = len(names)
-        count = np.zeros((n, 256))
-        count[index, (keys & np.uint64(255)).astype(int)] = counts
-        depth, context = (names >> np.uint64(24)).astype(int), (names & np.uint64(0xFFFFFF)).astype(np.int64)
-        parent = np.zeros(n, int)
-        for d in range(1, DEPTH + 1):
-            own = depth == d
-            above = (np.uint64(d - 1) << np.uint64(24)) | (context[own] & ((1 << (8 * (d - 1))) - 1)).astype(np.uint64)
-            parent[own] = np.searchsorted(names, above)
-        table = np.zeros((n, 256))
+class Decisions:
+    """The binary decisions of contexts of one depth, by context << 8 | decision (a one before the bits already known), ascending: how often
+    each bit came, and after ``mixed_from`` the probability that the path of contexts down to here gives a one, and the weight that
+    it leaves to longer contexts."""
+
+    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray):
+        self.keys, self.zeros, self.ones = keys, zeros, ones
+        self.block = _log_kt(zeros, ones)
+        self.weighted = self.block
+        self.stop = np.ones(len(keys))
+        self.mixed, self.left = np.zeros(len(keys)), np.ones(len(keys))
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray, depth: int) -> Decisions:
+        """From (context << 8 | byte) of any greater depth and their counts."""
+        context, byte = (keys >> np.uint64(8)) & _mask(depth), keys & np.uint64(0xFF)
+        found = []
         for level in range(8):
-            # sums of all bytes that begin with the same level + 1 bits
-            sums = count.reshape(n, 2 << level, -1).sum(axis=2)
-            one = self._ones(sums[:, 0::2], sums[:, 1::2], depth, parent)
-            both = np.stack([np.log10(1 - one), np.log10(one)], axis=2).reshape(n, -1)
-            table += np.repeat(both, 256 // both.shape[1], axis=1)
-        self.table = table.astype(np.float32)
-        self.node = np.zeros(1 << 24, np.uint16 if n < 1 << 16 else np.uint32)
-        for d in range(1, DEPTH + 1):
-            own = np.flatnonzero(depth == d)
-            self.node.reshape(-1, 1 << (8 * d))[:, context[own]] = own
+            decision = np.uint64(1 << level) | (byte >> np.uint64(8 - level))
+            bit = ((byte >> np.uint64(7 - level)) & np.uint64(1)).astype(float)
+            found.append((context << np.uint64(8) | decision, counts * (1 - bit), counts * bit))
+        k, zeros, ones = (np.concatenate(x) for x in zip(*found, strict=True))
+        names, index = np.unique(k, return_inverse=True)
+        return cls(names, np.bincount(index, zeros, len(names)), np.bincount(index, ones, len(names)))
+
+    def weigh(self, below: np.ndarray) -> None:
+        """Mix the own estimate with what all longer contexts give together (logarithms of block probabilities)."""
+        self.weighted = np.logaddexp(self.block, below) - math.log(2)
+        self.stop = np.exp(self.block - self.weighted - math.log(2))
+
+    def passed_on(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """For contexts of ``depth`` bytes: the keys of those one byte shorter, and the sums of the weighted logarithms below them."""
+        shorter = ((self.keys >> np.uint64(8)) & _mask(depth - 1)) << np.uint64(8) | (self.keys & np.uint64(0xFF))
+        names, index = np.unique(shorter, return_inverse=True)
+        return names, np.bincount(index, self.weighted, len(names))
+
+    def mixed_from(self, above: Decisions | None, depth: int) -> None:
+        """Follow the path of contexts from the one a byte shorter, which occurs wherever this one does."""
+        estimate = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+        if above is None:
+            mixed, left = np.zeros(len(self.keys)), np.ones(len(self.keys))
+        else:
+            shorter = ((self.keys >> np.uint64(8)) & _mask(depth - 1)) << np.uint64(8) | (self.keys & np.uint64(0xFF))
+            at = np.searchsorted(above.keys, shorter)
+            mixed, left = above.mixed[at], above.left[at]
+        self.mixed, self.left = mixed + left * self.stop * estimate, left * (1 - self.stop)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are here, and where."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), int)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, at
+
+
+def _weighed(levels: list[Decisions], lowest: int) -> None:
+    """Weigh consecutive depths, given from the shallowest, ``lowest`` the depth of the last one, whose weights are known."""
+    for k in range(len(levels) - 2, -1, -1):
+        names, below = levels[k + 1].passed_on(lowest - (len(levels) - 2 - k))
+        levels[k].weigh(below[np.searchsorted(names, levels[k].keys)])
+
+
+class ContextTree:
+    """log10 probabilities of bytes after contexts, from the shorter contexts (``top``: depths 0 to SPLIT - 1) and a bucket's counts."""
+
+    def __init__(self, top: list[Decisions], keys: np.ndarray, counts: np.ndarray):
+        self.keys = keys
+        lower = self.subtrees(keys, counts)
+        above = top[-1] if top else None
+        for k, own in enumerate(lower):
+            own.mixed_from(above, SPLIT + k)
+            above = own
+        self.levels = [*top, *lower]
+        self.known = self._log10(keys)
+
+    @staticmethod
+    def subtrees(keys: np.ndarray, counts: np.ndarray) -> list[Decisions]:
+        """The decisions of the contexts of SPLIT to DEPTH bytes, weighed."""
+        levels = [Decisions.of(keys, counts.astype(float), d) for d in range(SPLIT, DEPTH + 1)]
+        _weighed(levels, DEPTH)
+        return levels
 
     @staticmethod
-    def _ones(zeros: np.ndarray, ones: np.ndarray, depth: np.ndarray, parent: np.ndarray) -> np.ndarray:
-        """Weighted probability of a one at each decision (column) where the path of contexts ends in each node (row)."""
-        other0, other1 = zeros.copy(), ones.copy()  # occurrences in contexts without a node
-        for d in range(1, DEPTH + 1):
-            own = depth == d
-            np.subtract.at(other0, parent[own], zeros[own])
-            np.subtract.at(other1, parent[own], ones[own])
-        stop = _log_kt(zeros, ones)
-        below = _log_kt(other0, other1)
-        weighted = stop.copy()
-        for d in range(DEPTH - 1, -1, -1):
-            own, children = depth == d, depth == d + 1
-            np.add.at(below, parent[children], weighted[children])
-            weighted[own] = np.logaddexp(stop[own], below[own]) - math.log(2)
-        share = np.exp(stop - weighted - math.log(2))
-        share[depth == DEPTH] = 1
-        estimate, other = (ones + 0.5) / (zeros + ones + 1), (other1 + 0.5) / (other0 + other1 + 1)
-        mixed, left = np.zeros_like(share), np.ones_like(share)
-        for d in range(DEPTH + 1):
-            own = depth == d
-            above = left[parent[own]] if d else 1.0
-            mixed[own] = (mixed[parent[own]] if d else 0.0) + above * share[own] * estimate[own]
-            left[own] = above * (1 - share[own])
-        return mixed + left * other
-
-    def log10(self, part: Slice) -> np.ndarray:
-        """log10 probability of each row's text with its end."""
-        context, byte, offsets = _symbols(part)
-        each = self.table.reshape(-1)[self.node[context].astype(np.int64) * 256 + byte]
-        total = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
-        return np.diff(total[offsets])
-
-
-_SCORED = "kind int, slice long, bucket int, a binary, b binary, c binary, d binary, e binary, f binary"
+    def top(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> list[Decisions]:
+        """The depths 0 to SPLIT - 1, from the decisions of the longest of these (ascending) and what their subtrees give."""
+        levels = [Decisions(keys, zeros, ones)]
+        levels[0].weigh(below)
+        for d in range(SPLIT - 2, -1, -1):
+            own = levels[0]
+            shorter = ((own.keys >> np.uint64(8)) & _mask(d)) << np.uint64(8) | (own.keys & np.uint64(0xFF))
+            names, index = np.unique(shorter, return_inverse=True)
+            levels.insert(0, Decisions(names, np.bincount(index, own.zeros, len(names)), np.bincount(index, own.ones, len(names))))
+            levels[0].weigh(own.passed_on(d + 1)[1])
+        above = None
+        for d, own in enumerate(levels):
+            own.mixed_from(above, d)
+            above = own
+        return levels
+
+    def _log10(self, keys: np.ndarray) -> np.ndarray:
+        context, byte = keys >> np.uint64(8), keys & np.uint64(0xFF)
+        total = np.zeros(len(keys))
+        for level in range(8):
+            decision = np.uint64(1 << level) | (byte >> np.uint64(8 - level))
+            one = np.full(len(keys), 0.5)
+            rest = np.arange(len(keys))  # those for which every shorter context is known
+            for depth, own in enumerate(self.levels):
+                hit, at = own.find((context[rest] & _mask(depth)) << np.uint64(8) | decision[rest])
+                rest, at = rest[hit], at[hit]
+                # what is left goes to a context that never occurred, whose estimate is even
+                one[rest] = own.mixed[at] + (own.left[at] * 0.5 if depth < DEPTH else 0)
+            bit = (byte >> np.uint64(7 - level)) & np.uint64(1)
+            total += np.log10(np.where(bit == 1, one, 1 - one))
+        return total
+
+    def log10(self, keys: np.ndarray) -> np.ndarray:
+        """For (context << 8 | byte) keys; those that were met in training are looked up."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        met = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        out = np.empty(len(keys))
+        out[met] = self.known[at[met]]
+        out[~met] = self._log10(keys[~met])
+        return out
+
+
+def _roots(batches):
+    """For each decision of the contexts just above the cut, what a bucket's subtrees hold and give."""
+    for batch in batches:
+        for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            roots = ContextTree.subtrees(np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64))[0]
+            names, below = roots.passed_on(SPLIT)
+            shorter = ((roots.keys >> np.uint64(8)) & _mask(SPLIT - 1)) << np.uint64(8) | (roots.keys & np.uint64(0xFF))
+            index = np.searchsorted(names, shorter)
+            sums = [np.bincount(index, x, len(names)) for x in (roots.zeros, roots.ones)]
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), *map(pa.array, sums), pa.array(below)], ["key", "zeros", "ones", "below"])
+
+
+_SCORED = "kind int, chunk long, slice long, bucket int, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
+#: Rows of ``_SCORED``: in a bucket its counts come first, in a chunk the answers.
+COUNTS, GRAM_ASK, WORD_ASK, GRAM_ANSWER, WORD_ANSWER, TEXT = range(6)
 
 
 def _scored(**columns) -> pa.RecordBatch:
-    types = {"kind": pa.int32(), "slice": pa.int64(), "bucket": pa.int32()}
+    types = {"kind": pa.int32(), "chunk": pa.int64(), "slice": pa.int64(), "bucket": pa.int32()}
     n = len(columns["kind"])
     names = [x.split()[0] for x in _SCORED.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * n), types.get(c, pa.binary())) for c in names], names)
 
 
 def _score(model, buckets: int):
-    """Kind 0, a row for each slice: ids, held out, tokens, known tokens, logarithms of the frequent words, score. Kind 1: the other
-    words of the slice by bucket: hashes and rows."""
+    """TEXT, a row for each slice: ids, held out, tokens, known tokens, logarithms of the frequent words, bytes, offsets. WORD_ASK: the other
+    words of the slice by bucket: hashes and rows. GRAM_ASK: the distinct keys of a chunk of slices by bucket."""
+
+    def asked(chunk: int, gram: _Counter) -> pa.RecordBatch:
+        gram.settle()
+        full, (blobs,) = _cut(_place(gram.keys), buckets * FINER, gram.keys)
+        return _scored(kind=[GRAM_ASK] * len(full), chunk=[chunk] * len(full), bucket=full + GRAMS, a=blobs)
 
     def run(batches):
-        tree, hot, hot_logs, end_log, end_known = model.value
-        number = TaskContext.get().partitionId() << 32
+        hot, hot_logs, end_log, end_known = model.value
+        number = chunk = TaskContext.get().partitionId() << 32
+        gram, size = _Counter(), 0
         for part in slices(batches):
+            if gram.full or (size and size + len(part.data) > CHUNK_BYTES):
+                yield asked(chunk, gram)
+                chunk, gram, size = chunk + 1, _Counter(), 0
+            gram.add(_symbols(part)[0])
+            size += len(part.data)
             w = words(part)
             at = np.minimum(np.searchsorted(hot, w.hash), max(len(hot) - 1, 0))
             frequent = hot[at] == w.hash if len(hot) else np.zeros(len(w.hash), bool)
@@ -263,25 +348,24 @@ def _score(model, buckets: int):
             ids = part.columns["doc_id"].cast(pa.int64())
             blob = lambda x: [np.ascontiguousarray(x).tobytes()]
             yield _scored(
-                kind=[0],
+                kind=[TEXT],
+                chunk=[chunk],
                 slice=[number],
                 a=[_ipc(ids)],
                 b=blob(part.columns["held_out"].to_numpy(zero_copy_only=False).astype(np.uint8)),
                 c=blob(np.diff(w.first).astype(np.int64) + 1),
                 d=blob(known.astype(np.int64)),
                 e=blob(logs.astype(np.float64)),
-                f=blob(tree.log10(part)),
+                f=blob(part.data),
+                g=blob(part.offsets.astype(np.int64)),
             )
-            rest = ~frequent
-            order = np.argsort(w.hash[rest], kind="stable")
-            h, row = w.hash[rest][order], w.row[rest][order].astype(np.uint32)
-            bounds = buckets_of(h, buckets)
-            full = np.flatnonzero(np.diff(bounds))
-            cut = lambda x: [x[bounds[j] : bounds[j + 1]].tobytes() for j in full]
-            yield _scored(kind=[1] * len(full), slice=[number] * len(full), bucket=full, a=cut(h), b=cut(row))
+            full, (hashes, rows) = _cut(w.hash[~frequent], buckets, w.hash[~frequent], w.row[~frequent].astype(np.uint32))
+            n = len(full)
+            yield _scored(kind=[WORD_ASK] * n, chunk=[chunk] * n, slice=[number] * n, bucket=full, a=hashes, b=rows)
             number += 1
+        yield asked(chunk, gram)
 
-    return run
+    return released(run)
 
 
 def _ipc(array: pa.Array) -> bytes:
@@ -293,46 +377,72 @@ def _ipc(array: pa.Array) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _look_up(batches):
-    """Per bucket the counts come first, then the words of one slice after another: known words and logarithms by row (kind 2)."""
-    bucket, keys, logs = None, np.zeros(0, np.uint64), np.zeros(0)
-    for batch in batches:
-        out = {"kind": [], "slice": [], "a": [], "b": [], "c": []}
-        for kind, number, b, a, second in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            if b != bucket:
-                bucket, keys, logs = b, np.zeros(0, np.uint64), np.zeros(0)
-            if kind < 0:
-                keys, logs = np.frombuffer(a, np.uint64), np.log10(np.frombuffer(second, np.int64) + 1.0)
-                continue
-            h, row = np.frombuffer(a, np.uint64), np.frombuffer(second, np.uint32)
-            at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-            known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-            rows, index = np.unique(row[known], return_inverse=True)
-            out["kind"].append(2)
-            out["slice"].append(number)
-            out["a"].append(rows.tobytes())
-            out["b"].append(np.bincount(index, minlength=len(rows)).astype(np.int64).tobytes())
-            out["c"].append(np.bincount(index, logs[at[known]], len(rows)).tobytes())
-        yield _scored(**out)
+def _look_up(top):
+    """Per bucket the counts come first, then what one chunk or slice after another asks. Words: those known, and logarithms by row;
+    (context, byte) keys: the keys and their logarithms."""
+
+    def run(batches):
+        bucket, keys, logs, tree = None, np.zeros(0, np.uint64), np.zeros(0), None
+        for batch in batches:
+            for kind, chunk, number, b, a, second in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if b != bucket:
+                    bucket, keys, logs, tree = b, np.zeros(0, np.uint64), np.zeros(0), None
+                if kind == COUNTS:
+                    keys, counts = np.frombuffer(a, np.uint64), np.frombuffer(second, np.int64)
+                    if b < GRAMS:
+                        logs = np.log10(counts + 1.0)
+                    else:
+                        tree = ContextTree(top.value, keys, counts)
+                elif kind == WORD_ASK:
+                    h, row = np.frombuffer(a, np.uint64), np.frombuffer(second, np.uint32)
+                    at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+                    known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+                    rows, index = np.unique(row[known], return_inverse=True)
+                    n_known, found = np.bincount(index, minlength=len(rows)).astype(np.int64), np.bincount(index, logs[at[known]], len(rows))
+                    yield _scored(kind=[WORD_ANSWER], chunk=[chunk], slice=[number], a=[rows.tobytes()], b=[n_known.tobytes()], c=[found.tobytes()])
+                else:
+                    tree = tree or ContextTree(top.value, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                    answer = tree.log10(np.frombuffer(a, np.uint64)).astype(np.float32)
+                    yield _scored(kind=[GRAM_ANSWER], chunk=[chunk], a=[a], b=[answer.tobytes()])
+
+    return released(run)
 
 
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double"
 
 
 def _gathered(batches):
-    """The sums of a slice's words added to its rows."""
-    for rows in grouped(batches):
-        main = next(r for r in rows if r[1] == 0)
-        ids = pa.ipc.open_stream(main[2]).read_next_batch().column(0)
-        known, logs = np.frombuffer(main[5], np.int64).copy(), np.frombuffer(main[6], np.float64).copy()
-        for r in rows:
-            if r[1] == 2:
-                at = np.frombuffer(r[2], np.uint32)
-                known[at] += np.frombuffer(r[3], np.int64)
-                logs[at] += np.frombuffer(r[4], np.float64)
-        held = pa.array(np.frombuffer(main[3], np.uint8).astype(bool))
-        columns = [ids, held, pa.array(np.frombuffer(main[4], np.int64)), pa.array(known), pa.array(logs), pa.array(np.frombuffer(main[7], np.float64))]
-        yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _RESULT.split(", ")])
+    """The answers to a chunk come first, then its slices: the sums over the words and bytes of each row."""
+    now, keys, logs, of_words = None, [], [], {}
+    for batch in batches:
+        for chunk, kind, number, a, b, c, d, e, f, g in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True):
+            if chunk != now:
+                now, keys, logs, of_words = chunk, [], [], {}
+            if kind == GRAM_ANSWER:
+                keys.append(np.frombuffer(a, np.uint64))
+                logs.append(np.frombuffer(b, np.float32))
+                continue
+            if kind == WORD_ANSWER:
+                of_words.setdefault(number, []).append((a, b, c))
+                continue
+            if isinstance(keys, list):  # all answers are here
+                keys, logs = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.float32), *logs])
+                order = np.argsort(keys, kind="stable")
+                keys, logs = keys[order], logs[order].astype(np.float64)
+            ids = pa.ipc.open_stream(a).read_next_batch().column(0)
+            known, base = np.frombuffer(d, np.int64).copy(), np.frombuffer(e, np.float64).copy()
+            for rows, n, found in of_words.pop(number, []):
+                at = np.frombuffer(rows, np.uint32)
+                known[at] += np.frombuffer(n, np.int64)
+                base[at] += np.frombuffer(found, np.float64)
+            offsets = np.frombuffer(g, np.int64)
+            asked, bounds = _symbols(Slice({}, np.frombuffer(f, np.uint8), offsets, np.zeros(len(offsets) - 1, bool)))
+            names, index = np.unique(asked, return_inverse=True)
+            total = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(keys, names)][index])])
+            score = total[bounds[1:]] - total[bounds[:-1]]
+            held = pa.array(np.frombuffer(b, np.uint8).astype(bool))
+            columns = [ids, held, pa.array(np.frombuffer(c, np.int64)), pa.array(known), pa.array(base), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _RESULT.split(", ")])
 
 
 def scored(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -353,27 +463,32 @@ def _scores(docs: DataFrame, held_out: Column, scratch: Scratch) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, F.coalesce(held_out, F.lit(False)).alias("held_out"))
     training = docs.where("not held_out")
     sent = training.select("text").mapInArrow(_count(buckets), _COUNTS)
-    merged = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, f"{_COUNTS}, n long, total long")
-    counts = scratch.keep(merged, "counts")
+    dealt = sent.repartition(buckets * FINER, "bucket").sortWithinPartitions("bucket")
+    counts = scratch.keep(dealt.mapInArrow(released(_merge), f"{_COUNTS}, n long, total long"), "counts")
     word, gram = counts.where(F.col("bucket") < GRAMS), counts.where(F.col("bucket") >= GRAMS)
     ends = training.count()
     sums = word.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
     distinct, tokens = sums[0] + (ends > 0), sums[1] + ends
-    symbols = gram.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0] / (DEPTH + 1)
     hot = word.select("keys", "counts").mapInArrow(_frequent(tokens / HOT_SHARE), "key long, n long").toArrow()
-    nodes = gram.select("keys", "counts").mapInArrow(_nodes(symbols / NODE_SHARE), "key long, n long").toArrow()
-    tree = ContextTree(nodes["key"].to_numpy().view(np.uint64), nodes["n"].to_numpy())
     keys = hot["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     logs = np.log10(hot["n"].to_numpy()[order] + 1.0)
-    model = spark.sparkContext.broadcast((tree, keys[order], logs, math.log10(ends + 1), int(ends > 0)))
+    model = spark.sparkContext.broadcast((keys[order], logs, math.log10(ends + 1), int(ends > 0)))
+
+    roots = gram.select("keys", "counts").mapInArrow(released(_roots), "key long, zeros double, ones double, below double")
+    roots = roots.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).orderBy("key").toArrow()
+    # at most 2**(8 * (SPLIT - 1)) contexts with 255 decisions each, however many texts
+    top = spark.sparkContext.broadcast(ContextTree.top(roots["key"].to_numpy().view(np.uint64), *(roots[c].to_numpy() for c in ("zeros", "ones", "below"))))
 
     found = scratch.keep(docs.mapInArrow(_score(model, buckets), _SCORED), "scored")
-    lists = word.select(F.lit(-1).alias("kind"), F.lit(0).cast("long").alias("slice"), "bucket", F.col("keys").alias("a"), F.col("counts").alias("b"))
-    asked = lists.union(found.where("kind = 1").select("kind", "slice", "bucket", "a", "b"))
-    answered = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_look_up, _SCORED)
-    parts = found.where("kind = 0").union(answered).select("slice", "kind", "a", "b", "c", "d", "e", "f")
-    rows = parts.repartition(buckets, "slice").sortWithinPartitions("slice", "kind").mapInArrow(_gathered, _RESULT)
+    none = F.lit(None).cast("long")
+    lists = counts.select(F.lit(COUNTS).alias("kind"), none.alias("chunk"), none.alias("slice"), "bucket", F.col("keys").alias("a"), F.col("counts").alias("b"))
+    asked = lists.union(found.where(F.col("kind") != TEXT).select("kind", "chunk", "slice", "bucket", "a", "b"))
+    asked = asked.repartition(buckets * FINER, "bucket").sortWithinPartitions("bucket", "kind")
+    answered = scratch.keep(asked.mapInArrow(_look_up(top), _SCORED), "answers")
+    texts = found.where(F.col("kind") == TEXT)
+    parts = texts.union(answered).select("chunk", "kind", "slice", "a", "b", "c", "d", "e", "f", "g")
+    rows = parts.repartition(buckets, "chunk").sortWithinPartitions("chunk", "kind", "slice").mapInArrow(released(_gathered), _RESULT)
     result = rows.select(
         "doc_id",
         "held_out",

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -188,19 +189,21 @@ def test_base_scores_equal_brute_force(spark, awkward, texts, monkeypatch):
 
 def sequential_weighting(train: bytes, text: bytes) -> float:
     """log10 probability of ``text`` after ``train``, with a tree for each decision updated bit by bit and then frozen."""
+    deep = ctw.DEPTH
     counts: dict = {}
-    for i in range(3, len(train)):
+    for i in range(deep, len(train)):
         for level in range(8):
             node, bit = train[i] >> (8 - level) | 1 << level, train[i] >> (7 - level) & 1
-            for depth in range(4):
+            for depth in range(deep + 1):
                 counts.setdefault((node, train[i - depth : i]), [0, 0])[bit] += 1
 
     def kt(a, b):
         return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
 
+    @cache
     def weighted(node, context):
         own = kt(*counts[node, context])
-        if len(context) == 3:
+        if len(context) == deep:
             return own
         below = sum(weighted(node, bytes([c]) + context) for c in range(256) if (node, bytes([c]) + context) in counts)
         return np.logaddexp(own, below) - math.log(2)
@@ -210,35 +213,61 @@ def sequential_weighting(train: bytes, text: bytes) -> float:
         if (node, context) not in counts:
             return 0.5
         a, b = counts[node, context]
-        if depth == 3:
+        if depth == deep:
             return (b + 0.5) / (a + b + 1)
         share = math.exp(kt(a, b) - weighted(node, context) - math.log(2))
         return share * (b + 0.5) / (a + b + 1) + (1 - share) * predict(node, past, depth + 1)
 
     total = 0.0
-    for i in range(3, len(text)):
+    for i in range(deep, len(text)):
         for level in range(8):
             node, bit = text[i] >> (8 - level) | 1 << level, text[i] >> (7 - level) & 1
-            one = predict(node, text[i - 3 : i], 0)
+            one = predict(node, text[i - deep : i], 0)
             total += math.log10(one if bit else 1 - one)
     return total
 
 
+def tree_of(keys, counts):
+    """A tree whose subtrees are all in one bucket."""
+    roots = next(ctw._roots(iter([pa.RecordBatch.from_arrays([pa.array([keys.tobytes()]), pa.array([counts.tobytes()])], ["keys", "counts"])])))
+    top = ContextTree.top(roots.column(0).to_numpy().view(np.uint64), *(roots.column(i).to_numpy() for i in (1, 2, 3)))
+    return ContextTree(top, keys, counts)
+
+
 def test_context_tree_equals_sequential_weighting():
     train = "the cat and the hat. the bat sat on the mat, and that cat ate"
-    counter = ctw._Counter()
-    context, byte, _ = ctw._symbols(part_of(train))
-    counter.add((context << np.uint32(8)) | byte)
-    counter.settle()
-    found = [np.concatenate(x) for x in zip(*ctw._ngrams(counter.keys, counter.counts), strict=True)]
-    tree = ContextTree(*found)
-    pad = b"\xff\xff\xff"
-    seen = [t for t in ("the cat", "that hat", "cat and the", "a")]
-    got = tree.log10(part_of(*seen))
-    # the sequential form has a node for every context met, and one without counts for the rest, as the tree has here
+    keys, _ = ctw._symbols(part_of(train))
+    tree = tree_of(*np.unique(keys, return_counts=True))
+    pad = b"\xff" * ctw.DEPTH
+    seen = ["the cat", "that hat", "cat and the", "a", "", "Zebra é", train]
+    asked, offsets = ctw._symbols(part_of(*seen))
+    got = np.add.reduceat(tree.log10(asked), offsets[:-1])
     for t, score in zip(seen, got, strict=True):
-        assert score == pytest.approx(sequential_weighting(pad + train.encode() + b"\xff", pad + t.encode() + b"\xff"), abs=1e-4)
-    assert np.allclose((10.0 ** tree.table.astype(float)).sum(axis=1), 1, atol=1e-4)
+        assert score == pytest.approx(sequential_weighting(pad + train.encode() + b"\xff", pad + t.lower().encode() + b"\xff"), rel=1e-9)
+    every = (asked[5] & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64)
+    assert (10.0 ** tree.log10(every)).sum() == pytest.approx(1)
+
+
+def test_scores_equal_sequential_weighting(spark, monkeypatch):
+    """Several texts, tasks, chunks and buckets: as one tree over the training texts, which begin afresh each."""
+    rng = random.Random(12)
+    rows = [(i, text_of(rng, 1, 5)) for i in range(12)] + [(20, ""), (21, None), (22, "É new 漢字"), (3, "again")]
+    found = scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 4 == 3).collect()
+    pad = b"\xff" * ctw.DEPTH
+    train = b"".join(pad + (t or "").lower().encode() for i, t in rows if i % 4 != 3)
+    keys = np.concatenate([ctw._symbols(part_of(t))[0] for i, t in rows if i % 4 != 3])
+    tree = tree_of(*np.unique(keys, return_counts=True))
+    want = sorted((i, round(float(tree.log10(ctw._symbols(part_of(t))[0]).sum()), 3)) for i, t in rows)
+    assert sorted((r.doc_id, round(r.score, 3)) for r in found) == want and train
+
+
+def test_no_context_is_left_out():
+    rng = np.random.default_rng(1)
+    part = part_of(*(bytes(rng.integers(97, 123, 400).astype(np.uint8)).decode() for _ in range(20)))
+    keys, counts = np.unique(ctw._symbols(part)[0], return_counts=True)
+    for k, own in enumerate(ContextTree.subtrees(keys, counts)):
+        met = np.unique((keys >> np.uint64(8)) & ctw._mask(ctw.SPLIT + k))
+        assert (np.unique(own.keys >> np.uint64(8)) == met).all()
 
 
 def test_known_texts_cost_less(spark):
