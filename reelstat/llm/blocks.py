@@ -9,16 +9,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelstat.llm.storage import Scratch
+
 BLOCK_ROWS = 512
 BLOCK_SIZE = 1 << 20
 
 
-def units(members: DataFrame, size_class: Column, payload: str) -> DataFrame:
+def units(members: DataFrame, size_class: Column, payload: str, into: Scratch) -> DataFrame:
     """Every member (family, node, n, payload) once for each unit of work it belongs to: (unit, node, payload).
 
     Only members of equal or adjacent size classes can match. A family of at most ``BLOCK_ROWS`` rows, with at most ``BLOCK_SIZE``
     as sum of n, is one unit. A larger one is cut by size class, a class into row blocks by hash, and each pair of row
-    blocks of equal or adjacent classes is a unit; so a unit is bounded, and every possible pair shares one.
+    blocks of equal or adjacent classes is a unit; so a unit is bounded, and every possible pair shares one. The cuts, a row for each family, are
+    kept in ``into``: their size is known then, and where they are few the members and their payload are not shuffled to meet them.
     """
     members = members.withColumn("c", size_class.cast("int"))
 
@@ -30,6 +33,7 @@ def units(members: DataFrame, size_class: Column, payload: str) -> DataFrame:
         need(F.sum("rows"), F.sum("size")).alias("whole"),
         F.map_from_entries(F.collect_list(F.struct("c", need(F.col("rows"), F.col("size")).alias("m")))).alias("m"),
     )
+    cuts = into.keep(cuts, "cuts")
     own = F.coalesce(F.col("m")[F.col("c")], F.lit(1))
     at = F.pmod(F.xxhash64("node"), own).cast("int")
 

@@ -250,7 +250,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(
 def _classes(docs: DataFrame, k: int, threshold: Fraction, scratch: Scratch) -> DataFrame:
     buckets = repartition_count(docs)
     found = scratch.keep(docs.mapInArrow(_scan(k, threshold, buckets), _FOUND), "incidence")
-    sized = found.where("kind = 0").select("doc_id", "n", "d1", "d2")
+    sized = scratch.keep(found.where("kind = 0").select("doc_id", "n", "d1", "d2"), "sizes")
     # equal sets are one node, named by the first half of the digest
     met = (
         found.where("kind = 1")
@@ -261,6 +261,7 @@ def _classes(docs: DataFrame, k: int, threshold: Fraction, scratch: Scratch) ->
     )
     local = found.where("kind = 2").select(F.col("d1").alias("a"), F.col("d2").alias("b"))
     family = components(met.union(local), scratch).withColumnRenamed("component", "family")
+    scratch.discard("incidence")
 
     # one document of each set in a family lends its text; equal digests in full make equal sets
     lender = sized.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("doc_id"))
@@ -272,8 +273,9 @@ def _classes(docs: DataFrame, k: int, threshold: Fraction, scratch: Scratch) ->
     # rows of one id may have different texts: the digests name the one that is lent
     named_set = ["doc_id", "d1", "d2"]
     members = scratch.keep(sets.dropDuplicates(named_set).join(lender, named_set).drop("d1", "d2"), "members")
+    scratch.discard("lender")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(1.001 * math.log(1 / threshold)))
-    work = units(members, size_class, "grams").repartition(buckets, "unit").sortWithinPartitions("unit")
+    work = units(members, size_class, "grams", scratch).repartition(buckets, "unit").sortWithinPartitions("unit")
     verified = work.mapInArrow(_multiply(threshold), "a long, b long")
     component = components(verified, scratch).withColumnRenamed("component", "class")
 

@@ -321,7 +321,7 @@ def line_classes(docs: DataFrame, scratch: Scratch, least: int = 16) -> tuple[Da
     held = bitmap(family, "node", hashed=True)
     lines = docs.select("text").mapInArrow(_texts(least, held), "node long, n int, line string").dropDuplicates(["node"])
     members = scratch.keep(lines.join(family, "node"), "members")
-    work = units(members, F.floor(F.col("n") / (MOST + 1)), "line").repartition(buckets, "unit").sortWithinPartitions("unit")
+    work = units(members, F.floor(F.col("n") / (MOST + 1)), "line", scratch).repartition(buckets, "unit").sortWithinPartitions("unit")
     links = work.mapInArrow(released(_verified), "a long, b long")
     return numbered, components(links, scratch).withColumnRenamed("component", "class")
 

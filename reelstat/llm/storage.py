@@ -32,6 +32,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
+        self.names: dict[str, str] = {}
         bounded_batches(spark)
 
     def __enter__(self) -> Scratch:
@@ -43,12 +44,22 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = shared_path(self.spark, name)
         self.paths.append(path)
+        self.names[name] = path
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def discard(self, name: str) -> None:
+        """Delete the table last kept under this name."""
+        path = self.names.pop(name)
+        self.paths.remove(path)
+        self._delete([path])
+
     def drop(self, keep: int = 0) -> None:
         """Delete all tables, but the newest ``keep``."""
         gone, self.paths = self.paths[: len(self.paths) - keep], self.paths[len(self.paths) - keep :]
+        self._delete(gone)
+
+    def _delete(self, gone: list[str]) -> None:
         for name in gone:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
