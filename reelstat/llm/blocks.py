@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.storage import Scratch
 
-BLOCK_ROWS = 512
+BLOCK_ROWS = 1024
 BLOCK_SIZE = 1 << 20
 
 

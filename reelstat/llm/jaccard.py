@@ -185,6 +185,8 @@ def _links(nodes: np.ndarray, sets: list[np.ndarray], threshold: Fraction) -> tu
     """The product of some rows with themselves: a spanning forest of the pairs that reach the threshold."""
     size = np.array([len(s) for s in sets])
     up, down = threshold.numerator, threshold.denominator
+    if 2 * (up + down) * int(size.max()) < 1 << 31:
+        size = size.astype(np.int32)  # half the memory of the matrices below
     row = np.repeat(np.arange(len(sets)), size)
     gram = np.concatenate(sets)
     order = np.argsort(gram, kind="stable")
@@ -195,7 +197,7 @@ def _links(nodes: np.ndarray, sets: list[np.ndarray], threshold: Fraction) -> tu
     single = np.bincount(row[~shared[column]], minlength=len(sets))
     keep = shared[column]
     row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
-    left = size - single  # columns still to come
+    left = size - single.astype(size.dtype)  # columns still to come
     total = size[:, None] + size[None, :]
     # I / (x + y - I) >= up / down  <=>  I * (up + down) >= up * (x + y)
     alive = np.minimum(left[:, None], left[None, :]) * (up + down) >= up * total
@@ -208,7 +210,7 @@ def _links(nodes: np.ndarray, sets: list[np.ndarray], threshold: Fraction) -> tu
         dense = np.zeros((len(rows), int(column[end - 1] - column[begin]) + 1), np.float32)
         dense[local, column[begin:end] - column[begin]] = 1
         count[np.ix_(rows, rows)] += dense @ dense.T
-        left = left - np.bincount(row[begin:end], minlength=len(sets))
+        left = left - np.bincount(row[begin:end], minlength=len(sets)).astype(left.dtype)
         alive &= (count + np.minimum(left[:, None], left[None, :])) * (up + down) >= up * total
         begin = end
     label = np.arange(len(sets))
