@@ -18,7 +18,6 @@ slice. No word shuffled holds more than that share, so none is hot.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -465,6 +464,7 @@ def _scores(docs: DataFrame, held_out: Column, scratch: Scratch) -> DataFrame:
     sent = training.select("text").mapInArrow(_count(buckets), _COUNTS)
     dealt = sent.repartition(buckets * FINER, "bucket").sortWithinPartitions("bucket")
     counts = scratch.keep(dealt.mapInArrow(released(_merge), f"{_COUNTS}, n long, total long"), "counts")
+    scratch.clean()
     word, gram = counts.where(F.col("bucket") < GRAMS), counts.where(F.col("bucket") >= GRAMS)
     ends = training.count()
     sums = word.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
@@ -486,9 +486,12 @@ def _scores(docs: DataFrame, held_out: Column, scratch: Scratch) -> DataFrame:
     asked = lists.union(found.where(F.col("kind") != TEXT).select("kind", "chunk", "slice", "bucket", "a", "b"))
     asked = asked.repartition(buckets * FINER, "bucket").sortWithinPartitions("bucket", "kind")
     answered = scratch.keep(asked.mapInArrow(_look_up(top), _SCORED), "answers")
+    scratch.clean()
     texts = found.where(F.col("kind") == TEXT)
+    chunks = texts.select("chunk").distinct().count()
     parts = texts.union(answered).select("chunk", "kind", "slice", "a", "b", "c", "d", "e", "f", "g")
-    rows = parts.repartition(buckets, "chunk").sortWithinPartitions("chunk", "kind", "slice").mapInArrow(released(_gathered), _RESULT)
+    # a task gathers about one chunk, however many there are
+    rows = parts.repartition(max(buckets, 2 * chunks), "chunk").sortWithinPartitions("chunk", "kind", "slice").mapInArrow(released(_gathered), _RESULT)
     result = rows.select(
         "doc_id",
         "held_out",

@@ -64,10 +64,10 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         if gone:
-            self._unreferenced()
+            self.clean()
 
-    def _unreferenced(self) -> None:
-        """Let the driver find that the shuffles behind the deleted tables are of no more use: their files go from the executors' disks only
+    def clean(self) -> None:
+        """Let the driver find that the shuffles of finished steps are of no more use: their files go from the executors' disks only
         when the driver's memory is cleaned, which a large heap may not need for a long time."""
         gc.collect()
         self.spark._jvm.System.gc()
