@@ -46,7 +46,10 @@ def units(members: DataFrame, size_class: Column, payload: str, into: Scratch) -
         )
 
     c = F.col("c")
-    inner = F.transform(blocks_of(c), lambda j: unit(c, c, F.least(at, j), F.greatest(at, j)))
+    # a block meets itself in every unit it is part of, and needs one of its own only if there is no other
+    alone = (own == 1) & F.col("m")[c + 1].isNull() & F.col("m")[c - 1].isNull()
+    others = F.filter(blocks_of(c), lambda j: (j != at) | alone)
+    inner = F.transform(others, lambda j: unit(c, c, F.least(at, j), F.greatest(at, j)))
     above = F.transform(blocks_of(c + 1), lambda j: unit(c, c + 1, at, j))
     below = F.transform(blocks_of(c - 1), lambda j: unit(c - 1, c, j, at))
     named = F.when(F.col("whole") <= 1, F.array(F.col("family").cast("string"))).otherwise(F.concat(inner, above, below))
