@@ -485,7 +485,8 @@ def _scores(docs: DataFrame, held_out: Column, scratch: Scratch) -> DataFrame:
     lists = counts.select(F.lit(COUNTS).alias("kind"), none.alias("chunk"), none.alias("slice"), "bucket", F.col("keys").alias("a"), F.col("counts").alias("b"))
     asked = lists.union(found.where(F.col("kind") != TEXT).select("kind", "chunk", "slice", "bucket", "a", "b"))
     asked = asked.repartition(buckets * FINER, "bucket").sortWithinPartitions("bucket", "kind")
-    answered = asked.mapInArrow(_look_up(top), _SCORED)  # read once: it goes straight to the chunks
+    answered = scratch.keep(asked.mapInArrow(_look_up(top), _SCORED), "answers")
+    scratch.clean()
     texts = found.where(F.col("kind") == TEXT)
     chunks = texts.select("chunk").distinct().count()
     parts = texts.union(answered).select("chunk", "kind", "slice", "a", "b", "c", "d", "e", "f", "g")
