@@ -854,7 +854,10 @@ FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d JOIN events e
 ON CAST(e.ts AS DATE) BETWEEN d.day - {days - 1} AND d.day GROUP BY d.day"""
     for days in (1, 7, 28)
 )
-ORACLES["chain_first_run"], ORACLES["chain_second_run"] = _chain(False), _chain(True)
+# the summaries, and the rows at the end of the chain's longest path
+ORACLES["chain_first_run"] = f"""
+SELECT * FROM ({_chain(False)}) UNION ALL BY NAME SELECT * FROM ({ORACLES["video_statistics_normalized"]})"""
+ORACLES["chain_second_run"] = _chain(True)
 ORACLES["train_classifier"] = f"""
 SELECT ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 1000 < 200 AS held_out, CAST(quality AS BIGINT) AS label, count(*) AS rows,
   {r("avg(len(string_split(text, ' ')))", "mean_words")}, true AS fitted FROM documents JOIN labels USING (doc_id) GROUP BY ALL"""

@@ -1202,8 +1202,8 @@ def _marked(table: SnapshotTable, values: dict) -> None:
         table.replace(table.read().withColumns({c: F.lit(v).cast(kinds[c]) for c, v in values.items()}))
 
 
-def _chain(spark, sf, second: bool) -> DataFrame:
-    """Rows, total and rows from before of every table and of what readers see of every serving copy, after one or two runs."""
+def _chain(spark, sf, second: bool) -> chain.Chain:
+    """The chain after one or two runs."""
     built = chain.Chain(spark, shared_path(spark, "chain"), buckets=8)
     first = fx.SPLIT if second else fx.AS_OF
     built.run(_inputs(spark, sf, first=second), first)
@@ -1213,6 +1213,11 @@ def _chain(spark, sf, second: bool) -> DataFrame:
             _marked(built.table(name), values)
         built.run(_inputs(spark, sf), fx.AS_OF)
         built.sync(_inputs(spark, sf), fx.AS_OF)
+    return built
+
+
+def _summaries(built: chain.Chain) -> DataFrame:
+    """Rows, total and rows from before of every table and of what readers see of every serving copy."""
 
     def summary(name: str, df: DataFrame, total: str = "0", old: str = "false") -> DataFrame:
         counted = {"rows": "count(*)", "total": f"cast(coalesce({total}, 0) as bigint)", "old": f"count_if({old})"}
@@ -1228,11 +1233,13 @@ def _chain(spark, sf, second: bool) -> DataFrame:
 
 @query
 def chain_first_run(spark, sf):
-    """Every table and serving view of the chain after a run over all events."""
-    return _chain(spark, sf, second=False)
+    """Every table and serving view of the chain after a run over all events, and the rows at the end of its longest path: the
+    normalized statistics."""
+    built = _chain(spark, sf, second=False)
+    return _summaries(built).unionByName(built.read("video_statistics_normalized"), allowMissingColumns=True)
 
 
 @query
 def chain_second_run(spark, sf):
     """The same after a run over the first half of the events and one over all, with the rows of the first run marked in between."""
-    return _chain(spark, sf, second=True)
+    return _summaries(_chain(spark, sf, second=True))

@@ -364,3 +364,23 @@ def test_batches_of_merges_are_not_left_behind(spark, tmp_path):
     table.replace(frame(spark, "k string, v int", ("a", 1)))
     table.merge(frame(spark, "k string, v int", ("a", 2)), ["k"], set="*", insert="*")
     assert set(folder.iterdir()) == before
+
+
+def test_the_first_run_query_returns_rows_beside_its_summaries(spark, monkeypatch):
+    """The normalized statistics come with their values, not as a count alone."""
+    from checks import queries
+
+    events, documents, shards = happenings()
+    raw_events = frame(spark, RAW, *events)
+    scores = frame(spark, "video_id string, is_nsfw boolean, nsfw_ec string, nsfw_gore string, probability double", *[(f"v{k}", False, "x", "g", 0.9) for k in range(300)])
+    people = frame(spark, "user_id string, last_updated_date long, geo struct<region:string>", *shards).withColumn("occurrence_date", F.col("last_updated_date"))
+    approved = frame(spark, "video_id string, post_id string, canister_id string, user_id string, is_approved boolean", ("a", "p", "c", "u", True))
+    inputs = chain.Inputs(raw_events, scores, frame(spark, DOCUMENTS, *documents), people, approved)
+    monkeypatch.setattr(queries, "_inputs", lambda *_, **__: inputs)
+    found = rows(queries.QUERIES["chain_first_run"](spark, ""))
+    pairs = relation.user_video_relation(raw_events)
+    videos = metrics.video_statistics(pairs, metrics.user_video_metrics(pairs))
+    want = queries.comparable(metrics.video_statistics_normalized(videos, metrics.global_video_stats(videos)))
+    own = [{c: r[c] for c in want.columns} for r in found if r["video_id"] is not None]
+    assert sorted(own, key=lambda r: r["video_id"]) == rows(want, "video_id") and len(own) == 300
+    assert {r["name"]: r["rows"] for r in found}["video_statistics_normalized"] == 300
