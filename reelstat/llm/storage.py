@@ -8,21 +8,11 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.session import materialise, shared_path
+from reelstat.session import bounded_batches, materialise, shared_path
 
 __all__ = ["Scratch", "bitmap", "bounded_batches", "fresh", "in_bitmap", "materialise", "repartition_count", "shared_path"]
 
 BITMAP_BITS = 23
-#: Bytes of an Arrow batch where the session names no bound of its own: texts of any number of rows would come at once.
-BATCH_BYTES = 4 << 20
-_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound the batches that tasks exchange with Python, unless the session does so already. It stays set: results are often read later."""
-    if spark.conf.get(_BATCH_SETTING, None) is None:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
-
 
 class Scratch:
     """Tables written to the shared folder for the time of one computation, and deleted at its end, also if it fails.

@@ -13,6 +13,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.operators.ordering import top_k
+from reelstat.session import bounded_batches
+
+
+def _cosines(batch: pd.Series, queries: Sequence[np.ndarray]) -> np.ndarray:
+    """A row for each query: its cosine to each vector of the batch, NaN for vectors of another length and zero vectors."""
+    lengths = np.array([-1 if v is None else len(v) for v in batch], int)
+    out = np.full((len(queries), len(batch)), np.nan)
+    for length in {len(q) for q in queries}:
+        rows = np.flatnonzero(lengths == length)
+        if not len(rows):
+            continue
+        m = np.stack([np.asarray(batch.iloc[i], dtype="float64") for i in rows])
+        norms = np.linalg.norm(m, axis=1)
+        for own, q in zip(out, queries, strict=True):
+            if len(q) == length:
+                product = norms * float(np.linalg.norm(q))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    own[rows] = np.where(product > 0, m @ q / product, np.nan)
+    return out
 
 
 def cosine_to(vec: Column, query: Sequence[float]) -> Column:
@@ -21,19 +40,11 @@ def cosine_to(vec: Column, query: Sequence[float]) -> Column:
     Vectors of another length and zero vectors give NULL.
     """
     q = np.asarray(query, dtype="float64")
-    q_norm = float(np.linalg.norm(q))
 
     @F.pandas_udf("double")
     def similarity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            out = np.full(len(batch), np.nan)
-            rows = [i for i, v in enumerate(batch) if v is not None and len(v) == len(q)]
-            if rows:
-                m = np.stack([np.asarray(batch.iloc[i], dtype="float64") for i in rows])
-                norms = np.linalg.norm(m, axis=1) * q_norm
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    out[rows] = np.where(norms > 0, m @ q / norms, np.nan)
-            yield pd.Series(out)
+            yield pd.Series(_cosines(batch, [q])[0])
 
     scored = similarity(vec)
     return F.when(~F.isnan(scored), scored)
@@ -43,6 +54,7 @@ def vector_search(
     index: DataFrame, query: Sequence[float], k: int, vec: str = "embedding", tie: Sequence[str] = ()
 ) -> DataFrame:
     """The ``k`` rows most similar to ``query``; each task keeps its own best ``k`` before they are merged."""
+    bounded_batches(index.sparkSession)
     scored = index.withColumn("similarity", cosine_to(F.col(vec), query)).where(F.col("similarity").isNotNull())
     return top_k(scored.drop(vec), "similarity", k, tie=tie)
 
@@ -86,13 +98,22 @@ def _write_cells(assigned: DataFrame, path: str, centers: list[list[float]], vec
 
 
 def assign_cells(index: DataFrame, path: str, centers: Sequence[Sequence[float]], vec: str = "embedding") -> CellIndex:
-    """Write vectors partitioned by the given centre of largest cosine (ties: the first); zero and odd vectors lie in cell -1."""
-    scores = [cosine_to(F.col(vec), c) for c in centers]
-    scored = index.withColumns({f"_cosine_{i}": s for i, s in enumerate(scores)})
-    names = [f"_cosine_{i}" for i in range(len(centers))]
-    top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
-    best = F.coalesce(*[F.when(F.col(n) == top, i) for i, n in enumerate(names)], F.lit(-1))
-    return _write_cells(scored.withColumn("cell", best).drop(*names), path, [list(map(float, c)) for c in centers], vec)
+    """Write vectors partitioned by the given centre of largest cosine (ties: the first); zero and odd vectors lie in cell -1.
+
+    All centres are compared in one function, so a task keeps one Python worker, however many centres there are.
+    """
+    queries = [np.asarray(c, dtype="float64") for c in centers]
+
+    @F.pandas_udf("int")
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            scores = _cosines(batch, queries)
+            none = np.isnan(scores)
+            best = np.where(none, -np.inf, scores).argmax(axis=0)
+            yield pd.Series(np.where(none.all(axis=0), -1, best).astype(np.int32))
+
+    bounded_batches(index.sparkSession)
+    return _write_cells(index.withColumn("cell", nearest(vec)), path, [list(map(float, c)) for c in centers], vec)
 
 
 def probe_cells(

@@ -257,6 +257,27 @@ def test_probing_all_cells_is_exact_and_few_cells_find_most(spark, vector_table,
     assert "PartitionFilters: [cell" in probed._jdf.queryExecution().executedPlan().toString().replace("isnotnull(", "")
 
 
+def test_cells_of_given_centres_come_from_one_python_function(spark, vector_table, tmp_path, monkeypatch):
+    _, values = vector_table
+    odd = [(900, None), (901, [0.0] * 6), (902, [1.0]), (903, [float("nan")] + [1.0] * 5)]
+    table = frame(spark, "i int, embedding array<double>", *[(i, [float(x) for x in v]) for i, v in values.items()], *odd)
+    centers = [*(values[i] for i in range(8)), values[3]]  # the last one ties with the fourth
+    plans, write = [], vectors._write_cells
+
+    def seen(assigned, *rest):
+        plans.append(assigned._jdf.queryExecution().executedPlan().toString())
+        return write(assigned, *rest)
+
+    monkeypatch.setattr(vectors, "_write_cells", seen)
+    path = str(tmp_path / "given")
+    made = vectors.assign_cells(table, path, [list(map(float, c)) for c in centers])
+    assert plans[0].count("ArrowEvalPython") == 1  # a worker for each would be kept by every task
+    unit = np.stack([c / np.linalg.norm(c) for c in centers])
+    want = {i: int((unit @ v).argmax()) for i, v in values.items()} | {900: -1, 901: -1, 902: -1, 903: -1}
+    want |= {3: 3}
+    assert {r["i"]: r["cell"] for r in spark.read.parquet(path).collect()} == want and len(made.centers) == 9
+
+
 # --- hot and missing keys ----------------------------------------------------------------------------------------
 
 
