@@ -16,6 +16,7 @@ from reelstat.operators.merge import merge
 from reelstat.operators.ordering import cap
 from reelstat.operators.vector_index import VectorIndex
 from reelstat.operators.windows import first_per_key
+from reelstat.session import bounded_batches
 
 # Vector length and metadata names of the published pipeline.
 EMBEDDING_DIM = 1408
@@ -31,8 +32,9 @@ def embed(objects: DataFrame, model_fn: ModelFn, columns: Sequence[str] = ("uri"
     """Add the model's vector to each row.
 
     ``model_fn`` gets an iterator of batches of ``columns`` and yields one series of vectors per batch, so a model is
-    loaded once per task.
+    loaded once per task. Batches are bounded by bytes, so that texts of any length are not held by the thousand.
     """
+    bounded_batches(objects.sparkSession)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -48,8 +50,9 @@ def embed_segments(objects: DataFrame, model_fn: ModelFn, columns: Sequence[str]
     """One row for each segment the model finds in an object: start, end and the vector.
 
     ``model_fn`` yields, for each batch of ``columns``, one series of lists of (start, end, vector), as many as the object has
-    segments. An object without segments gives no row.
+    segments. An object without segments gives no row. Batches are bounded as in ``embed``.
     """
+    bounded_batches(objects.sparkSession)
 
     @F.pandas_udf(f"array<{SEGMENT}>")
     def infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:

@@ -447,6 +447,21 @@ def test_embed_new_videos_caps_each_run(spark):
     assert [r["uri"] for r in rows(second, "uri")] == ["o6", "o7", "o8"]
 
 
+def batch_sizes(batches):
+    """One segment a text, whose end is the number of characters of the batch it came in."""
+    for batch in batches:
+        size = float(batch["text"].str.len().sum())
+        yield pd.Series([[(0.0, size, [float(len(t))])] for t in batch["text"]])
+
+
+def test_segments_are_found_in_batches_bounded_by_bytes(spark):
+    own = spark.newSession()  # other tests bound the batches of theirs
+    texts = own.range(200, numPartitions=1).select(F.concat(F.lit("o"), "id").alias("uri"), F.repeat(F.lit("x"), 100_000).alias("text"))
+    made = embeddings.embed_segments(texts, batch_sizes, ("text",)).collect()
+    assert len({r["uri"] for r in made}) == len(made) == 200 and {r[embeddings.VECTOR][0] for r in made} == {100_000.0}
+    assert max(r["end"] for r in made) <= 8 << 20
+
+
 def test_index_and_backfills(spark):
     schema = "uri string, metadata array<struct<name:string,value:string>>, ml_generate_embedding_result array<double>, nsfw_ec string, nsfw_gore string, is_nsfw boolean"
     full = [("post_id", "1"), ("timestamp", "2"), ("publisher_user_id", "3")]
