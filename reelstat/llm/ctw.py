@@ -486,7 +486,7 @@ def _scores(docs: DataFrame, held_out: Column, scratch: Scratch) -> DataFrame:
     asked = lists.union(found.where(F.col("kind") != TEXT).select("kind", "chunk", "slice", "bucket", "a", "b"))
     asked = asked.repartition(buckets * FINER, "bucket").sortWithinPartitions("bucket", "kind")
     answered = scratch.keep(asked.mapInArrow(_look_up(top), _SCORED), "answers")
-    scratch.clean()
+    scratch.discard("counts")  # all are answered: they go before the last shuffle, as the questions' shuffle does
     texts = found.where(F.col("kind") == TEXT)
     chunks = texts.select("chunk").distinct().count()
     parts = texts.union(answered).select("chunk", "kind", "slice", "a", "b", "c", "d", "e", "f", "g")
