@@ -26,6 +26,8 @@ _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _SPACES = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], np.uint32)
 CELLS = 1 << 22
+#: Text of a slice: its code points, their hashes and sums take some fifty times as much memory in every task.
+SLICE_BYTES = 1 << 20
 
 
 def tolerance(length: int | np.ndarray) -> int | np.ndarray:
@@ -149,7 +151,7 @@ def _scan(least: int, buckets: int):
     one node each. Kind 2: the slice's further nodes of the same key."""
 
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, most=SLICE_BYTES):
             x = Lines(part, least)
             nodes, good = x.nodes(), x.eligible
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(x.row[good], minlength=len(part)))]).astype(np.int32))
@@ -186,7 +188,7 @@ def _texts(least: int, held: np.ndarray):
     low = np.uint64(len(held) * 64 - 1)
 
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, most=SLICE_BYTES):
             x = Lines(part, least)
             nodes = x.nodes()
             keep = np.flatnonzero(x.eligible & in_bitmap(held, nodes.view(np.uint64) & low))

@@ -1,14 +1,16 @@
 import random
 import re
 import time
+import tracemalloc
 from collections import defaultdict
 from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from reelstat.llm import blocks, decontam, jaccard
+from reelstat.llm import blocks, decontam, jaccard, lines
 from reelstat.llm.components import components
 from reelstat.llm.decontam import benchmark_overlaps
 from reelstat.llm.jaccard import jaccard_classes
@@ -292,3 +294,17 @@ def test_a_text_of_many_repeated_lines_is_cut_in_one_walk(spark):
     start = time.time()
     assert {r.doc_id: r.text for r in cut.collect()} == {1: rows[0][1], 2: "and one more line of its own"}
     assert time.time() - start < 10
+
+
+def test_lines_are_scanned_in_slices_of_little_memory():
+    """Four megabytes of text in one batch: what numpy holds at once stays below 100 MB."""
+    text = "\n".join(f"line number {i} of a text that is long enough to be cut into two segments" for i in range(500))
+    n = (4 << 20) // len(text)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array([f"{text} {i}" for i in range(n)])], ["doc_id", "digest", "text"])
+    tracemalloc.start()
+    try:
+        rows = sum(x.num_rows for x in lines._scan(16, 4)(iter([batch])) if x.column(0)[0].as_py() == 0)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == n and most < 100e6
