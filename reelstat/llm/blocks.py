@@ -73,15 +73,26 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, hashes, nodes) sorted by bucket: an edge (a, b) from every node to the first node of the same hash.
 
-    Within a bucket, which fixes the highest bits, the lowest 32 are sent: rows that meet by chance are verified like all others.
+    Rows that meet by chance are verified like all others; ``packed`` hashes are long enough to make them few.
     """
     for rows in grouped(batches):
-        h = np.concatenate([np.frombuffer(x, np.uint32) for _, x, _ in rows])
+        h = np.concatenate([unpacked(x) for _, x, _ in rows])
         node = np.concatenate([np.frombuffer(x, np.int64) for _, _, x in rows])
         a, b, _ = stars(h, node)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
+def packed(h: np.ndarray) -> bytes:
+    """The lowest 48 bits of hashes in six bytes each. Pairs that meet by chance grow with the square of the input, and each joins two
+    families: with 32 bits within a bucket they are thousands a GB, with 48 none up to some 100 GB."""
+    return h.astype(np.uint32).tobytes() + (h >> np.uint64(32)).astype(np.uint16).tobytes()
+
+
+def unpacked(held: bytes) -> np.ndarray:
+    n = len(held) // 6
+    return np.frombuffer(held, np.uint32, n).astype(np.uint64) | np.frombuffer(held, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
+
+
 def stars(h, node):
     """Distinct edges from the nodes of each hash to its first node, and the places of one entry for each hash, by hash."""
     order = np.argsort(h, kind="stable")

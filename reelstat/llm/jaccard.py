@@ -3,9 +3,11 @@
 Documents are rows, word n-grams are columns. The columns are cut into blocks by hash, as many as the size bound asks for: two
 sets of Jaccard similarity t differ in at most ``|smaller| * (1 - t) / t`` grams, so a set that fills more blocks than that agrees
 wholly with each partner in a block that is not empty. Empty blocks are never sent; the rare sets that fill too few blocks send
-their smallest grams as well, enough for two of them to have one in common. Rows that agree are candidates; they are gathered in
+their smallest grams as well, enough for two of them to have one in common. Larger sets need fewer blocks, and send none of a single
+gram, which unrelated texts often share: hashes spread the grams that differ at random, and the blocks are so many that linked sets agree in none
+of two grams or more about as rarely as two 64-bit hashes collide. Rows that agree are candidates; they are gathered in
 families, and within blocks of rows of a family the product accumulates overlap counts column block by column block, dropping
-pairs whose sizes or counts so far cannot reach the bound. The result is exact but for collisions of 64-bit hashes.
+pairs whose sizes or counts so far cannot reach the bound. The result is exact but for collisions of 64-bit hashes and blocks as rare.
 
 Scale: equal sets are one row of the matrix. Each task sends a block's agreement once, whatever number of its rows share it, so
 a hot group arrives as one entry per slice of text. Large families are cut into row blocks, each pair of row blocks is one
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
+from reelstat.llm.blocks import buckets_of, grouped, meeting, packed, stars, units
 from reelstat.llm.components import components
 from reelstat.llm.storage import Scratch, bitmap, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import Slice, mix, shingles, released, slices, words
@@ -31,6 +33,9 @@ from reelstat.llm.text import Slice, mix, shingles, released, slices, words
 COLUMNS_AT_ONCE = 4096
 #: Aimed-at share of sets that fill too few blocks.
 SPARSE = 1e-3
+#: Blocks of two grams or more in which linked sets agree, expected at least where blocks of one are not sent: none with a chance
+#: of exp(-45) at most, less than 2**-64.
+AGREEING = 45
 
 
 def _block_count(low: int, differ: int) -> int:
@@ -46,9 +51,29 @@ def _block_count(low: int, differ: int) -> int:
     return best[1]
 
 
+def _wide_block_count(common: int, differ: int) -> int | None:
+    """The fewest column blocks for sets with ``common`` grams or more in common that differ in ``differ`` at most, so that in ``AGREEING``
+    blocks, expected, there are two grams or more and none that differs; None if no number is enough.
+
+    The grams fall into blocks independently, so a block's lack of others and its number of common ones are negatively associated
+    over the blocks, and the chance that no block is such a one is at most exp(-expected number).
+    """
+    n = np.unique(np.geomspace(2, 2 * differ + 2, 1000).astype(np.int64))
+    empty = 1 - 1 / n
+    agreeing = empty**differ * _filled(common, n, 2)
+    enough = np.flatnonzero(agreeing >= AGREEING)
+    return int(n[enough[0]]) if len(enough) else None
+
+
+def _filled(size: int, n: int | np.ndarray, least: int) -> float | np.ndarray:
+    """Expected blocks of n that hold ``least`` (1 or 2) of ``size`` grams or more."""
+    empty = 1 - 1 / n
+    return n * (1 - empty**size - (least > 1) * size / n * empty ** (size - 1))
+
+
 class SizeClasses:
-    """Classes of set sizes: partners of a set lie in its own class or the next one. ``blocks[c]`` (number of column blocks, most
-    grams that differ) serves all pairs whose smaller set is of class c."""
+    """Classes of set sizes: partners of a set lie in its own class or the next one. ``blocks[c]`` (number of column blocks, grams of a
+    block at least, blocks below which the smallest grams are sent as well) serves all pairs whose smaller set is of class c."""
 
     def __init__(self, threshold: Fraction, most: int):
         self.threshold = threshold
@@ -57,7 +82,10 @@ class SizeClasses:
             low = lows[-1]
             high = int(low / threshold)
             differ = int(high * (1 - threshold) / threshold)
-            blocks.append((_block_count(low, differ), differ))
+            n = _block_count(low, differ)
+            wide = _wide_block_count(math.ceil(2 * threshold * low / (1 + threshold)), differ)
+            # the way that sends fewer
+            blocks.append((n, 1, differ + 1) if wide is None or _filled(low, wide, 2) >= _filled(low, n, 1) else (wide, 2, wide // 4))
             lows.append(high + 1)
         self.lows, self.blocks = np.array(lows), blocks
 
@@ -68,8 +96,8 @@ class SizeClasses:
 def _agreements(grams: np.ndarray, classes: SizeClasses) -> list[np.ndarray]:
     """One hash for each column block that a sorted set fills, under its own class and the one below.
 
-    A pair is lost only if neither set fills more blocks than grams may differ; such sets add a prefix of their sorted grams,
-    which two sets of this similarity share a gram of.
+    Where blocks of one gram count, a pair is lost only if neither set fills more blocks than grams may differ; such sets add a prefix
+    of their sorted grams, which two sets of this similarity share a gram of.
     """
     out, sparse = [], False
     own = classes.of(len(grams))
@@ -77,14 +105,14 @@ def _agreements(grams: np.ndarray, classes: SizeClasses) -> list[np.ndarray]:
     for c in (own - 1, own):
         if c < 0:
             continue
-        n, differ = classes.blocks[c]
+        n, least, few = classes.blocks[c]
         cuts = np.searchsorted(grams, (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64))
         bounds = np.concatenate([[0], cuts, [len(grams)]])
         size = np.diff(bounds)
         tag = np.uint64((c * 1_000_003 + 17) * 0x9E3779B97F4A7C15 % (1 << 64))
         value = mix((total[bounds[1:]] - total[bounds[:-1]]) + mix(np.arange(n, dtype=np.uint64) + tag) + size.astype(np.uint64))
-        out.append(value[size > 0])
-        sparse |= len(out[-1]) <= differ
+        out.append(value[size >= least])
+        sparse |= len(out[-1]) < few
     if sparse:
         prefix = len(grams) - math.ceil(classes.threshold * len(grams)) + 1
         out.append(mix(grams[:prefix] ^ np.uint64(0x94D049BB133111EB)))
@@ -141,8 +169,8 @@ def _scan(k: int, threshold: Fraction, buckets: int):
             full = np.flatnonzero(np.diff(bounds))
             m = len(full)
             none = pa.nulls(m, pa.int64())
-            sent = (h.astype(np.uint32), node)
-            blobs = [pa.array([x[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for x in sent]
+            sent = ((h, packed), (node, np.ndarray.tobytes))
+            blobs = [pa.array([write(x[bounds[j] : bounds[j + 1]]) for j in full], pa.binary()) for x, write in sent]
             yield _batch(np.full(m, 1, np.int32), none, none, none, none, full.astype(np.int32), *blobs)
 
     return released(run)

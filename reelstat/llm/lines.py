@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.blocks import buckets_of, grouped, meeting, stars, units
+from reelstat.llm.blocks import buckets_of, grouped, meeting, packed, stars, units
 from reelstat.llm.components import components, forest
 from reelstat.llm.storage import Scratch, bitmap, fresh, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import FORGET, Slice, mix, released, slices
@@ -176,8 +176,8 @@ def _scan(least: int, buckets: int):
             h, node = h[lead], node[lead]
             bounds = buckets_of(h, buckets)
             full = np.flatnonzero(np.diff(bounds))
-            sent = (h.astype(np.uint32), node)
-            hashes, ends = (pa.array([v[bounds[j] : bounds[j + 1]].tobytes() for j in full], pa.binary()) for v in sent)
+            sent = ((h, packed), (node, np.ndarray.tobytes))
+            hashes, ends = (pa.array([write(v[bounds[j] : bounds[j + 1]]) for j in full], pa.binary()) for v, write in sent)
             yield _found(1, len(full), bucket=pa.array(full.astype(np.int32)), hashes=hashes, ends=ends)
 
     return released(run)

@@ -115,6 +115,39 @@ def test_sets_that_fill_few_blocks_still_agree():
             assert keys[0] & keys[1]
 
 
+def test_large_sets_with_single_grams_in_common_share_no_key():
+    """Texts of one language share a few grams by chance; pairs that meet by those grow with the square of the input."""
+    rng = np.random.default_rng(4)
+    classes = jaccard.SizeClasses(Fraction(4, 5), 2000)
+    for n in (870, 1900):
+        pool = np.unique(rng.integers(0, 1 << 63, n * n // 8, dtype=np.uint64)) * np.uint64(2)  # eight in common with each other set
+        keys = [np.unique(np.concatenate(jaccard._agreements(np.sort(rng.choice(pool, n, replace=False)), classes))) for _ in range(60)]
+        assert np.unique(np.concatenate(keys), return_counts=True)[1].max() == 1
+
+
+def test_large_sets_that_are_just_linked_agree():
+    rng = np.random.default_rng(5)
+    for t in (Fraction(4, 5), Fraction(9, 10)):
+        classes = jaccard.SizeClasses(t, 5000)
+        for n in (300, 362, 453, 886, 1000, 4000):
+            for grown in (False, True):  # a subset, or as many grams in the place of others
+                for _ in range(10):
+                    x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+                    left = int(np.ceil(2 * t * n / (1 + t))) if grown else int(np.ceil(t * n))
+                    more = rng.integers(0, 1 << 63, n - left if grown else 0, dtype=np.uint64) * np.uint64(2)
+                    y = np.unique(np.concatenate([rng.choice(x, left, replace=False), more]))
+                    keys = [set(np.concatenate(jaccard._agreements(s, classes)).tolist()) for s in (x, y)]
+                    assert keys[0] & keys[1]
+
+
+def test_hashes_that_differ_in_high_bits_do_not_meet():
+    h = np.array([5, 5 + (1 << 32), 5 + (1 << 47), 5, 9], np.uint64)
+    nodes = np.arange(1, 6)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0]), *(pa.array([f(x[:2]), f(x[2:])]) for x, f in ((h, blocks.packed), (nodes, np.ndarray.tobytes)))], ["bucket", "hashes", "nodes"])
+    (edges,) = blocks.meeting(iter([batch]))
+    assert edges.to_pylist() == [{"a": 4, "b": 1}]
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5, 5), (None, 3)]
