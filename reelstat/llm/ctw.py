@@ -38,21 +38,36 @@ HELD, CHUNK_BYTES = 1 << 20, 1 << 25
 FINER = 8
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers in less space: their bytes by significance, as the high ones repeat, compressed behind their number."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(held: bytes, kind: type) -> np.ndarray:
+    raw = pa.decompress(held[8:], int.from_bytes(held[:8], "little"), "zstd", asbytes=True)
+    return np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
 def _mask(depth: int) -> np.uint64:
     return np.uint64((1 << (8 * depth)) - 1)
 
 
 def _symbols(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     """For each byte of all rows, each row ended by ``END`` and begun after ``DEPTH`` of them, context << 8 | byte; and row offsets."""
-    padded = np.insert(LOWER[part.data], np.repeat(part.offsets, DEPTH), np.uint8(END)).astype(np.uint64)
+    rows = np.arange(len(part))
     lengths = np.diff(part.offsets)
-    begin = part.offsets[:-1] + DEPTH * np.arange(1, len(part) + 1)
+    text = np.ones(len(part.data) + DEPTH * len(part) + 1, bool)
+    text[-1] = False
+    text[((part.offsets[:-1] + DEPTH * rows)[:, None] + np.arange(DEPTH)).ravel()] = False
+    padded = np.full(len(text), END, np.uint64)
+    padded[text] = LOWER[part.data]
+    keys = padded[DEPTH:].copy()
+    for back in range(1, DEPTH + 1):
+        keys |= padded[DEPTH - back : len(padded) - back] << np.uint64(8 * back)
+    text[part.offsets[1:] + DEPTH * (rows + 1)] = True  # the end behind each row
     offsets = np.concatenate([[0], np.cumsum(lengths + 1)])
-    at = np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], lengths + 1)
-    padded = np.append(padded, np.uint64(END))
-    keys = np.zeros(len(at), np.uint64)
-    for back in range(DEPTH, -1, -1):
-        keys = (keys << np.uint64(8)) | padded[at - back]
+    keys = keys[text[DEPTH:]]
     return keys, offsets
 
 
@@ -90,12 +105,12 @@ GRAMS = 1 << 20  # buckets of contexts are numbered behind those of words
 
 
 def _cut(bucket_hash: np.ndarray, buckets: int, *values: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
-    """The buckets that some values fall into by hash, and the values of each as bytes."""
+    """The buckets that some values fall into by hash, and the values of each, packed."""
     order = np.argsort(bucket_hash, kind="stable")
     bounds = buckets_of(bucket_hash[order], buckets)
     full = np.flatnonzero(np.diff(bounds))
     held = [v[order] for v in values]
-    return full, [[v[bounds[j] : bounds[j + 1]].tobytes() for j in full] for v in held]
+    return full, [[_packed(v[bounds[j] : bounds[j + 1]]) for j in full] for v in held]
 
 
 def _place(keys: np.ndarray) -> np.ndarray:
@@ -138,7 +153,7 @@ def _count(buckets: int):
 def _merge(batches):
     """Counts of each bucket summed, with their number and total."""
     for rows in grouped(batches):
-        keys, counts = _summed(np.concatenate([np.frombuffer(k, np.uint64) for _, k, _ in rows]), np.concatenate([np.frombuffer(c, np.int64) for _, _, c in rows]))
+        keys, counts = _summed(np.concatenate([_unpacked(k, np.uint64) for _, k, _ in rows]), np.concatenate([_unpacked(c, np.int64) for _, _, c in rows]))
         yield pa.RecordBatch.from_pylist(
             [{"bucket": rows[0][0], "keys": keys.tobytes(), "counts": counts.tobytes(), "n": len(keys), "total": int(counts.sum())}],
             pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("n", pa.int64()), ("total", pa.int64())]),
@@ -355,7 +370,7 @@ def _score(model, buckets: int):
                 c=blob(np.diff(w.first).astype(np.int64) + 1),
                 d=blob(known.astype(np.int64)),
                 e=blob(logs.astype(np.float64)),
-                f=blob(part.data),
+                f=[_packed(part.data)],
                 g=blob(part.offsets.astype(np.int64)),
             )
             full, (hashes, rows) = _cut(w.hash[~frequent], buckets, w.hash[~frequent], w.row[~frequent].astype(np.uint32))
@@ -393,7 +408,7 @@ def _look_up(top):
                     else:
                         tree = ContextTree(top.value, keys, counts)
                 elif kind == WORD_ASK:
-                    h, row = np.frombuffer(a, np.uint64), np.frombuffer(second, np.uint32)
+                    h, row = _unpacked(a, np.uint64), _unpacked(second, np.uint32)
                     at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
                     known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
                     rows, index = np.unique(row[known], return_inverse=True)
@@ -401,8 +416,8 @@ def _look_up(top):
                     yield _scored(kind=[WORD_ANSWER], chunk=[chunk], slice=[number], a=[rows.tobytes()], b=[n_known.tobytes()], c=[found.tobytes()])
                 else:
                     tree = tree or ContextTree(top.value, np.zeros(0, np.uint64), np.zeros(0, np.int64))
-                    answer = tree.log10(np.frombuffer(a, np.uint64)).astype(np.float32)
-                    yield _scored(kind=[GRAM_ANSWER], chunk=[chunk], a=[a], b=[answer.tobytes()])
+                    answer = tree.log10(_unpacked(a, np.uint64)).astype(np.float32)
+                    yield _scored(kind=[GRAM_ANSWER], chunk=[chunk], a=[a], b=[_packed(answer)])
 
     return released(run)
 
@@ -410,6 +425,19 @@ def _look_up(top):
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double"
 
 
+def _looked_up(asked: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values of some (context, byte) keys, all of which are in the ascending ``keys``: looked up in ascending order, a run at a time
+    whose keys and places fit 64 bits together, as numbers are sorted far faster than places."""
+    spare = np.uint64(64 - 8 * (DEPTH + 1))
+    out = np.empty(len(asked))
+    for begin in range(0, len(asked), 1 << int(spare)):
+        run = asked[begin : begin + (1 << int(spare))]
+        both = np.sort(run << spare | np.arange(len(run), dtype=np.uint64))
+        place = (both & np.uint64((1 << int(spare)) - 1)).astype(np.int64)
+        out[begin + place] = values[np.searchsorted(keys, both >> spare)]
+    return out
+
+
 def _gathered(batches):
     """The answers to a chunk come first, then its slices: the sums over the words and bytes of each row."""
     now, keys, logs, of_words = None, [], [], {}
@@ -418,8 +446,8 @@ def _gathered(batches):
             if chunk != now:
                 now, keys, logs, of_words = chunk, [], [], {}
             if kind == GRAM_ANSWER:
-                keys.append(np.frombuffer(a, np.uint64))
-                logs.append(np.frombuffer(b, np.float32))
+                keys.append(_unpacked(a, np.uint64))
+                logs.append(_unpacked(b, np.float32))
                 continue
             if kind == WORD_ANSWER:
                 of_words.setdefault(number, []).append((a, b, c))
@@ -435,9 +463,8 @@ def _gathered(batches):
                 known[at] += np.frombuffer(n, np.int64)
                 base[at] += np.frombuffer(found, np.float64)
             offsets = np.frombuffer(g, np.int64)
-            asked, bounds = _symbols(Slice({}, np.frombuffer(f, np.uint8), offsets, np.zeros(len(offsets) - 1, bool)))
-            names, index = np.unique(asked, return_inverse=True)
-            total = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(keys, names)][index])])
+            asked, bounds = _symbols(Slice({}, _unpacked(f, np.uint8), offsets, np.zeros(len(offsets) - 1, bool)))
+            total = np.concatenate([[0.0], np.cumsum(_looked_up(asked, keys, logs))])
             score = total[bounds[1:]] - total[bounds[:-1]]
             held = pa.array(np.frombuffer(b, np.uint8).astype(bool))
             columns = [ids, held, pa.array(np.frombuffer(c, np.int64)), pa.array(known), pa.array(base), pa.array(score)]

@@ -302,3 +302,25 @@ def test_counts_of_contexts_are_gone_before_the_last_shuffle(spark, monkeypatch)
     found = scored(docs, F.col("doc_id") % 5 == 2).collect()
     assert len(found) == 40 and all(r.score < 0 for r in found)
     assert len(held) == 1 and "answers" in held[0] and "counts" not in held[0]
+
+
+def test_contexts_and_texts_of_a_language_take_little_room():
+    """What tasks send: keys that share their last bytes, small counts, and text."""
+    rng = np.random.default_rng(6)
+    text = " ".join(rng.choice(["the", "of", "and", "thing", "other", "over", "under", "again"], 20_000)).encode()
+    keys, counts = np.unique(ctw._symbols(part_of(text.decode()))[0], return_counts=True)
+    full, (sent, times) = ctw._cut(ctw._place(keys), 4, keys, counts)
+    assert sorted(np.concatenate([ctw._unpacked(x, np.uint64) for x in sent]).tolist()) == keys.tolist()
+    assert sum(ctw._unpacked(x, np.int64).sum() for x in times) == counts.sum()
+    assert sum(map(len, sent)) < 0.6 * keys.nbytes
+    assert len(ctw._packed(np.frombuffer(text, np.uint8))) < 0.4 * len(text)
+    assert len(ctw._unpacked(ctw._packed(keys[:0]), np.uint64)) == 0
+
+
+def test_values_of_keys_come_back_in_their_places():
+    rng = np.random.default_rng(7)
+    asked = rng.integers(0, 1 << 48, 1000, dtype=np.uint64)[rng.integers(0, 1000, 150_000)]  # more than one run
+    keys = np.unique(np.append(asked, rng.integers(0, 1 << 48, 1000, dtype=np.uint64)))
+    values = rng.random(len(keys))
+    assert (ctw._looked_up(asked, keys, values) == values[np.searchsorted(keys, asked)]).all()
+    assert len(ctw._looked_up(asked[:0], keys, values)) == 0
