@@ -5,13 +5,14 @@ sets of Jaccard similarity t differ in at most ``|smaller| * (1 - t) / t`` grams
 wholly with each partner in a block that is not empty. Empty blocks are never sent; the rare sets that fill too few blocks send
 their smallest grams as well, enough for two of them to have one in common. Larger sets need fewer blocks, and send none of a single
 gram, which unrelated texts often share: hashes spread the grams that differ at random, and the blocks are so many that linked sets agree in none
-of two grams or more about as rarely as two 64-bit hashes collide. Rows that agree are candidates; they are gathered in
+of two grams or more about as rarely as two 64-bit hashes collide. Rows that agree are candidates if their sizes and sketches allow
+the similarity: agreement by chance in a gram grows with the square of the input, and would join all rows in the end. Candidates are gathered in
 families, and within blocks of rows of a family the product accumulates overlap counts column block by column block, dropping
 pairs whose sizes or counts so far cannot reach the bound. The result is exact but for collisions of 64-bit hashes and blocks as rare.
 
-Scale: equal sets are one row of the matrix. Each task sends a block's agreement once, whatever number of its rows share it, so
-a hot group arrives as one entry per slice of text. Large families are cut into row blocks, each pair of row blocks is one
-unit of work, and a unit returns a spanning forest of its links, never the pairs.
+Scale: equal sets are one row of the matrix. Rows that agree in one block or many are held against each other once, by sketches of
+some bytes; what many rows agree in is cut into blocks of rows, each two of which are compared by themselves. Large families are cut into row
+blocks, each pair of row blocks is one unit of work, and a unit returns a spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.blocks import buckets_of, grouped, meeting, packed, stars, units
+from reelstat.llm.blocks import buckets_of, grouped, packed, units
 from reelstat.llm.components import components
+from reelstat.llm.sketch import meetings, possible, sketch
 from reelstat.llm.storage import Scratch, bitmap, in_bitmap, materialise, repartition_count
 from reelstat.llm.text import Slice, mix, shingles, released, slices, words
 
@@ -130,23 +132,25 @@ _FOUND = "kind int, doc_id long, n long, d1 long, d2 long, bucket int, hashes bi
 
 
 def _scan(k: int, threshold: Fraction, buckets: int):
-    """Rows of kind 0: size and digest of a document's set. Kind 1: agreements of a slice, one node for each hash, by bucket.
-    Kind 2: a further node (d1) of the slice with the hash that node d2 was sent for."""
+    """Rows of kind 0: size, digest and, once a slice, sketch (as ``hashes``) of a document's set. Kind 1: agreements of a slice by
+    bucket, one for each hash of each distinct set."""
 
     def run(batches):
         classes = SizeClasses(threshold, 1 << 10)
         for part in slices(batches):
             ids = part.columns["doc_id"].cast(pa.int64())
-            n, d1, d2, hashes, owners = [], [], [], [], []
-            seen: dict[tuple[int, int], int] = {}
+            n, d1, d2, hashes, owners, sketches = [], [], [], [], [], []
+            seen: set[tuple[int, int]] = set()
             for i, grams in enumerate(_sets(part, k)):
                 n.append(len(grams))
                 a, b = _digest(grams)
                 d1.append(a)
                 d2.append(b)
                 if len(grams) < 2 or (a, b) in seen:
+                    sketches.append(None)
                     continue
-                seen[a, b] = i
+                seen.add((a, b))
+                sketches.append(sketch(grams))
                 if len(grams) >= classes.lows[-1]:
                     classes = SizeClasses(threshold, 2 * len(grams))
                 for h in _agreements(grams, classes):
@@ -154,17 +158,14 @@ def _scan(k: int, threshold: Fraction, buckets: int):
                     owners.append(np.full(len(h), i))
             count = len(n)
             digest = [_signed(x) for x in (d1, d2)]
-            nothing = pa.nulls(count, pa.int32()), pa.nulls(count, pa.binary()), pa.nulls(count, pa.binary())
-            yield _batch(np.zeros(count, np.int32), ids, pa.array(n, pa.int64()), *digest, *nothing)
+            others = pa.nulls(count, pa.int32()), pa.array(sketches, pa.binary()), pa.nulls(count, pa.binary())
+            yield _batch(np.zeros(count, np.int32), ids, pa.array(n, pa.int64()), *digest, *others)
             if not hashes:
                 continue
             # the digest stands for the set until its representative is known
             h, node = np.concatenate(hashes), digest[0][np.concatenate(owners)]
-            first, second, kept = stars(h, node)
-            if m := len(first):
-                none = pa.nulls(m, pa.int64())
-                yield _batch(np.full(m, 2, np.int32), none, none, first, second, *(pa.nulls(m, x.type) for x in nothing))
-            h, node = h[kept], node[kept]
+            order = np.argsort(h)
+            h, node = h[order], node[order]
             bounds = buckets_of(h, buckets)
             full = np.flatnonzero(np.diff(bounds))
             m = len(full)
@@ -287,10 +288,14 @@ def _classes(docs: DataFrame, k: int, threshold: Fraction, scratch: Scratch) ->
         .select("bucket", "hashes", "nodes")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(released(meeting), "a long, b long")
+        .mapInArrow(released(meetings), "unit long, node long")
     )
-    local = found.where("kind = 2").select(F.col("d1").alias("a"), F.col("d2").alias("b"))
-    family = components(met.union(local), scratch).withColumnRenamed("component", "family")
+    met = scratch.keep(met.distinct(), "met")
+    sketches = found.where("hashes is not null and kind = 0").select(F.col("d1").alias("node"), "n", F.col("hashes").alias("sketch"))
+    near = met.join(sketches.dropDuplicates(["node"]), "node").select("unit", "node", "n", "sketch")
+    near = near.repartition(buckets, "unit").sortWithinPartitions("unit").mapInArrow(possible(threshold), "a long, b long")
+    family = components(near, scratch).withColumnRenamed("component", "family")
+    scratch.discard("met")
     scratch.discard("incidence")
 
     # one document of each set in a family lends its text; equal digests in full make equal sets
